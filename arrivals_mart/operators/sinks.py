@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from arrivals_mart.schemas import enforce, schema_differences
+from arrivals_mart.schemas import TARGETS, ddl, enforce, schema_differences
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -54,3 +54,23 @@ def truncate_and_load(
     if diffs:
         raise ValueError(f"{label}: loaded schema differs from contract: {diffs}")
     return loaded
+
+
+def create_targets(
+    spark: SparkSession,
+    location_root: str | None = None,
+    database: str | None = None,
+    targets: dict[str, T.StructType] = TARGETS,
+) -> list[str]:
+    """Create the target tables in the session catalog (K2); returns their names.
+
+    With ``location_root`` each table lives in ``<root>/<table>``, so the
+    files stay on the shared filesystem the cluster reads from.
+    """
+    names = []
+    for table, schema in targets.items():
+        name = f"{database}.{table}" if database else table
+        loc = f"{location_root.rstrip('/')}/{table}" if location_root else None
+        spark.sql(ddl(name, schema, loc))
+        names.append(name)
+    return names

@@ -295,6 +295,7 @@ def oracle_sql() -> dict[str, str]:
     FROM songplays""",
     )
     q["fact_build"] = with_ctes(["fact"], "SELECT * FROM fact")
+    q["incremental_fact"] = with_ctes(["fact"], "SELECT * FROM fact")
     q["dim_person_build"] = with_ctes(["person"], "SELECT * FROM person")
     q["star_join"] = with_ctes(
         ["fact", "person"],

@@ -163,3 +163,16 @@ def schema_differences(actual: T.StructType, expected: T.StructType) -> list[str
         if an == en and at != et:
             diffs.append(f"{an}: {at.simpleString()} != {et.simpleString()}")
     return diffs
+
+
+def ddl(table: str, schema: T.StructType, location: str | None = None) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a contract (parquet, optional location).
+
+    Spark keeps NOT NULL as documentation for file tables; the contract
+    check and the quality checks enforce it.
+    """
+    cols = ",\n  ".join(
+        f"`{f.name}` {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
+    )
+    loc = f"\nLOCATION '{location}'" if location else ""
+    return f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n) USING parquet{loc}"

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals_mart.operators.quality import assert_checks, duplicate_keys, run_checks
-from arrivals_mart.operators.sinks import overwrite, truncate_and_load
+from arrivals_mart.operators.sinks import create_targets, overwrite, truncate_and_load
 from arrivals_mart.schemas import ContractError, enforce, schema_differences
 
 CONTRACT = T.StructType(
@@ -53,3 +53,13 @@ def test_overwrite_and_truncate_and_load_replace(spark, tmp_path):
     truncate_and_load(spark, path, target, CONTRACT, "t")
     loaded = truncate_and_load(spark, path, target, CONTRACT, "t")
     assert loaded.count() == 2 and loaded.columns == ["id", "name", "n"]
+
+
+def test_create_targets_and_load_into_catalog_table(spark, tmp_path):
+    names = create_targets(spark, str(tmp_path / "wh"), targets={"t_contract": CONTRACT})
+    assert names == ["t_contract"] and spark.catalog.tableExists("t_contract")
+    path = str(tmp_path / "staged")
+    overwrite(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, name string, n int"), path)
+    truncate_and_load(spark, path, "t_contract", CONTRACT)
+    loaded = truncate_and_load(spark, path, "t_contract", CONTRACT)
+    assert sorted(tuple(r) for r in loaded.collect()) == [(1, "a", 1), (2, "b", 2)]
