@@ -83,7 +83,7 @@ def conf(spark, **kv):
 
 
 def _write(tmp_path):
-    p = tmp_path / "labels.SAS"
+    p = tmp_path / "labels.txt"
     p.write_bytes(LABEL_TEXT.encode("latin-1"))
     return str(p)
 
