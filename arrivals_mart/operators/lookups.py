@@ -21,8 +21,15 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_LOOKUP_ROWS) -> DataFrame:
-    """Broadcast hint on ``df`` only if it is proven to hold at most ``max_rows`` rows."""
+def sized_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_LOOKUP_ROWS) -> DataFrame:
+    """Broadcast hint on ``df`` only if it is proven to hold at most ``max_rows`` rows.
+
+    ``max_rows=None`` is for tables whose size is fixed by definition (for
+    example a code list with a fixed number of entries); they are broadcast
+    without a counting job.
+    """
+    if max_rows is None:
+        return F.broadcast(df)
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
@@ -33,8 +40,9 @@ def lookup_join(
     right_keys: Sequence[str],
     how: str = "left",
     case_insensitive: bool = False,
-    max_rows: int = DEFAULT_MAX_LOOKUP_ROWS,
+    max_rows: int | None = DEFAULT_MAX_LOOKUP_ROWS,
     alias: str | None = None,
+    broadcast: bool | None = None,
 ) -> DataFrame:
     """Join ``df`` to a code lookup on (transformed) keys.
 
@@ -42,9 +50,14 @@ def lookup_join(
     columns, transformed the same way when ``case_insensitive`` (lower case on
     both sides). ``alias`` names the lookup so it can be joined more than once
     (role-playing lookups); its columns are then reachable as ``alias.col``.
+    ``broadcast`` forces the decision when it was already made (a lookup
+    joined in two roles is counted once); by default the size is checked.
     """
     side = lookup.alias(alias) if alias else lookup
-    side = sized_broadcast(side, max_rows)
+    if broadcast is None:
+        side = sized_broadcast(side, max_rows)
+    elif broadcast:
+        side = F.broadcast(side)
     prefix = f"{alias}." if alias else ""
     conds = []
     for lk, rk in zip(left_keys, right_keys):

@@ -19,8 +19,9 @@ from arrivals_mart.functions.dates import epoch_ms, to_day_number
 from arrivals_mart.operators.lookups import sized_broadcast
 from arrivals_mart.sources.files import read_table
 
-# Number of nations in the driver's data; lookups derived from nation are bounded by it.
-MAX_NATIONS = 1000
+# nation and region have a fixed number of rows at every scale factor (25 and 5),
+# so they are broadcast without a counting job.
+FIXED_SIZE = None
 
 
 def _s(c):
@@ -69,7 +70,7 @@ def _region_state():
 
 def ports(nation: DataFrame, region: DataFrame) -> DataFrame:
     """Port lookup (code, city, state): one port per nation, odd codes in lower case."""
-    n = nation.join(sized_broadcast(region, MAX_NATIONS), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    n = nation.join(sized_broadcast(region, FIXED_SIZE), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     return n.select(
         F.concat(F.when(F.col("n_nationkey") % 2 == 1, "p").otherwise("P"), _s(F.col("n_nationkey"))).alias("code"),
         F.col("n_name").alias("city"),
@@ -91,7 +92,7 @@ def temperatures(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame) ->
     point and averages do not depend on summation order.
     """
     sup = supplier.select("s_suppkey", "s_nationkey")
-    nat = sized_broadcast(nation.select("n_nationkey", "n_name"), MAX_NATIONS)
+    nat = sized_broadcast(nation.select("n_nationkey", "n_name"), FIXED_SIZE)
     li = lineitem.select("l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
     j = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     month_text = F.date_format(F.trunc(F.col("l_shipdate").cast("date"), "month"), "yyyy-MM-dd")
@@ -116,7 +117,7 @@ def demographics(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
     one race row per customer; the city total repeats on every race row.
     """
     geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
-    geo = sized_broadcast(geo, MAX_NATIONS)
+    geo = sized_broadcast(geo, FIXED_SIZE)
     j = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k = F.col("c_custkey")
     return j.select(

@@ -15,7 +15,7 @@ from arrivals_mart.functions.casts import int_key, tolerant_date, tolerant_doubl
 from arrivals_mart.functions.codes import TRANSPORT_MODES, TRAVEL_PURPOSES, decode
 from arrivals_mart.functions.dates import from_day_number
 from arrivals_mart.operators.keys import dense_key
-from arrivals_mart.operators.lookups import DEFAULT_MAX_LOOKUP_ROWS, lookup_join
+from arrivals_mart.operators.lookups import DEFAULT_MAX_LOOKUP_ROWS, lookup_join, row_count_at_most
 from arrivals_mart.schemas import DEMOGRAPHICS_HEADERS, DIM_DEMOGRAPHICS, DIM_TEMPERATURE
 from arrivals_mart.sources.files import rename_headers
 
@@ -56,12 +56,9 @@ def build_person_dim(
     kept = arrivals.filter(F.col("gender").isin("M", "F") & tolerant_int(F.col("i94bir")).isNotNull())
     i = kept.alias("i")
     numbered = countries.select(tolerant_int(F.col("code")).alias("code_num"), F.col("country"))
-    cit = lookup_join(
-        i, numbered, [tolerant_int(F.col("i.i94cit"))], ["code_num"], max_rows=max_lookup_rows, alias="c1"
-    )
-    res = lookup_join(
-        cit, numbered, [tolerant_int(F.col("i.i94res"))], ["code_num"], max_rows=max_lookup_rows, alias="c2"
-    )
+    small = row_count_at_most(numbered, max_lookup_rows)  # one check for both roles
+    cit = lookup_join(i, numbered, [tolerant_int(F.col("i.i94cit"))], ["code_num"], alias="c1", broadcast=small)
+    res = lookup_join(cit, numbered, [tolerant_int(F.col("i.i94res"))], ["code_num"], alias="c2", broadcast=small)
     return res.select(
         int_key(F.col("i.cicid")).alias("immigration_id"),
         F.col("c1.country").alias("citizenship_country"),

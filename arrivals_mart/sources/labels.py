@@ -18,8 +18,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivals_mart.operators.lookups import sized_broadcast
-
 # Block names of the arrival label file and the label forms
 # that mark a code as not usable.
 COUNTRY_BLOCK = "i94cntyl"
@@ -101,24 +99,18 @@ def country_lookup(labels: DataFrame, block: str = COUNTRY_BLOCK) -> DataFrame:
     return block_lookup(labels, block, "country").select("code", "country")
 
 
-def port_lookup(
-    labels: DataFrame,
-    block: str = PORT_BLOCK,
-    state_block: str = STATE_BLOCK,
-    max_states: int = 1000,
-) -> DataFrame:
+def port_lookup(labels: DataFrame, block: str = PORT_BLOCK, state_block: str = STATE_BLOCK) -> DataFrame:
     """Port lookup: (code, city, state).
 
     The label is split at its last comma. The state is the first two letters
     after it when they are followed by the end, a blank, ``#`` or ``(`` and
     are a code of the state block; otherwise the whole label is the city and
-    the state is null.
+    the state is null. Both sides come from the same dictionary, whose size
+    is only known after parsing, so the join strategy is left to AQE's
+    run-time statistics rather than counting the state block first.
     """
     ports = block_lookup(labels, block)
-    states = sized_broadcast(
-        labels.filter(F.col("block") == state_block).select(F.col("code").alias("state_code")).distinct(),
-        max_states,
-    )
+    states = labels.filter(F.col("block") == state_block).select(F.col("code").alias("state_code")).distinct()
     candidate = F.regexp_extract("label", r",\s*([A-Za-z]{2})(?:$|[\s#(])[^,]*$", 1)
     head = F.regexp_extract("label", r"^(.*),[^,]*$", 1)
     ports = ports.withColumn("cand", F.upper(candidate)).withColumn("head", F.rtrim(head))
