@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arrivals_mart.functions.codes import hash_key
 from arrivals_mart.functions.dates import date_parts, from_epoch_ms
+from arrivals_mart.operators.joins import spread_condition, with_match_spread, with_null_spread
 
 # Fixed value: the page of a song play.
 PLAY_PAGE = "NextSong"
@@ -21,13 +22,18 @@ def build_songplays(events: DataFrame, songs: DataFrame) -> DataFrame:
 
     ``songplay_id`` is md5 of the session id and the start time text
     (``yyyy-MM-dd HH:mm:ss``); it is null when the session id is null.
+    Plays with an incomplete key are spread over partitions instead of
+    meeting in one task (see :mod:`arrivals_mart.operators.joins`).
     """
-    e = plays(events).withColumn("start_time", from_epoch_ms(F.col("ts"))).alias("e")
-    s = songs.alias("s")
+    e = plays(events).withColumn("start_time", from_epoch_ms(F.col("ts")))
+    # plays without a full (song, artist, length) key cannot match; spread them out
+    e = with_null_spread(e, ["song", "artist", "length"], ["sessionid", "ts", "userid"]).alias("e")
+    s = with_match_spread(songs).alias("s")
     cond = (
         (F.col("e.song") == F.col("s.title"))
         & (F.col("e.artist") == F.col("s.artist_name"))
         & (F.col("e.length") == F.col("s.duration"))
+        & spread_condition("e", "s")
     )
     joined = e.join(s, cond, "left")
     return joined.select(

@@ -1,5 +1,6 @@
 import datetime as dt
 
+from arrivals_mart.operators.joins import with_null_spread
 from arrivals_mart.plans.listening import build_artists, build_songplays, build_songs, build_time, build_users
 from arrivals_mart.schemas import STAGING_EVENTS, STAGING_SONGS
 
@@ -47,3 +48,14 @@ def test_users_songs_artists_time(spark):
     assert t.count() == 3  # one row per play, no de-duplication
     r = t.filter("hour = 20").orderBy("start_time").first()
     assert (r.day, r.week, r.month, r.year, r.weekday) == (1, 44, 11, 2018, 4)
+
+
+def test_songplays_spreads_null_keys_without_changing_results(spark):
+    many = [event(i, 1541105830796 + i * 1000, 10 + i % 3, song=None) for i in range(200)]
+    ev = spark.createDataFrame(EVENTS + many, STAGING_EVENTS)
+    songs = spark.createDataFrame(SONGS, STAGING_SONGS)
+    out = build_songplays(ev, songs)
+    assert out.count() == 203
+    assert out.filter("song_id is not null").count() == 2  # sessions 1 and null match SO1
+    spread = with_null_spread(ev.filter("page = 'NextSong'"), ["song", "artist", "length"], ["sessionid", "ts", "userid"])
+    assert spread.select("_null_spread").distinct().count() > 100  # null-key rows no longer share one key
