@@ -16,8 +16,11 @@ in one task over all rows. The same numbers are produced here in parallel:
    partition, a bounded table) gives each partition's offset;
 4. key = offset + position + 1, with the offsets broadcast.
 
-Ties in the ordering key get distinct but arbitrary numbers, as with
-``row_number``; pass a unique ordering (or ``tie_breakers``) for stable keys.
+Rows that tie on the ordering key are ordered by a hash of all their
+columns (unless ``tie_breakers`` are given), so their numbers are
+deterministic and a key shared by many rows is still spread over several
+range partitions. Only rows equal in every column share a hash; their
+order among themselves does not matter.
 """
 
 from __future__ import annotations
@@ -47,6 +50,9 @@ def dense_key(
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if not tie_breakers:
+        df = df.withColumn("_dk_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+        tie_breakers = ["_dk_tie"]
     order = [F.col(c).asc_nulls_first() for c in [*order_cols, *tie_breakers]]
     ranged = (
         df.repartitionByRange(n, *order)
@@ -65,5 +71,5 @@ def dense_key(
     # at most n rows: one per range partition
     keyed = ranged.join(F.broadcast(offsets), "_dk_part")
     return keyed.withColumn(name, F.col("_dk_offset") + F.col("_dk_pos") + F.lit(start)).drop(
-        "_dk_part", "_dk_pos", "_dk_offset"
+        "_dk_part", "_dk_pos", "_dk_offset", "_dk_tie"
     )

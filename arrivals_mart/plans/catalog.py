@@ -182,7 +182,10 @@ LINE_CONTRACT = T.StructType(
 def q_schema_contract(spark, sf):
     path = scratch_path(spark, "line-contract")
     li = read_table(spark, sf, "lineitem")
-    shuffled = li.select("l_returnflag", "L_SHIPDATE", "l_tax", "l_extendedprice", "l_linenumber", "l_orderkey")
+    # columns out of order, one in upper case, one extra: the contract fixes all three
+    shuffled = li.withColumnRenamed("l_shipdate", "L_SHIPDATE").select(
+        "l_returnflag", "L_SHIPDATE", "l_tax", "l_extendedprice", "l_linenumber", "l_orderkey"
+    )
     overwrite(enforce(shuffled, LINE_CONTRACT, "lines"), path)
     back = spark.read.parquet(path)
     diffs = schema_differences(back.schema, LINE_CONTRACT)

@@ -78,6 +78,7 @@ def monthly_temperatures(
     are ignored by the average. The filters are on grouping keys, so they
     run before the aggregation.
     """
+    raw = raw.toDF(*[c.lower() for c in raw.columns])  # header case differs between files
     typed = raw.select(
         tolerant_date(F.col("dt")).alias("temp_report_month"),
         F.col("city"),

@@ -39,3 +39,10 @@ def test_dense_key_plan_has_no_single_partition_over_rows(spark):
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     naive = _data(spark, 1000).withColumn("k", F.row_number().over(Window.orderBy("lead", "mid", "tail")))
     assert "SinglePartition" in naive._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dense_key_ties_are_deterministic_and_spread(spark):
+    df = spark.range(0, 3000, numPartitions=3).select(F.lit("same").alias("k"), F.col("id"))
+    a = {r.id: r.n for r in dense_key(df, ["k"], "n", num_partitions=6).collect()}
+    b = {r.id: r.n for r in dense_key(df.repartition(4), ["k"], "n", num_partitions=6).collect()}
+    assert a == b and sorted(a.values()) == list(range(1, 3001))
