@@ -250,24 +250,34 @@ def q_case_insensitive_join(spark, sf):
 
 
 def q_role_playing_lookup(spark, sf):
+    """Line items per (customer nation, supplier nation): one lookup in two roles.
+
+    Orders first get their customer's nation; line items are joined to that
+    (the only line-item-sized shuffle, on the order key) and immediately
+    pre-aggregated per (supplier, customer nation), so the supplier join and
+    the nation decoding run on at most suppliers x nations rows.
+    """
     li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey")
     o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     c = read_table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     s = read_table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    lines = (
-        li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+    order_nation = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "c_nationkey")
+    per_supplier = (
+        li.join(order_nation, F.col("l_orderkey") == F.col("o_orderkey"))
+        .groupBy("l_suppkey", "c_nationkey")
+        .agg(F.count(F.lit(1)).alias("line_count"))
+    )
+    pairs = (
+        per_supplier.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy("c_nationkey", "s_nationkey")
+        .agg(F.sum("line_count").alias("line_count"))
     )
-    # pre-aggregate to one row per nation pair before decoding the two roles
-    pairs = lines.groupBy("c_nationkey", "s_nationkey").agg(F.count(F.lit(1)).alias("line_count"))
     nation = read_table(spark, sf, "nation").select("n_nationkey", "n_name")
     cn = lookup_join(pairs, nation, [F.col("c_nationkey")], ["n_nationkey"], max_rows=None, alias="cn")
     both = lookup_join(cn, nation, [F.col("s_nationkey")], ["n_nationkey"], max_rows=None, alias="sn")
-    both = both.groupBy(
+    return both.groupBy(
         F.col("cn.n_name").alias("customer_nation"), F.col("sn.n_name").alias("supplier_nation")
     ).agg(F.sum("line_count").alias("line_count"))
-    return both
 
 
 def q_day_number_dates(spark, sf):

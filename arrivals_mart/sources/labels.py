@@ -15,6 +15,8 @@ per split, so no single task has to see a whole file.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -121,3 +123,27 @@ def port_lookup(labels: DataFrame, block: str = PORT_BLOCK, state_block: str = S
         F.when(has_state, F.col("head")).otherwise(F.col("label")).alias("city"),
         F.when(has_state, F.col("state_code")).alias("state"),
     )
+
+
+def write_lookups(
+    spark: SparkSession,
+    label_path: str,
+    staging: str,
+    ports_rel: str = "port_mapping",
+    countries_rel: str = "country_mapping",
+    port_block: str = PORT_BLOCK,
+    country_block: str = COUNTRY_BLOCK,
+    state_block: str = STATE_BLOCK,
+) -> None:
+    """Extract the port and country lookups from a label dictionary into CSV files.
+
+    Writes ``code,city,state`` and ``code,country`` (with header) below
+    ``staging``, the inputs the fact and traveller builds read.
+    """
+    labels = label_dictionary(spark, label_path)
+    port_lookup(labels, port_block, state_block).write.mode("overwrite").option("header", "true").csv(
+        os.path.join(staging, ports_rel)
+    )
+    country_lookup(labels, country_block).write.mode("overwrite").option("header", "true").csv(
+        os.path.join(staging, countries_rel)
+    )

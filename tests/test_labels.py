@@ -1,6 +1,14 @@
 from contextlib import contextmanager
 
-from arrivals_mart.sources.labels import country_lookup, label_dictionary, port_lookup, read_label_lines
+from arrivals_mart.schemas import COUNTRY_LOOKUP, PORT_LOOKUP
+from arrivals_mart.sources.files import read_csv
+from arrivals_mart.sources.labels import (
+    country_lookup,
+    label_dictionary,
+    port_lookup,
+    read_label_lines,
+    write_lookups,
+)
 
 # Invented label text with the edge forms of a SAS format catalogue.
 LABEL_TEXT = "\r\n".join(
@@ -111,3 +119,13 @@ def test_label_dictionary_split_across_partitions(spark, tmp_path):
         splits = read_label_lines(spark, path).select("split_start").distinct().count()
         assert splits > 3
         _check(label_dictionary(spark, path))
+
+
+def test_write_lookups_produces_pipeline_inputs(spark, tmp_path):
+    path = _write(tmp_path)
+    staging = str(tmp_path / "staging")
+    write_lookups(spark, path, staging, port_block="$prtl", country_block="cntyl", state_block="addrl")
+    ports = read_csv(spark, str(tmp_path / "staging" / "port_mapping"), PORT_LOOKUP)
+    countries = read_csv(spark, str(tmp_path / "staging" / "country_mapping"), COUNTRY_LOOKUP)
+    assert sorted(tuple(r) for r in ports.collect()) == EXPECTED_PORTS
+    assert ("582", "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)") in [tuple(r) for r in countries.collect()]
