@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivals_mart.functions.dates import month_start
@@ -66,15 +66,46 @@ def trailing_temperatures(temperature: DataFrame, months: int = 3) -> DataFrame:
     return trailing_average(monthly, ["city"], "month", "avg_temp", months, "trailing_avg_temp")
 
 
-def trailing_temperature_vs_arrivals(fact: DataFrame, temperature: DataFrame, months: int = 3) -> DataFrame:
+def trailing_temperature_vs_arrivals(
+    fact: DataFrame, temperature: DataFrame, months: int = 3, as_of: bool = False
+) -> DataFrame:
     """Monthly arrivals per city next to the city's trailing average temperature.
 
     Temperature carries a city but no state, so cities of the same name
-    share one series. Months without temperature keep a null average.
+    share one series. By default the months must be equal and arrival
+    months without temperature keep a null average. With ``as_of`` each
+    arrival month takes the latest temperature month at or before it
+    (``temp_month`` tells which).
     """
     arrivals = monthly_arrivals(fact)
     temps = trailing_temperatures(temperature, months).select("city", "month", "trailing_avg_temp")
-    return arrivals.join(temps, ["city", "month"], "left")
+    if not as_of:
+        return arrivals.join(temps, ["city", "month"], "left")
+    return _as_of_latest(arrivals, temps)
+
+
+def _as_of_latest(arrivals: DataFrame, temps: DataFrame) -> DataFrame:
+    """Per city, attach the latest temperature row whose month is <= the arrival month.
+
+    Both sides hold one row per (city, month), so the city window sees at
+    most two rows per month of history, however many raw rows a city has.
+    Temperature rows sort before arrival rows of the same month.
+    """
+    t = temps.select(
+        "city", "month", F.lit(None).cast("bigint").alias("arrivals"),
+        F.struct(F.col("month").alias("m"), F.col("trailing_avg_temp").alias("v")).alias("_t"),
+        F.lit(0).alias("_kind"),
+    )
+    a = arrivals.select(
+        "city", "month", "arrivals", F.lit(None).cast(t.schema["_t"].dataType).alias("_t"), F.lit(1).alias("_kind")
+    )
+    w = Window.partitionBy("city").orderBy("month", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    tagged = a.unionByName(t).withColumn("_last", F.last("_t", ignorenulls=True).over(w))
+    return tagged.filter(F.col("_kind") == 1).select(
+        "city", "month", "arrivals",
+        F.col("_last.v").alias("trailing_avg_temp"),
+        F.col("_last.m").alias("temp_month"),
+    )
 
 
 def star_join(fact: DataFrame, person: DataFrame) -> DataFrame:

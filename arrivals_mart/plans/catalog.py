@@ -402,6 +402,11 @@ def q_trailing_temperature_vs_arrivals(spark, sf):
     return _round4(out, "trailing_avg_temp")
 
 
+def q_trailing_temperature_as_of(spark, sf):
+    out = analytics.trailing_temperature_vs_arrivals(_fact(spark, sf), _temp_rows(spark, sf), as_of=True)
+    return _round4(out, "trailing_avg_temp")
+
+
 def stage_inputs(spark: SparkSession, sf: str, staging: str, layout: StagingLayout = StagingLayout()) -> None:
     """Write the derived raw inputs in their source formats (parquet and CSV)."""
     inp = Inputs(spark, sf)
@@ -474,6 +479,7 @@ QUERIES: dict[str, Query] = {
     "top_city_arrivals": q_top_city_arrivals,
     "top_city_share": q_top_city_share,
     "trailing_temperature_vs_arrivals": q_trailing_temperature_vs_arrivals,
+    "trailing_temperature_as_of": q_trailing_temperature_as_of,
     "songplays": q_songplays,
     "distinct_users": q_distinct_users,
     "distinct_songs": q_distinct_songs,

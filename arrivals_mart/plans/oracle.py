@@ -349,6 +349,15 @@ def oracle_sql() -> dict[str, str]:
           FROM fact GROUP BY 1, 2) a
     LEFT JOIN ({TRAILING_TEMPS}) t ON a.city = t.city AND a.month = t.month""",
     )
+    q["trailing_temperature_as_of"] = with_ctes(
+        ["fact", "temp_dim"],
+        f"""SELECT a.city, a.month, a.arrivals, round(t.trailing_avg_temp, 4) AS trailing_avg_temp,
+           t.month AS temp_month
+    FROM (SELECT lower(arrival_city) AS city, CAST(date_trunc('month', arrival_date) AS DATE) AS month,
+                 count(immigration_id) AS arrivals
+          FROM fact GROUP BY 1, 2) a
+    ASOF LEFT JOIN ({TRAILING_TEMPS}) t ON a.city = t.city AND a.month >= t.month""",
+    )
     q["songplays"] = with_ctes(["songplays"], "SELECT * FROM songplays")
     q["distinct_users"] = with_ctes(
         ["events_l"],

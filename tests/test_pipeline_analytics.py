@@ -81,3 +81,22 @@ def test_trailing_average_does_not_bridge_gaps(spark):
 def test_demographics_top_k_is_deterministic(spark):
     dim = build_demographics_dim(frames(spark)["demographics"])
     assert [r.city for r in analytics.top_cities(dim, 2).collect()] == ["Alpha", "Alpha"]
+
+
+def test_as_of_takes_latest_earlier_temperature_month(spark):
+    arrivals = spark.createDataFrame(
+        [("austin", dt.date(2000, 2, 1), 5), ("austin", dt.date(2000, 5, 1), 7), ("austin", dt.date(1999, 1, 1), 1),
+         ("boston", dt.date(2000, 5, 1), 3)],
+        "city string, month date, arrivals bigint",
+    )
+    temps = spark.createDataFrame(
+        [("austin", dt.date(2000, 2, 1), 1.5), ("austin", dt.date(2000, 3, 1), None), ("boston", dt.date(2000, 6, 1), 9.0)],
+        "city string, month date, trailing_avg_temp double",
+    )
+    got = sorted(tuple(r) for r in analytics._as_of_latest(arrivals, temps).collect())
+    assert got == [
+        ("austin", dt.date(1999, 1, 1), 1, None, None),
+        ("austin", dt.date(2000, 2, 1), 5, 1.5, dt.date(2000, 2, 1)),
+        ("austin", dt.date(2000, 5, 1), 7, None, dt.date(2000, 3, 1)),  # latest month even if its value is null
+        ("boston", dt.date(2000, 5, 1), 3, None, None),
+    ]
