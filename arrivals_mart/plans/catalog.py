@@ -18,7 +18,6 @@ from pyspark.sql import types as T
 from arrivals_mart.functions.casts import int_key, tolerant_date, tolerant_double, tolerant_int, tolerant_long
 from arrivals_mart.functions.codes import TRANSPORT_MODES, TRAVEL_PURPOSES, decode, hash_key
 from arrivals_mart.functions.dates import epoch_ms, from_day_number, from_epoch_ms, to_day_number
-from arrivals_mart.operators.keys import dense_key  # noqa: F401  (re-exported for users)
 from arrivals_mart.operators.lookups import lookup_join
 from arrivals_mart.operators.quality import duplicate_keys, run_checks
 from arrivals_mart.operators.sinks import overwrite, truncate_and_load

@@ -184,9 +184,6 @@ def with_ctes(names, body: str) -> str:
     return f"WITH {parts}\n{body}"
 
 
-R4 = "round({0}, 4)"
-
-
 def _round(c: str, alias: str | None = None) -> str:
     return f"round({c}, 4) AS {alias or c}"
 
