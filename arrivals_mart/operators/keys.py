@@ -49,13 +49,14 @@ def dense_key(
     The key is a bigint; the result keeps every input column.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     if not tie_breakers:
         df = df.withColumn("_dk_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         tie_breakers = ["_dk_tie"]
     order = [F.col(c).asc_nulls_first() for c in [*order_cols, *tie_breakers]]
+    # without an explicit count AQE may merge adjacent (still ordered) ranges,
+    # so a small dimension is not spread over thousands of tiny partitions
     ranged = (
-        df.repartitionByRange(n, *order)
+        (df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order))
         .sortWithinPartitions(*order)
         .withColumn("_dk_part", F.spark_partition_id())
         .withColumn("_dk_pos", F.monotonically_increasing_id())
@@ -68,7 +69,7 @@ def dense_key(
     sizes = ranged.groupBy("_dk_part").agg(F.count(F.lit(1)).alias("_dk_n"))
     before = Window.orderBy("_dk_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_dk_part", F.coalesce(F.sum("_dk_n").over(before), F.lit(0)).alias("_dk_offset"))
-    # at most n rows: one per range partition
+    # one row per range partition: a bounded table
     keyed = ranged.join(F.broadcast(offsets), "_dk_part")
     return keyed.withColumn(name, F.col("_dk_offset") + F.col("_dk_pos") + F.lit(start)).drop(
         "_dk_part", "_dk_pos", "_dk_offset", "_dk_tie"

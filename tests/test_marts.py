@@ -71,3 +71,26 @@ def test_demographics_dim_types_and_keys(spark):
         (2, "Alpha", "AL", "White", 33.5, 5, 6, 200, 1, 7, 2.5),
         (3, "Zeta", "TX", "Asian", 33.5, 12, None, 100, None, 7, 2.5),
     ]
+
+
+def test_person_dim_filter_reaches_parquet_scan(spark, tmp_path):
+    f = frames(spark)
+    path = str(tmp_path / "arrivals")
+    f["arrivals"].write.parquet(path)
+    arrivals = spark.read.parquet(path)
+    plan = build_person_dim(arrivals, f["countries"])._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters: [") :].split("]")[0:2]
+    assert "In(gender, [F,M" in "]".join(pushed) and "IsNotNull(i94bir)" in pushed[0]
+    # only the six arrival columns the dimension uses are read
+    read_schema = plan[plan.index("ReadSchema: struct<") + len("ReadSchema: struct<") :].split(">")[0]
+    assert read_schema.count(":") == 6 and "i94port" not in read_schema
+
+
+def test_fact_keeps_plus_drops_equal_input(spark):
+    f = frames(spark)
+    fact = build_fact(f["arrivals"], f["ports"])
+    known_ports = [r.code.lower() for r in f["ports"].collect()]
+    from pyspark.sql import functions as F
+
+    dropped = f["arrivals"].filter(~F.lower("i94port").isin(known_ports) | F.col("arrdate").isNull())
+    assert fact.count() + dropped.count() == f["arrivals"].count()
