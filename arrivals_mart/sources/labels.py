@@ -70,7 +70,8 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
         "file", "split_start", F.last("last_header", ignorenulls=True).over(earlier).alias("carried")
     )
 
-    entries = tagged.filter("is_entry").join(carry, ["file", "split_start"], "left")
+    # one row per input split: bounded by the number of splits, so broadcast
+    entries = tagged.filter("is_entry").join(F.broadcast(carry), ["file", "split_start"], "left")
     quoted = F.regexp_extract("line", _ENTRY, 1)
     bare = F.regexp_extract("line", _ENTRY, 2)
     label = F.rtrim(_unquote(F.regexp_extract("line", _ENTRY, 3)))
