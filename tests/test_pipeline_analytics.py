@@ -100,3 +100,13 @@ def test_as_of_takes_latest_earlier_temperature_month(spark):
         ("austin", dt.date(2000, 5, 1), 7, None, dt.date(2000, 3, 1)),  # latest month even if its value is null
         ("boston", dt.date(2000, 5, 1), 3, None, None),
     ]
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    from arrivals_mart.__main__ import main
+
+    staging = str(tmp_path / "staging")
+    _stage(spark, staging, frames(spark))
+    assert main(["run", "--staging", staging, "--production", str(tmp_path / "prod")], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "fact_immigration: 4 rows" in out and "dim_demographics: 3 rows" in out
