@@ -1,6 +1,7 @@
 """Command line for spark-submit.
 
-    spark-submit -m arrivals_mart run --staging s3a://bucket/staging --production s3a://bucket/production
+    spark-submit --py-files arrivals_mart.zip arrivals_mart/__main__.py run \
+        --staging s3a://bucket/staging --production s3a://bucket/production
     python -m arrivals_mart lookups --labels <label file> --staging <dir>
     python -m arrivals_mart incremental --arrivals <dir> --ports <csv dir> --target <dir> --checkpoint <dir>
 
