@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from arrivals_mart.operators.quality import assert_checks
-from arrivals_mart.plans.pipeline import StagingLayout, run_pipeline
+from arrivals_mart.plans.pipeline import StagingLayout, layout_from_config, run_pipeline
 from arrivals_mart.schemas import PORT_LOOKUP
 from arrivals_mart.session import ensure_checkpoint_dir
 from arrivals_mart.sources.files import read_csv
@@ -30,8 +30,9 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="arrivals_mart")
     sub = p.add_subparsers(dest="command", required=True)
     run = sub.add_parser("run", help="build, write, (load) and check the four tables")
-    run.add_argument("--staging", required=True)
-    run.add_argument("--production", required=True)
+    run.add_argument("--config", default=None, help="INI file with [S3] roots and [DATA] input paths")
+    run.add_argument("--staging", default=None)
+    run.add_argument("--production", default=None)
     run.add_argument("--warehouse", default=None, help="folder or catalog database for truncate-and-load")
     for field in StagingLayout.__dataclass_fields__:
         run.add_argument(f"--{field}", default=None, help=f"relative path of the {field} input")
@@ -52,8 +53,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName(f"arrivals_mart {args.command}").getOrCreate()
     ensure_checkpoint_dir(spark)
     if args.command == "run":
+        staging, production, layout = (
+            layout_from_config(args.config) if args.config else (args.staging, args.production, StagingLayout())
+        )
+        staging, production = args.staging or staging, args.production or production
+        if not staging or not production:
+            raise SystemExit("run needs --staging and --production (or --config)")
         overrides = {f: getattr(args, f) for f in StagingLayout.__dataclass_fields__ if getattr(args, f)}
-        report = run_pipeline(spark, args.staging, args.production, StagingLayout(**overrides), args.warehouse, check=False)
+        layout = StagingLayout(**{**layout.__dict__, **overrides})
+        report = run_pipeline(spark, staging, production, layout, args.warehouse, check=False)
         rows = assert_checks(report)
         for r in rows:
             print(f"{r['table_name']}: {r['row_count']} rows, key {r['key_column']} checked")

@@ -9,6 +9,7 @@ per table.
 
 from __future__ import annotations
 
+import configparser
 import os
 from dataclasses import dataclass
 
@@ -45,13 +46,38 @@ class StagingLayout:
     demographics: str = "demographics"
 
 
+# INI layout of a run configuration: section -> key -> what it names.
+# Credentials are never read from it; object-store access comes from the
+# cluster's filesystem configuration.
+CONFIG_ROOTS = ("S3", "STAGING_DATA", "PRODUCTION_DATA")
+CONFIG_INPUTS = {
+    "IMMIGRATION": "arrivals",
+    "PORT_MAPPING": "ports",
+    "COUNTRY_MAPPING": "countries",
+    "TEMPERATURE": "temperature",
+    "DEMOGRAPHICS": "demographics",
+}
+
+
+def layout_from_config(path: str) -> tuple[str, str, StagingLayout]:
+    """(staging root, production root, input layout) from an INI run configuration."""
+    cfg = configparser.ConfigParser()
+    if not cfg.read(path):
+        raise FileNotFoundError(path)
+    section, staging_key, production_key = CONFIG_ROOTS
+    staging, production = cfg[section][staging_key], cfg[section][production_key]
+    data = cfg["DATA"] if cfg.has_section("DATA") else {}
+    fields = {field: data[key] for key, field in CONFIG_INPUTS.items() if key in data}
+    return staging, production, StagingLayout(**fields)
+
+
 def _join(root: str, rel: str) -> str:
     return rel if "://" in rel or rel.startswith("/") else os.path.join(root, rel)
 
 
 def read_staging(spark: SparkSession, staging: str, layout: StagingLayout = StagingLayout()) -> dict[str, DataFrame]:
     return {
-        "arrivals": read_parquet(spark, _join(staging, layout.arrivals), ARRIVALS),
+        "arrivals": read_parquet(spark, _join(staging, layout.arrivals), ARRIVALS, recursive=True),
         "ports": read_csv(spark, _join(staging, layout.ports), PORT_LOOKUP),
         "countries": read_csv(spark, _join(staging, layout.countries), COUNTRY_LOOKUP),
         "temperature": read_csv(spark, _join(staging, layout.temperature), TEMPERATURE_RAW),

@@ -13,11 +13,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Parquet directory or glob -> DataFrame."""
+def read_parquet(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, recursive: bool = False
+) -> DataFrame:
+    """Parquet directory or glob -> DataFrame.
+
+    ``recursive`` also finds files in sub-folders (a delivery folder holding
+    one sub-folder of hashed file names); partition columns are then not
+    inferred from folder names.
+    """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
     return reader.parquet(path)
 
 

@@ -12,7 +12,8 @@ from .fixtures import frames
 
 
 def _stage(spark, root, f, layout=StagingLayout()):
-    f["arrivals"].write.parquet(os.path.join(root, layout.arrivals))
+    # arrival files sit one folder below the arrivals path, as delivered
+    f["arrivals"].write.parquet(os.path.join(root, layout.arrivals, "delivery-0001"))
     f["ports"].write.option("header", "true").csv(os.path.join(root, layout.ports))
     f["countries"].write.option("header", "true").csv(os.path.join(root, layout.countries))
     f["temperature"].write.option("header", "true").csv(os.path.join(root, layout.temperature))
@@ -110,3 +111,18 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert main(["run", "--staging", staging, "--production", str(tmp_path / "prod")], spark=spark) == 0
     out = capsys.readouterr().out
     assert "fact_immigration: 4 rows" in out and "dim_demographics: 3 rows" in out
+
+
+def test_command_line_run_from_config(spark, tmp_path, capsys):
+    from arrivals_mart.__main__ import main
+
+    staging = str(tmp_path / "staging")
+    layout = StagingLayout(arrivals="imm", ports="ports.csv", countries="countries.csv", temperature="t", demographics="d")
+    _stage(spark, staging, frames(spark), layout)
+    cfg = tmp_path / "run.cfg"
+    cfg.write_text(
+        "[S3]\nSTAGING_DATA=%s\nPRODUCTION_DATA=%s\n\n[DATA]\nIMMIGRATION=imm\nPORT_MAPPING=ports.csv\n"
+        "COUNTRY_MAPPING=countries.csv\nTEMPERATURE=t\nDEMOGRAPHICS=d\n" % (staging, tmp_path / "prod")
+    )
+    assert main(["run", "--config", str(cfg)], spark=spark) == 0
+    assert "dim_temperature: 3 rows" in capsys.readouterr().out
