@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from arrivals_mart.operators.quality import assert_checks
 from arrivals_mart.plans.pipeline import StagingLayout, layout_from_config, run_pipeline
 from arrivals_mart.schemas import PORT_LOOKUP
-from arrivals_mart.session import ensure_checkpoint_dir
+from arrivals_mart.session import apply_scale_defaults, ensure_checkpoint_dir
 from arrivals_mart.sources.files import read_csv
 from arrivals_mart.sources.labels import write_lookups
 from arrivals_mart.streaming.incremental import incremental_fact_load
@@ -52,6 +52,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"arrivals_mart {args.command}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    apply_scale_defaults(spark)
     if args.command == "run":
         staging, production, layout = (
             layout_from_config(args.config) if args.config else (args.staging, args.production, StagingLayout())

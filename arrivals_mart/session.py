@@ -54,3 +54,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+# Settings for large inputs, applied by the command line unless spark-submit
+# already set them: input splits and shuffle partitions of about 256 MB, and
+# AQE with skew-join splitting.
+SCALE_DEFAULTS = {
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+}
+
+
+def apply_scale_defaults(spark: SparkSession) -> dict[str, str]:
+    """Set :data:`SCALE_DEFAULTS` where the application did not set a value; return what was set."""
+    submitted = spark.sparkContext.getConf()
+    applied = {}
+    for key, value in SCALE_DEFAULTS.items():
+        if not submitted.contains(key):
+            spark.conf.set(key, value)
+            applied[key] = value
+    return applied

@@ -126,3 +126,16 @@ def test_command_line_run_from_config(spark, tmp_path, capsys):
     )
     assert main(["run", "--config", str(cfg)], spark=spark) == 0
     assert "dim_temperature: 3 rows" in capsys.readouterr().out
+
+
+def test_null_record_key_fails_the_fact_write(spark, tmp_path):
+    from arrivals_mart.schemas import ARRIVALS
+
+    from .fixtures import ARRIVAL_ROWS, arrival
+
+    f = frames(spark)
+    f["arrivals"] = spark.createDataFrame(ARRIVAL_ROWS + [arrival(None, "NYC")], ARRIVALS)
+    staging = str(tmp_path / "staging")
+    _stage(spark, staging, f)
+    with pytest.raises(Exception, match="fact_immigration.immigration_id is null"):
+        run_pipeline(spark, staging, str(tmp_path / "prod"))
