@@ -34,15 +34,23 @@ def truncate_and_load(
     target: str,
     schema: T.StructType,
     name: str | None = None,
+    source_format: str = "parquet",
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Replace ``target`` with the staged parquet at ``staged_path``.
+    """Replace ``target`` with the staged files at ``staged_path``.
 
+    ``source_format`` and ``options`` describe the staged files (parquet by
+    default; e.g. ``"csv"`` with ``{"header": "true"}``), typed files are
+    read as they are and text formats are read with the contract's schema.
     ``target`` is a catalog table when one of that name exists (rows are
     inserted by position after an overwrite), otherwise a parquet folder.
     Returns the loaded target as a DataFrame.
     """
     label = name or target
-    staged = spark.read.parquet(staged_path)
+    reader = spark.read.format(source_format).options(**(options or {}))
+    if source_format in ("csv", "json", "text"):
+        reader = reader.schema(schema)
+    staged = reader.load(staged_path)
     rows = enforce(staged, schema, label)
     if "/" not in target and spark.catalog.tableExists(target):
         rows.write.insertInto(target, overwrite=True)

@@ -127,9 +127,9 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     )
     lines = cust_lines.unionByName(cust_heads).unionByName(cust_notes)
     lines = lines.unionByName(port_lines).unionByName(state_lines).unionByName(fixed_heads)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a block never spans files: all lines of a chunk go to one partition, in order
     (
-        lines.repartitionByRange(n, "chunk")
+        lines.repartition("chunk")
         .sortWithinPartitions("chunk", "seq")
         .select(F.concat(F.col("text"), F.lit("\r")).alias("value"))
         .write.text(path)

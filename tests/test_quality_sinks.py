@@ -63,3 +63,12 @@ def test_create_targets_and_load_into_catalog_table(spark, tmp_path):
     truncate_and_load(spark, path, "t_contract", CONTRACT)
     loaded = truncate_and_load(spark, path, "t_contract", CONTRACT)
     assert sorted(tuple(r) for r in loaded.collect()) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_truncate_and_load_from_staged_csv(spark, tmp_path):
+    path, target = str(tmp_path / "staged_csv"), str(tmp_path / "target_csv")
+    spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "id long, name string, n int").write.option(
+        "header", "true"
+    ).csv(path)
+    loaded = truncate_and_load(spark, path, target, CONTRACT, "t", source_format="csv", options={"header": "true"})
+    assert sorted(tuple(r) for r in loaded.collect()) == [(1, "a", 1), (2, "b", 2)]
