@@ -46,3 +46,28 @@ def test_dense_key_ties_are_deterministic_and_spread(spark):
     a = {r.id: r.n for r in dense_key(df, ["k"], "n", num_partitions=6).collect()}
     b = {r.id: r.n for r in dense_key(df.repartition(4), ["k"], "n", num_partitions=6).collect()}
     assert a == b and sorted(a.values()) == list(range(1, 3001))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(
+    st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c"])), st.one_of(st.none(), st.integers(-3, 3))),
+    min_size=0,
+    max_size=60,
+)
+
+
+def _order_key(row):
+    a, b = row
+    return (a is not None, a or "", b is not None, b or 0)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_rows)
+def test_dense_key_property_permutation_in_order(spark, rows):
+    df = spark.createDataFrame(rows, "a string, b int")
+    got = [(r.a, r.b, r.k) for r in dense_key(df, ["a", "b"], "k", num_partitions=3).collect()]
+    assert sorted(k for _, _, k in got) == list(range(1, len(rows) + 1))
+    by_key = [(a, b) for a, b, _ in sorted(got, key=lambda t: t[2])]
+    assert [_order_key(r) for r in by_key] == sorted(_order_key(r) for r in rows)
