@@ -75,9 +75,9 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     """Write a label dictionary (``value`` blocks of code = 'label' lines, CRLF) from the tables.
 
     Customers form numeric-code blocks of at most 5,000 entries, each block
-    headed by its own ``value`` line; nations form a quoted-code port block
-    with 'CITY, ST' labels; regions form the state-code block. Each output
-    file holds whole blocks, written in order.
+    headed by its own ``value`` line; suppliers form a quoted-code port block
+    with 'CITY, ST' labels (ST = the supplier's region); regions form the
+    state-code block. Each output file holds whole blocks, written in order.
     """
     cust = read_table(spark, sf, "customer")
     nation = read_table(spark, sf, "nation")
@@ -106,24 +106,29 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     )
 
     st = F.upper(F.substring("r_name", 1, 2))
-    nr = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    supplier = read_table(spark, sf, "supplier")
+    # nation and region have a fixed size (25 and 5 rows)
+    geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"))
+    sr = supplier.join(F.broadcast(geo), F.col("s_nationkey") == F.col("n_nationkey"))
+    s_key = F.col("s_suppkey")
+    town = F.when(s_key % 5 == 0, F.concat(F.col("s_name"), F.lit(" O'HARE"))).otherwise(F.col("s_name"))
     port_label = (
-        F.when(F.col("n_regionkey") == 4, F.concat(F.col("n_name"), F.lit(", MX")))
-        .when(F.col("n_nationkey") % 4 == 1, F.concat(F.col("n_name"), F.lit(", "), st, F.lit(" (BPS)")))
-        .when(F.col("n_nationkey") % 4 == 2, F.concat(F.col("n_name"), F.lit(", "), st, F.lit(" #ARPT")))
-        .when(F.col("n_nationkey") % 4 == 3, F.col("n_name"))
-        .otherwise(F.concat(F.col("n_name"), F.lit(", "), st))
+        F.when(F.col("n_regionkey") == 4, F.concat(town, F.lit(", MX")))
+        .when(s_key % 4 == 1, F.concat(town, F.lit(", "), st, F.lit(" (BPS)")))
+        .when(s_key % 4 == 2, F.concat(town, F.lit(", "), st, F.lit(" #ARPT")))
+        .when(s_key % 4 == 3, town)
+        .otherwise(F.concat(town, F.lit(", "), st))
     )
-    port_lines = nr.select(
-        F.lit(-1).cast("bigint").alias("chunk"), F.col("n_nationkey").cast("bigint").alias("seq"),
-        F.concat(F.lit("   'N"), F.col("n_nationkey").cast("string"), F.lit("'\t=\t'"), esc(port_label), F.lit("   '")).alias("text"),
+    port_lines = sr.select(
+        F.lit(-1).cast("bigint").alias("chunk"), s_key.cast("bigint").alias("seq"),
+        F.concat(F.lit("   'S"), s_key.cast("string"), F.lit("'\t=\t'"), esc(port_label), F.lit("   '")).alias("text"),
     )
     state_lines = region.filter(F.col("r_regionkey") != 4).select(
         F.lit(-2).cast("bigint").alias("chunk"), F.col("r_regionkey").cast("bigint").alias("seq"),
         F.concat(F.lit("\t'"), st, F.lit("'='"), F.col("r_name"), F.lit("'")).alias("text"),
     )
     fixed_heads = spark.createDataFrame(
-        [(-1, -1, "  value $nationprt"), (-2, -1, "value stcodes")], "chunk bigint, seq bigint, text string"
+        [(-1, -1, "  value $portl"), (-2, -1, "value stcodes")], "chunk bigint, seq bigint, text string"
     )
     lines = cust_lines.unionByName(cust_heads).unionByName(cust_notes)
     lines = lines.unionByName(port_lines).unionByName(state_lines).unionByName(fixed_heads)
@@ -145,7 +150,7 @@ def q_label_dictionary(spark, sf):
 def q_label_port_lookup(spark, sf):
     path = scratch_path(spark, "labels")
     write_label_text(spark, sf, path)
-    return port_lookup(label_dictionary(spark, path), block="$nationprt", state_block="stcodes")
+    return port_lookup(label_dictionary(spark, path), block="$portl", state_block="stcodes")
 
 
 # ------------------------------------------------------------------ sinks

@@ -204,22 +204,24 @@ LABEL_ROWS = """
            c_mktsegment <> 'BUILDING' AS is_valid
     FROM customer
     UNION ALL
-    SELECT '$nationprt', 'N' || CAST(n_nationkey AS VARCHAR),
-           CASE WHEN n_regionkey = 4 THEN n_name || ', MX'
-                WHEN n_nationkey % 4 = 1 THEN n_name || ', ' || upper(substr(r_name, 1, 2)) || ' (BPS)'
-                WHEN n_nationkey % 4 = 2 THEN n_name || ', ' || upper(substr(r_name, 1, 2)) || ' #ARPT'
-                WHEN n_nationkey % 4 = 3 THEN n_name
-                ELSE n_name || ', ' || upper(substr(r_name, 1, 2)) END,
+    SELECT '$portl', 'S' || CAST(s_suppkey AS VARCHAR),
+           CASE WHEN n_regionkey = 4 THEN town || ', MX'
+                WHEN s_suppkey % 4 = 1 THEN town || ', ' || upper(substr(r_name, 1, 2)) || ' (BPS)'
+                WHEN s_suppkey % 4 = 2 THEN town || ', ' || upper(substr(r_name, 1, 2)) || ' #ARPT'
+                WHEN s_suppkey % 4 = 3 THEN town
+                ELSE town || ', ' || upper(substr(r_name, 1, 2)) END,
            true
-    FROM nation JOIN region ON n_regionkey = r_regionkey
+    FROM (SELECT *, CASE WHEN s_suppkey % 5 = 0 THEN s_name || ' O''HARE' ELSE s_name END AS town
+          FROM supplier) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     UNION ALL
     SELECT 'stcodes', upper(substr(r_name, 1, 2)), r_name, true FROM region WHERE r_regionkey <> 4"""
 
 LABEL_PORTS = """
-    SELECT 'N' || CAST(n_nationkey AS VARCHAR) AS code,
-           CASE WHEN n_regionkey = 4 THEN n_name || ', MX' ELSE n_name END AS city,
-           CASE WHEN n_regionkey = 4 OR n_nationkey % 4 = 3 THEN NULL ELSE upper(substr(r_name, 1, 2)) END AS state
-    FROM nation JOIN region ON n_regionkey = r_regionkey"""
+    SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code,
+           CASE WHEN n_regionkey = 4 THEN town || ', MX' ELSE town END AS city,
+           CASE WHEN n_regionkey = 4 OR s_suppkey % 4 = 3 THEN NULL ELSE upper(substr(r_name, 1, 2)) END AS state
+    FROM (SELECT *, CASE WHEN s_suppkey % 5 = 0 THEN s_name || ' O''HARE' ELSE s_name END AS town
+          FROM supplier) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 
 def oracle_sql() -> dict[str, str]:
