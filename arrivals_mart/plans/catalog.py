@@ -24,7 +24,7 @@ from arrivals_mart.operators.sinks import overwrite, truncate_and_load
 from arrivals_mart.plans import analytics, listening, marts
 from arrivals_mart.plans.derived import Inputs
 from arrivals_mart.plans.oracle import QUALITY_TABLES
-from arrivals_mart.plans.pipeline import StagingLayout, run_pipeline
+from arrivals_mart.plans.pipeline import StagingLayout, run_concurrently, run_pipeline
 from arrivals_mart.schemas import FACT_IMMIGRATION, enforce, schema_differences
 from arrivals_mart.session import scratch_path
 from arrivals_mart.sources.files import read_csv, read_parquet, read_table, register
@@ -412,13 +412,21 @@ def q_trailing_temperature_as_of(spark, sf):
 
 
 def stage_inputs(spark: SparkSession, sf: str, staging: str, layout: StagingLayout = StagingLayout()) -> None:
-    """Write the derived raw inputs in their source formats (parquet and CSV)."""
+    """Write the derived raw inputs in their source formats (parquet and CSV), side by side."""
     inp = Inputs(spark, sf)
-    inp.arrivals().write.parquet(os.path.join(staging, layout.arrivals))
-    inp.ports().write.option("header", "true").csv(os.path.join(staging, layout.ports))
-    inp.countries().write.option("header", "true").csv(os.path.join(staging, layout.countries))
-    inp.temperatures().write.option("header", "true").csv(os.path.join(staging, layout.temperature))
-    inp.demographics().write.option("header", "true").option("sep", ";").csv(os.path.join(staging, layout.demographics))
+
+    def csv(df, rel, sep=","):
+        return lambda: df.write.option("header", "true").option("sep", sep).csv(os.path.join(staging, rel))
+
+    run_concurrently(
+        {
+            "arrivals": lambda: inp.arrivals().write.parquet(os.path.join(staging, layout.arrivals)),
+            "ports": csv(inp.ports(), layout.ports),
+            "countries": csv(inp.countries(), layout.countries),
+            "temperature": csv(inp.temperatures(), layout.temperature),
+            "demographics": csv(inp.demographics(), layout.demographics, ";"),
+        }
+    )
 
 
 def q_pipeline_run(spark, sf):

@@ -11,7 +11,10 @@ from __future__ import annotations
 
 import configparser
 import os
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -34,6 +37,8 @@ from arrivals_mart.schemas import (
 )
 from arrivals_mart.sources.files import read_csv, read_parquet
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class StagingLayout:
@@ -85,13 +90,29 @@ def read_staging(spark: SparkSession, staging: str, layout: StagingLayout = Stag
     }
 
 
+BUILDERS: dict[str, Callable[[dict[str, DataFrame]], DataFrame]] = {
+    "fact_immigration": lambda i: build_fact(i["arrivals"], i["ports"]),
+    "dim_immigrant": lambda i: build_person_dim(i["arrivals"], i["countries"]),
+    "dim_temperature": lambda i: build_temperature_dim(i["temperature"]),
+    "dim_demographics": lambda i: build_demographics_dim(i["demographics"]),
+}
+
+
 def build_all(inputs: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {
-        "fact_immigration": build_fact(inputs["arrivals"], inputs["ports"]),
-        "dim_immigrant": build_person_dim(inputs["arrivals"], inputs["countries"]),
-        "dim_temperature": build_temperature_dim(inputs["temperature"]),
-        "dim_demographics": build_demographics_dim(inputs["demographics"]),
-    }
+    return {name: build(inputs) for name, build in BUILDERS.items()}
+
+
+def run_concurrently(tasks: dict[str, Callable[[], T]], max_parallel: int = 4) -> dict[str, T]:
+    """Run independent Spark actions from a few driver threads; the first error is raised.
+
+    Spark schedules jobs submitted from different threads side by side, so
+    a small table does not wait for a large one to finish writing.
+    """
+    if max_parallel <= 1 or len(tasks) <= 1:
+        return {name: task() for name, task in tasks.items()}
+    with ThreadPoolExecutor(max_workers=min(max_parallel, len(tasks))) as pool:
+        futures = {name: pool.submit(task) for name, task in tasks.items()}
+        return {name: f.result() for name, f in futures.items()}
 
 
 def run_pipeline(
@@ -101,23 +122,27 @@ def run_pipeline(
     layout: StagingLayout = StagingLayout(),
     warehouse: str | None = None,
     check: bool = True,
+    max_parallel: int = 4,
 ) -> DataFrame:
     """Build, write, optionally load, and check the four tables; return the check report.
 
-    ``warehouse`` is a folder (or catalog database prefix) receiving the
-    truncate-and-load copies; checks then run on the loaded copies. With
-    ``check`` a failed check raises ValueError listing every failure.
+    The four tables are independent, so each is built and written by its
+    own Spark job, up to ``max_parallel`` at a time. ``warehouse`` is a
+    folder (or catalog database prefix) receiving the truncate-and-load
+    copies; checks then run on the loaded copies. With ``check`` a failed
+    check raises ValueError listing every failure.
     """
-    tables = build_all(read_staging(spark, staging, layout))
-    written: dict[str, DataFrame] = {}
-    for name, df in tables.items():
+    inputs = read_staging(spark, staging, layout)
+
+    def publish(name: str) -> DataFrame:
         path = os.path.join(production, name)
-        write_contract(df, path, TARGETS[name], name)
+        write_contract(BUILDERS[name](inputs), path, TARGETS[name], name)
         if warehouse:
             target = os.path.join(warehouse, name) if "/" in warehouse else f"{warehouse}.{name}"
-            written[name] = truncate_and_load(spark, path, target, TARGETS[name], name)
-        else:
-            written[name] = spark.read.parquet(path)
+            return truncate_and_load(spark, path, target, TARGETS[name], name)
+        return spark.read.parquet(path)
+
+    written = run_concurrently({name: (lambda n=name: publish(n)) for name in BUILDERS}, max_parallel)
     report = run_checks({name: (df, TABLE_KEYS[name]) for name, df in written.items()})
     if check:
         assert_checks(report)
