@@ -83,3 +83,11 @@ def test_hash_key_is_md5_of_text_and_null_propagates(spark):
     df = spark.createDataFrame([(8, "click"), (None, "view")], "u long, e string")
     got = [r[0] for r in df.select(hash_key("u", "e")).collect()]
     assert got == ["d616c19dd455c4e1e88f40f47c471170", None]
+
+
+def test_register_view_redefined_from_itself(spark):
+    from arrivals_mart.sources.files import register
+
+    register(spark.createDataFrame([(1,), (2,)], "a int"), "stg_self")
+    register(spark.sql("SELECT a + 10 AS a FROM stg_self"), "stg_self")
+    assert sorted(r.a for r in spark.table("stg_self").collect()) == [11, 12]
