@@ -37,13 +37,20 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "arr
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, creating a private one only if unset."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="arrivals-mart-ckpt-")
+        if sc is None:
+            spark.conf.set("spark.checkpoint.dir", configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
@@ -70,10 +77,16 @@ SCALE_DEFAULTS = {
 
 def apply_scale_defaults(spark: SparkSession) -> dict[str, str]:
     """Set :data:`SCALE_DEFAULTS` where the application did not set a value; return what was set."""
-    submitted = spark.sparkContext.getConf()
+    try:
+        submitted = spark.sparkContext.getConf()
+        is_set = submitted.contains
+    except Exception:  # noqa: BLE001 - Spark Connect: only the session conf is visible
+        def is_set(key: str) -> bool:
+            return spark.conf.get(key, None) not in (None, "")
+
     applied = {}
     for key, value in SCALE_DEFAULTS.items():
-        if not submitted.contains(key):
+        if not is_set(key):
             spark.conf.set(key, value)
             applied[key] = value
     return applied
