@@ -139,3 +139,40 @@ def test_null_record_key_fails_the_fact_write(spark, tmp_path):
     _stage(spark, staging, f)
     with pytest.raises(Exception, match="fact_immigration.immigration_id is null"):
         run_pipeline(spark, staging, str(tmp_path / "prod"))
+
+
+def test_command_line_lookups_then_run(spark, tmp_path, capsys):
+    """Label dictionary -> lookup CSVs -> whole run, as the command line does it."""
+    from arrivals_mart.__main__ import main
+    from arrivals_mart.sources.labels import COUNTRY_BLOCK, PORT_BLOCK, STATE_BLOCK
+
+    text = "\r\n".join(
+        [
+            f"  value {COUNTRY_BLOCK}",
+            "   582 =  'MEXICO'",
+            "   101 =  'ALBANIA'",
+            f"  value {PORT_BLOCK}",
+            "   'XXX'\t=\t'NOT REPORTED/UNKNOWN  '",
+            "   'NYC'\t=\t'NEW YORK, NY'",
+            "   'LAX'\t=\t'LOS ANGELES, CA #ARPT'",
+            ";",
+            f"value {STATE_BLOCK}",
+            "\t'CA'='CALIFORNIA'",
+            "\t'NY'='NEW YORK' ;",
+            "",
+        ]
+    )
+    labels = tmp_path / "labels.txt"
+    labels.write_bytes(text.encode("latin-1"))
+    staging = str(tmp_path / "staging")
+    f = frames(spark)
+    f["arrivals"].write.parquet(os.path.join(staging, "immigration", "delivery-0001"))
+    f["temperature"].write.option("header", "true").csv(os.path.join(staging, "temperature"))
+    f["demographics"].write.option("header", "true").option("sep", ";").csv(os.path.join(staging, "demographics"))
+    assert main(["lookups", "--labels", str(labels), "--staging", staging], spark=spark) == 0
+    assert main(["run", "--staging", staging, "--production", str(tmp_path / "prod")], spark=spark) == 0
+    out = capsys.readouterr().out
+    assert "fact_immigration: 4 rows" in out and "dim_immigrant: 3 rows" in out
+    fact = spark.read.parquet(str(tmp_path / "prod" / "fact_immigration"))
+    got = {r.immigration_id: (r.arrival_city, r.arrival_state) for r in fact.collect()}
+    assert got["7"] == ("NEW YORK", "NY") and got["11"] == ("LOS ANGELES", "CA") and got["6"] == ("NOT REPORTED/UNKNOWN", "CA")
