@@ -238,6 +238,7 @@ def q_decode_codes(spark, sf):
 
 def q_lookup_coalesce(spark, sf):
     c = read_table(spark, sf, "customer")
+    # max_rows=None: nation and region have a fixed size, broadcast without a counting job
     withn = lookup_join(c, read_table(spark, sf, "nation"), [F.col("c_nationkey")], ["n_nationkey"], max_rows=None)
     withr = lookup_join(withn, read_table(spark, sf, "region"), [F.col("n_regionkey")], ["r_regionkey"], max_rows=None)
     return withr.select(
@@ -249,6 +250,7 @@ def q_lookup_coalesce(spark, sf):
 def q_case_insensitive_join(spark, sf):
     c = read_table(spark, sf, "customer")
     code = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
+    # max_rows=None: nation has a fixed size, broadcast without a counting job
     j = lookup_join(c, read_table(spark, sf, "nation"), [code], ["n_name"], case_insensitive=True, max_rows=None)
     return j.select("c_custkey", "n_name", "n_nationkey")
 
