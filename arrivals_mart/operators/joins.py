@@ -2,11 +2,16 @@
 
 In an outer equi-join, rows whose key is null can never match, yet they are
 shuffled by the hash of that null key, so all of them meet in one task. If a
-third of the rows miss a key, one task gets a third of the data. Each left
-row here carries one more join key: 0 when its keys are complete, otherwise
-a hash of other columns of the row; the right side carries 0. Complete rows
-join as before; incomplete rows still find no partner but are spread over
-all partitions. Hot non-null keys are split by AQE's skew-join handling.
+third of the rows miss a key, one task gets a third of the data.
+
+Here one string join key of the left side (the *carrier*) is replaced, on
+rows whose keys are incomplete, by a scattered non-null text derived from
+other columns of the row, and a flag column records whether the keys were
+complete. The join uses the replaced carrier as its key and requires the
+flag, so incomplete rows still find no partner but hash to all partitions.
+Only the left side changes: a constant spread key on the right would be
+folded by Catalyst into a join filter and vanish from the shuffle keys.
+Hot non-null keys are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -16,24 +21,32 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-SPREAD = "_null_spread"
+COMPLETE = "_keys_complete"
+_SCATTER_PREFIX = "\u0000incomplete-key:"
 
 
-def with_null_spread(df: DataFrame, keys: Sequence[str], spread_by: Sequence[str]) -> DataFrame:
-    """Left side: add the spread key (0 if all ``keys`` are set, else 1 + hash of ``spread_by``)."""
-    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    scatter = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(2_147_483_647)) + 1
-    return df.withColumn(SPREAD, F.when(complete, F.lit(0).cast("bigint")).otherwise(scatter))
+def spread_key(carrier: str) -> str:
+    """Name of the replaced carrier column."""
+    return f"_spread_{carrier}"
+
 
+def spread_incomplete_keys(df: DataFrame, keys: Sequence[str], carrier: str, spread_by: Sequence[str]) -> DataFrame:
+    """Add ``_keys_complete`` and the scattered carrier ``_spread_<carrier>`` to the left side.
 
-def with_match_spread(df: DataFrame) -> DataFrame:
-    """Right side: the spread key every matchable row has."""
-    return df.withColumn(SPREAD, F.lit(0).cast("bigint"))
+    ``carrier`` must be one of ``keys`` and a string column; ``spread_by``
+    names the columns whose hash scatters the incomplete rows.
+    """
+    if carrier not in keys or not isinstance(df.schema[carrier].dataType, T.StringType):
+        raise ValueError(f"carrier {carrier!r} must be a string column among the join keys")
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    scatter = F.concat(F.lit(_SCATTER_PREFIX), F.xxhash64(*[F.col(c) for c in spread_by]).cast("string"))
+    return df.withColumn(COMPLETE, complete).withColumn(
+        spread_key(carrier), F.when(complete, F.col(carrier)).otherwise(scatter)
+    )
 
 
-def spread_condition(left: DataFrame | str, right: DataFrame | str) -> Column:
-    """Equality of the two spread keys, for DataFrames or their aliases."""
-    lc = left[SPREAD] if isinstance(left, DataFrame) else F.col(f"{left}.{SPREAD}")
-    rc = right[SPREAD] if isinstance(right, DataFrame) else F.col(f"{right}.{SPREAD}")
-    return lc == rc
+def complete_condition(alias: str) -> Column:
+    """Join condition part: only rows with complete keys may match."""
+    return F.col(f"{alias}.{COMPLETE}")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from arrivals_mart.functions.dates import month_start
-from arrivals_mart.operators.joins import spread_condition, with_match_spread, with_null_spread
+from arrivals_mart.operators.joins import complete_condition, spread_incomplete_keys, spread_key
 from arrivals_mart.operators.windows import top_k, trailing_average
 
 
@@ -110,13 +110,14 @@ def _as_of_latest(arrivals: DataFrame, temps: DataFrame) -> DataFrame:
 
 def star_join(fact: DataFrame, person: DataFrame) -> DataFrame:
     """Fact rows with their traveller attributes; facts without a traveller row are kept."""
-    p = with_match_spread(
-        person.select("immigration_id", "citizenship_country", "residence_country", "age", "gender")
-    ).alias("p")
+    p = person.select("immigration_id", "citizenship_country", "residence_country", "age", "gender").alias("p")
     f = fact.select("immigration_id", "arrival_city", "arrival_date", "transport_mode", "arrival_city_code")
-    # facts without a record key cannot match; spread them instead of one hot task
-    f = with_null_spread(f, ["immigration_id"], ["arrival_city_code", "arrival_date", "arrival_city"]).alias("f")
-    joined = f.join(p, (F.col("f.immigration_id") == F.col("p.immigration_id")) & spread_condition("f", "p"), "left")
+    # facts without a record key cannot match; scatter them instead of one hot task
+    f = spread_incomplete_keys(
+        f, ["immigration_id"], "immigration_id", ["arrival_city_code", "arrival_date", "arrival_city"]
+    ).alias("f")
+    cond = (F.col(f"f.{spread_key('immigration_id')}") == F.col("p.immigration_id")) & complete_condition("f")
+    joined = f.join(p, cond, "left")
     return joined.select(
         "f.immigration_id", "f.arrival_city", "f.arrival_date", "f.transport_mode",
         "p.citizenship_country", "p.residence_country", "p.age", "p.gender",

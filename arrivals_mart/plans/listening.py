@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from arrivals_mart.functions.codes import hash_key
 from arrivals_mart.functions.dates import date_parts, from_epoch_ms
-from arrivals_mart.operators.joins import spread_condition, with_match_spread, with_null_spread
+from arrivals_mart.operators.joins import complete_condition, spread_incomplete_keys, spread_key
 
 # Fixed value: the page of a song play.
 PLAY_PAGE = "NextSong"
@@ -27,13 +27,13 @@ def build_songplays(events: DataFrame, songs: DataFrame) -> DataFrame:
     """
     e = plays(events).withColumn("start_time", from_epoch_ms(F.col("ts")))
     # plays without a full (song, artist, length) key cannot match; spread them out
-    e = with_null_spread(e, ["song", "artist", "length"], ["sessionid", "ts", "userid"]).alias("e")
-    s = with_match_spread(songs).alias("s")
+    e = spread_incomplete_keys(e, ["song", "artist", "length"], "song", ["sessionid", "ts", "userid"]).alias("e")
+    s = songs.alias("s")
     cond = (
-        (F.col("e.song") == F.col("s.title"))
+        (F.col(f"e.{spread_key('song')}") == F.col("s.title"))
         & (F.col("e.artist") == F.col("s.artist_name"))
         & (F.col("e.length") == F.col("s.duration"))
-        & spread_condition("e", "s")
+        & complete_condition("e")
     )
     joined = e.join(s, cond, "left")
     return joined.select(

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from arrivals_mart.operators.joins import with_null_spread
+from arrivals_mart.operators.joins import spread_incomplete_keys
 from arrivals_mart.plans.listening import build_artists, build_songplays, build_songs, build_time, build_users
 from arrivals_mart.schemas import STAGING_EVENTS, STAGING_SONGS
 
@@ -57,5 +57,10 @@ def test_songplays_spreads_null_keys_without_changing_results(spark):
     out = build_songplays(ev, songs)
     assert out.count() == 203
     assert out.filter("song_id is not null").count() == 2  # sessions 1 and null match SO1
-    spread = with_null_spread(ev.filter("page = 'NextSong'"), ["song", "artist", "length"], ["sessionid", "ts", "userid"])
-    assert spread.select("_null_spread").distinct().count() > 100  # null-key rows no longer share one key
+    spread = spread_incomplete_keys(
+        ev.filter("page = 'NextSong'"), ["song", "artist", "length"], "song", ["sessionid", "ts", "userid"]
+    )
+    assert spread.select("_spread_song").distinct().count() > 100  # null-key rows no longer share one key
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    join_line = next(line for line in plan.splitlines() if "Join" in line and "song" in line)
+    assert "_spread_song" in join_line  # the scattered key is a shuffle key, not folded away
