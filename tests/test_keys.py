@@ -71,3 +71,10 @@ def test_dense_key_property_permutation_in_order(spark, rows):
     assert sorted(k for _, _, k in got) == list(range(1, len(rows) + 1))
     by_key = [(a, b) for a, b, _ in sorted(got, key=lambda t: t[2])]
     assert [_order_key(r) for r in by_key] == sorted(_order_key(r) for r in rows)
+
+
+def test_dense_key_spreads_one_hot_leading_value(spark):
+    df = spark.range(0, 6000, numPartitions=4).select(F.lit("hot").alias("lead"), (F.col("id") % 97).alias("rest"))
+    keyed = dense_key(df, ["lead", "rest"], "k", num_partitions=6)
+    sizes = [r["count"] for r in keyed.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert len(sizes) >= 4 and max(sizes) < 3000  # no partition holds even half of the rows
