@@ -54,3 +54,20 @@ def test_hot_song_is_split_and_missing_keys_are_scattered(spark):
     assert "SortMergeJoin(skew=true)" in plan  # AQE split the hot key's partition
     join_line = next(line for line in plan.splitlines() if "SortMergeJoin" in line)
     assert "_spread_song" in join_line and "_keys_complete" in join_line
+
+
+def test_many_copies_of_one_song_are_salted_exactly(spark):
+    ev = _events(spark, 3000)
+    base = _songs(spark)
+    copies = base.filter("title = 'hot'").withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(39))))
+    copies = copies.withColumn("song_id", F.concat(F.col("song_id"), F.lit("-"), F.col("copy").cast("string")))
+    songs = base.filter("title <> 'hot'").unionByName(copies.drop("copy"))
+    plain = build_songplays(ev, songs, hot_threshold=10**9, salts=1)
+    salted = build_songplays(ev, songs, hot_threshold=10, salts=8)
+    cols = ["songplay_id", "song_id", "sessionid"]
+    assert sorted(map(tuple, salted.select(cols).collect()), key=repr) == sorted(
+        map(tuple, plain.select(cols).collect()), key=repr
+    )
+    assert salted.filter("song_id like 'SO0-%'").count() == 1000 * 40  # every hot play meets all 40 copies
+    plan = salted._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in next(line for line in plan.splitlines() if "Join" in line and "title" in line)
