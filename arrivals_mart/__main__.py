@@ -34,6 +34,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--staging", default=None)
     run.add_argument("--production", default=None)
     run.add_argument("--warehouse", default=None, help="folder or catalog database for truncate-and-load")
+    run.add_argument("--buckets", type=int, default=None, help="bucket the record-keyed warehouse tables")
     for field in StagingLayout.__dataclass_fields__:
         run.add_argument(f"--{field}", default=None, help=f"relative path of the {field} input")
     lk = sub.add_parser("lookups", help="extract port and country lookups from a label dictionary")
@@ -62,7 +63,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             raise SystemExit("run needs --staging and --production (or --config)")
         overrides = {f: getattr(args, f) for f in StagingLayout.__dataclass_fields__ if getattr(args, f)}
         layout = StagingLayout(**{**layout.__dict__, **overrides})
-        report = run_pipeline(spark, staging, production, layout, args.warehouse, check=False)
+        report = run_pipeline(spark, staging, production, layout, args.warehouse, check=False, buckets=args.buckets)
         rows = assert_checks(report)
         for r in rows:
             print(f"{r['table_name']}: {r['row_count']} rows, key {r['key_column']} checked")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from arrivals_mart.schemas import TARGETS, ddl, enforce, schema_differences
+from arrivals_mart.schemas import RECORD_KEY_TABLES, TABLE_KEYS, TARGETS, ddl, enforce, schema_differences
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -69,16 +69,21 @@ def create_targets(
     location_root: str | None = None,
     database: str | None = None,
     targets: dict[str, T.StructType] = TARGETS,
+    buckets: int | None = None,
 ) -> list[str]:
     """Create the target tables in the session catalog (K2); returns their names.
 
     With ``location_root`` each table lives in ``<root>/<table>``, so the
-    files stay on the shared filesystem the cluster reads from.
+    files stay on the shared filesystem the cluster reads from. With
+    ``buckets`` the tables keyed by the arrival record are bucketed and
+    sorted by that key into the same number of buckets, so joining them
+    needs no shuffle.
     """
     names = []
     for table, schema in targets.items():
         name = f"{database}.{table}" if database else table
         loc = f"{location_root.rstrip('/')}/{table}" if location_root else None
-        spark.sql(ddl(name, schema, loc))
+        bucket_by = (TABLE_KEYS[table], buckets) if buckets and table in RECORD_KEY_TABLES else None
+        spark.sql(ddl(name, schema, loc, bucket_by))
         names.append(name)
     return names

@@ -108,15 +108,24 @@ def _as_of_latest(arrivals: DataFrame, temps: DataFrame) -> DataFrame:
     )
 
 
-def star_join(fact: DataFrame, person: DataFrame) -> DataFrame:
-    """Fact rows with their traveller attributes; facts without a traveller row are kept."""
+def star_join(fact: DataFrame, person: DataFrame, scatter_null_keys: bool = True) -> DataFrame:
+    """Fact rows with their traveller attributes; facts without a traveller row are kept.
+
+    Facts without a record key cannot match; by default they are scattered
+    instead of meeting in one task. Loaded tables have non-null keys by
+    contract, so ``scatter_null_keys=False`` joins on the plain key, which
+    lets two tables bucketed by it join without any shuffle.
+    """
     p = person.select("immigration_id", "citizenship_country", "residence_country", "age", "gender").alias("p")
     f = fact.select("immigration_id", "arrival_city", "arrival_date", "transport_mode", "arrival_city_code")
-    # facts without a record key cannot match; scatter them instead of one hot task
-    f = spread_incomplete_keys(
-        f, ["immigration_id"], "immigration_id", ["arrival_city_code", "arrival_date", "arrival_city"]
-    ).alias("f")
-    cond = (F.col(f"f.{spread_key('immigration_id')}") == F.col("p.immigration_id")) & complete_condition("f")
+    if scatter_null_keys:
+        f = spread_incomplete_keys(
+            f, ["immigration_id"], "immigration_id", ["arrival_city_code", "arrival_date", "arrival_city"]
+        ).alias("f")
+        cond = (F.col(f"f.{spread_key('immigration_id')}") == F.col("p.immigration_id")) & complete_condition("f")
+    else:
+        f = f.alias("f")
+        cond = F.col("f.immigration_id") == F.col("p.immigration_id")
     joined = f.join(p, cond, "left")
     return joined.select(
         "f.immigration_id", "f.arrival_city", "f.arrival_date", "f.transport_mode",

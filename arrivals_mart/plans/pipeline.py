@@ -19,7 +19,7 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, SparkSession
 
 from arrivals_mart.operators.quality import assert_checks, run_checks
-from arrivals_mart.operators.sinks import truncate_and_load, write_contract
+from arrivals_mart.operators.sinks import create_targets, truncate_and_load, write_contract
 from arrivals_mart.plans.marts import (
     build_demographics_dim,
     build_fact,
@@ -123,6 +123,7 @@ def run_pipeline(
     warehouse: str | None = None,
     check: bool = True,
     max_parallel: int = 4,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Build, write, optionally load, and check the four tables; return the check report.
 
@@ -130,9 +131,14 @@ def run_pipeline(
     own Spark job, up to ``max_parallel`` at a time. ``warehouse`` is a
     folder (or catalog database prefix) receiving the truncate-and-load
     copies; checks then run on the loaded copies. With ``check`` a failed
-    check raises ValueError listing every failure.
+    check raises ValueError listing every failure. A ``warehouse`` without a
+    ``/`` is a catalog database: its tables are created first (bucketed by
+    the record key into ``buckets`` buckets when given).
     """
     inputs = read_staging(spark, staging, layout)
+    if warehouse and "/" not in warehouse:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {warehouse}")
+        create_targets(spark, database=warehouse, buckets=buckets)
 
     def publish(name: str) -> DataFrame:
         path = os.path.join(production, name)

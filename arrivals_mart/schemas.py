@@ -165,8 +165,14 @@ def schema_differences(actual: T.StructType, expected: T.StructType) -> list[str
     return diffs
 
 
-def ddl(table: str, schema: T.StructType, location: str | None = None) -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text for a contract (parquet, optional location).
+# Tables keyed by the arrival record; bucketed alike they join without a shuffle.
+RECORD_KEY_TABLES = ("fact_immigration", "dim_immigrant")
+
+
+def ddl(
+    table: str, schema: T.StructType, location: str | None = None, bucket_by: tuple[str, int] | None = None
+) -> str:
+    """``CREATE TABLE IF NOT EXISTS`` text for a contract (parquet, optional location and buckets).
 
     Spark keeps NOT NULL as documentation for file tables; the contract
     check and the quality checks enforce it.
@@ -174,5 +180,9 @@ def ddl(table: str, schema: T.StructType, location: str | None = None) -> str:
     cols = ",\n  ".join(
         f"`{f.name}` {f.dataType.simpleString().upper()}{'' if f.nullable else ' NOT NULL'}" for f in schema.fields
     )
+    buckets = ""
+    if bucket_by:
+        key, n = bucket_by
+        buckets = f"\nCLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {n} BUCKETS"
     loc = f"\nLOCATION '{location}'" if location else ""
-    return f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n) USING parquet{loc}"
+    return f"CREATE TABLE IF NOT EXISTS {table} (\n  {cols}\n) USING parquet{buckets}{loc}"

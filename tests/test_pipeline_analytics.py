@@ -176,3 +176,25 @@ def test_command_line_lookups_then_run(spark, tmp_path, capsys):
     fact = spark.read.parquet(str(tmp_path / "prod" / "fact_immigration"))
     got = {r.immigration_id: (r.arrival_city, r.arrival_state) for r in fact.collect()}
     assert got["7"] == ("NEW YORK", "NY") and got["11"] == ("LOS ANGELES", "CA") and got["6"] == ("NOT REPORTED/UNKNOWN", "CA")
+
+
+def test_bucketed_warehouse_star_join_without_shuffle(spark, tmp_path):
+    from arrivals_mart.plans.marts import build_person_dim
+
+    staging = str(tmp_path / "staging")
+    _stage(spark, staging, frames(spark))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS wh_bucketed LOCATION '{tmp_path / 'wh'}'")
+    report = run_pipeline(spark, staging, str(tmp_path / "prod"), warehouse="wh_bucketed", buckets=4)
+    assert all(r.passed for r in report.collect())
+    fact, person = spark.table("wh_bucketed.fact_immigration"), spark.table("wh_bucketed.dim_immigrant")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = analytics.star_join(fact, person, scatter_null_keys=False)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Bucketed: true" in plan
+        f = frames(spark)
+        expected = analytics.star_join(build_fact(f["arrivals"], f["ports"]), build_person_dim(f["arrivals"], f["countries"]))
+        assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
