@@ -91,3 +91,16 @@ def test_register_view_redefined_from_itself(spark):
     register(spark.createDataFrame([(1,), (2,)], "a int"), "stg_self")
     register(spark.sql("SELECT a + 10 AS a FROM stg_self"), "stg_self")
     assert sorted(r.a for r in spark.table("stg_self").collect()) == [11, 12]
+
+
+def test_scale_defaults_keep_submitted_values(spark):
+    from arrivals_mart.session import SCALE_DEFAULTS, apply_scale_defaults
+
+    submitted = spark.sparkContext.getConf()
+    applied = apply_scale_defaults(spark)
+    for key in SCALE_DEFAULTS:
+        if submitted.contains(key):
+            assert key not in applied  # a value given at submit time is never overridden
+        else:
+            assert spark.conf.get(key) == SCALE_DEFAULTS[key]
+    assert "spark.sql.adaptive.enabled" not in applied  # the test session sets it explicitly

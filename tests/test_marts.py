@@ -37,6 +37,7 @@ def test_fact_plan_broadcasts_lookup_and_has_inner_join(spark):
     plan = build_fact(f["arrivals"], f["ports"])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "LeftOuter" not in plan  # null-rejected outer join became inner
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan  # one map stage
 
 
 def test_person_dim_filters_and_role_playing_lookups(spark):
