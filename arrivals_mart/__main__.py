@@ -3,6 +3,7 @@
     spark-submit --py-files arrivals_mart.zip arrivals_mart/__main__.py run \
         --staging s3a://bucket/staging --production s3a://bucket/production
     python -m arrivals_mart lookups --labels <label file> --staging <dir>
+    python -m arrivals_mart check --tables <production folder or catalog database>
     python -m arrivals_mart incremental --arrivals <dir> --ports <csv dir> --target <dir> --checkpoint <dir>
 
 The session comes from ``SparkSession.builder.getOrCreate()``, so master,
@@ -17,9 +18,9 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from arrivals_mart.operators.quality import assert_checks
+from arrivals_mart.operators.quality import assert_checks, run_checks
 from arrivals_mart.plans.pipeline import StagingLayout, layout_from_config, run_pipeline
-from arrivals_mart.schemas import PORT_LOOKUP
+from arrivals_mart.schemas import PORT_LOOKUP, TABLE_KEYS
 from arrivals_mart.session import apply_scale_defaults, ensure_checkpoint_dir
 from arrivals_mart.sources.files import read_csv
 from arrivals_mart.sources.labels import write_lookups
@@ -40,6 +41,8 @@ def parser() -> argparse.ArgumentParser:
     lk = sub.add_parser("lookups", help="extract port and country lookups from a label dictionary")
     lk.add_argument("--labels", required=True)
     lk.add_argument("--staging", required=True)
+    chk = sub.add_parser("check", help="row-count, null-key and duplicate-key checks on loaded tables")
+    chk.add_argument("--tables", required=True, help="folder holding one parquet folder per table, or a catalog database")
     inc = sub.add_parser("incremental", help="load the fact rows of new arrival files")
     inc.add_argument("--arrivals", required=True)
     inc.add_argument("--ports", required=True)
@@ -49,6 +52,12 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+def _load_table(spark: SparkSession, where: str, table: str):
+    if "/" in where:
+        return spark.read.parquet(f"{where.rstrip('/')}/{table}")
+    return spark.table(f"{where}.{table}")
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"arrivals_mart {args.command}").getOrCreate()
@@ -67,6 +76,10 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         rows = assert_checks(report)
         for r in rows:
             print(f"{r['table_name']}: {r['row_count']} rows, key {r['key_column']} checked")
+    elif args.command == "check":
+        rows = assert_checks(run_checks({t: (_load_table(spark, args.tables, t), k) for t, k in TABLE_KEYS.items()}))
+        for r in rows:
+            print(f"{r['table_name']}: {r['row_count']} rows, key {r['key_column']} checked")
     elif args.command == "lookups":
         write_lookups(spark, args.labels, args.staging)
     elif args.command == "incremental":

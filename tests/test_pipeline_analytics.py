@@ -198,3 +198,20 @@ def test_bucketed_warehouse_star_join_without_shuffle(spark, tmp_path):
         assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, expected.collect()), key=repr)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_command_line_check_reports_and_fails(spark, tmp_path, capsys):
+    from arrivals_mart.__main__ import main
+
+    staging, prod = str(tmp_path / "staging"), str(tmp_path / "prod")
+    _stage(spark, staging, frames(spark))
+    main(["run", "--staging", staging, "--production", prod], spark=spark)
+    capsys.readouterr()
+    assert main(["check", "--tables", prod], spark=spark) == 0
+    assert "dim_immigrant: 3 rows" in capsys.readouterr().out
+    # a duplicated key in a loaded table fails the check
+    dup = spark.read.parquet(os.path.join(prod, "dim_demographics"))
+    dup.unionByName(dup).write.mode("overwrite").parquet(os.path.join(str(tmp_path), "dup"))
+    spark.read.parquet(os.path.join(str(tmp_path), "dup")).write.mode("overwrite").parquet(os.path.join(prod, "dim_demographics"))
+    with pytest.raises(ValueError, match="dim_demographics.demo_id repeats"):
+        main(["check", "--tables", prod], spark=spark)
