@@ -72,3 +72,15 @@ def test_truncate_and_load_from_staged_csv(spark, tmp_path):
     ).csv(path)
     loaded = truncate_and_load(spark, path, target, CONTRACT, "t", source_format="csv", options={"header": "true"})
     assert sorted(tuple(r) for r in loaded.collect()) == [(1, "a", 1), (2, "b", 2)]
+
+
+def test_csv_with_reordered_header_is_rejected(spark, tmp_path):
+    from arrivals_mart.schemas import PORT_LOOKUP
+    from arrivals_mart.sources.files import read_csv
+
+    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
+    good.write_text("code,city,state\nNYC,NEW YORK,NY\n")
+    bad.write_text("city,code,state\nNEW YORK,NYC,NY\n")
+    assert [tuple(r) for r in read_csv(spark, str(good), PORT_LOOKUP).collect()] == [("NYC", "NEW YORK", "NY")]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(bad), PORT_LOOKUP).collect()
