@@ -35,8 +35,10 @@ def incremental_fact_load(
     """Load the fact rows of arrival files not seen before into ``target``.
 
     ``checkpoint`` must stay the same between runs (it records the files
-    already loaded); by default it is a folder next to the target's name
-    below the session's checkpoint folder. Returns the number of
+    already loaded) and belongs to ``target``: losing only the checkpoint
+    would load every file again under new batch ids, so both are kept or
+    reset together. By default it is a fresh folder below the session's
+    checkpoint folder, which suits a one-off run. Returns the number of
     micro-batches that ran.
     """
     ckpt = checkpoint or scratch_path(spark, "incremental-fact-checkpoint")
