@@ -42,7 +42,8 @@ def incremental_fact_load(
     micro-batches that ran.
     """
     ckpt = checkpoint or scratch_path(spark, "incremental-fact-checkpoint")
-    reader = spark.readStream.schema(ARRIVALS)
+    # new deliveries may arrive as sub-folders of arrivals_dir
+    reader = spark.readStream.schema(ARRIVALS).option("recursiveFileLookup", "true")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     arrivals = reader.parquet(arrivals_dir)

@@ -11,11 +11,11 @@ def test_incremental_fact_loads_only_new_files(spark, tmp_path):
     arrivals_dir, target, ckpt = (str(tmp_path / d) for d in ("arrivals", "fact", "ckpt"))
     first = f["arrivals"].filter("cicid < 8")
     rest = f["arrivals"].filter("cicid >= 8")
-    first.write.parquet(arrivals_dir)
+    first.write.parquet(arrivals_dir + "/delivery=2016-04")
     assert incremental_fact_load(spark, arrivals_dir, f["ports"], target, ckpt) == 1
     assert spark.read.parquet(target).count() == 2
     assert incremental_fact_load(spark, arrivals_dir, f["ports"], target, ckpt) == 0  # nothing new
-    rest.write.mode("append").parquet(arrivals_dir)
+    rest.write.parquet(arrivals_dir + "/delivery=2016-05")  # next month's delivery, a new sub-folder
     assert incremental_fact_load(spark, arrivals_dir, f["ports"], target, ckpt) == 1
     loaded = spark.read.parquet(target)
     assert {"load_batch=0", "load_batch=1"} <= set(os.listdir(target))
