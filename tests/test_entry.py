@@ -40,3 +40,10 @@ def test_query_matches_oracle_on_smallest_tables(spark, name):
         return sorted((tuple(r[i] for i in idx) for r in recs), key=repr)
 
     assert norm([tuple(r) for r in df.collect()], df.columns) == norm(res.fetchall(), ocols)
+
+
+def test_plans_document_covers_every_query():
+    path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
+    with open(path) as fh:
+        headers = {line[4:].strip() for line in fh if line.startswith("### ")}
+    assert headers == set(E.queries()), "regenerate PLANS.md with scripts/show_plans.py"
