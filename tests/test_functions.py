@@ -104,3 +104,18 @@ def test_scale_defaults_keep_submitted_values(spark):
         else:
             assert spark.conf.get(key) == SCALE_DEFAULTS[key]
     assert "spark.sql.adaptive.enabled" not in applied  # the test session sets it explicitly
+
+
+def test_month_helpers_for_range_frames(spark):
+    from arrivals_mart.functions import month_index, month_start
+
+    df = spark.createDataFrame(
+        [(dt.date(1999, 12, 31),), (dt.date(2000, 1, 15),), (dt.date(2000, 3, 1),)], "d date"
+    )
+    got = [tuple(r) for r in df.select(month_start("d"), month_index("d")).collect()]
+    assert got == [(dt.date(1999, 12, 1), 23999), (dt.date(2000, 1, 1), 24000), (dt.date(2000, 3, 1), 24002)]
+
+
+def test_decode_default_for_unknown_codes(spark):
+    df = spark.createDataFrame([(1.0,), (4.0,)], "v double")
+    assert [r[0] for r in df.select(decode("v", {1: "one"}, default="other")).collect()] == ["one", "other"]
