@@ -39,7 +39,7 @@ def _round4(df: DataFrame, *cols: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ sources
-def q_scan_parquet(spark, sf):
+def q_scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType(
         [
             T.StructField("o_orderkey", T.LongType()),
@@ -51,7 +51,7 @@ def q_scan_parquet(spark, sf):
     return spark.sql("SELECT o_orderkey, o_custkey, o_totalprice FROM stg_orders WHERE o_totalprice > 0")
 
 
-def q_scan_csv_header(spark, sf):
+def q_scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "supplier-csv")
     sup = read_table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
     sup.write.option("header", "true").csv(path)
@@ -65,7 +65,7 @@ def q_scan_csv_header(spark, sf):
     )
 
 
-def q_scan_csv_semicolon(spark, sf):
+def q_scan_csv_semicolon(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "demographics-csv")
     Inputs(spark, sf).demographics().write.option("header", "true").option("sep", ";").csv(path)
     return marts.typed_demographics(read_csv(spark, path, sep=";"))
@@ -141,20 +141,20 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     )
 
 
-def q_label_dictionary(spark, sf):
+def q_label_dictionary(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "labels")
     write_label_text(spark, sf, path)
     return label_dictionary(spark, path)
 
 
-def q_label_port_lookup(spark, sf):
+def q_label_port_lookup(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "labels")
     write_label_text(spark, sf, path)
     return port_lookup(label_dictionary(spark, path), block="$portl", state_block="stcodes")
 
 
 # ------------------------------------------------------------------ sinks
-def q_sink_parquet_overwrite(spark, sf):
+def q_sink_parquet_overwrite(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "customer-sink")
     cust = read_table(spark, sf, "customer")
     overwrite(cust.withColumn("c_acctbal", F.col("c_acctbal") + 1), path)
@@ -162,7 +162,7 @@ def q_sink_parquet_overwrite(spark, sf):
     return spark.read.parquet(path)
 
 
-def q_truncate_and_load(spark, sf):
+def q_truncate_and_load(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
     staged = scratch_path(spark, "fact-staged")
     target = scratch_path(spark, "fact-target")
@@ -183,7 +183,7 @@ LINE_CONTRACT = T.StructType(
 )
 
 
-def q_schema_contract(spark, sf):
+def q_schema_contract(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "line-contract")
     li = read_table(spark, sf, "lineitem")
     # columns out of order, one in upper case, one extra: the contract fixes all three
@@ -199,13 +199,13 @@ def q_schema_contract(spark, sf):
 
 
 # ------------------------------------------------------------------ scalar functions
-def q_key_cast(spark, sf):
+def q_key_cast(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k = F.col("o_orderkey").cast("double")
     return o.select(int_key(k).alias("order_id"), int_key(k + 0.7).alias("shifted_id"), "o_custkey")
 
 
-def q_tolerant_casts(spark, sf):
+def q_tolerant_casts(spark: SparkSession, sf: str) -> DataFrame:
     p = read_table(spark, sf, "part")
     size = F.col("p_size").cast("string")
     date_text = F.concat(
@@ -226,7 +226,7 @@ def q_tolerant_casts(spark, sf):
     )
 
 
-def q_decode_codes(spark, sf):
+def q_decode_codes(spark: SparkSession, sf: str) -> DataFrame:
     li = read_table(spark, sf, "lineitem")
     return li.select(
         "l_orderkey",
@@ -236,7 +236,7 @@ def q_decode_codes(spark, sf):
     )
 
 
-def q_lookup_coalesce(spark, sf):
+def q_lookup_coalesce(spark: SparkSession, sf: str) -> DataFrame:
     c = read_table(spark, sf, "customer")
     # max_rows=None: nation and region have a fixed size, broadcast without a counting job
     withn = lookup_join(c, read_table(spark, sf, "nation"), [F.col("c_nationkey")], ["n_nationkey"], max_rows=None)
@@ -247,7 +247,7 @@ def q_lookup_coalesce(spark, sf):
     )
 
 
-def q_case_insensitive_join(spark, sf):
+def q_case_insensitive_join(spark: SparkSession, sf: str) -> DataFrame:
     c = read_table(spark, sf, "customer")
     code = F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"))
     # max_rows=None: nation has a fixed size, broadcast without a counting job
@@ -255,7 +255,7 @@ def q_case_insensitive_join(spark, sf):
     return j.select("c_custkey", "n_name", "n_nationkey")
 
 
-def q_role_playing_lookup(spark, sf):
+def q_role_playing_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """Line items per (customer nation, supplier nation): one lookup in two roles.
 
     Orders first get their customer's nation; line items are joined to that
@@ -286,129 +286,129 @@ def q_role_playing_lookup(spark, sf):
     ).agg(F.sum("line_count").alias("line_count"))
 
 
-def q_day_number_dates(spark, sf):
+def q_day_number_dates(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     day = to_day_number("o_orderdate")
     return o.select("o_orderkey", day.alias("day_number"), from_day_number(day.cast("double")).alias("order_date"))
 
 
-def q_hash_key(spark, sf):
+def q_hash_key(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
     return e.select("event_id", hash_key("user_id", "event_type").alias("user_event_hash"))
 
 
-def q_epoch_to_timestamp(spark, sf):
+def q_epoch_to_timestamp(spark: SparkSession, sf: str) -> DataFrame:
     e = read_table(spark, sf, "events")
     return e.select("event_id", from_epoch_ms(epoch_ms("ts")).alias("start_time"))
 
 
 # ------------------------------------------------------------------ listening log
-def _songplays(spark, sf):
+def _songplays(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
     return listening.build_songplays(inp.events(), inp.songs())
 
 
-def q_songplays(spark, sf):
+def q_songplays(spark: SparkSession, sf: str) -> DataFrame:
     return _songplays(spark, sf)
 
 
-def q_time_dimension(spark, sf):
+def q_time_dimension(spark: SparkSession, sf: str) -> DataFrame:
     return listening.build_time(_songplays(spark, sf))
 
 
-def q_distinct_users(spark, sf):
+def q_distinct_users(spark: SparkSession, sf: str) -> DataFrame:
     return listening.build_users(Inputs(spark, sf).events())
 
 
-def q_distinct_songs(spark, sf):
+def q_distinct_songs(spark: SparkSession, sf: str) -> DataFrame:
     return listening.build_songs(Inputs(spark, sf).songs())
 
 
-def q_distinct_artists(spark, sf):
+def q_distinct_artists(spark: SparkSession, sf: str) -> DataFrame:
     return listening.build_artists(Inputs(spark, sf).songs())
 
 
 # ------------------------------------------------------------------ marts
-def _fact(spark, sf):
+def _fact(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
     return marts.build_fact(inp.arrivals(), inp.ports())
 
 
-def _person(spark, sf):
+def _person(spark: SparkSession, sf: str) -> DataFrame:
     inp = Inputs(spark, sf)
     return marts.build_person_dim(inp.arrivals(), inp.countries())
 
 
-def _temp_dim(spark, sf):
+def _temp_dim(spark: SparkSession, sf: str) -> DataFrame:
     return marts.build_temperature_dim(Inputs(spark, sf).temperatures())
 
 
-def _demo_dim(spark, sf):
+def _demo_dim(spark: SparkSession, sf: str) -> DataFrame:
     return marts.build_demographics_dim(Inputs(spark, sf).demographics())
 
 
 # The analyses read only attribute columns of the dimensions, never their
 # surrogate keys, so they take the dimension rows before keying: the same
 # rows without the numbering pass.
-def _temp_rows(spark, sf):
+def _temp_rows(spark: SparkSession, sf: str) -> DataFrame:
     return marts.monthly_temperatures(Inputs(spark, sf).temperatures())
 
 
-def _demo_rows(spark, sf):
+def _demo_rows(spark: SparkSession, sf: str) -> DataFrame:
     return marts.typed_demographics(Inputs(spark, sf).demographics())
 
 
-def q_fact_build(spark, sf):
+def q_fact_build(spark: SparkSession, sf: str) -> DataFrame:
     return _fact(spark, sf)
 
 
-def q_dim_person_build(spark, sf):
+def q_dim_person_build(spark: SparkSession, sf: str) -> DataFrame:
     return _person(spark, sf)
 
 
-def q_star_join(spark, sf):
+def q_star_join(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.star_join(_fact(spark, sf), _person(spark, sf))
 
 
-def q_monthly_average_build(spark, sf):
+def q_monthly_average_build(spark: SparkSession, sf: str) -> DataFrame:
     return marts.monthly_temperatures(Inputs(spark, sf).temperatures(), since="1997-01-01")
 
 
-def q_surrogate_key_two_level(spark, sf):
+def q_surrogate_key_two_level(spark: SparkSession, sf: str) -> DataFrame:
     return _temp_dim(spark, sf)
 
 
-def q_surrogate_key_three_level(spark, sf):
+def q_surrogate_key_three_level(spark: SparkSession, sf: str) -> DataFrame:
     return _demo_dim(spark, sf)
 
 
-def q_trailing_average(spark, sf):
+def q_trailing_average(spark: SparkSession, sf: str) -> DataFrame:
     t = analytics.trailing_temperatures(_temp_rows(spark, sf))
     return _round4(t, "avg_temp", "trailing_avg_temp")
 
 
-def q_top_k(spark, sf):
+def q_top_k(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.top_cities(_demo_rows(spark, sf), 10)
 
 
-def q_dedup_group(spark, sf):
+def q_dedup_group(spark: SparkSession, sf: str) -> DataFrame:
     return _demo_rows(spark, sf).select("city", "state_code", "total_population").distinct()
 
 
-def q_top_city_arrivals(spark, sf):
+def q_top_city_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.top_city_arrivals(_fact(spark, sf), _demo_rows(spark, sf), 10)
 
 
-def q_top_city_share(spark, sf):
+def q_top_city_share(spark: SparkSession, sf: str) -> DataFrame:
     return analytics.top_city_share(_fact(spark, sf), _demo_rows(spark, sf), 10)
 
 
-def q_trailing_temperature_vs_arrivals(spark, sf):
+def q_trailing_temperature_vs_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     out = analytics.trailing_temperature_vs_arrivals(_fact(spark, sf), _temp_rows(spark, sf))
     return _round4(out, "trailing_avg_temp")
 
 
-def q_trailing_temperature_as_of(spark, sf):
+def q_trailing_temperature_as_of(spark: SparkSession, sf: str) -> DataFrame:
     out = analytics.trailing_temperature_vs_arrivals(_fact(spark, sf), _temp_rows(spark, sf), as_of=True)
     return _round4(out, "trailing_avg_temp")
 
@@ -431,14 +431,14 @@ def stage_inputs(spark: SparkSession, sf: str, staging: str, layout: StagingLayo
     )
 
 
-def q_pipeline_run(spark, sf):
+def q_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "pipeline")
     staging, production = os.path.join(root, "staging"), os.path.join(root, "production")
     stage_inputs(spark, sf, staging)
     return run_pipeline(spark, staging, production)
 
 
-def q_incremental_fact(spark, sf):
+def q_incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
     """Arrival files land in two deliveries; each run loads only the files new to it."""
     root = scratch_path(spark, "incremental")
     arrivals_dir, target, ckpt = (os.path.join(root, d) for d in ("arrivals", "fact", "checkpoint"))
@@ -453,12 +453,12 @@ def q_incremental_fact(spark, sf):
 
 
 # ------------------------------------------------------------------ quality
-def q_quality_report(spark, sf):
+def q_quality_report(spark: SparkSession, sf: str) -> DataFrame:
     tables = {t: (read_table(spark, sf, t), k) for t, k in QUALITY_TABLES.items()}
     return run_checks(tables)
 
 
-def q_quality_duplicates(spark, sf):
+def q_quality_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
