@@ -21,3 +21,19 @@ def test_incremental_fact_loads_only_new_files(spark, tmp_path):
     assert {"load_batch=0", "load_batch=1"} <= set(os.listdir(target))
     expected = sorted(tuple(r) for r in build_fact(f["arrivals"], f["ports"]).collect())
     assert sorted(tuple(r) for r in loaded.drop("load_batch").collect()) == expected
+
+
+def test_command_line_incremental(spark, tmp_path, capsys):
+    from arrivals_mart.__main__ import main
+
+    f = frames(spark)
+    arrivals, ports = str(tmp_path / "arrivals"), str(tmp_path / "ports")
+    f["arrivals"].write.parquet(arrivals + "/delivery=2016-04")
+    f["ports"].write.option("header", "true").csv(ports)
+    args = ["incremental", "--arrivals", arrivals, "--ports", ports, "--target", str(tmp_path / "fact"),
+            "--checkpoint", str(tmp_path / "ckpt")]
+    assert main(args, spark=spark) == 0
+    assert "1 micro-batches loaded" in capsys.readouterr().out
+    assert main(args, spark=spark) == 0  # nothing new on a second run
+    assert "0 micro-batches loaded" in capsys.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "fact")).count() == 4
