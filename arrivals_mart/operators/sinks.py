@@ -42,8 +42,9 @@ def truncate_and_load(
     ``source_format`` and ``options`` describe the staged files (parquet by
     default; e.g. ``"csv"`` with ``{"header": "true"}``), typed files are
     read as they are and text formats are read with the contract's schema.
-    ``target`` is a catalog table when one of that name exists (rows are
-    inserted by position after an overwrite), otherwise a parquet folder.
+    ``target`` is a parquet folder when it contains a ``/``, otherwise an
+    existing catalog table (rows are inserted by position after an
+    overwrite); a missing table is an error.
     Returns the loaded target as a DataFrame.
     """
     label = name or target
@@ -52,7 +53,9 @@ def truncate_and_load(
         reader = reader.schema(schema)
     staged = reader.load(staged_path)
     rows = enforce(staged, schema, label)
-    if "/" not in target and spark.catalog.tableExists(target):
+    if "/" not in target:
+        if not spark.catalog.tableExists(target):
+            raise ValueError(f"{label}: no table {target!r}; create it with create_targets or pass a folder path")
         rows.write.insertInto(target, overwrite=True)
         loaded = spark.table(target)
     else:

@@ -84,3 +84,10 @@ def test_csv_with_reordered_header_is_rejected(spark, tmp_path):
     assert [tuple(r) for r in read_csv(spark, str(good), PORT_LOOKUP).collect()] == [("NYC", "NEW YORK", "NY")]
     with pytest.raises(Exception, match="(?i)header"):
         read_csv(spark, str(bad), PORT_LOOKUP).collect()
+
+
+def test_truncate_and_load_into_missing_table_fails(spark, tmp_path):
+    path = str(tmp_path / "staged_missing")
+    overwrite(spark.createDataFrame([(1, "a", 1)], "id long, name string, n int"), path)
+    with pytest.raises(ValueError, match="no table 'not_created_yet'"):
+        truncate_and_load(spark, path, "not_created_yet", CONTRACT, "t")
