@@ -215,3 +215,14 @@ def test_command_line_check_reports_and_fails(spark, tmp_path, capsys):
     spark.read.parquet(os.path.join(str(tmp_path), "dup")).write.mode("overwrite").parquet(os.path.join(prod, "dim_demographics"))
     with pytest.raises(ValueError, match="dim_demographics.demo_id repeats"):
         main(["check", "--tables", prod], spark=spark)
+
+
+def test_config_without_data_section_uses_default_layout(tmp_path):
+    from arrivals_mart.plans.pipeline import layout_from_config
+
+    cfg = tmp_path / "roots.cfg"
+    cfg.write_text("[S3]\nSTAGING_DATA=s3a://bucket/staging\nPRODUCTION_DATA=s3a://bucket/production\n")
+    staging, production, layout = layout_from_config(str(cfg))
+    assert (staging, production, layout) == ("s3a://bucket/staging", "s3a://bucket/production", StagingLayout())
+    with pytest.raises(FileNotFoundError):
+        layout_from_config(str(tmp_path / "missing.cfg"))
