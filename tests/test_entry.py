@@ -10,7 +10,11 @@ SMOKE = "/root/testdata/sf0.001"
 
 def test_entry_runs(spark):
     df = E.entry(spark)
-    assert df.columns == ["arrival_city", "total_population", "immigration_count"]
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema.fields] == [
+        ("arrival_city", "string"),
+        ("total_population", "int"),
+        ("immigration_count", "bigint"),
+    ]
     assert df.count() > 0
 
 
