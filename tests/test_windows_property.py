@@ -17,7 +17,7 @@ def _month(n):
     return dt.date(2000 + n // 12, n % 12 + 1, 1)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(series=_series)
 def test_trailing_average_matches_brute_force(spark, series):
     rows = [(c, _month(m), v) for (c, m), v in series.items()]
@@ -30,7 +30,7 @@ def test_trailing_average_matches_brute_force(spark, series):
         assert (have is None and want is None) or abs(have - want) < 1e-9
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, derandomize=True, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(temps=_series, arrivals=st.sets(st.tuples(st.sampled_from(["x", "y"]), st.integers(0, 30)), max_size=15))
 def test_as_of_matches_brute_force(spark, temps, arrivals):
     t = spark.createDataFrame(
