@@ -2,13 +2,14 @@
 scratch folder that jobs write intermediate tables to.
 
 Scratch output always lives under the cluster's ``spark.checkpoint.dir``
-(a shared filesystem on a real cluster). A private folder is created only
-when the session has none, which happens in local tests.
+(a shared filesystem on a real cluster). Only a single-process local session
+may leave it unset; any other one raises.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -35,32 +36,52 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "arr
     return spark
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``, with its scheme.
+
+    A session in one process (``local[...]``) may leave the setting unset; it
+    then gets a private folder below the system's temporary folder, which is
+    also written back to the setting. Any other master must name a folder that
+    all its executors share, so an unset setting raises there.
+    """
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        configured = "file://" + os.path.join(tempfile.gettempdir(), f"arrivals-mart-{os.getpid()}")
+        spark.conf.set("spark.checkpoint.dir", configured)
+    return configured.rstrip("/")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder, creating a private one only if unset."""
+    """Make the session's RDD checkpoints go to :func:`checkpoint_root`; return that folder."""
+    root = checkpoint_root(spark)
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
-        sc = None
-    current = sc.getCheckpointDir() if sc is not None else None
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="arrivals-mart-ckpt-")
-        if sc is None:
-            spark.conf.set("spark.checkpoint.dir", configured)
-    if sc is None:
-        return configured
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+        return root
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
+    return root
+
+
+def _application_scratch(spark: SparkSession) -> str:
+    app = spark.conf.get("spark.app.id", "") or "app"
+    return f"{checkpoint_root(spark)}/scratch/{app}"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder."""
-    base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh, unique folder of this application below the shared checkpoint folder."""
+    return f"{_application_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove every scratch folder of this application, once its results are written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_application_scratch(spark))
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(root):
+        fs.delete(root, True)
 
 
 # Settings for large inputs, applied by the command line unless spark-submit
