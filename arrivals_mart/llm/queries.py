@@ -7,8 +7,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion
-from arrivals_mart.llm._common import read_table
+from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion, quality_crf, simhash_bktree, toxicity_ftrl
+from arrivals_mart.llm._common import held_out, read_table
 
 #: Name of the vocabulary file; its folder is set by ARRIVALS_TOKENIZERS or by the package that holds the files.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -23,6 +23,16 @@ def tokenizer_path(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality_crf.train(docs, read_table(spark, sf_dir, "labels"))
+    out = quality_crf.scores_only(docs, model)
+    return out.select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe_automaton.encode_decode(docs, tokenizer_path())
@@ -49,15 +59,38 @@ WINDOW same AS (PARTITION BY norm)
 """
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    near = simhash_bktree.near_duplicates(docs)
+    return near.select(
+        F.col("id").alias("doc_id"),
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return mix_apportion.mix(docs).withColumnRenamed("id", "doc_id")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity_ftrl.train(docs, read_table(spark, sf_dir, "labels"))
+    out = toxicity_ftrl.scores(docs, model)
+    return out.select(
+        F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
+    "op7_toxicity": op7_toxicity,
 }
 
 ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
