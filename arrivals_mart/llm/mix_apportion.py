@@ -3,7 +3,7 @@
 1. Each document's size is its number of words; sources get targets by weight,
    none above three times its size.
 2. Each source is cut into shards by a seeded hash of the document id. A shard
-   holds some millions of words and the number of shards is bounded, so the table of
+   holds some hundred thousand words and the number of shards is bounded, so the table of
    shards is small at any size of the corpus.
 3. The mix consists of equal blocks of words. The blocks go to sources, and a
    source's blocks to its shards, each to the highest quotient ``weight / (2 * seats + 1)``,
@@ -30,7 +30,7 @@ from arrivals_mart.llm._common import WORD_PATTERN, written
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCK_WORDS = 32
-SHARD_WORDS = 4_000_000
+SHARD_WORDS = 250_000
 #: Bound on shards, and so on the table of quotas that is broadcast.
 MAX_SHARDS = 100_000
 #: Bound on sources; more raise an error, since their table is gathered on the driver.
