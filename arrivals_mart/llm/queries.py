@@ -7,8 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion, quality_crf, simhash_bktree, toxicity_ftrl
+from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion, quality_crf, secret_ledger, simhash_bktree, toxicity_ftrl
 from arrivals_mart.llm._common import held_out, read_table
+from arrivals_mart.session import scratch_path
 
 #: Name of the vocabulary file; its folder is set by ARRIVALS_TOKENIZERS or by the package that holds the files.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -44,6 +45,49 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secret_ledger.BlobLedger(spark, scratch_path(spark, "secret-ledger"))
+    out = ledger.scan(docs)
+    spans = F.col("spans")
+    text = secret_ledger.spans_text(spans)
+    return out.select(
+        F.col("row.doc_id").alias("doc_id"),
+        *[secret_ledger.count_of(spans, k).alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(text, 256).alias("base_sha256"), text.alias("spans"),
+    )
+
+
+def _duckdb_spans(kind: str, no: int, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+    SELECT doc_id, {no} AS kind_no, '{kind}' AS kind, finish - length(found) AS start, finish
+    FROM (SELECT doc_id, found, part,
+                 sum(length(piece) + length(found)) OVER (PARTITION BY rid ORDER BY i) AS finish
+          FROM (SELECT rid, doc_id, i, pieces[i] AS piece, founds[i] AS found, parts[i] AS part
+                FROM (SELECT rid, doc_id, string_split_regex(text, '{pattern}') AS pieces,
+                             regexp_extract_all(text, '{pattern}', 0) AS founds,
+                             regexp_extract_all(text, '{pattern}', {group}) AS parts
+                      FROM docs WHERE regexp_matches(text, '{pattern}')),
+                     range(1, len(founds) + 1) AS r(i)))
+    WHERE length(part) >= {least}"""
+
+
+OP3_SQL = """
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({kinds}),
+listed AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+                  count(*) FILTER (kind = 'hex') AS n_hex,
+                  string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, kind_no) AS spans
+           FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN listed USING (doc_id)
+""".format(kinds=" UNION ALL ".join(
+    _duckdb_spans(r.kind, i, r.pattern, r.group, r.least) for i, r in enumerate(secret_ledger.RULES)
+))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = grace_dedup.exact_duplicates(docs)
@@ -87,10 +131,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
+    "op3_secrets": op3_secrets,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
     "op7_toxicity": op7_toxicity,
 }
 
-ORACLE_SQL = {"op4_exact_dedup": OP4_SQL}
+ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL}
