@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion, quality_crf, secret_ledger, simhash_bktree, toxicity_ftrl
+from arrivals_mart.llm import ann_multiprobe, bpe_automaton, grace_dedup, mix_apportion, quality_crf, secret_ledger, simhash_bktree, toxicity_ftrl
 from arrivals_mart.llm._common import held_out, read_table
 from arrivals_mart.session import scratch_path
 
@@ -128,6 +128,12 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries: rows whose vec_id is divisible by 20; candidates: every row but the query's own."""
+    vectors = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann_multiprobe.nearest(vectors, F.col("id") % 20 == 0)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -136,6 +142,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_mix": op6_mix,
     "op7_toxicity": op7_toxicity,
+    "op8_neighbours": op8_neighbours,
 }
 
 ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL}
