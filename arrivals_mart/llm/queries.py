@@ -7,7 +7,17 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm import ann_multiprobe, bpe_automaton, grace_dedup, mix_apportion, quality_crf, secret_ledger, simhash_bktree, toxicity_ftrl
+from arrivals_mart.llm import (
+    ann_multiprobe,
+    bpe_automaton,
+    grace_dedup,
+    mix_apportion,
+    quality_crf,
+    secret_ledger,
+    simhash_bktree,
+    toxicity_ftrl,
+    warc_index,
+)
 from arrivals_mart.llm._common import held_out, read_table
 from arrivals_mart.session import scratch_path
 
@@ -134,6 +144,26 @@ def op8_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_multiprobe.nearest(vectors, F.col("id") % 20 == 0)
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_index.archive_and_read(read_table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+# base32 of a SHA-1: each five bits of the forty hex digits choose a letter
+OP9_SQL = """
+SELECT page_id, octet_length(encode(html)) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + bit5(sha1(html), i)::INT, 1)), '') AS payload_digest,
+       CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+FROM (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS last_id
+      FROM (SELECT page_id, coalesce(html, '') AS html FROM pages))
+""".replace(
+    "bit5(sha1(html), i)",
+    "(((strpos('0123456789abcdef', substr(sha1(html) || '0', (5 * i // 4 + 1)::INT, 1)) - 1) * 16"
+    " + strpos('0123456789abcdef', substr(sha1(html) || '0', (5 * i // 4 + 2)::INT, 1)) - 1)"
+    " >> (3 - 5 * i % 4)::INT) % 32",
+)
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -143,6 +173,7 @@ QUERIES = {
     "op6_mix": op6_mix,
     "op7_toxicity": op7_toxicity,
     "op8_neighbours": op8_neighbours,
+    "op9_warc": op9_warc,
 }
 
-ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL}
+ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL}
