@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from arrivals_mart.llm import (
+    anchor_dedup,
     ann_multiprobe,
     bpe_automaton,
     grace_dedup,
@@ -164,6 +165,12 @@ FROM (SELECT page_id, html, max(page_id) OVER (PARTITION BY html) AS last_id
     " >> (3 - 5 * i % 4)::INT) % 32",
 )
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = anchor_dedup.drop_repeats(docs, texts=False)
+    return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -174,6 +181,7 @@ QUERIES = {
     "op7_toxicity": op7_toxicity,
     "op8_neighbours": op8_neighbours,
     "op9_warc": op9_warc,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL}
