@@ -171,6 +171,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+OP10_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id,
+                     regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (SELECT rid, doc_id, i, md5(array_to_string(words[i:i + 49], ' ')) AS k
+            FROM docs, range(1, len(words) - 48) AS r(i) WHERE len(words) >= 50),
+least AS (SELECT k, min(doc_id) AS first_id FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT rid, i + o AS p FROM windows JOIN least USING (k), range(0, 50) AS r(o) WHERE first_id < doc_id),
+words AS (SELECT rid, i AS p, words[i] AS word FROM docs, range(1, len(words) + 1) AS r(i)),
+kept AS (SELECT rid, count(*) AS n_kept, string_agg(word, ' ' ORDER BY p) AS text
+         FROM words ANTI JOIN gone USING (rid, p) GROUP BY rid)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n_kept, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (rid)
+"""
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -184,4 +199,4 @@ QUERIES = {
     "op10_repeats": op10_repeats,
 }
 
-ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL}
+ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL, "op10_repeats": OP10_SQL}

@@ -10,16 +10,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion
+from arrivals_mart.llm import bpe_automaton, grace_dedup, mix_apportion, quality_crf, simhash_bktree
 from arrivals_mart.llm._common import read_table, written
 from arrivals_mart.llm.queries import tokenizer_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose quality is below one half go. The classifier learns from the labelled rows among ``docs``."""
+    model = quality_crf.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality_crf.keep_good(docs, model)
+
+
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the row with the largest doc_id stays."""
     return grace_dedup.drop_exact_duplicates(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by fingerprints the one with the smallest doc_id stays."""
+    return simhash_bktree.drop_near_duplicates(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document stays as often (0 to 3 times) as the mix of sources takes it."""
     return mix_apportion.mix_documents(docs)
@@ -33,7 +44,9 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", quality),
     ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
     ("mix_sources", mix_sources),
     ("encode", encode),
 ]
