@@ -97,7 +97,7 @@ def fit(documents: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, s
 
     for _ in range(epochs):
         for k in order.permutation(len(documents)):
-            i = np.append(documents[k], size)
+            i = np.append(documents[k].astype(np.int64), size)
             w = weights(i)
             w[-1] = -z[size] / ((BETA + np.sqrt(n[size])) / ALPHA + L2)
             g = 1 / (1 + np.exp(-np.clip(w.sum(), -35, 35))) - labels[k]
@@ -137,7 +137,7 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
         .mapInArrow(run, "id bigint, y int, x binary").collect()
     )
     rows.sort(key=lambda r: (r["id"], bytes(r["x"])))
-    return fit([np.frombuffer(r["x"], "<u4").astype(np.int64) for r in rows], np.array([r["y"] for r in rows], float))
+    return fit([np.frombuffer(r["x"], "<u4") for r in rows], np.array([r["y"] for r in rows], float))
 
 
 def margins(texts: list[bytes], table: np.ndarray, bias: float, words: WordHashes) -> np.ndarray:
