@@ -21,7 +21,7 @@ from pyspark.sql import SparkSession
 from arrivals_mart.operators.quality import assert_checks, run_checks
 from arrivals_mart.plans.pipeline import StagingLayout, layout_from_config, run_pipeline
 from arrivals_mart.schemas import PORT_LOOKUP, TABLE_KEYS
-from arrivals_mart.session import apply_scale_defaults, ensure_checkpoint_dir
+from arrivals_mart.session import apply_scale_defaults, clear_scratch, ensure_checkpoint_dir
 from arrivals_mart.sources.files import read_csv
 from arrivals_mart.sources.labels import write_lookups
 from arrivals_mart.streaming.incremental import incremental_fact_load
@@ -36,13 +36,16 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--production", default=None)
     run.add_argument("--warehouse", default=None, help="folder or catalog database for truncate-and-load")
     run.add_argument("--buckets", type=int, default=None, help="bucket the record-keyed warehouse tables")
+    run.add_argument("--no-unique", action="store_true", help="check row counts and null keys, not uniqueness")
     for field in StagingLayout.__dataclass_fields__:
         run.add_argument(f"--{field}", default=None, help=f"relative path of the {field} input")
     lk = sub.add_parser("lookups", help="extract port and country lookups from a label dictionary")
     lk.add_argument("--labels", required=True)
     lk.add_argument("--staging", required=True)
+    lk.add_argument("--valid-only", action="store_true", help="leave out labels that mark a code as not usable")
     chk = sub.add_parser("check", help="row-count, null-key and duplicate-key checks on loaded tables")
     chk.add_argument("--tables", required=True, help="folder holding one parquet folder per table, or a catalog database")
+    chk.add_argument("--no-unique", action="store_true", help="check row counts and null keys, not uniqueness")
     inc = sub.add_parser("incremental", help="load the fact rows of new arrival files")
     inc.add_argument("--arrivals", required=True)
     inc.add_argument("--ports", required=True)
@@ -72,20 +75,23 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             raise SystemExit("run needs --staging and --production (or --config)")
         overrides = {f: getattr(args, f) for f in StagingLayout.__dataclass_fields__ if getattr(args, f)}
         layout = StagingLayout(**{**layout.__dict__, **overrides})
-        report = run_pipeline(spark, staging, production, layout, args.warehouse, check=False, buckets=args.buckets)
+        report = run_pipeline(spark, staging, production, layout, args.warehouse, check=False, buckets=args.buckets,
+                              unique=not args.no_unique)
         rows = assert_checks(report)
         for r in rows:
             print(f"{r['table_name']}: {r['row_count']} rows, key {r['key_column']} checked")
     elif args.command == "check":
-        rows = assert_checks(run_checks({t: (_load_table(spark, args.tables, t), k) for t, k in TABLE_KEYS.items()}))
+        tables = {t: (_load_table(spark, args.tables, t), k) for t, k in TABLE_KEYS.items()}
+        rows = assert_checks(run_checks(tables, unique=not args.no_unique))
         for r in rows:
             print(f"{r['table_name']}: {r['row_count']} rows, key {r['key_column']} checked")
     elif args.command == "lookups":
-        write_lookups(spark, args.labels, args.staging)
+        write_lookups(spark, args.labels, args.staging, valid_only=args.valid_only)
     elif args.command == "incremental":
         ports = read_csv(spark, args.ports, PORT_LOOKUP)
         n = incremental_fact_load(spark, args.arrivals, ports, args.target, args.checkpoint, args.max_files_per_batch)
         print(f"{n} micro-batches loaded")
+    clear_scratch(spark)
     return 0
 
 

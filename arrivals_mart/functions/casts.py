@@ -15,6 +15,22 @@ from pyspark.sql import functions as F
 from arrivals_mart.functions._cols import as_col
 
 
+# What int(text) takes: an optionally signed decimal number, blanks around it. Type
+# suffixes ('64D') and exponents ('1e3') are no integers, though double(text) reads them.
+_NUMBER_TEXT = r"^\s*[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)\s*$"
+
+
+def _plain_number(c: Column) -> Column:
+    """False for text that is no plain number; folded to true for other types."""
+    return (F.typeof(c) != "string") | c.cast("string").rlike(_NUMBER_TEXT)
+
+
+def _tolerant_integral(c, kind: str) -> Column:
+    # integral types and digits convert exactly; only fractions go through double
+    c = as_col(c)
+    return F.when(_plain_number(c), F.coalesce(c.try_cast(kind), tolerant_double(c).try_cast(kind)))
+
+
 def tolerant_double(c) -> Column:
     """Text or number -> double; junk, empty and out-of-range text -> null."""
     return as_col(c).try_cast("double")
@@ -22,12 +38,12 @@ def tolerant_double(c) -> Column:
 
 def tolerant_int(c) -> Column:
     """Text or number -> int, truncating fractions ('12.7' -> 12); junk -> null."""
-    return tolerant_double(c).try_cast("int")
+    return _tolerant_integral(c, "int")
 
 
 def tolerant_long(c) -> Column:
     """Like :func:`tolerant_int` with a 64-bit result, for keys that outgrow int."""
-    return tolerant_double(c).try_cast("bigint")
+    return _tolerant_integral(c, "bigint")
 
 
 def tolerant_date(c) -> Column:
@@ -38,8 +54,9 @@ def tolerant_date(c) -> Column:
 def int_key(c) -> Column:
     """Numeric code -> text key without the fraction: 6.0 -> '6'; null stays null.
 
-    The record key arrives as a double. It is truncated through a 64-bit
-    integer so keys beyond 2^31 keep their value instead of turning null.
+    The record key arrives as a double, a bigint or text. It is truncated
+    through a 64-bit integer, so keys beyond 2^31 keep their value, and
+    integral keys beyond 2^53 too.
     """
     return tolerant_long(c).cast("string")
 

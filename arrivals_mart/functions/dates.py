@@ -44,7 +44,7 @@ def from_epoch_ms(c) -> Column:
     """
     ms = as_col(c).cast("bigint")
     # integer division truncating towards zero, like the warehouse's bigint '/'
-    seconds = F.when(ms >= 0, F.floor(ms / 1000)).otherwise(F.ceil(ms / 1000))
+    seconds = F.call_function("div", ms, F.lit(1000).cast("bigint"))
     return F.timestamp_add("SECOND", seconds, _unix_epoch())
 
 

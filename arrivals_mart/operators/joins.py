@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals_mart.operators.lookups import sized_broadcast
+from arrivals_mart.session import stored
 
 COMPLETE = "_keys_complete"
 _SCATTER_PREFIX = "\u0000incomplete-key:"
@@ -75,6 +76,9 @@ def salt_hot_right_keys(
     the keys plus ``_salt`` and drop with :func:`drop_unmatched_hot_replicas`
     the replicas that met an empty bucket: a hot key always has right rows,
     so every hot left row still gets all its matches, each exactly once.
+
+    The list of hot keys is counted once and stored; when it is empty both
+    sides get salt 0 and nothing else happens to them.
     """
     hot = (
         right.groupBy(*right_keys)
@@ -82,6 +86,9 @@ def salt_hot_right_keys(
         .filter(F.col("_copies") >= hot_threshold)
         .select(*[F.col(k).alias(f"_hot_{i}") for i, k in enumerate(right_keys)], F.lit(True).alias(HOT))
     )
+    hot = stored(hot, "hot-keys")
+    if hot.isEmpty():
+        return left.withColumns({HOT: F.lit(False), SALT: F.lit(0)}), right.withColumn(SALT, F.lit(0))
     hot = sized_broadcast(hot, max_hot_keys)  # at most |right| / hot_threshold rows
 
     def mark(df: DataFrame, keys: Sequence[str]) -> DataFrame:

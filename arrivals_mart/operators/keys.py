@@ -8,10 +8,10 @@ in one task over all rows. The same numbers are produced here in parallel:
    (range bounds come from a sample of the full composite key, so one hot
    leading value is still spread over many partitions);
 2. number rows inside each partition from the scan position, and freeze
-   (partition, position) with a reliable checkpoint: the range bounds come
-   from a random sample, so two evaluations of the shuffle could disagree;
-   after the checkpoint both uses below read the same stored rows, also
-   when executors are lost and tasks rerun;
+   (partition, position) by writing the rows as parquet to shared scratch: the
+   range bounds come from a random sample, so two evaluations of the shuffle
+   could disagree; both uses below read the same stored rows, also when
+   executors are lost and tasks rerun;
 3. count rows per partition; a running sum over those counts (one row per
    partition, a bounded table) gives each partition's offset;
 4. key = offset + position + 1, with the offsets broadcast.
@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from arrivals_mart.session import ensure_checkpoint_dir
+from arrivals_mart.session import stored
 
 _ROW_BITS = 33  # monotonically_increasing_id = (partition index << 33) + row index
 
@@ -48,7 +48,6 @@ def dense_key(
     Nulls sort first and every column ascends, as in Spark's ``ORDER BY``.
     The key is a bigint; the result keeps every input column.
     """
-    spark = df.sparkSession
     if not tie_breakers:
         df = df.withColumn("_dk_tie", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
         tie_breakers = ["_dk_tie"]
@@ -64,8 +63,7 @@ def dense_key(
     ranged = ranged.withColumn(
         "_dk_pos", F.col("_dk_pos") - F.shiftleft(F.col("_dk_part").cast("bigint"), _ROW_BITS)
     )
-    ensure_checkpoint_dir(spark)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = stored(ranged, "dense-key")
     sizes = ranged.groupBy("_dk_part").agg(F.count(F.lit(1)).alias("_dk_n"))
     before = Window.orderBy("_dk_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_dk_part", F.coalesce(F.sum("_dk_n").over(before), F.lit(0)).alias("_dk_offset"))

@@ -33,6 +33,15 @@ def sized_broadcast(df: DataFrame, max_rows: int | None = DEFAULT_MAX_LOOKUP_ROW
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
 
 
+def _scatter(df: DataFrame) -> Column:
+    """Text that equals no code, different from row to row: stands in for a null key."""
+    return F.concat(F.lit("\u0000no-key:"), F.xxhash64(*_own_columns(df)).cast("string"))
+
+
+def _own_columns(df: DataFrame) -> list[Column]:
+    return [df[f"`{c}`"] for c in dict.fromkeys(df.columns) if df.columns.count(c) == 1]
+
+
 def lookup_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -55,14 +64,19 @@ def lookup_join(
     """
     side = lookup.alias(alias) if alias else lookup
     if broadcast is None:
-        side = sized_broadcast(side, max_rows)
-    elif broadcast:
+        broadcast = max_rows is None or row_count_at_most(lookup, max_rows)
+    if broadcast:
         side = F.broadcast(side)
     prefix = f"{alias}." if alias else ""
     conds = []
     for lk, rk in zip(left_keys, right_keys):
         rc = F.col(f"{prefix}{rk}")
-        conds.append(F.lower(lk) == F.lower(rc) if case_insensitive else lk == rc)
+        if case_insensitive:
+            lk, rc = F.lower(lk), F.lower(rc)
+        if broadcast is False and how == "left":
+            # a shuffle join: left rows without a key match nothing, so they need not meet in one task
+            lk, rc = F.coalesce(lk.cast("string"), _scatter(df)), rc.cast("string")
+        conds.append(lk == rc)
     cond = conds[0]
     for c in conds[1:]:
         cond = cond & c

@@ -7,12 +7,22 @@ taken in contract order; any failure raises.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from arrivals_mart.schemas import RECORD_KEY_TABLES, TABLE_KEYS, TARGETS, ddl, enforce, schema_differences
+from arrivals_mart.schemas import (
+    RECORD_KEY_TABLES,
+    TABLE_KEYS,
+    TARGETS,
+    ContractError,
+    ddl,
+    enforce,
+    schema_differences,
+)
+from arrivals_mart.session import stored
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -23,9 +33,40 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     writer.parquet(path)
 
 
-def write_contract(df: DataFrame, path: str, schema: T.StructType, name: str) -> None:
+def write_contract(df: DataFrame, path: str, schema: T.StructType, name: str, check_nulls: bool = True) -> None:
     """Enforce the target contract, then overwrite ``path``."""
-    overwrite(enforce(df, schema, name), path)
+    overwrite(enforce(df, schema, name, check_nulls), path)
+
+
+def _check_schema(actual: T.StructType, schema: T.StructType, label: str) -> None:
+    diffs = schema_differences(actual, schema)
+    if diffs:
+        raise ContractError(f"{label}: schema differs from contract: {diffs}")
+
+
+def _replace_folder(spark: SparkSession, rows: DataFrame, target: str, schema: T.StructType, label: str) -> None:
+    """Write ``rows`` beside ``target``, check them there, and only then put them in its place."""
+    target = target.rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    mark = uuid.uuid4().hex[:12]
+    fresh, old = f"{target}.loading-{mark}", f"{target}.replaced-{mark}"
+    try:
+        rows.write.parquet(fresh)
+        _check_schema(spark.read.parquet(fresh).schema, schema, label)
+        had = fs.exists(path(target))
+        if had and not fs.rename(path(target), path(old)):
+            raise OSError(f"{label}: cannot move {target} aside")
+        if not fs.rename(path(fresh), path(target)):
+            if had:
+                fs.rename(path(old), path(target))
+            raise OSError(f"{label}: cannot move the loaded rows to {target}")
+    finally:
+        if fs.exists(path(fresh)):
+            fs.delete(path(fresh), True)
+    if had:
+        fs.delete(path(old), True)
+    spark.catalog.refreshByPath(target)
 
 
 def truncate_and_load(
@@ -36,6 +77,7 @@ def truncate_and_load(
     name: str | None = None,
     source_format: str = "parquet",
     options: dict[str, str] | None = None,
+    check_nulls: bool = True,
 ) -> DataFrame:
     """Replace ``target`` with the staged files at ``staged_path``.
 
@@ -45,6 +87,11 @@ def truncate_and_load(
     ``target`` is a parquet folder when it contains a ``/``, otherwise an
     existing catalog table (rows are inserted by position after an
     overwrite); a missing table is an error.
+
+    The target keeps its old rows until the new ones are written and checked: a
+    folder is written beside the old one and swapped in; a table's schema is
+    compared with the contract first, and its rows are written to scratch,
+    where null keys show, before they are inserted.
     Returns the loaded target as a DataFrame.
     """
     label = name or target
@@ -52,19 +99,15 @@ def truncate_and_load(
     if source_format in ("csv", "json", "text"):
         reader = reader.schema(schema)
     staged = reader.load(staged_path)
-    rows = enforce(staged, schema, label)
+    rows = enforce(staged, schema, label, check_nulls)
     if "/" not in target:
         if not spark.catalog.tableExists(target):
             raise ValueError(f"{label}: no table {target!r}; create it with create_targets or pass a folder path")
-        rows.write.insertInto(target, overwrite=True)
-        loaded = spark.table(target)
-    else:
-        overwrite(rows, target)
-        loaded = spark.read.parquet(target)
-    diffs = schema_differences(loaded.schema, schema)
-    if diffs:
-        raise ValueError(f"{label}: loaded schema differs from contract: {diffs}")
-    return loaded
+        _check_schema(spark.table(target).schema, schema, label)
+        stored(rows, "load").write.insertInto(target, overwrite=True)
+        return spark.table(target)
+    _replace_folder(spark, rows, target, schema, label)
+    return spark.read.parquet(target)
 
 
 def create_targets(

@@ -21,25 +21,38 @@ def top_cities(demographics: DataFrame, k: int = 10) -> DataFrame:
     return top_k(cities, order, k)
 
 
-def _matches_top(fact: DataFrame, top: DataFrame):
-    return (F.lower(fact["arrival_city"]) == F.lower(top["city"])) & (
-        F.lower(fact["arrival_state"]) == F.lower(top["state_code"])
+def _top_places(demographics: DataFrame, k: int, *more: str) -> DataFrame:
+    """The top cities as (lower-case city, lower-case state, more...), each once.
+
+    A city may stand among the top rows with several totals or spellings; a
+    fact must still meet it once. At most ``k`` rows, so it is broadcast.
+    """
+    places = top_cities(demographics, k).select(
+        F.lower("city").alias("_city"), F.lower("state_code").alias("_state"), *more
     )
+    return F.broadcast(places.distinct())
+
+
+def _matches_top(fact: DataFrame, top: DataFrame):
+    return (F.lower(fact["arrival_city"]) == top["_city"]) & (F.lower(fact["arrival_state"]) == top["_state"])
 
 
 def top_city_arrivals(fact: DataFrame, demographics: DataFrame, k: int = 10) -> DataFrame:
-    """Arrivals per city for the ``k`` most populous cities, most arrivals first."""
-    top = F.broadcast(top_cities(demographics, k))  # at most k rows
+    """Arrivals per city and total for the ``k`` most populous cities, most arrivals first.
+
+    A city with two totals has a row for each; two spellings of one total are one city.
+    """
+    top = _top_places(demographics, k, "total_population")
     joined = fact.join(top, _matches_top(fact, top), "inner")
     counted = joined.groupBy(fact["arrival_city"], top["total_population"]).agg(
         F.count(fact["immigration_id"]).alias("immigration_count")
     )
-    return counted.orderBy(F.col("immigration_count").desc(), F.col("arrival_city"))
+    return counted.orderBy(F.col("immigration_count").desc(), F.col("arrival_city"), F.col("total_population"))
 
 
 def top_city_share(fact: DataFrame, demographics: DataFrame, k: int = 10) -> DataFrame:
     """Share (percent) of all arrivals that land in the ``k`` most populous cities."""
-    top = F.broadcast(top_cities(demographics, k).withColumn("_top", F.lit(True)))
+    top = _top_places(demographics, k).withColumn("_top", F.lit(True))
     joined = fact.join(top, _matches_top(fact, top), "left")
     out = joined.agg(
         F.count(fact["immigration_id"]).alias("total_arrivals"),

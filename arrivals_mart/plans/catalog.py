@@ -9,9 +9,11 @@ folder below the session's checkpoint folder and read it back.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,15 +22,15 @@ from arrivals_mart.functions.codes import TRANSPORT_MODES, TRAVEL_PURPOSES, deco
 from arrivals_mart.functions.dates import epoch_ms, from_day_number, from_epoch_ms, to_day_number
 from arrivals_mart.operators.lookups import lookup_join
 from arrivals_mart.operators.quality import duplicate_keys, run_checks
-from arrivals_mart.operators.sinks import overwrite, truncate_and_load
+from arrivals_mart.operators.sinks import create_targets, overwrite, truncate_and_load
 from arrivals_mart.plans import analytics, listening, marts
-from arrivals_mart.plans.derived import Inputs
+from arrivals_mart.plans.derived import SONG_COPIES, Inputs
 from arrivals_mart.plans.oracle import QUALITY_TABLES
 from arrivals_mart.plans.pipeline import StagingLayout, run_concurrently, run_pipeline
-from arrivals_mart.schemas import FACT_IMMIGRATION, enforce, schema_differences
-from arrivals_mart.session import scratch_path
+from arrivals_mart.schemas import DEMOGRAPHICS_USED, FACT_IMMIGRATION, TARGETS, enforce, schema_differences
+from arrivals_mart.session import scratch_path, stored
 from arrivals_mart.sources.files import read_csv, read_parquet, read_table, register
-from arrivals_mart.sources.labels import label_dictionary, port_lookup
+from arrivals_mart.sources.labels import country_lookup, label_dictionary, port_lookup
 from arrivals_mart.streaming.incremental import incremental_fact_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,11 +54,13 @@ def q_scan_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns are found by header name: the file has them in another order, in upper case, with extra ones."""
     path = scratch_path(spark, "supplier-csv")
-    sup = read_table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
-    sup.write.option("header", "true").csv(path)
-    raw_schema = T.StructType([T.StructField(c, T.StringType()) for c in sup.columns])
-    raw = read_csv(spark, path, raw_schema)
+    wanted = ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"]
+    sup = read_table(spark, sf, "supplier").select(*wanted).withColumn("remark", F.lit("a, b"))
+    stored_order = ["s_acctbal", "remark", "s_name", "s_suppkey", "s_nationkey"]
+    sup.select(*[F.col(c).alias(c.upper()) for c in stored_order]).write.option("header", "true").csv(path)
+    raw = read_csv(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in wanted]))
     return raw.select(
         tolerant_long("s_suppkey").alias("s_suppkey"),
         F.col("s_name"),
@@ -66,18 +70,28 @@ def q_scan_csv_header(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_scan_csv_semicolon(spark: SparkSession, sf: str) -> DataFrame:
+    """The reader of the whole run, over a file with columns moved, one added and an unused one missing."""
     path = scratch_path(spark, "demographics-csv")
-    Inputs(spark, sf).demographics().write.option("header", "true").option("sep", ";").csv(path)
-    return marts.typed_demographics(read_csv(spark, path, sep=";"))
+    raw = Inputs(spark, sf).demographics()
+    moved = [F.col(f"`{c}`") for c in reversed(raw.columns) if c != "Count"]
+    raw.select(F.lit("2015").alias("Survey Year"), *moved).write.option("header", "true").option("sep", ";").csv(path)
+    return marts.typed_demographics(read_csv(spark, path, DEMOGRAPHICS_USED, sep=";"))
 
 
-def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
-    """Write a label dictionary (``value`` blocks of code = 'label' lines, CRLF) from the tables.
+# Label files are read in splits of this size, so that a block spans several.
+LABEL_SPLIT_BYTES = 32 * 1024
+LABEL_BLOCK_ENTRIES = 5000
+
 
-    Customers form numeric-code blocks of at most 5,000 entries, each block
-    headed by its own ``value`` line; suppliers form a quoted-code port block
-    with 'CITY, ST' labels (ST = the supplier's region); regions form the
-    state-code block. Each output file holds whole blocks, written in order.
+def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
+    """Write a label dictionary (``value`` blocks of code = 'label' entries, CRLF) from the tables.
+
+    Customers form numeric-code blocks and suppliers quoted-code port blocks
+    with 'CITY, ST' labels (ST = the supplier's region), of LABEL_BLOCK_ENTRIES
+    entries each, every block headed by its own ``value`` line in changing
+    letter case; regions form the state-code block. Some lines hold two entries,
+    and some labels are 5,000 characters long. A block is written by one
+    task into one file, many blocks by many tasks.
     """
     cust = read_table(spark, sf, "customer")
     nation = read_table(spark, sf, "nation")
@@ -89,21 +103,17 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
 
     k = F.col("c_custkey")
     label = (
-        F.when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("No Country Code ("), k.cast("string"), F.lit(")")))
+        F.when(k % 500 == 7, F.rpad("c_name", 5000, "x"))
+        .when(F.col("c_mktsegment") == "BUILDING", F.concat(F.lit("No Country Code ("), k.cast("string"), F.lit(")")))
         .when(F.col("c_mktsegment") == "MACHINERY", F.concat(F.col("c_name"), F.lit(" O'NEIL")))
         .when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(F.col("c_name"), F.lit("   ")))
         .otherwise(F.col("c_name"))
     )
-    chunk = F.floor(k / 5000)
-    cust_lines = cust.select(
-        chunk.alias("chunk"), k.alias("seq"),
-        F.concat(F.lit("   "), k.cast("string"), F.lit(" =  "), q, esc(label), q).alias("text"),
-    )
-    heads = cust.select(chunk.alias("chunk")).distinct()
-    cust_heads = heads.select("chunk", F.lit(-1).cast("bigint").alias("seq"), F.lit("  value custl").alias("text"))
-    cust_notes = heads.select(
-        "chunk", F.lit(-2).cast("bigint").alias("seq"), F.lit("/* customer codes - valid and invalid */").alias("text")
-    )
+    entry = F.concat(F.lit("   "), k.cast("string"), F.lit(" =  "), q, esc(label), q)
+    # an entry whose code ends in 1 stands on the line of the one before it
+    line = F.when(k % 10 == 1, k - 1).otherwise(k).alias("seq")
+    two = F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), entry.alias("t")))), lambda e: e["t"])
+    cust_lines = cust.groupBy(F.floor(k / LABEL_BLOCK_ENTRIES).alias("chunk"), line).agg(F.concat_ws(" ", two).alias("text"))
 
     st = F.upper(F.substring("r_name", 1, 2))
     supplier = read_table(spark, sf, "supplier")
@@ -113,26 +123,33 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     s_key = F.col("s_suppkey")
     town = F.when(s_key % 5 == 0, F.concat(F.col("s_name"), F.lit(" O'HARE"))).otherwise(F.col("s_name"))
     port_label = (
-        F.when(F.col("n_regionkey") == 4, F.concat(town, F.lit(", MX")))
+        F.when(s_key % 9 == 0, F.concat(F.lit("No PORT Code (S"), s_key.cast("string"), F.lit(")")))
+        .when(F.col("n_regionkey") == 4, F.concat(town, F.lit(", MX")))
         .when(s_key % 4 == 1, F.concat(town, F.lit(", "), st, F.lit(" (BPS)")))
         .when(s_key % 4 == 2, F.concat(town, F.lit(", "), st, F.lit(" #ARPT")))
-        .when(s_key % 4 == 3, town)
+        .when(s_key % 8 == 3, F.concat(town, F.lit(" "), st))
+        .when(s_key % 8 == 7, town)
         .otherwise(F.concat(town, F.lit(", "), st))
     )
     port_lines = sr.select(
-        F.lit(-1).cast("bigint").alias("chunk"), s_key.cast("bigint").alias("seq"),
+        (-F.floor(s_key / LABEL_BLOCK_ENTRIES) - 2).alias("chunk"), s_key.cast("bigint").alias("seq"),
         F.concat(F.lit("   'S"), s_key.cast("string"), F.lit("'\t=\t'"), esc(port_label), F.lit("   '")).alias("text"),
     )
     state_lines = region.filter(F.col("r_regionkey") != 4).select(
-        F.lit(-2).cast("bigint").alias("chunk"), F.col("r_regionkey").cast("bigint").alias("seq"),
+        F.lit(-1).cast("bigint").alias("chunk"), F.col("r_regionkey").cast("bigint").alias("seq"),
         F.concat(F.lit("\t'"), st, F.lit("'='"), F.col("r_name"), F.lit("'")).alias("text"),
     )
-    fixed_heads = spark.createDataFrame(
-        [(-1, -1, "  value $portl"), (-2, -1, "value stcodes")], "chunk bigint, seq bigint, text string"
-    )
-    lines = cust_lines.unionByName(cust_heads).unionByName(cust_notes)
-    lines = lines.unionByName(port_lines).unionByName(state_lines).unionByName(fixed_heads)
-    # a block never spans files: all lines of a chunk go to one partition, in order
+
+    def heads(lines: DataFrame, text) -> DataFrame:
+        return lines.select("chunk").distinct().select("chunk", F.explode(F.array(
+            F.struct(F.lit(-2).cast("bigint").alias("seq"), F.lit("/* codes - valid and invalid, such as 1 = 'one' */").alias("text")),
+            F.struct(F.lit(-1).cast("bigint").alias("seq"), text.alias("text")),
+        )).alias("h")).select("chunk", "h.seq", "h.text")
+
+    lines = cust_lines.unionByName(heads(cust_lines, F.when(F.col("chunk") % 2 == 0, "  value custl").otherwise("  VALUE custl")))
+    lines = lines.unionByName(port_lines).unionByName(heads(port_lines, F.lit("  Value $portl")))
+    lines = lines.unionByName(state_lines).unionByName(heads(state_lines, F.lit("value stcodes")))
+    # all lines of a block go to one partition, in order
     (
         lines.repartition("chunk")
         .sortWithinPartitions("chunk", "seq")
@@ -141,16 +158,22 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     )
 
 
-def q_label_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+def _labels(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "labels")
     write_label_text(spark, sf, path)
-    return label_dictionary(spark, path)
+    return label_dictionary(spark, path, split_bytes=LABEL_SPLIT_BYTES)
+
+
+def q_label_dictionary(spark: SparkSession, sf: str) -> DataFrame:
+    return _labels(spark, sf).select("block", "code", "label", "is_valid")
 
 
 def q_label_port_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "labels")
-    write_label_text(spark, sf, path)
-    return port_lookup(label_dictionary(spark, path), block="$portl", state_block="stcodes")
+    return port_lookup(_labels(spark, sf), block="$portl", state_block="stcodes", valid_only=True)
+
+
+def q_label_country_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    return country_lookup(_labels(spark, sf), block="custl", valid_only=True)
 
 
 # ------------------------------------------------------------------ sinks
@@ -172,6 +195,18 @@ def q_truncate_and_load(spark: SparkSession, sf: str) -> DataFrame:
     return truncate_and_load(spark, staged, target, FACT_IMMIGRATION, "fact_immigration")
 
 
+def q_load_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The same load into a table that the catalog holds, made for the contract."""
+    inp = Inputs(spark, sf)
+    staged = scratch_path(spark, "fact-staged")
+    overwrite(enforce(marts.build_fact(inp.arrivals(), inp.ports()), FACT_IMMIGRATION, "fact_immigration"), staged)
+    name = f"load_{uuid.uuid4().hex[:12]}"
+    create_targets(spark, scratch_path(spark, "catalog"), targets={name: FACT_IMMIGRATION})
+    for _ in range(2):
+        loaded = truncate_and_load(spark, staged, name, FACT_IMMIGRATION, "fact_immigration")
+    return loaded
+
+
 LINE_CONTRACT = T.StructType(
     [
         T.StructField("l_orderkey", T.LongType(), False),
@@ -202,7 +237,11 @@ def q_schema_contract(spark: SparkSession, sf: str) -> DataFrame:
 def q_key_cast(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k = F.col("o_orderkey").cast("double")
-    return o.select(int_key(k).alias("order_id"), int_key(k + 0.7).alias("shifted_id"), "o_custkey")
+    large = F.lit(2**53) + F.col("o_orderkey")  # neighbours that a double cannot tell apart
+    return o.select(
+        int_key(k).alias("order_id"), int_key(k + 0.7).alias("shifted_id"), int_key(large).alias("large_id"),
+        int_key(large.cast("string")).alias("large_text_id"), "o_custkey",
+    )
 
 
 def q_tolerant_casts(spark: SparkSession, sf: str) -> DataFrame:
@@ -221,6 +260,9 @@ def q_tolerant_casts(spark: SparkSession, sf: str) -> DataFrame:
         tolerant_double(F.col("p_retailprice").cast("string")).alias("price_double"),
         tolerant_int(F.concat(size, F.lit(".0"))).alias("size_int"),
         tolerant_int(F.concat(F.lit("  "), size, F.lit(" "))).alias("padded_int"),
+        tolerant_int(F.concat(size, F.lit("D"))).alias("suffix_int"),
+        tolerant_int(F.concat(size, F.lit("e3"))).alias("exponent_int"),
+        tolerant_int(F.concat(F.lit(" +"), size, F.lit(".9"))).alias("signed_int"),
         tolerant_double("p_type").alias("type_double"),
         tolerant_date(date_text).alias("ship_date"),
     )
@@ -304,8 +346,9 @@ def q_epoch_to_timestamp(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------------ listening log
 def _songplays(spark: SparkSession, sf: str) -> DataFrame:
+    """Songs in SONG_COPIES copies count as hot here, so that salting runs."""
     inp = Inputs(spark, sf)
-    return listening.build_songplays(inp.events(), inp.songs())
+    return listening.build_songplays(inp.events(), inp.songs(), hot_threshold=SONG_COPIES, salts=8)
 
 
 def q_songplays(spark: SparkSession, sf: str) -> DataFrame:
@@ -313,7 +356,8 @@ def q_songplays(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_time_dimension(spark: SparkSession, sf: str) -> DataFrame:
-    return listening.build_time(_songplays(spark, sf))
+    """From the written song plays, not from their join once more."""
+    return listening.build_time(stored(_songplays(spark, sf), "songplays"))
 
 
 def q_distinct_users(spark: SparkSession, sf: str) -> DataFrame:
@@ -371,7 +415,7 @@ def q_star_join(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_monthly_average_build(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.monthly_temperatures(Inputs(spark, sf).temperatures(), since="1997-01-01")
+    return marts.monthly_temperatures(Inputs(spark, sf).temperatures())
 
 
 def q_surrogate_key_two_level(spark: SparkSession, sf: str) -> DataFrame:
@@ -413,16 +457,24 @@ def q_trailing_temperature_as_of(spark: SparkSession, sf: str) -> DataFrame:
     return _round4(out, "trailing_avg_temp")
 
 
-def stage_inputs(spark: SparkSession, sf: str, staging: str, layout: StagingLayout = StagingLayout()) -> None:
-    """Write the derived raw inputs in their source formats (parquet and CSV), side by side."""
+def stage_inputs(
+    spark: SparkSession, sf: str, staging: str, layout: StagingLayout = StagingLayout(), no_key: Column | None = None
+) -> None:
+    """Write the derived raw inputs in their source formats (parquet and CSV), side by side.
+
+    Arrival records where ``no_key`` holds lose their key.
+    """
     inp = Inputs(spark, sf)
+    arrivals = inp.arrivals()
+    if no_key is not None:
+        arrivals = arrivals.withColumn("cicid", F.when(~no_key, F.col("cicid")))
 
     def csv(df, rel, sep=","):
         return lambda: df.write.option("header", "true").option("sep", sep).csv(os.path.join(staging, rel))
 
     run_concurrently(
         {
-            "arrivals": lambda: inp.arrivals().write.parquet(os.path.join(staging, layout.arrivals)),
+            "arrivals": lambda: arrivals.write.parquet(os.path.join(staging, layout.arrivals)),
             "ports": csv(inp.ports(), layout.ports),
             "countries": csv(inp.countries(), layout.countries),
             "temperature": csv(inp.temperatures(), layout.temperature),
@@ -435,7 +487,32 @@ def q_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "pipeline")
     staging, production = os.path.join(root, "staging"), os.path.join(root, "production")
     stage_inputs(spark, sf, staging)
-    return run_pipeline(spark, staging, production)
+    report = run_pipeline(spark, staging, production)
+    contents = [
+        content(spark.read.parquet(os.path.join(production, name)), schema, name) for name, schema in TARGETS.items()
+    ]
+    held = reduce(DataFrame.unionByName, contents)
+    return report.join(F.broadcast(held), "table_name")  # one row per table
+
+
+def content(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
+    """What a table holds, as one row: least and greatest MD5 of its rows' texts, and how many differ."""
+    texts = [
+        F.coalesce((F.round(F.col(f.name) * 1000).cast("bigint") if isinstance(f.dataType, T.DoubleType) else F.col(f.name))
+                   .cast("string"), F.lit("~"))
+        for f in schema.fields
+    ]
+    rows = df.select(F.md5(F.concat_ws("|", *texts)).alias("m"))
+    return rows.agg(F.min("m").alias("least_row"), F.max("m").alias("greatest_row"),
+                    F.count_distinct("m").alias("distinct_rows")).withColumn("table_name", F.lit(name))
+
+
+def q_pipeline_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrival records without a key: the run ends with all of them counted. Uniqueness is not asked for."""
+    root = scratch_path(spark, "pipeline-nulls")
+    staging, production = os.path.join(root, "staging"), os.path.join(root, "production")
+    stage_inputs(spark, sf, staging, no_key=F.col("cicid") % 97 == 0)
+    return run_pipeline(spark, staging, production, check=False, unique=False)
 
 
 def q_incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
@@ -468,8 +545,10 @@ QUERIES: dict[str, Query] = {
     "scan_csv_semicolon": q_scan_csv_semicolon,
     "label_dictionary": q_label_dictionary,
     "label_port_lookup": q_label_port_lookup,
+    "label_country_lookup": q_label_country_lookup,
     "sink_parquet_overwrite": q_sink_parquet_overwrite,
     "truncate_and_load": q_truncate_and_load,
+    "load_catalog_table": q_load_catalog_table,
     "schema_contract": q_schema_contract,
     "key_cast": q_key_cast,
     "tolerant_casts": q_tolerant_casts,
@@ -499,6 +578,7 @@ QUERIES: dict[str, Query] = {
     "distinct_songs": q_distinct_songs,
     "distinct_artists": q_distinct_artists,
     "pipeline_run": q_pipeline_run,
+    "pipeline_null_keys": q_pipeline_null_keys,
     "incremental_fact": q_incremental_fact,
     "quality_report": q_quality_report,
     "quality_duplicates": q_quality_duplicates,

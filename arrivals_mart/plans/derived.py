@@ -96,8 +96,11 @@ def temperatures(lineitem: DataFrame, supplier: DataFrame, nation: DataFrame) ->
     li = lineitem.select("l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate")
     j = li.join(sup, F.col("l_suppkey") == F.col("s_suppkey")).join(nat, F.col("s_nationkey") == F.col("n_nationkey"), "left")
     month_text = F.date_format(F.trunc(F.col("l_shipdate").cast("date"), "month"), "yyyy-MM-dd")
+    # line 5 reads 17 years earlier, so that some readings lie before the first month of the dimension
+    early_text = F.date_format(F.add_months(F.trunc(F.col("l_shipdate").cast("date"), "month"), -204), "yyyy-MM-dd")
     return j.select(
-        F.when(F.col("l_linenumber") == 7, "not a date").otherwise(month_text).alias("dt"),
+        F.when(F.col("l_linenumber") == 7, "not a date").when(F.col("l_linenumber") == 5, early_text)
+        .otherwise(month_text).alias("dt"),
         F.when(F.col("l_linenumber") == 6, "").otherwise(_s(F.col("l_quantity"))).alias("AverageTemperature"),
         F.concat(
             _s(F.col("l_linenumber")), F.lit("."),
@@ -114,19 +117,21 @@ def demographics(customer: DataFrame, nation: DataFrame, region: DataFrame) -> D
     """Raw demographics rows (all text, file header names) from customers.
 
     City = the customer's nation, state code = its region's first letters,
-    one race row per customer; the city total repeats on every race row.
+    one race row per customer; the city total repeats on every race row. Some
+    rows spell the city in lower case and some have another total.
     """
     geo = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey"), "left")
     geo = sized_broadcast(geo, FIXED_SIZE)
     j = customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     k = F.col("c_custkey")
     return j.select(
-        F.col("n_name").alias("City"),
+        F.when(k % 10 == 3, F.lower("n_name")).otherwise(F.col("n_name")).alias("City"),
         F.initcap("r_name").alias("State"),
         _s(F.col("c_acctbal") / 100).alias("Median Age"),
         F.concat(_s(k % 1000), F.lit(".0")).alias("Male Population"),
         F.when(F.col("c_mktsegment") == "BUILDING", "").otherwise(_s(k % 777)).alias("Female Population"),
-        _s(F.col("n_nationkey") * 1000 + F.col("n_regionkey") + 100000).alias("Total Population"),
+        _s(F.col("n_nationkey") * 1000 + F.col("n_regionkey") + 100000 + F.when(k % 7 == 2, 1).otherwise(0))
+        .alias("Total Population"),
         _s(F.col("c_nationkey") * 10).alias("Number of Veterans"),
         F.when(F.col("c_acctbal") < 0, "n/a").otherwise(_s(k % 500)).alias("Foreign-born"),
         _s(F.col("c_acctbal") / 1000).alias("Average Household Size"),
@@ -166,8 +171,16 @@ def listening_events(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
+# Every 500th part is a song stored in this many copies.
+SONG_COPIES = 24
+
+
 def listening_songs(part: DataFrame) -> DataFrame:
-    """Song catalogue: one song per part."""
+    """Song catalogue: one song per part, some of them in many copies under ids of their own."""
+    copies = F.when(F.col("p_partkey") % 500 == 1, F.sequence(F.lit(0), F.lit(SONG_COPIES - 1))).otherwise(
+        F.array(F.lit(0))
+    )
+    part = part.withColumn("copy", F.explode(copies))
     return part.select(
         F.lit(1).cast("bigint").alias("num_songs"),
         F.concat(F.lit("AR"), F.regexp_replace("p_brand", "Brand#", "")).alias("artist_id"),
@@ -175,7 +188,8 @@ def listening_songs(part: DataFrame) -> DataFrame:
         F.col("p_size").cast("double").alias("artist_latitude"),
         (-F.col("p_size").cast("double")).alias("artist_longitude"),
         F.col("p_type").alias("artist_location"),
-        F.concat(F.lit("SO"), _s(F.col("p_partkey"))).alias("song_id"),
+        F.concat(F.lit("SO"), _s(F.col("p_partkey")), F.when(F.col("copy") > 0, F.concat(F.lit("-"), _s(F.col("copy"))))
+                 .otherwise(F.lit(""))).alias("song_id"),
         F.col("p_name").alias("title"),
         F.col("p_retailprice").alias("duration"),
         (F.col("p_size") + 1990).cast("bigint").alias("year"),

@@ -10,6 +10,8 @@ written as ``trunc``; DuckDB sorts nulls last, so ``NULLS FIRST`` is explicit.
 
 from __future__ import annotations
 
+from arrivals_mart.schemas import RECORD_KEY_TABLES, TABLE_KEYS, TARGETS
+
 CTES = {
     "arrivals_base": """
     SELECT o.*, CASE WHEN o_orderpriority = '5-LOW' THEN NULL
@@ -44,6 +46,8 @@ CTES = {
     SELECT lpad(CAST(n_nationkey AS VARCHAR), 3, ' ') AS code, n_name AS country FROM nation""",
     "temperatures": """
     SELECT CASE WHEN l_linenumber = 7 THEN 'not a date'
+                WHEN l_linenumber = 5
+                THEN strftime(date_trunc('month', CAST(l_shipdate AS DATE)) - INTERVAL 204 MONTH, '%Y-%m-%d')
                 ELSE strftime(date_trunc('month', CAST(l_shipdate AS DATE)), '%Y-%m-%d') END AS dt,
            CASE WHEN l_linenumber = 6 THEN '' ELSE CAST(l_quantity AS VARCHAR) END AS averagetemperature,
            CAST(l_linenumber AS VARCHAR) || '.' || CASE WHEN l_returnflag = 'A' THEN '25'
@@ -52,13 +56,14 @@ CTES = {
            CASE WHEN l_returnflag = 'R' THEN 'Mexico' ELSE 'United States' END AS country
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey""",
     "demographics": """
-    SELECT n_name AS city,
+    SELECT CASE WHEN c_custkey % 10 = 3 THEN lower(n_name) ELSE n_name END AS city,
            CASE WHEN r_name = 'MIDDLE EAST' THEN NULL ELSE upper(substr(r_name, 1, 2)) END AS state_code,
            c_mktsegment || ' ' || CAST(c_custkey AS VARCHAR) AS race,
            TRY_CAST(CAST(c_acctbal / 100 AS VARCHAR) AS DOUBLE) AS median_age,
            CAST(c_custkey % 1000 AS INTEGER) AS male_population,
            CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE CAST(c_custkey % 777 AS INTEGER) END AS female_population,
-           CAST(n_nationkey * 1000 + n_regionkey + 100000 AS INTEGER) AS total_population,
+           CAST(n_nationkey * 1000 + n_regionkey + 100000 + CASE WHEN c_custkey % 7 = 2 THEN 1 ELSE 0 END AS INTEGER)
+               AS total_population,
            CAST(c_nationkey * 10 AS INTEGER) AS number_of_veterans,
            CASE WHEN c_acctbal < 0 THEN NULL ELSE CAST(c_custkey % 500 AS INTEGER) END AS foreign_born,
            TRY_CAST(CAST(c_acctbal / 1000 AS VARCHAR) AS DOUBLE) AS avg_household_size
@@ -136,11 +141,11 @@ CTES = {
            CAST(p_size AS DOUBLE) AS artist_latitude,
            -CAST(p_size AS DOUBLE) AS artist_longitude,
            p_type AS artist_location,
-           'SO' || CAST(p_partkey AS VARCHAR) AS song_id,
+           'SO' || CAST(p_partkey AS VARCHAR) || CASE WHEN copy > 0 THEN '-' || CAST(copy AS VARCHAR) ELSE '' END AS song_id,
            p_name AS title,
            p_retailprice AS duration,
            CAST(p_size + 1990 AS BIGINT) AS year
-    FROM part""",
+    FROM part JOIN range(0, 24) AS r(copy) ON copy = 0 OR p_partkey % 500 = 1""",
     "songplays": """
     SELECT md5(CAST(e.sessionid AS VARCHAR) || CAST(e.start_time AS VARCHAR)) AS songplay_id,
            e.start_time, e.userid, e.level, s.song_id, s.artist_id, e.sessionid, e.location, e.useragent
@@ -198,19 +203,22 @@ TRAILING_TEMPS = """
 
 LABEL_ROWS = """
     SELECT 'custl' AS block, CAST(c_custkey AS VARCHAR) AS code,
-           CASE WHEN c_mktsegment = 'BUILDING' THEN 'No Country Code (' || CAST(c_custkey AS VARCHAR) || ')'
+           CASE WHEN c_custkey % 500 = 7 THEN rpad(c_name, 5000, 'x')
+                WHEN c_mktsegment = 'BUILDING' THEN 'No Country Code (' || CAST(c_custkey AS VARCHAR) || ')'
                 WHEN c_mktsegment = 'MACHINERY' THEN c_name || ' O''NEIL'
                 ELSE c_name END AS label,
-           c_mktsegment <> 'BUILDING' AS is_valid
+           c_custkey % 500 = 7 OR c_mktsegment <> 'BUILDING' AS is_valid
     FROM customer
     UNION ALL
     SELECT '$portl', 'S' || CAST(s_suppkey AS VARCHAR),
-           CASE WHEN n_regionkey = 4 THEN town || ', MX'
+           CASE WHEN s_suppkey % 9 = 0 THEN 'No PORT Code (S' || CAST(s_suppkey AS VARCHAR) || ')'
+                WHEN n_regionkey = 4 THEN town || ', MX'
                 WHEN s_suppkey % 4 = 1 THEN town || ', ' || upper(substr(r_name, 1, 2)) || ' (BPS)'
                 WHEN s_suppkey % 4 = 2 THEN town || ', ' || upper(substr(r_name, 1, 2)) || ' #ARPT'
-                WHEN s_suppkey % 4 = 3 THEN town
+                WHEN s_suppkey % 8 = 3 THEN town || ' ' || upper(substr(r_name, 1, 2))
+                WHEN s_suppkey % 8 = 7 THEN town
                 ELSE town || ', ' || upper(substr(r_name, 1, 2)) END,
-           true
+           s_suppkey % 9 <> 0
     FROM (SELECT *, CASE WHEN s_suppkey % 5 = 0 THEN s_name || ' O''HARE' ELSE s_name END AS town
           FROM supplier) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     UNION ALL
@@ -219,9 +227,22 @@ LABEL_ROWS = """
 LABEL_PORTS = """
     SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code,
            CASE WHEN n_regionkey = 4 THEN town || ', MX' ELSE town END AS city,
-           CASE WHEN n_regionkey = 4 OR s_suppkey % 4 = 3 THEN NULL ELSE upper(substr(r_name, 1, 2)) END AS state
+           CASE WHEN n_regionkey = 4 OR s_suppkey % 8 = 7 THEN NULL ELSE upper(substr(r_name, 1, 2)) END AS state
     FROM (SELECT *, CASE WHEN s_suppkey % 5 = 0 THEN s_name || ' O''HARE' ELSE s_name END AS town
-          FROM supplier) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+          FROM supplier) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE s_suppkey % 9 <> 0"""
+
+LABEL_COUNTRIES = f"SELECT code, label AS country FROM ({LABEL_ROWS}) WHERE block = 'custl' AND is_valid"
+
+
+def content_sql(table: str, columns: list[tuple[str, str]]) -> str:
+    """What a table holds, as one row: least and greatest MD5 of its rows' texts, and how many differ."""
+    texts = [
+        f"coalesce(CAST(CAST(round({c} * 1000) AS BIGINT) AS VARCHAR), '~')" if kind == "double"
+        else f"coalesce(CAST({c} AS VARCHAR), '~')" for c, kind in columns
+    ]
+    text = " || '|' || ".join(texts)
+    return f"SELECT min(m) AS least_row, max(m) AS greatest_row, count(DISTINCT m) AS distinct_rows FROM (SELECT md5({text}) AS m FROM {table})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -231,8 +252,10 @@ def oracle_sql() -> dict[str, str]:
     q["scan_csv_semicolon"] = with_ctes(["demographics"], "SELECT * FROM demographics")
     q["label_dictionary"] = LABEL_ROWS
     q["label_port_lookup"] = LABEL_PORTS
+    q["label_country_lookup"] = LABEL_COUNTRIES
     q["sink_parquet_overwrite"] = "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer"
     q["truncate_and_load"] = with_ctes(["fact"], "SELECT * FROM fact")
+    q["load_catalog_table"] = with_ctes(["fact"], "SELECT * FROM fact")
     q["schema_contract"] = (
         "SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS l_shipdate, l_extendedprice, l_returnflag "
         "FROM lineitem"
@@ -240,6 +263,8 @@ def oracle_sql() -> dict[str, str]:
     q["key_cast"] = (
         "SELECT CAST(CAST(trunc(CAST(o_orderkey AS DOUBLE)) AS BIGINT) AS VARCHAR) AS order_id, "
         "CAST(CAST(trunc(CAST(o_orderkey AS DOUBLE) + 0.7) AS BIGINT) AS VARCHAR) AS shifted_id, "
+        "CAST(9007199254740992 + o_orderkey AS VARCHAR) AS large_id, "
+        "CAST(9007199254740992 + o_orderkey AS VARCHAR) AS large_text_id, "
         "o_custkey FROM orders"
     )
     q["tolerant_casts"] = """
@@ -249,6 +274,8 @@ def oracle_sql() -> dict[str, str]:
            TRY_CAST(CAST(p_retailprice AS VARCHAR) AS DOUBLE) AS price_double,
            TRY_CAST(trunc(TRY_CAST(CAST(p_size AS VARCHAR) || '.0' AS DOUBLE)) AS INTEGER) AS size_int,
            TRY_CAST(trunc(TRY_CAST('  ' || CAST(p_size AS VARCHAR) || ' ' AS DOUBLE)) AS INTEGER) AS padded_int,
+           CAST(NULL AS INTEGER) AS suffix_int, CAST(NULL AS INTEGER) AS exponent_int,
+           p_size AS signed_int,
            TRY_CAST(p_type AS DOUBLE) AS type_double,
            TRY_CAST('2001-' || CASE WHEN p_size % 5 = 0 THEN '13' ELSE '01' END || '-'
                     || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') AS DATE) AS ship_date
@@ -309,7 +336,7 @@ def oracle_sql() -> dict[str, str]:
                  TRY_CAST(averagetemperature AS DOUBLE) AS t,
                  TRY_CAST(averagetemperatureuncertainty AS DOUBLE) AS u
           FROM temperatures)
-    WHERE country = 'United States' AND temp_report_month >= DATE '1997-01-01'
+    WHERE country = 'United States' AND temp_report_month >= DATE '1980-01-01'
     GROUP BY 1, 2, 3""",
     )
     q["surrogate_key_two_level"] = with_ctes(
@@ -326,19 +353,20 @@ def oracle_sql() -> dict[str, str]:
     q["top_city_arrivals"] = with_ctes(
         ["fact", "top_cities"],
         """SELECT i.arrival_city, c.total_population, count(i.immigration_id) AS immigration_count
-    FROM fact i JOIN top_cities c
-      ON lower(i.arrival_city) = lower(c.city) AND lower(i.arrival_state) = lower(c.state_code)
+    FROM fact i JOIN (SELECT DISTINCT lower(city) AS city, lower(state_code) AS state, total_population FROM top_cities) c
+      ON lower(i.arrival_city) = c.city AND lower(i.arrival_state) = c.state
     GROUP BY 1, 2
-    ORDER BY 3 DESC, 1""",
+    ORDER BY 3 DESC, 1, 2""",
     )
     q["top_city_share"] = with_ctes(
         ["fact", "top_cities"],
         """SELECT total_arrivals, covered_arrivals,
            round(CAST(covered_arrivals AS DOUBLE) * 100.0 / total_arrivals, 4) AS share_pct
-    FROM (SELECT count(i.immigration_id) AS total_arrivals,
-                 count(CASE WHEN c.city IS NOT NULL THEN i.immigration_id END) AS covered_arrivals
-          FROM fact i LEFT JOIN top_cities c
-            ON lower(i.arrival_city) = lower(c.city) AND lower(i.arrival_state) = lower(c.state_code))""",
+    FROM (SELECT count(immigration_id) AS total_arrivals,
+                 count(CASE WHEN EXISTS (SELECT 1 FROM top_cities c WHERE lower(i.arrival_city) = lower(c.city)
+                                         AND lower(i.arrival_state) = lower(c.state_code))
+                       THEN immigration_id END) AS covered_arrivals
+          FROM fact i)""",
     )
     q["trailing_temperature_vs_arrivals"] = with_ctes(
         ["fact", "temp_dim"],
@@ -367,18 +395,26 @@ def oracle_sql() -> dict[str, str]:
         ["songs_l"],
         "SELECT DISTINCT artist_id, artist_name, artist_location, artist_latitude, artist_longitude FROM songs_l",
     )
-    q["pipeline_run"] = with_ctes(
-        ["fact", "person", "temp_dim", "demo_dim"],
-        """SELECT 'fact_immigration' AS table_name, 'immigration_id' AS key_column, count(*) AS row_count,
-           CAST(count_if(immigration_id IS NULL) AS BIGINT) AS null_keys,
-           count(immigration_id) - count(DISTINCT immigration_id) AS duplicate_keys, true AS passed FROM fact
-    UNION ALL SELECT 'dim_immigrant', 'immigration_id', count(*), CAST(count_if(immigration_id IS NULL) AS BIGINT),
-           count(immigration_id) - count(DISTINCT immigration_id), true FROM person
-    UNION ALL SELECT 'dim_temperature', 'temp_id', count(*), CAST(count_if(temp_id IS NULL) AS BIGINT),
-           count(temp_id) - count(DISTINCT temp_id), true FROM temp_dim
-    UNION ALL SELECT 'dim_demographics', 'demo_id', count(*), CAST(count_if(demo_id IS NULL) AS BIGINT),
-           count(demo_id) - count(DISTINCT demo_id), true FROM demo_dim""",
-    )
+    tables = {"fact_immigration": "fact", "dim_immigrant": "person", "dim_temperature": "temp_dim", "dim_demographics": "demo_dim"}
+
+    def table_report(table: str, cte: str) -> str:
+        k = TABLE_KEYS[table]
+        content = content_sql(cte, [(f.name, f.dataType.simpleString()) for f in TARGETS[table].fields])
+        return f"""SELECT '{table}' AS table_name, '{k}' AS key_column, count(*) AS row_count,
+           CAST(count_if({k} IS NULL) AS BIGINT) AS null_keys, count({k}) - count(DISTINCT {k}) AS duplicate_keys,
+           count(*) > 0 AND count_if({k} IS NULL) = 0 AND count({k}) = count(DISTINCT {k}) AS passed,
+           any_value(least_row) AS least_row, any_value(greatest_row) AS greatest_row, any_value(distinct_rows) AS distinct_rows
+    FROM {cte}, ({content})"""
+
+    q["pipeline_run"] = with_ctes(list(tables.values()), "\nUNION ALL\n".join(table_report(t, c) for t, c in tables.items()))
+    q["pipeline_null_keys"] = with_ctes(list(tables.values()), "\nUNION ALL\n".join(
+        f"""SELECT '{table}' AS table_name, '{TABLE_KEYS[table]}' AS key_column, count(*) AS row_count,
+           CAST(count_if({k} IS NULL) AS BIGINT) AS null_keys, CAST(0 AS BIGINT) AS duplicate_keys,
+           count(*) > 0 AND count_if({k} IS NULL) = 0 AS passed FROM {cte}"""
+        for table, cte in tables.items()
+        for k in [f"(CASE WHEN CAST({TABLE_KEYS[table]} AS BIGINT) % 97 = 0 THEN NULL ELSE {TABLE_KEYS[table]} END)"
+                  if table in RECORD_KEY_TABLES else TABLE_KEYS[table]]
+    ))
     checks = []
     for table, key in QUALITY_TABLES.items():
         checks.append(

@@ -54,6 +54,9 @@ DEMOGRAPHICS_HEADERS = {
     "Count": "count",
 }
 DEMOGRAPHICS_RAW = _struct([(h, S, True) for h in DEMOGRAPHICS_HEADERS])
+# the columns that the builds use: a staged file may lack the others
+TEMPERATURE_USED = T.StructType([f for f in TEMPERATURE_RAW if f.name not in ("Latitude", "Longitude")])
+DEMOGRAPHICS_USED = T.StructType([f for f in DEMOGRAPHICS_RAW if f.name not in ("State", "Count")])
 
 STAGING_EVENTS = _struct(
     [
@@ -128,14 +131,15 @@ class ContractError(ValueError):
     pass
 
 
-def enforce(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFrame:
+def enforce(df: DataFrame, schema: T.StructType, name: str = "table", check_nulls: bool = True) -> DataFrame:
     """Select the contract's columns in contract order with contract types.
 
     Columns are found case-insensitively; extra columns are dropped; a
     missing column raises. Types are converted with ANSI casts, so a value
     that does not fit fails the job instead of silently turning null.
     Non-nullable columns carry an inline assertion evaluated while the data
-    is written, so no extra pass is needed.
+    is written, so no extra pass is needed. ``check_nulls=False`` leaves null
+    keys in, for a run whose quality report counts them.
     """
     by_lower = {c.lower(): c for c in df.columns}
     missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
@@ -146,7 +150,7 @@ def enforce(df: DataFrame, schema: T.StructType, name: str = "table") -> DataFra
         c = F.col(f"`{by_lower[f.name.lower()]}`")
         if df.schema[by_lower[f.name.lower()]].dataType != f.dataType:
             c = c.cast(f.dataType)
-        if not f.nullable:
+        if check_nulls and not f.nullable:
             c = F.when(c.isNull(), F.raise_error(F.lit(f"{name}.{f.name} is null"))).otherwise(c)
         cols.append(c.alias(f.name))
     return df.select(*cols)

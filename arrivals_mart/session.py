@@ -13,7 +13,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "arrivals_mart") -> SparkSession:
@@ -76,6 +76,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{_application_scratch(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet to a fresh scratch folder and read it back.
+
+    The columns stay columnar with statistics, the lineage is cut, and what
+    stands before is computed once however often the result is used.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Remove every scratch folder of this application, once its results are written."""
     root = spark._jvm.org.apache.hadoop.fs.Path(_application_scratch(spark))

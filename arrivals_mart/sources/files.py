@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -20,9 +21,12 @@ def read_parquet(
 
     ``recursive`` also finds files in sub-folders (a delivery folder holding
     one sub-folder of hashed file names); partition columns are then not
-    inferred from folder names.
+    inferred from folder names. Other files of a delivery (notes, markers)
+    are left out; a single file may be named by its path whatever its suffix.
     """
     reader = spark.read
+    if recursive:
+        reader = reader.option("pathGlobFilter", "*.parquet")
     if schema is not None:
         reader = reader.schema(schema)
     if recursive:
@@ -38,15 +42,23 @@ def read_csv(
 ) -> DataFrame:
     """CSV with a header line -> all-string DataFrame.
 
-    With a schema the header names are still checked against it by Spark's
-    CSV reader (``enforceSchema`` off), so a reordered file is an error
-    instead of silently shifted columns. Without a schema every column is a
-    string named after its header.
+    With a schema its columns are taken by header name (in any letter case),
+    wherever they stand; other columns are left out and a missing one raises.
+    All files of a folder must share one header order: Spark checks each
+    against the first (``enforceSchema`` off), so columns never shift silently.
+    Without a schema every column is a string named after its header.
     """
     reader = spark.read.option("header", "true").option("sep", sep).option("mode", "PERMISSIVE")
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", "false")
-    return reader.csv(path)
+    found = reader.csv(path)
+    if schema is None:
+        return found
+    by_lower = {c.strip().lower(): c for c in reversed(found.columns)}
+    missing = [f.name for f in schema.fields if f.name.lower() not in by_lower]
+    if missing:
+        raise ValueError(f"{path}: no columns {missing} in header {found.columns}")
+    text = T.StructType([T.StructField(c, T.StringType()) for c in found.columns])
+    rows = reader.schema(text).option("enforceSchema", "false").csv(path)
+    return rows.select(*[F.col(f"`{by_lower[f.name.lower()]}`").alias(f.name) for f in schema.fields])
 
 
 def rename_headers(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:

@@ -1,16 +1,17 @@
 """Label dictionary text -> lookup tables.
 
-The dictionary is a text file of ``value <name>`` blocks, one ``code = 'label'``
-entry per line; codes are numbers or quoted text, labels are quoted with
-doubled quotes as escape, lines end in CRLF and the last entry of a block
-may carry the closing ``;``.
+The dictionary is a text file of ``value <name>`` blocks of ``code = 'label'``
+entries, one or more to a line; codes are numbers or quoted text, labels are
+quoted with doubled quotes as escape, lines end in CRLF and the last entry of
+a block may carry the closing ``;``. ``value`` may be in any letter case.
 
 The file is read line by line by Spark, split like any text file. An entry
 belongs to the closest ``value`` line above it, which may sit in an earlier
 split of the same file, so each line is placed by (file, split start, row
 position) taken from the scan itself. The closest header is found with a
 window per split plus a carry-over from earlier splits computed on one row
-per split, so no single task has to see a whole file.
+per split, so no single task has to see a whole file. The text is read and
+matched once: headers and entries are stored, and everything else starts there.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from arrivals_mart.operators.lookups import sized_broadcast
+from arrivals_mart.session import stored
+
 # Block names of the arrival label file and the label forms
 # that mark a code as not usable.
 COUNTRY_BLOCK = "i94cntyl"
@@ -28,8 +32,11 @@ MODE_BLOCK = "i94model"
 STATE_BLOCK = "i94addrl"
 INVALID_LABEL_PATTERN = r"(?i)^(INVALID\b|Collapsed\b|No .*Code\b)"
 
-_HEADER = r"^\s*value\s+(\$?[A-Za-z_][A-Za-z0-9_]*)"
-_ENTRY = r"^\s*(?:'((?:[^']|'')*)'|([^\s=';]+))\s*=\s*'((?:[^']|'')*)'"
+_HEADER = r"(?i)^\s*value\s+(\$?[A-Za-z_][A-Za-z0-9_]*)"
+# possessive loops over unquoted runs: a label of any length is matched without recursion
+_QUOTED = r"'([^']*+(?:''[^']*+)*+)'"
+_ENTRY = rf"(?:{_QUOTED}|([^\s=';]++))\s*+=\s*+{_QUOTED}"
+_COMMENT = r"/\*.*?\*/"
 
 
 def _unquote(c: Column) -> Column:
@@ -47,16 +54,23 @@ def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parse_label_lines(lines: DataFrame) -> DataFrame:
-    """(file, split_start, pos, line) -> (block, code, label, is_valid).
+    """(file, split_start, pos, line) -> (block, code, label, is_valid, place).
 
-    Every entry line is kept, valid or not; ``is_valid`` is false for labels
-    that mark invalid, collapsed or missing codes.
+    Every entry is kept, valid or not; ``is_valid`` is false for labels that
+    mark invalid, collapsed or missing codes. ``place`` orders the entries of
+    the dictionary: (file, split_start, pos, place in the line).
     """
-    header = F.nullif(F.regexp_extract("line", _HEADER, 1), F.lit(""))
-    tagged = lines.withColumn("header", header).withColumn(
-        "is_entry", F.col("header").isNull() & F.col("line").rlike(_ENTRY)
+    bare_line = F.regexp_replace("line", _COMMENT, "")
+    header = F.nullif(F.regexp_extract(bare_line, _HEADER, 1), F.lit(""))
+    # a line is an entry line if it begins with an entry; then all its entries count
+    found = F.arrays_zip(*[
+        F.regexp_extract_all(bare_line, F.lit(_ENTRY), F.lit(i)).alias(n) for i, n in ((1, "quoted"), (2, "bare"), (3, "label"))
+    ])
+    tagged = lines.select(
+        "file", "split_start", "pos", header.alias("header"),
+        F.when(header.isNull() & bare_line.rlike(r"^\s*" + _ENTRY), found).alias("entries"),
     )
-    tagged = tagged.filter(F.col("header").isNotNull() | F.col("is_entry"))
+    tagged = stored(tagged.filter(F.col("header").isNotNull() | F.col("entries").isNotNull()), "label-lines")
 
     in_split = Window.partitionBy("file", "split_start").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     tagged = tagged.withColumn("local_block", F.last("header", ignorenulls=True).over(in_split))
@@ -70,52 +84,80 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
         "file", "split_start", F.last("last_header", ignorenulls=True).over(earlier).alias("carried")
     )
 
-    # one row per input split: bounded by the number of splits, so broadcast
-    entries = tagged.filter("is_entry").join(F.broadcast(carry), ["file", "split_start"], "left")
-    quoted = F.regexp_extract("line", _ENTRY, 1)
-    bare = F.regexp_extract("line", _ENTRY, 2)
-    label = F.rtrim(_unquote(F.regexp_extract("line", _ENTRY, 3)))
+    # one row per input split: broadcast only if that is a bounded number
+    entries = tagged.filter("entries IS NOT NULL").join(
+        sized_broadcast(stored(carry, "label-carry")), ["file", "split_start"], "left"
+    )
+    entries = entries.select(
+        F.coalesce("local_block", "carried").alias("block"), "file", "split_start", "pos",
+        F.posexplode("entries").alias("nth", "entry"),
+    )
+    bare = F.col("entry.bare")
+    label = F.rtrim(_unquote(F.col("entry.label")))
     return entries.select(
-        F.coalesce("local_block", "carried").alias("block"),
-        F.rtrim(F.when(bare != "", bare).otherwise(_unquote(quoted))).alias("code"),
+        "block",
+        F.rtrim(F.when(bare != "", bare).otherwise(_unquote(F.col("entry.quoted")))).alias("code"),
         label.alias("label"),
         (~label.rlike(INVALID_LABEL_PATTERN)).alias("is_valid"),
+        F.struct("file", "split_start", "pos", "nth").alias("place"),
     )
 
 
-def label_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """Read and parse a label dictionary file or folder."""
-    return parse_label_lines(read_label_lines(spark, path))
+def label_dictionary(spark: SparkSession, path: str, split_bytes: int | None = None) -> DataFrame:
+    """Read and parse a label dictionary file or folder.
+
+    ``split_bytes`` bounds the size of input splits for this read (by
+    default the session's setting counts).
+    """
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    if split_bytes:
+        spark.conf.set(name, str(split_bytes))
+    try:
+        return parse_label_lines(read_label_lines(spark, path))
+    finally:
+        spark.conf.set(name, before)
+
 
+def block_lookup(labels: DataFrame, block: str, value_name: str = "label", valid_only: bool = False) -> DataFrame:
+    """(code, label) of one block; of entries that repeat a code the first of the dictionary counts.
 
-def block_lookup(labels: DataFrame, block: str, value_name: str = "label") -> DataFrame:
-    """(code, label) of one block, de-duplicated by code."""
-    return (
-        labels.filter(F.col("block") == block)
-        .groupBy("code")
-        .agg(F.first("label").alias(value_name), F.first("is_valid").alias("is_valid"))
+    ``valid_only`` leaves out labels that mark a code as not usable.
+    """
+    rows = labels.filter(F.col("block") == block)
+    if valid_only:
+        rows = rows.filter("is_valid")
+    return rows.groupBy("code").agg(
+        F.min_by("label", "place").alias(value_name), F.min_by("is_valid", "place").alias("is_valid")
     )
 
 
-def country_lookup(labels: DataFrame, block: str = COUNTRY_BLOCK) -> DataFrame:
+def country_lookup(labels: DataFrame, block: str = COUNTRY_BLOCK, valid_only: bool = False) -> DataFrame:
     """Country code lookup: (code, country)."""
-    return block_lookup(labels, block, "country").select("code", "country")
+    return block_lookup(labels, block, "country", valid_only).select("code", "country")
 
 
-def port_lookup(labels: DataFrame, block: str = PORT_BLOCK, state_block: str = STATE_BLOCK) -> DataFrame:
+def port_lookup(
+    labels: DataFrame, block: str = PORT_BLOCK, state_block: str = STATE_BLOCK, valid_only: bool = False
+) -> DataFrame:
     """Port lookup: (code, city, state).
 
     The label is split at its last comma. The state is the first two letters
     after it when they are followed by the end, a blank, ``#`` or ``(`` and
-    are a code of the state block; otherwise the whole label is the city and
-    the state is null. Both sides come from the same dictionary, whose size
+    are a code of the state block; in a label without a comma, the last word
+    if it is such a code. Otherwise the whole label is the city and the state
+    is null. Both sides come from the same dictionary, whose size
     is only known after parsing, so the join strategy is left to AQE's
     run-time statistics rather than counting the state block first.
     """
-    ports = block_lookup(labels, block)
+    ports = block_lookup(labels, block, valid_only=valid_only)
     states = labels.filter(F.col("block") == state_block).select(F.col("code").alias("state_code")).distinct()
-    candidate = F.regexp_extract("label", r",\s*([A-Za-z]{2})(?:$|[\s#(])[^,]*$", 1)
-    head = F.regexp_extract("label", r"^(.*),[^,]*$", 1)
+    comma = F.col("label").contains(",")
+    plain = r"^([^,]*\S)\s+([A-Za-z]{2})$"
+    candidate = F.when(comma, F.regexp_extract("label", r",\s*([A-Za-z]{2})(?:$|[\s#(])[^,]*$", 1)).otherwise(
+        F.regexp_extract("label", plain, 2)
+    )
+    head = F.when(comma, F.regexp_extract("label", r"^(.*),[^,]*$", 1)).otherwise(F.regexp_extract("label", plain, 1))
     ports = ports.withColumn("cand", F.upper(candidate)).withColumn("head", F.rtrim(head))
     joined = ports.join(states, ports["cand"] == states["state_code"], "left")
     has_state = F.col("state_code").isNotNull()
@@ -135,6 +177,7 @@ def write_lookups(
     port_block: str = PORT_BLOCK,
     country_block: str = COUNTRY_BLOCK,
     state_block: str = STATE_BLOCK,
+    valid_only: bool = False,
 ) -> None:
     """Extract the port and country lookups from a label dictionary into CSV files.
 
@@ -142,9 +185,9 @@ def write_lookups(
     ``staging``, the inputs the fact and traveller builds read.
     """
     labels = label_dictionary(spark, label_path)
-    port_lookup(labels, port_block, state_block).write.mode("overwrite").option("header", "true").csv(
+    port_lookup(labels, port_block, state_block, valid_only).write.mode("overwrite").option("header", "true").csv(
         os.path.join(staging, ports_rel)
     )
-    country_lookup(labels, country_block).write.mode("overwrite").option("header", "true").csv(
+    country_lookup(labels, country_block, valid_only).write.mode("overwrite").option("header", "true").csv(
         os.path.join(staging, countries_rel)
     )
