@@ -89,23 +89,48 @@ def rolling(h: np.ndarray, width: int, base: int = _BASES[0]) -> np.ndarray:
         return x ^ (x >> np.uint64(29))
 
 
-def anchors(h: np.ndarray, pos: np.ndarray, n_words: np.ndarray) -> np.ndarray:
-    """Where a gram is the least of a run of ``RUN`` grams, ``BLOCK`` words apart, of one document.
+def _runs(h: np.ndarray, pos: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(grams, starts, least): where runs of ``RUN`` grams, ``BLOCK`` words apart, begin, and their least gram."""
+    grams = rolling(h, BLOCK)
+    starts = np.flatnonzero((pos + RUN * BLOCK <= n_words) & (n_words >= WINDOW))
+    least = np.minimum.reduce([grams[starts + t * BLOCK] for t in range(RUN)]) if len(starts) else grams[:0]
+    return grams, starts, least
+
+
+def anchors(h: np.ndarray, pos: np.ndarray, n_words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where a gram is the least of a run of grams of one document, and those grams.
 
     ``pos`` is the place of each word in its document and ``n_words`` that document's length.
     """
-    grams = rolling(h, BLOCK)
-    starts = np.flatnonzero((pos + RUN * BLOCK <= n_words) & (n_words >= WINDOW))
+    grams, starts, least = _runs(h, pos, n_words)
     chosen = np.zeros(len(h), bool)
-    if len(starts):
-        least = np.minimum.reduce([grams[starts + t * BLOCK] for t in range(RUN)])
-        for t in range(RUN):
-            at = starts + t * BLOCK
-            chosen[at[grams[at] == least]] = True
+    for t in range(RUN):
+        at = starts + t * BLOCK
+        chosen[at[grams[at] == least]] = True
     where = np.flatnonzero(chosen)
     return where, grams[where]
 
 
+def windows_near(h: np.ndarray, pos: np.ndarray, n_words: np.ndarray, hit: np.ndarray) -> np.ndarray:
+    """Starts of the windows that contain a run whose least gram is a hit; no other can be repeated.
+
+    The window that is equal elsewhere has such a run at the place of the other document's blocks.
+    """
+    grams, starts, least = _runs(h, pos, n_words)
+    found = np.zeros(len(starts), bool)
+    for t in range(RUN):
+        at = starts + t * BLOCK
+        found |= hit[at] & (grams[at] == least)
+    starts = starts[found]
+    begin = starts - pos[starts]
+    lo = np.maximum(starts - (BLOCK - 1), begin)
+    hi = np.minimum(starts, begin + n_words[starts] - WINDOW) + 1
+    near = np.zeros(len(h) + 1, np.int64)
+    np.add.at(near, lo[hi > lo], 1)
+    np.add.at(near, hi[hi > lo], -1)
+    return np.flatnonzero(np.cumsum(near[:-1]) > 0)
+
+
 def _pack(**columns: np.ndarray) -> bytes:
     batch = pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
     sink = pa.BufferOutputStream()
@@ -221,8 +246,17 @@ def _home(ids: np.ndarray, homes: int) -> np.ndarray:
     return -1 - ((x >> np.uint64(33)).astype(np.int64) % homes)
 
 
-def _gathered(routed: DataFrame, settle: Callable, routes: int, homes: int) -> DataFrame:
-    """Settle each route's entries, then gather positions per document: id, crc, pos (packed uint32)."""
+def _spans(pos: np.ndarray) -> np.ndarray:
+    """First and last of each stretch of consecutive positions, in turn; ``pos`` ascends."""
+    cut = np.flatnonzero(np.diff(pos) > 1)
+    return np.stack([pos[np.append(0, cut + 1)], pos[np.append(cut, len(pos) - 1)]], 1).ravel()
+
+
+def _gathered(routed: DataFrame, settle: Callable, routes: int, homes: int, spans: bool = False) -> DataFrame:
+    """Settle each route's entries, then gather per document: id, crc, pos (packed uint32).
+
+    ``pos`` holds positions, or with ``spans`` the first and last of each stretch of them.
+    """
 
     def reduce(batches):
         for route, blobs in _by_route(batches):
@@ -244,7 +278,9 @@ def _gathered(routed: DataFrame, settle: Callable, routes: int, homes: int) -> D
             cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])) + 1).tolist()]
             ends = [*cuts[1:], len(ids)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[cuts]), pa.array(crc[cuts]), pa.array([pos[a:b].tobytes() for a, b in zip(cuts, ends)], pa.binary())],
+                [pa.array(ids[cuts]), pa.array(crc[cuts]), pa.array(
+                    [(_spans(pos[a:b].astype(np.int64)).astype("<u4") if spans else pos[a:b]).tobytes()
+                     for a, b in zip(cuts, ends)], pa.binary())],
                 names=["id", "crc", "pos"],
             )
 
@@ -282,19 +318,14 @@ def hit_positions(docs: DataFrame, routes: int, homes: int) -> DataFrame:
 
 
 def repeated_windows(docs: DataFrame, routes: int, homes: int) -> DataFrame:
-    """id, crc and the starts of repeated windows. ``docs``: id, crc, text, pos (of hits)."""
+    """id, crc and spans of starts of repeated windows. ``docs``: id, crc, text, pos (of hits)."""
 
     def run(batches):
         for p in _pieces(batches, WordHashes(), lambda i: True):
-            n = len(p["h"])
-            near = np.zeros(n + 1, np.int64)
-            for start, size, hits in zip(p["start"], p["n"], p["extra"]):
-                hits = np.unique(np.frombuffer(hits, "<u4")).astype(np.int64)
-                lo = np.maximum(hits - (WINDOW - BLOCK), 0) + start
-                hi = np.minimum(hits, size - WINDOW) + start + 1
-                np.add.at(near, lo[hi > lo], 1)
-                np.add.at(near, hi[hi > lo], -1)
-            at = np.flatnonzero(np.cumsum(near[:-1]) > 0)
+            hit = np.zeros(len(p["h"]), bool)
+            for start, hits in zip(p["start"], p["extra"]):
+                hit[np.frombuffer(hits, "<u4").astype(np.int64) + start] = True
+            at = windows_near(p["h"], p["pos"], p["n"][p["doc"]], hit)
             one, two = (rolling(p["h"], WINDOW, b)[at] for b in _BASES)
             doc = p["doc"][at]
             ids, crc, pos = p["id"][doc], p["crc"][doc], p["pos"][at].astype(np.uint32)
@@ -307,15 +338,15 @@ def repeated_windows(docs: DataFrame, routes: int, homes: int) -> DataFrame:
     def settle(e):
         return _repeats((e["one"], e["two"]), e["id"])
 
-    return _gathered(docs.mapInArrow(run, "route bigint, blob binary"), settle, routes, homes)
+    return _gathered(docs.mapInArrow(run, "route bigint, blob binary"), settle, routes, homes, spans=True)
 
 
-def kept_words(words: list[bytes], starts: np.ndarray) -> list[bytes]:
-    """The words that no window from ``starts`` covers."""
+def kept_words(words: list[bytes], spans: np.ndarray) -> list[bytes]:
+    """The words that no window covers; windows begin from the first to the last of each span."""
     cover = np.zeros(len(words) + 1, np.int64)
-    starts = np.unique(starts).astype(np.int64)
-    cover[starts] += 1
-    cover[np.minimum(starts + WINDOW, len(words))] -= 1
+    spans = spans.astype(np.int64).reshape(-1, 2)
+    np.add.at(cover, spans[:, 0], 1)
+    np.add.at(cover, np.minimum(spans[:, 1] + WINDOW, len(words)), -1)
     free = np.cumsum(cover[:-1]) == 0
     return [w for w, x in zip(words, free.tolist()) if x]
 
