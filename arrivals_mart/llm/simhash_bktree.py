@@ -103,7 +103,7 @@ class BKTree:
             if len(children) <= 2 * radius + 1:
                 todo += [c for k, c in children.items() if d - radius <= k <= d + radius]
             else:
-                todo += [children[k] for k in range(max(1, d - radius), d + radius + 1) if k in children]
+                todo += [children[k] for k in range(d - radius, d + radius + 1) if k in children]
         return found
 
 
