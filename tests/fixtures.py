@@ -4,22 +4,22 @@ from arrivals_mart.schemas import ARRIVALS, COUNTRY_LOOKUP, DEMOGRAPHICS_RAW, PO
 
 
 def arrival(cicid, port, arrdate=20545.0, mode=1.0, addr=None, dep=None, bir=30.0, visa=2.0,
-            gender="M", cit=582.0, res=582.0, biryear=1986.0):
+            gender="M", cit=9002.0, res=9002.0, biryear=1986.0):
     return (cicid, 2016.0, 4.0, cit, res, port, arrdate, mode, addr, dep, bir, visa, biryear, gender,
             "AA", "B2", "SEL")
 
 
 ARRIVAL_ROWS = [
-    arrival(6.0, "XXX", mode=1.0, addr="CA", dep=20550.0, bir=37.0, visa=2.0, gender="M", biryear=1979.0),
-    arrival(7.0, "nyc", arrdate=20546.0, mode=2.0, bir=37.7, visa=1.0, gender="F", cit=101.0),
+    arrival(6.0, "QU0", mode=1.0, addr="CA", dep=20550.0, bir=37.0, visa=2.0, gender="M", biryear=1979.0),
+    arrival(7.0, "nyc", arrdate=20546.0, mode=2.0, bir=37.7, visa=1.0, gender="F", cit=9001.0),
     arrival(8.0, "QQQ", gender="M", bir=20.0, cit=12345.0),
     arrival(9.0, "NYC", arrdate=None, gender="F", bir=None),
     arrival(10.0, "NYC", mode=5.0, visa=4.0, gender="X", bir=None),
     arrival(11.0, "Lax", mode=None, visa=None, gender=None, cit=12345.0, res=None),
 ]
 
-PORT_ROWS = [("XXX", "NOT REPORTED/UNKNOWN", None), ("NYC", "NEW YORK", "NY"), ("lax", "LOS ANGELES", "CA")]
-COUNTRY_ROWS = [(" 582", "MEXICO"), ("101", "ALBANIA"), ("abc", "JUNK")]
+PORT_ROWS = [("QU0", "OPEN SEA", None), ("NYC", "NEW YORK", "NY"), ("lax", "LOS ANGELES", "CA")]
+COUNTRY_ROWS = [(" 9002", "PUMICE ROCK"), ("9001", "CORALIA"), ("abc", "JUNK")]
 
 
 def temp(dt, t, u, city, country="United States"):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from arrivals_mart.functions import (
@@ -119,3 +120,56 @@ def test_month_helpers_for_range_frames(spark):
 def test_decode_default_for_unknown_codes(spark):
     df = spark.createDataFrame([(1.0,), (4.0,)], "v double")
     assert [r[0] for r in df.select(decode("v", {1: "one"}, default="other")).collect()] == ["one", "other"]
+
+
+def test_integral_keys_keep_their_last_digit(spark):
+    df = spark.createDataFrame([(9007199254740993, "9007199254740993", 7.9)], "a long, b string, c double")
+    from arrivals_mart.functions.casts import int_key
+
+    assert tuple(df.select(int_key("a"), int_key("b"), int_key("c")).first()) == ("9007199254740993", "9007199254740993", "7")
+
+
+def test_text_with_suffix_or_exponent_is_no_integer(spark):
+    from arrivals_mart.functions.casts import tolerant_double, tolerant_int, tolerant_long
+
+    texts = ["64D", "64f", "1e3", " 5 ", "12.0", "-12.7", "+3", ".5", "", "abc", "99999999999"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = [tuple(r) for r in df.select(tolerant_int("v"), tolerant_long("v")).collect()]
+    assert got == [(None, None), (None, None), (None, None), (5, 5), (12, 12), (-12, -12), (3, 3), (0, 0), (None, None),
+                   (None, None), (None, 99999999999)]
+    assert df.select(tolerant_double("v")).collect()[2][0] == 1000.0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from arrivals_mart.session import checkpoint_root
+
+    class Conf(dict):
+        def set(self, k, v):
+            self[k] = v
+
+    class Session:
+        def __init__(self, **conf):
+            self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session(spark_master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_root(Session(spark_master="local-cluster[2,1,1024]"))
+    session = Session(spark_master="spark://host:7077")
+    session.conf["spark.checkpoint.dir"] = "hdfs://name/shared/"
+    assert checkpoint_root(session) == "hdfs://name/shared"
+    assert checkpoint_root(Session(spark_master="local[4]")).startswith("file:///")
+
+
+def test_clear_scratch_removes_this_application_only(spark, tmp_path):
+    import os
+
+    from arrivals_mart.session import clear_scratch, scratch_path, stored
+
+    df = stored(spark.range(3).toDF("a"), "x")
+    assert df.count() == 3
+    path = scratch_path(spark, "y").removeprefix("file://")
+    root = os.path.dirname(path)
+    assert os.path.isdir(root)
+    clear_scratch(spark)
+    assert not os.path.exists(root)

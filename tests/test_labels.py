@@ -10,68 +10,72 @@ from arrivals_mart.sources.labels import (
     write_lookups,
 )
 
-# Invented label text with the edge forms of a SAS format catalogue.
+# An invented dictionary with the edge forms of a format catalogue.
+LONG_LABEL = "Q" * 5000
 LABEL_TEXT = "\r\n".join(
     [
-        "libname library 'somewhere' ;",
-        "proc format library=library ;",
+        "title 'codes of an imaginary archipelago' ;",
         "",
-        "/* COUNTRY - valid and invalid codes */",
-        "  value cntyl",
-        "   101 =  'ALBANIA'",
-        "   582 =  'MEXICO Air Sea, and Not Reported (I-94, no land arrivals)'",
-        "   403 =  'INVALID: ATLANTIS'",
-        "   311 =  'Collapsed Narnia (should not show)'",
-        "    54 =  'No Country Code (54)' ;",
+        "/* islands: some are sunk */",
+        "  value isles",
+        "   9001 =  'CORALIA'",
+        "   9002 =  'PUMICE ROCK (north, and the lagoon)'   9003 =  'INVALID: SUNKEN BANK'",
+        "   9004 =  'Collapsed Sandbar (not drawn)'",
+        "   9005 =  'No Island Code (9005)' ;",
+        f"   9006 =  '{LONG_LABEL}'",
+        "   9001 =  'A LATER NAME OF CORALIA'",
         "",
-        "/* PORT - codes with city and state */",
-        "  value $prtl",
-        "   'ABC'\t=\t'TOWN, AK   '",
-        "   'DEF'\t=\t'O''TOWN, AK'",
-        "   'GH'\t\t=\t'No PORT Code (GH)'",
-        "   'IJ '\t=\t'BIG CITY, HWY. STATION, CA '",
-        "   'KLM' \t=\t'PLAINVILLE AZ           '",
-        "   'NOP'\t=\t'SOMEWHERE, AR (BPS)'",
-        "   'QRS'\t=\t'HILLTOP, CO #ARPT'",
-        "   'TUV'\t=\t'FARAWAY, NORTHLAND, MX'",
-        "   'WXY'\t=\t'GEN X, ELDORADO, EL SALVADOR'",
+        "/* harbours - with the shore's letters, such as 'ZZ'='nowhere' */",
+        "  VALUE $harb",
+        "   'H1A'\t=\t'SALTMOUTH, LW   '",
+        "   'H2B'\t=\t'O''REEF, LW' 'H2C' = 'KELP BAY, WW'",
+        "   'H3'\t\t=\t'No HARBOUR Code (H3)'",
+        "   'H4 '\t=\t'GREAT COVE, OUTER MOLE, EW '",
+        "   'H5D' \t=\t'SHALLOWS WW           '",
+        "   'H6E'\t=\t'DRY DOCK, SW (BPS)'",
+        "   'H7F'\t=\t'HIGH PIER, NW #ARPT'",
+        "   'H8G'\t=\t'FAR STRAND, BEYOND, QQ'",
+        "   'H9H'\t=\t'OLD QUAY, UPPER, LOWER SHORE'",
         ";",
         "",
-        "/* VISA - collapsed into three categories:",
-        "   1 = Business",
+        "/* ways to travel:",
+        "   1 = rowing",
         "*/",
-        "value modl",
-        "\t1 = 'Air'",
-        "\t2 = 'Sea' ;",
+        "Value ways",
+        "\t1 = 'Rowing'",
+        "\t2 = 'Sailing' ;",
         "",
-        "value addrl",
-        "\t'AK'='ALASKA'",
-        "\t'AZ'='ARIZONA'",
-        "\t'AR'='ARKANSAS'",
-        "\t'CA'='CALIFORNIA'",
-        "\t'CO'='COLORADO' ;",
-        "run ;",
+        "value shores",
+        "\t'LW'='LEEWARD'",
+        "\t'WW'='WINDWARD'",
+        "\t'SW'='SOUTHWARD'",
+        "\t'EW'='EASTWARD'",
+        "\t'NW'='NORTHWARD' ;",
+        "end ;",
         "",
     ]
 )
 
 EXPECTED_COUNTRIES = [
-    ("101", "ALBANIA", True),
-    ("311", "Collapsed Narnia (should not show)", False),
-    ("403", "INVALID: ATLANTIS", False),
-    ("54", "No Country Code (54)", False),
-    ("582", "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)", True),
+    ("9001", "A LATER NAME OF CORALIA", True),
+    ("9001", "CORALIA", True),
+    ("9002", "PUMICE ROCK (north, and the lagoon)", True),
+    ("9003", "INVALID: SUNKEN BANK", False),
+    ("9004", "Collapsed Sandbar (not drawn)", False),
+    ("9005", "No Island Code (9005)", False),
+    ("9006", LONG_LABEL, True),
 ]
 EXPECTED_PORTS = [
-    ("ABC", "TOWN", "AK"),
-    ("DEF", "O'TOWN", "AK"),
-    ("GH", "No PORT Code (GH)", None),
-    ("IJ", "BIG CITY, HWY. STATION", "CA"),
-    ("KLM", "PLAINVILLE AZ", None),
-    ("NOP", "SOMEWHERE", "AR"),
-    ("QRS", "HILLTOP", "CO"),
-    ("TUV", "FARAWAY, NORTHLAND, MX", None),
-    ("WXY", "GEN X, ELDORADO, EL SALVADOR", None),
+    ("H1A", "SALTMOUTH", "LW"),
+    ("H2B", "O'REEF", "LW"),
+    ("H2C", "KELP BAY", "WW"),
+    ("H3", "No HARBOUR Code (H3)", None),
+    ("H4", "GREAT COVE, OUTER MOLE", "EW"),
+    ("H5D", "SHALLOWS", "WW"),
+    ("H6E", "DRY DOCK", "SW"),
+    ("H7F", "HIGH PIER", "NW"),
+    ("H8G", "FAR STRAND, BEYOND, QQ", None),
+    ("H9H", "OLD QUAY, UPPER, LOWER SHORE", None),
 ]
 
 
@@ -98,15 +102,20 @@ def _write(tmp_path):
 
 def _check(labels):
     blocks = {r[0]: r[1] for r in labels.groupBy("block").count().collect()}
-    assert blocks == {"cntyl": 5, "$prtl": 9, "modl": 2, "addrl": 5}
+    assert blocks == {"isles": 7, "$harb": 10, "ways": 2, "shores": 5}
     got = sorted(
-        tuple(r) for r in labels.filter("block = 'cntyl'").select("code", "label", "is_valid").collect()
+        tuple(r) for r in labels.filter("block = 'isles'").select("code", "label", "is_valid").collect()
     )
     assert got == EXPECTED_COUNTRIES
-    ports = sorted(tuple(r) for r in port_lookup(labels, block="$prtl", state_block="addrl").collect())
+    ports = sorted(tuple(r) for r in port_lookup(labels, block="$harb", state_block="shores").collect())
     assert ports == EXPECTED_PORTS
-    countries = dict(tuple(r) for r in country_lookup(labels, block="cntyl").collect())
-    assert countries["101"] == "ALBANIA"
+    countries = dict(tuple(r) for r in country_lookup(labels, block="isles").collect())
+    assert countries["9001"] == "CORALIA"  # the first entry of a repeated code
+    assert countries["9003"] == "INVALID: SUNKEN BANK"
+    valid = dict(tuple(r) for r in country_lookup(labels, block="isles", valid_only=True).collect())
+    assert sorted(valid) == ["9001", "9002", "9006"]
+    usable = {r.code for r in port_lookup(labels, block="$harb", state_block="shores", valid_only=True).collect()}
+    assert usable == {p[0] for p in EXPECTED_PORTS} - {"H3"}
 
 
 def test_label_dictionary_edge_forms(spark, tmp_path):
@@ -124,8 +133,8 @@ def test_label_dictionary_split_across_partitions(spark, tmp_path):
 def test_write_lookups_produces_pipeline_inputs(spark, tmp_path):
     path = _write(tmp_path)
     staging = str(tmp_path / "staging")
-    write_lookups(spark, path, staging, port_block="$prtl", country_block="cntyl", state_block="addrl")
+    write_lookups(spark, path, staging, port_block="$harb", country_block="isles", state_block="shores")
     ports = read_csv(spark, str(tmp_path / "staging" / "port_mapping"), PORT_LOOKUP)
     countries = read_csv(spark, str(tmp_path / "staging" / "country_mapping"), COUNTRY_LOOKUP)
     assert sorted(tuple(r) for r in ports.collect()) == EXPECTED_PORTS
-    assert ("582", "MEXICO Air Sea, and Not Reported (I-94, no land arrivals)") in [tuple(r) for r in countries.collect()]
+    assert ("9002", "PUMICE ROCK (north, and the lagoon)") in [tuple(r) for r in countries.collect()]

@@ -46,9 +46,9 @@ def test_person_dim_filters_and_role_playing_lookups(spark):
     assert [x.name for x in person.schema.fields] == [x.name for x in DIM_IMMIGRANT.fields]
     got = {r.immigration_id: tuple(r)[1:] for r in person.collect()}
     assert got == {
-        "6": ("MEXICO", "MEXICO", 37, 1979, "M"),  # padded code ' 582' matches 582
-        "7": ("ALBANIA", "MEXICO", 37, 1986, "F"),  # 37.7 truncates
-        "8": (None, "MEXICO", 20, 1986, "M"),  # unknown citizenship stays null
+        "6": ("PUMICE ROCK", "PUMICE ROCK", 37, 1979, "M"),  # padded code ' 9002' matches 9002
+        "7": ("CORALIA", "PUMICE ROCK", 37, 1986, "F"),  # 37.7 truncates
+        "8": (None, "PUMICE ROCK", 20, 1986, "M"),  # unknown citizenship stays null
     }
 
 

@@ -74,16 +74,56 @@ def test_truncate_and_load_from_staged_csv(spark, tmp_path):
     assert sorted(tuple(r) for r in loaded.collect()) == [(1, "a", 1), (2, "b", 2)]
 
 
-def test_csv_with_reordered_header_is_rejected(spark, tmp_path):
+def test_csv_columns_are_found_by_header_name(spark, tmp_path):
     from arrivals_mart.schemas import PORT_LOOKUP
     from arrivals_mart.sources.files import read_csv
 
-    good, bad = tmp_path / "good.csv", tmp_path / "bad.csv"
-    good.write_text("code,city,state\nNYC,NEW YORK,NY\n")
-    bad.write_text("city,code,state\nNEW YORK,NYC,NY\n")
-    assert [tuple(r) for r in read_csv(spark, str(good), PORT_LOOKUP).collect()] == [("NYC", "NEW YORK", "NY")]
+    moved, short = tmp_path / "moved.csv", tmp_path / "short.csv"
+    moved.write_text("note,City,code,state\nx,NEW YORK,NYC,NY\n")
+    short.write_text("city,code\nNEW YORK,NYC\n")
+    got = read_csv(spark, str(moved), PORT_LOOKUP)
+    assert got.columns == ["code", "city", "state"]
+    assert [tuple(r) for r in got.collect()] == [("NYC", "NEW YORK", "NY")]
+    with pytest.raises(ValueError, match="state"):
+        read_csv(spark, str(short), PORT_LOOKUP)
+
+
+def test_csv_files_with_different_headers_are_rejected(spark, tmp_path):
+    from arrivals_mart.schemas import PORT_LOOKUP
+    from arrivals_mart.sources.files import read_csv
+
+    folder = tmp_path / "ports"
+    folder.mkdir()
+    (folder / "a.csv").write_text("code,city,state\nNYC,NEW YORK,NY\n")
+    (folder / "b.csv").write_text("city,code,state\nBOSTON,BOS,MA\n")
     with pytest.raises(Exception, match="(?i)header"):
-        read_csv(spark, str(bad), PORT_LOOKUP).collect()
+        read_csv(spark, str(folder), PORT_LOOKUP).collect()
+
+
+def test_a_failed_load_leaves_the_old_target(spark, tmp_path):
+    good, bad, target = (str(tmp_path / d) for d in ("good", "bad", "target"))
+    overwrite(spark.createDataFrame([(1, "a", 1)], "id long, name string, n int"), good)
+    overwrite(spark.createDataFrame([(2, "b", 2), (None, "c", 3)], "id long, name string, n int"), bad)
+    truncate_and_load(spark, good, target, CONTRACT, "t")
+    with pytest.raises(Exception, match="t.id is null"):
+        truncate_and_load(spark, bad, target, CONTRACT, "t")
+    assert [tuple(r) for r in spark.read.parquet(target).collect()] == [(1, "a", 1)]
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["bad", "good", "target"]
+    create_targets(spark, str(tmp_path / "wh"), targets={"t_safe": CONTRACT})
+    truncate_and_load(spark, good, "t_safe", CONTRACT)
+    with pytest.raises(Exception, match="t_safe.id is null"):
+        truncate_and_load(spark, bad, "t_safe", CONTRACT)
+    assert [tuple(r) for r in spark.table("t_safe").collect()] == [(1, "a", 1)]
+
+
+def test_a_table_of_another_shape_is_not_touched(spark, tmp_path):
+    staged = str(tmp_path / "staged")
+    overwrite(spark.createDataFrame([(1, "new", 1)], "id long, name string, n int"), staged)
+    spark.sql(f"CREATE TABLE t_moved (id BIGINT, n INT, name STRING) USING parquet LOCATION '{tmp_path / 'moved'}'")
+    spark.sql("INSERT INTO t_moved VALUES (7, 7, 'old')")
+    with pytest.raises(ContractError, match="differs from contract"):
+        truncate_and_load(spark, staged, "t_moved", CONTRACT)
+    assert [tuple(r) for r in spark.table("t_moved").collect()] == [(7, 7, "old")]
 
 
 def test_truncate_and_load_into_missing_table_fails(spark, tmp_path):
