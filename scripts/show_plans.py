@@ -1,4 +1,4 @@
-"""Write PLANS.md: the physical plan of every registered query.
+"""Write PLANS.md: the physical plan of every query of the mart.
 
 Plans are taken with ``spark.sql.autoBroadcastJoinThreshold=-1`` so that
 tables which grow with the data are never broadcast because they happen to
@@ -17,7 +17,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from arrivals_mart.plans import catalog  # noqa: E402
 from arrivals_mart.session import local_session  # noqa: E402
 
 PATTERNS = {
@@ -37,7 +37,7 @@ def main() -> None:
     spark = local_session()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows, sections = [], []
-    for name, fn in E.queries().items():
+    for name, fn in catalog.QUERIES.items():
         plan = fn(spark, sf)._jdf.queryExecution().executedPlan().toString()
         counts = {k: len(re.findall(p, plan)) for k, p in PATTERNS.items()}
         rows.append((name, counts))
