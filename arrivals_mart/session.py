@@ -44,7 +44,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     also written back to the setting. Any other master must name a folder that
     all its executors share, so an unset setting raises there.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _set_on_context(spark)
     if not configured:
         master = spark.conf.get("spark.master", "")
         if not re.match(r"local(\[|$)", master):
@@ -54,6 +54,14 @@ def checkpoint_root(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def _set_on_context(spark: SparkSession) -> str | None:
+    """The folder of an earlier ``setCheckpointDir``, if any."""
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make the session's RDD checkpoints go to :func:`checkpoint_root`; return that folder."""
     root = checkpoint_root(spark)

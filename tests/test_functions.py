@@ -148,6 +148,8 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
             self[k] = v
 
     class Session:
+        sparkContext = None
+
         def __init__(self, **conf):
             self.conf = Conf({k.replace("_", "."): v for k, v in conf.items()})
 
