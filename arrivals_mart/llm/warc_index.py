@@ -11,8 +11,8 @@ partition becomes one index file of compressed blocks with a sparse directory be
 row per range partition, is all that is ever broadcast.
 
 Reading: a capture is looked up by its key. Binary search in the table of files and in the file's
-directory gives one block; that block is read by its range and searched; the record is then
-read from its archive by its own range and parsed.
+directory gives one block; that block is read by its range and searched. What is found is dealt
+by archive, and each record is read by its own range, in the order of the archive, and parsed.
 
 Null html is the empty payload; a null url has the empty key; of pages with a null id, one that shares
 its payload with a numbered page revisits that, any other is a response. Rows that tie on the
@@ -274,31 +274,37 @@ def read_captures(wanted: DataFrame, files: list[tuple[bytes, int, str]], folder
                 "number": pa.array([r[2] for r in rows], pa.int64()),
             })
 
-    def run(batches):
+    def locate(batches):
         fs, _ = filesystem(folder)
-        index, file_no, archives = None, None, {}
-        try:
-            for b in batches:
-                out = []
-                for n, key, number in zip(b.column("file_no").to_pylist(), b.column("key").cast(pa.binary()).to_pylist(),
-                                          b.column("number").to_pylist()):
-                    if n != file_no:
-                        if index is not None:
-                            index.close()
-                        index, file_no = IndexFile(fs, paths[n]), n
-                    for archive, offset, length in index.find((key, number)):
-                        f = archives.pop(archive, None) or fs.open_input_file(archive)
-                        archives[archive] = f
-                        if len(archives) > 64:
-                            archives.pop(next(iter(archives))).close()
-                        out.append(parse(zlib.decompress(f.read_at(length, offset), 31)))
-                if out:
-                    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-                    kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
-        finally:
-            for f in archives.values():
-                f.close()
+        index, file_no = None, None
+        for b in batches:
+            out = []
+            for n, key, number in zip(b.column("file_no").to_pylist(), b.column("key").cast(pa.binary()).to_pylist(),
+                                      b.column("number").to_pylist()):
+                if n != file_no:
+                    if index is not None:
+                        index.close()
+                    index, file_no = IndexFile(fs, paths[n]), n
+                out += index.find((key, number))
+            if out:
+                kinds = [pa.string(), pa.int64(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["file", "offset", "length"])
+
+    def read(batches):
+        fs, _ = filesystem(folder)
+        stream, file = None, None
+        for b in batches:
+            out = []
+            for name, offset, length in zip(b.column("file").to_pylist(), b.column("offset").to_pylist(), b.column("length").to_pylist()):
+                if name != file:
+                    if stream is not None:
+                        stream.close()
+                    stream, file = fs.open_input_file(name), name
+                out.append(parse(zlib.decompress(stream.read_at(length, offset), 31)))
+            if out:
+                names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=names)
 
     keys = wanted.select(F.col(f"`{id_col}`").cast("bigint").alias("page_id"), F.col(f"`{url_col}`").alias("url")).mapInArrow(
         keyed, "file_no int, key string, number bigint"
@@ -307,7 +313,12 @@ def read_captures(wanted: DataFrame, files: list[tuple[bytes, int, str]], folder
     if not files:
         return wanted.sparkSession.createDataFrame([], out)
     order = ["file_no", "key", "number"]
-    return keys.dropDuplicates(order).repartition("file_no").sortWithinPartitions(*order).mapInArrow(run, out)
+    located = keys.dropDuplicates(order).repartition("file_no").sortWithinPartitions(*order).mapInArrow(
+        locate, "file string, offset bigint, length bigint"
+    )
+    # rows are small but each stands for a record to read: a stated number of tasks is not merged by their size
+    tasks = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return located.repartition(tasks, "file").sortWithinPartitions("file", "offset").mapInArrow(read, out)
 
 
 def archive_and_read(pages: DataFrame, folder: str | None = None, id_col: str = "page_id", url_col: str = "url",
