@@ -1,0 +1,109 @@
+import os
+import random
+import re
+import shutil
+import subprocess
+import sys
+
+import pytest
+
+import corpus_pipeline as P
+from arrivals_mart.llm import mix_apportion, quality_crf, queries
+
+from .data import DOCS, clashing, docs, empty
+from .test_classifiers import LABELS, labelled
+from .test_grace_dedup import brute as exact_brute
+from .test_mix_apportion import check as check_mix
+from .test_simhash_bktree import brute as near_brute
+
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    rows, labels = labelled(5, 150)
+    rng = random.Random(1)
+    rows = [(i, t, lang, rng.choice(["a", "b", None]), n) for i, t, lang, _, n in rows]
+    rows += [(1000 + i, rows[i][1].upper() if i % 2 else rows[i][1], "en", "a", None) for i in range(30)]
+    docs(spark, rows + DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(labels, LABELS).write.parquet(str(tmp_path / "labels.parquet"))
+    return str(tmp_path)
+
+
+def key(r):
+    return repr(tuple(r))
+
+
+def test_each_stage_does_its_work_on_what_the_one_before_kept(spark, folder, tmp_path):
+    got = spark.read.parquet(f"{folder}/documents.parquet")
+    columns = got.columns
+    steps = {}
+    for n, (name, stage) in enumerate(P.STAGES):
+        path = str(tmp_path / f"stage{n}")
+        before = [tuple(r) for r in got.collect()]
+        stage(spark, got, folder).write.parquet(path)
+        got = spark.read.parquet(path)
+        after = [tuple(r) for r in got.collect()]
+        steps[name] = before, after
+        if name != "encode":
+            assert got.columns == columns
+
+    before, after = steps["quality"]
+    df = docs(spark, before)
+    model = quality_crf.train(df, spark.read.parquet(f"{folder}/labels.parquet"))
+    texts = [(r[1] or "").encode() for r in before]
+    scores = quality_crf.document_scores(texts, model)
+    assert sorted(after, key=key) == sorted((r for r, s in zip(before, scores) if s >= 0.5), key=key)
+    assert len(after) < len(before)
+
+    before, after = steps["exact_dedup"]
+    want = {(b[1], b[2]) for b in exact_brute(before)}
+    assert {(x[1], r[0]) for r, x in zip(after, exact_brute(after))} == want and len(after) == len(want) < len(before)
+    assert set(after) <= set(before)
+
+    before, after = steps["near_dedup"]
+    near = near_brute(before)
+    assert sorted(r[0] for r in after if r[0] is not None) == sorted({c for _, _, c in near if c is not None})
+    assert set(after) <= set(before)
+
+    before, after = steps["mix_sources"]
+    copies = {}
+    for r in after:
+        copies[r] = copies.get(r, 0) + 1
+    assert set(copies) <= set(before) and max(copies.values()) <= 3
+    mixed = mix_apportion.mix(docs(spark, before)).collect()
+    check_mix(before, mixed)
+    words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r[1])) for r in after)
+    assert abs(words - sum(r.taken for r in mixed)) < 6 * 20_000  # the ends of runs are rounded to whole documents
+
+    before, after = steps["encode"]
+    tokenizer = pytest.importorskip("tokenizers").Tokenizer.from_file(queries.tokenizer_path())
+    want = [(r[0], r[2], r[3], tuple(tokenizer.encode(r[1] or "", add_special_tokens=False).ids), r[1] or "") for r in before]
+    assert sorted(((a, b, c, tuple(ids), t) for a, b, c, n, ids, t in after), key=key) == sorted(want, key=key)
+    assert all(n == len(ids) for _, _, _, n, ids, _ in after)
+
+    assert sorted((tuple(r) for r in P.run(spark, folder).collect()), key=key) == sorted(after, key=key)
+
+
+def test_stages_over_awkward_and_empty_tables(spark, folder):
+    for df in (clashing(docs(spark)), empty(spark)):
+        for name, stage in P.STAGES[:-1]:
+            out = stage(spark, df, folder)
+            assert out.columns == df.columns, name
+            assert out.count() <= 3 * df.count()
+        assert P.STAGES[-1][1](spark, df, folder).count() == df.count()
+
+
+def test_stages_are_the_named_ones_in_order():
+    assert [n for n, _ in P.STAGES] == ["quality", "exact_dedup", "near_dedup", "mix_sources", "encode"]
+
+
+def test_the_entry_works_without_the_subpackage(tmp_path):
+    copy = tmp_path / "copy"
+    shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
+    code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and 'pipeline' not in q and set(q) == set(e.oracle_sql())"
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=120)
+    with_it = "import __spark_entry__ as e; q = e.queries(); assert sum(k.startswith('op') for k in q) == 10 and 'pipeline' in q"
+    subprocess.run([sys.executable, "-c", with_it], cwd=ROOT, check=True, timeout=120)
+
+
