@@ -92,13 +92,19 @@ def monthly_temperatures(
     )
 
 
+def _int_id(name: str):
+    """A dense key as the contract's 32-bit id; the build fails plainly beyond it."""
+    too_large = F.raise_error(F.lit(f"{name} exceeds 2147483647, the contract's 32-bit id"))
+    return F.when(F.col(name) > 2**31 - 1, too_large).otherwise(F.col(name)).cast("int").alias(name)
+
+
 def build_temperature_dim(
     raw: DataFrame, country: str = TEMPERATURE_COUNTRY, since: str = TEMPERATURE_SINCE
 ) -> DataFrame:
     """dim_temperature: monthly city averages keyed by temp_id in (month, city) order."""
     keyed = dense_key(monthly_temperatures(raw, country, since), ["temp_report_month", "city"], "temp_id")
     return keyed.select(
-        F.col("temp_id").cast("int").alias("temp_id"),
+        _int_id("temp_id"),
         *[f.name for f in DIM_TEMPERATURE.fields if f.name != "temp_id"],
     )
 
@@ -124,6 +130,6 @@ def build_demographics_dim(raw: DataFrame) -> DataFrame:
     """dim_demographics: one row per (city, state, race) keyed by demo_id in that order."""
     keyed = dense_key(typed_demographics(raw), ["city", "state_code", "race"], "demo_id")
     return keyed.select(
-        F.col("demo_id").cast("int").alias("demo_id"),
+        _int_id("demo_id"),
         *[f.name for f in DIM_DEMOGRAPHICS.fields if f.name != "demo_id"],
     )
