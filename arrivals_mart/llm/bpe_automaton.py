@@ -27,7 +27,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -262,6 +262,6 @@ def encode_decode(df: DataFrame, tokenizer_path: str, text_col: str = "text") ->
     return df.select(row.alias("row"), F.col(f"`{text_col}`").alias("text")).mapInArrow(run, schema)
 
 
-def ids_text(ids) -> "F.Column":
+def ids_text(ids: Column) -> Column:
     """Decimal ids joined by commas."""
     return F.array_join(ids.cast("array<string>"), ",")

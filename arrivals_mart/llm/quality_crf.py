@@ -32,18 +32,11 @@ TRAINING_CHAIN = 96
 ROUNDS = 200
 PIECE_BYTES = 8 << 20
 
-_LETTER = {*range(65, 91), *range(97, 123)}
+# Capitals, digits, symbols, bars, shouts, stops, bytes beyond ASCII, all visible bytes.
 _KINDS = [
-    {*range(65, 91)},
-    {*range(48, 58)},
-    set(b"#$%&*@^~`<>{}[]\\+=_/"),
-    set(b"|"),
-    set(b"!?"),
-    set(b".,;:"),
-    set(range(128, 256)),
-    set(range(33, 128)) | set(range(128, 192, 64)) | set(range(192, 256)) | set(range(128, 192)),
+    range(65, 91), range(48, 58), b"#$%&*@^~`<>{}[]\\+=_/", b"|", b"!?", b".,;:", range(128, 256), range(33, 256),
 ]
-_TABLES = [np.array([b in kind for b in range(256)], np.uint8) for kind in _KINDS]
+_TABLES = [np.isin(np.arange(256), list(kind)).astype(np.uint8) for kind in _KINDS]
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)], bool)
 N_FEATURES = 10
 
