@@ -10,9 +10,9 @@ and every string has exactly one such path.
 All arcs of one label lead to one state, and that state is a chain of copies, each without
 one more arc. So a gadget is one entry ``(u, v) -> rank``, and whether state q has an
 arc t follows from the entries along the right parts of the label into q and the left
-parts of t; answers are kept in a transition table. Encoding walks a pre-split word
-once from left to right: at each position the one state that the prefix leads to is
-known, and every token that starts there and that the state has an arc for is followed.
+parts of t; answers are kept in a transition table. Encoding walks a pre-split word along
+arcs that spell it, longer ones first. As only one path leads to any position, a position
+from which the end cannot be reached is left for good, so a word takes few steps more than tokens.
 
 Null texts count as empty and give no ids. Added tokens (such as an end-of-text mark) are cut
 out first. Rows that repeat are encoded each. Extra columns pass through unchanged.
@@ -21,6 +21,7 @@ out first. Rows that repeat are encoded each. Extra columns pass through unchang
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -135,60 +136,79 @@ def load_automaton(path: str) -> Automaton:
     return compile_automaton({k: v for k, v in model["vocab"].items() if k not in added}, merges, added)
 
 
+class WordTable(dict):
+    """word -> its ids as bytes, filled by the encoder as words come by."""
+
+    def __init__(self, encoder: "Encoder"):
+        super().__init__()
+        self._encoder = encoder
+
+    def __missing__(self, word: str) -> bytes:
+        ids = array("i", self._encoder.tokens(word.encode())).tobytes()
+        if len(word) <= LONG_WORD:
+            if len(self) >= self._encoder.entries:
+                self.clear()
+            self[word] = ids
+        return ids
+
+
 class Encoder:
     """Table-driven encoding with one compiled automaton; the tables fill as words come by."""
 
     def __init__(self, automaton: Automaton, entries: int = TABLE_ENTRIES):
         self.a, self.entries = automaton, entries
         self.arcs: dict[int, bool] = {}
-        self.words: dict[str, bytes] = {}
+        self.words = WordTable(self)
         self.split = regex.compile(PRE_SPLIT).findall
         special = sorted(automaton.added, key=len, reverse=True)
         self.specials = regex.compile("(" + "|".join(map(regex.escape, special)) + ")") if special else None
         self._labels = np.array(automaton.labels, dtype=object)
 
     def tokens(self, word: bytes) -> list[int]:
-        """The labels on the one path that spells ``word``."""
+        """The labels on the one path that spells ``word``.
+
+        Longer arcs are tried first. Only one path leads to a position, so a
+        position from which the end was not reached is never tried again.
+        """
         a, arcs, n = self.a, self.arcs, len(word)
         trie, ends, arc = a.trie.get, a.ends, a.arc
-        last, start = [-1] * (n + 1), [0] * (n + 1)
-        for i in range(n):
-            state = last[i]
-            at = 0
-            for j in range(i, n):
-                at = trie(at << 8 | word[j])
-                if at is None:
-                    break
-                t = ends[at]
-                if t >= 0 and last[j + 1] < 0:
-                    if i:
-                        key = state << 20 | t
-                        ok = arcs.get(key)
-                        if ok is None:
-                            if len(arcs) >= self.entries:
-                                arcs.clear()
-                            ok = arcs[key] = arc(state, t)
-                        if not ok:
-                            continue
-                    last[j + 1], start[j + 1] = t, i
-        out, j = [], n
-        while j:
-            out.append(last[j])
-            j = start[j]
-        out.reverse()
-        return out
-
-    def _word(self, word: str) -> bytes:
-        ids = np.array(self.tokens(word.encode()), np.int32).tobytes()
-        if len(word) <= LONG_WORD:
-            if len(self.words) >= self.entries:
-                self.words.clear()
-            self.words[word] = ids
-        return ids
+        path, before, dead = [], [], set()
+        at, last, todo = 0, -1, None
+        while at < n:
+            if todo is None:
+                todo, node, j = [], 0, at
+                while j < n:
+                    node = trie(node << 8 | word[j])
+                    if node is None:
+                        break
+                    j += 1
+                    if ends[node] >= 0:
+                        todo.append((j, ends[node]))
+            while todo:
+                j, t = todo.pop()
+                if j in dead:
+                    continue
+                if last >= 0:
+                    key = last << 20 | t
+                    ok = arcs.get(key)
+                    if ok is None:
+                        if len(arcs) >= self.entries:
+                            arcs.clear()
+                        ok = arcs[key] = arc(last, t)
+                    if not ok:
+                        continue
+                before.append((at, last, todo))
+                path.append(t)
+                at, last, todo = j, t, None
+                break
+            else:
+                dead.add(at)
+                path.pop()
+                at, last, todo = before.pop()
+        return path
 
     def _plain(self, text: str) -> bytes:
-        words, word = self.words, self._word
-        return b"".join([words.get(w) or word(w) for w in self.split(text)])
+        return b"".join(map(self.words.__getitem__, self.split(text)))
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a whole text."""
