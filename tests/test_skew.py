@@ -71,3 +71,44 @@ def test_many_copies_of_one_song_are_salted_exactly(spark):
     assert salted.filter("song_id like 'SO0-%'").count() == 1000 * 40  # every hot play meets all 40 copies
     plan = salted._jdf.queryExecution().executedPlan().toString()
     assert "_salt" in next(line for line in plan.splitlines() if "Join" in line and "title" in line)
+
+
+def test_null_keys_of_a_large_lookup_are_scattered(spark):
+    """Above the broadcast bound, arrivals without a country or port code do not meet in one task."""
+    from arrivals_mart.plans.marts import build_fact, build_person_dim
+
+    from .fixtures import frames
+
+    f = frames(spark)
+    for build, lookup in ((build_fact, "ports"), (build_person_dim, "countries")):
+        small = build(f["arrivals"], f[lookup])
+        large = build(f["arrivals"], f[lookup], max_lookup_rows=1)
+        rows = [sorted(map(str, df.collect())) for df in (small, large)]
+        assert rows[0] == rows[1]
+        plan = large._jdf.queryExecution().optimizedPlan().toString()
+        assert "no-key" in plan and "xxhash64" in plan
+        assert "no-key" not in small._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_hot_keys_are_looked_for_once_and_no_salting_runs_without_any(spark):
+    from arrivals_mart.operators.joins import HOT, SALT, salt_hot_right_keys
+
+    left = spark.createDataFrame([("a",), ("b",)], "k string")
+    right = spark.createDataFrame([("a", 1), ("a", 2), ("c", 3)], "t string, v int")
+    for threshold, salts in ((3, {0}), (2, {0, 1, 2, 3})):
+        lefts, rights = salt_hot_right_keys(left, right, ["k"], ["t"], threshold, 4)
+        assert {r[SALT] for r in lefts.collect()} == salts
+        assert sum(r[HOT] for r in lefts.collect()) == (0 if threshold == 3 else 4)
+        plan = rights._jdf.queryExecution().optimizedPlan().toString()
+        assert "Aggregate" not in plan  # the list was counted and stored before
+        assert ("Join" in plan) == (threshold == 2)
+
+
+def test_dense_keys_come_from_stored_columns(spark):
+    from arrivals_mart.operators.keys import dense_key
+
+    df = spark.range(100).selectExpr("id % 7 AS a", "id AS b")
+    keyed = dense_key(df, ["a", "b"], "n")
+    assert "parquet" in keyed._jdf.queryExecution().optimizedPlan().toString()
+    assert "ExistingRDD" not in keyed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.n for r in keyed.collect()) == list(range(1, 101))
