@@ -26,7 +26,8 @@ TEMPERATURE_SINCE = "1980-01-01"
 
 def build_fact(arrivals: DataFrame, ports: DataFrame, max_lookup_rows: int = DEFAULT_MAX_LOOKUP_ROWS) -> DataFrame:
     """fact_immigration: one row per arrival record with a known port and arrival date."""
-    i = arrivals.alias("i")
+    # no date without a day number; the parquet scan takes this test over
+    i = arrivals.filter(F.col("arrdate").isNotNull()).alias("i")
     joined = lookup_join(
         i, ports, [F.col("i.i94port")], ["code"], how="left",
         case_insensitive=True, max_rows=max_lookup_rows, alias="p",
@@ -53,7 +54,9 @@ def build_person_dim(
     arrivals: DataFrame, countries: DataFrame, max_lookup_rows: int = DEFAULT_MAX_LOOKUP_ROWS
 ) -> DataFrame:
     """dim_immigrant: travellers with gender M/F and a known age, with both countries decoded."""
-    kept = arrivals.filter(F.col("gender").isin("M", "F") & tolerant_int(F.col("i94bir")).isNotNull())
+    # the plain null test is what the parquet scan can take over
+    known_age = F.col("i94bir").isNotNull() & tolerant_int(F.col("i94bir")).isNotNull()
+    kept = arrivals.filter(F.col("gender").isin("M", "F") & known_age)
     i = kept.alias("i")
     numbered = countries.select(tolerant_int(F.col("code")).alias("code_num"), F.col("country"))
     small = row_count_at_most(numbered, max_lookup_rows)  # one check for both roles
