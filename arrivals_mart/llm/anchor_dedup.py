@@ -43,7 +43,7 @@ WINDOW, BLOCK = 50, 10
 #: Whole blocks that a window contains wherever it starts.
 RUN = (WINDOW - BLOCK + 1) // BLOCK
 #: Entries that one task sorts at a time, and bytes of text that are worked on together.
-ENTRIES, PIECE_BYTES = 1_500_000, 8 << 20
+ENTRIES, PIECE_BYTES = 1_500_000, 4 << 20
 #: Words that a task's table may hold before it is emptied.
 TABLE_ENTRIES = 300_000
 #: Odd bases of the two polynomials.
@@ -308,10 +308,12 @@ def _packed(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
-        for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [b.column("id"), b.column("crc"), pa.array(map(pack, _texts(b)), pa.binary())], names=["id", "crc", "packed"]
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column("id"), b.column("crc"), pa.array(map(pack, _texts(b)), pa.binary())], names=["id", "crc", "packed"]
+                )
 
     return docs.mapInArrow(run, "id bigint, crc bigint, packed binary")
 
