@@ -7,7 +7,9 @@
 3. A query visits a table's buckets in estimated success order: its own first, then slots moved
    by one or more, by ascending sum of squared distances to the slots' borders.
 4. The number of probes is calibrated: a bounded sample of queries is compared with brute force,
-   and the probes go as far as a recall of ``TARGET_RECALL`` of the sample needs.
+   and the probes go as far as a recall of ``TARGET_RECALL`` of the sample needs. If more than
+   ``MAX_PROBES`` were needed, all is hashed anew with one direction less, which makes larger
+   buckets. Without directions one bucket holds everything: an exact scan, block by block.
 5. Buckets are dealt to tasks; a task holds a bounded share of the entries and streams
    the queries that probe it. It reranks all entries of the visited buckets by exact inner product
    of the original vectors in double precision and passes on its nearest ``k`` per query.
@@ -44,11 +46,17 @@ _MOVES = 6
 
 
 class Hashes:
-    """Directions and offsets of all tables for vectors of ``dim`` components with norms up to ``largest``."""
+    """Directions and offsets of all tables for vectors of ``dim`` components with norms up to ``largest``.
 
-    def __init__(self, dim: int, entries: int, largest: float, tables: int = TABLES, width: float = WIDTH):
+    Without ``directions`` their number follows from the entries; with 0 one table has one bucket for all.
+    """
+
+    def __init__(self, dim: int, entries: int, largest: float, tables: int = TABLES, width: float = WIDTH,
+                 directions: int | None = None):
         rng = np.random.default_rng(SEED)
         self.k = int(min(max(4, round(np.log(max(entries, 1) / BUCKET_ENTRIES) / np.log(SPLIT))), dim + 1))
+        if directions is not None:
+            self.k, tables = directions, tables if directions else 1
         self.tables, self.width, self.largest = tables, width, largest
         bases = [np.linalg.qr(rng.standard_normal((dim + 1, self.k)))[0] * np.sqrt(dim + 1) for _ in range(tables)]
         self.directions = np.concatenate(bases, 1)
@@ -122,8 +130,8 @@ def entries_of(df: DataFrame, id_col: str, vector_col: str, keep: int) -> tuple[
     return merged, dim
 
 
-def calibrate(entries: DataFrame, hashes: Hashes, dim: int, k: int, target: float = TARGET_RECALL) -> int:
-    """Probes per table that a bounded sample of queries needs to find ``target`` of its true nearest entries."""
+def sampled(entries: DataFrame, dim: int, k: int) -> tuple[np.ndarray, list]:
+    """A bounded sample of queries, and rows (q, id, s, v) of their true nearest entries."""
     sample = entries.orderBy(F.xxhash64(F.col("ids")[0]), F.col("ids")[0]).limit(SAMPLE_QUERIES).collect()
     q = np.array([r["v"] for r in sample], np.float64)
     own = np.array([r["ids"][0] for r in sample], np.int64)
@@ -143,7 +151,11 @@ def calibrate(entries: DataFrame, hashes: Hashes, dim: int, k: int, target: floa
 
     near = entries.select(F.col("ids")[0].alias("id"), "v").mapInArrow(run, "q bigint, id bigint, s double, v array<float>")
     rank = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("s"), "id"))
-    true = near.filter("s > double('-infinity')").withColumn("r", rank).filter(F.col("r") <= k).collect()
+    return q, near.filter("s > double('-infinity')").withColumn("r", rank).filter(F.col("r") <= k).collect()
+
+
+def calibrate(q: np.ndarray, true: list, hashes: Hashes, target: float = TARGET_RECALL) -> int | None:
+    """Probes per table that queries ``q`` need to find ``target`` of their nearest entries; None if over MAX_PROBES."""
     if not true:
         return 1
     keys = hashes.entry_keys(np.array([r["v"] for r in true], np.float64))
@@ -152,7 +164,7 @@ def calibrate(entries: DataFrame, hashes: Hashes, dim: int, k: int, target: floa
     for n, r in enumerate(true):
         for t in range(hashes.tables):
             wanted.setdefault((r["q"], t), {}).setdefault(int(keys[n, t]), []).append(n)
-    reached = np.full(len(true), MAX_PROBES)
+    reached = np.full(len(true), np.inf)
     for (i, t), todo in wanted.items():
         for rank_, key in enumerate(hashes.probes(slots[i, t], inside[i, t])):
             if rank_ >= MAX_PROBES or not todo:
@@ -160,15 +172,26 @@ def calibrate(entries: DataFrame, hashes: Hashes, dim: int, k: int, target: floa
             for n in todo.pop(key, ()):
                 reached[n] = min(reached[n], rank_ + 1)
     reached.sort()
-    return int(reached[min(len(reached) - 1, int(np.ceil(target * len(reached))) - 1)])
+    needed = reached[min(len(reached) - 1, int(np.ceil(target * len(reached))) - 1)]
+    return int(needed) if np.isfinite(needed) else None
+
+
+def fitted(entries: DataFrame, dim: int, n: int, largest: float, k: int) -> tuple[Hashes, int]:
+    """Hashes and probes per table that reach the target on the sample, with as many directions as can."""
+    q, true = sampled(entries, dim, k)
+    hashes = Hashes(dim, n, largest)
+    while (probes := calibrate(q, true, hashes)) is None:
+        hashes = Hashes(dim, n, largest, directions=hashes.k - 1)
+    return hashes, probes
 
 
 def _part(tables, keys: np.ndarray, salt: np.ndarray, parts: int) -> np.ndarray:
+    """Each bucket's part by its hash; the salts of a bucket go to the parts that follow."""
     with np.errstate(over="ignore"):
-        h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + salt.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
         h *= np.uint64(0xD6E8FEB86659FD93)
-    return (tables * parts + (h >> np.uint64(33)).astype(np.int64) % parts).astype(np.int64)
+    return (tables * parts + ((h >> np.uint64(33)).astype(np.int64) + salt) % parts).astype(np.int64)
 
 
 def _search(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.RecordBatch]:
@@ -248,8 +271,7 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
     size = entries.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest")).first()
     if not size["n"]:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    hashes = Hashes(dim, size["n"], size["largest"])
-    probes = calibrate(entries, hashes, dim, k)
+    hashes, probes = fitted(entries, dim, size["n"], size["largest"], k)
     parts = max(1, -(-size["n"] // SHARE))
 
     def keyed(batches):

@@ -97,3 +97,30 @@ def test_heavy_buckets_are_salted(spark, monkeypatch):
     rows = [(i, np.array([1.0, 0.0, 0.0, 0.0]) + rng.normal(0, 0.02, 4)) for i in range(400)]
     got = answers(A.nearest(table(spark, rows), F.col("id") % 20 == 0))
     assert recall(got, brute(rows, set(range(0, 400, 20)), 20)) >= 0.9
+
+
+def test_too_few_probes_mean_fewer_directions_not_less_recall(spark, monkeypatch):
+    monkeypatch.setattr(A, "MAX_PROBES", 12)
+    rng = np.random.default_rng(4)
+    rows = [(i, rng.normal(0, 1, 16)) for i in range(600)]
+    got = answers(A.nearest(table(spark, rows), F.col("id") % 20 == 0))
+    assert recall(got, brute(rows, set(range(0, 600, 20)), 20)) >= 0.9
+
+
+def test_last_resort_is_an_exact_scan_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(A, "MAX_PROBES", 1)
+    monkeypatch.setattr(A, "SHARE", 100)
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.integers(-9, 10, 16)) for i in range(600)]
+    got = answers(A.nearest(table(spark, rows), F.col("id") % 20 == 0))
+    assert got == brute(rows, set(range(0, 600, 20)), 20)
+
+
+def test_calibration_tells_when_probes_do_not_suffice(monkeypatch):
+    v = np.random.default_rng(6).normal(0, 1, (40, 16))
+    true = [{"q": 0, "v": x} for x in v[1:]]
+    hashes = A.Hashes(16, 40, float(np.linalg.norm(v, axis=1).max()))
+    assert A.calibrate(v[:1], true, hashes) <= A.MAX_PROBES
+    monkeypatch.setattr(A, "MAX_PROBES", 1)
+    assert A.calibrate(v[:1], true, hashes) is None
+    assert A.calibrate(v[:1], true, A.Hashes(16, 40, hashes.largest, directions=0)) == 1
