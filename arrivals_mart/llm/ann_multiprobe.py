@@ -11,8 +11,9 @@
    ``MAX_PROBES`` were needed, all is hashed anew with one direction less, which makes larger
    buckets. Without directions one bucket holds everything: an exact scan, block by block.
 5. Buckets are dealt to tasks; a task holds a bounded share of the entries and streams
-   the queries that probe it. It reranks all entries of the visited buckets by exact inner product
-   of the original vectors in double precision and passes on its nearest ``k`` per query.
+   the queries that probe it. It reranks the entries of the visited buckets by exact inner product
+   of the original vectors in double precision and passes on its nearest ``k`` per query. Left out
+   are only entries whose single-precision product is too low for its rounding error to matter.
 6. The candidates of all tables and tasks merge per query: nearest first, ties to the smaller id.
 
 A bucket beyond the share of a task is salted over several. Vectors that are null, zero,
@@ -43,6 +44,8 @@ SAMPLE_QUERIES, MAX_PROBES = 48, 8192
 SHARE = 32_768
 SEED = 8
 _MOVES = 6
+#: Components that are multiplied in double precision at a time.
+_EXACT = 1 << 20
 
 
 class Hashes:
@@ -227,6 +230,12 @@ class _Part:
         ids = pa.concat_arrays([b.column("ids") for b in batches]).take(pa.array(order))
         self.id_at = np.concatenate([[0], np.cumsum(np.asarray(ids.value_lengths()))])
         self.ids = np.asarray(ids.flatten())
+        # the only id of an entry; entries of several ids always have one besides the query's own
+        self.only = np.where(np.diff(self.id_at) == 1, self.ids[self.id_at[:-1]], -1)
+        self.several = np.diff(self.id_at) > 1
+        # over twice what rounding makes of a single-precision product with a vector of norm 1
+        norms = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors, dtype=np.float64))
+        self.slack = dim * float(np.finfo(np.float32).eps) * norms
         found, first = np.unique(keys[order], return_index=True)
         ends = [*first[1:].tolist(), len(keys)]
         self.range = dict(zip(found.tolist(), zip(first.tolist(), ends)))
@@ -239,27 +248,43 @@ class _Part:
             ranges = [r for r in map(self.range.get, keys) if r]
             if not ranges:
                 continue
-            vec = q[i]
-            scores = np.concatenate([self.vectors[a:b] @ vec for a, b in ranges])
-            rows = np.concatenate([np.arange(a, b) for a, b in ranges])
-            # a margin beyond k covers what single precision cannot tell apart
-            some = 2 * k + 8
-            if len(rows) > some:
-                rows = rows[np.argpartition(-scores, some)[:some]]
-            exact = (self.vectors[rows].astype(np.float64) * vec.astype(np.float64)).sum(1)
-            pairs = sorted(
-                (-s, x) for s, r in zip(exact.tolist(), rows.tolist())
-                for x in self.ids[self.id_at[r]:self.id_at[r + 1]].tolist() if x != names[i]
-            )[:k]
-            out_q += [names[i]] * len(pairs)
-            out_id += [x for _, x in pairs]
-            out_s += [-s for s, _ in pairs]
+            ids, scores = self._nearest(ranges, q[i], names[i], k)
+            out_q += [names[i]] * len(ids)
+            out_id += ids
+            out_s += scores
         if out_q:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out_q, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_s, pa.float64())],
                 names=["query_id", "vec_id", "score"],
             )
 
+    def _nearest(self, ranges: list[tuple[int, int]], vec: np.ndarray, own: int, k: int) -> tuple[list[int], list[float]]:
+        """Ids and exact scores of the ``k`` nearest entries of the ranges, ties to the smaller id."""
+        rows = np.concatenate([np.arange(a, b) for a, b in ranges])
+        others = (self.only[rows] != own) | self.several[rows]
+        rows, wide = rows[others], vec.astype(np.float64)
+        if len(rows) > k:
+            with np.errstate(over="ignore", invalid="ignore"):
+                scores = np.concatenate([self.vectors[a:b] @ vec for a, b in ranges])[others].astype(np.float64)
+            if np.isfinite(scores).all():
+                slack = self.slack[rows] * np.linalg.norm(wide) + len(vec) * float(np.finfo(np.float32).tiny)
+                # whatever the rounding, k entries reach ``least``
+                least = np.partition(scores - slack, len(rows) - k)[len(rows) - k]
+                rows = rows[scores + slack >= least]
+        step = max(1, _EXACT // len(vec))
+        exact = np.concatenate([np.zeros(0)] + [
+            (self.vectors[rows[lo:lo + step]].astype(np.float64) * wide).sum(1) for lo in range(0, len(rows), step)
+        ])
+        if len(rows) > k:
+            best = exact >= np.partition(exact, len(rows) - k)[len(rows) - k]
+            rows, exact = rows[best], exact[best]
+        n = self.id_at[rows + 1] - self.id_at[rows]
+        ids = self.ids[np.repeat(self.id_at[rows] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        scores = np.repeat(exact, n)
+        ids, scores = ids[ids != own], scores[ids != own]
+        order = np.lexsort((ids, -scores))[:k]
+        return ids[order].tolist(), scores[order].tolist()
+
 
 def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest that the tables find, for the rows where the

@@ -1,4 +1,6 @@
 import numpy as np
+import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from arrivals_mart.llm import ann_multiprobe as A
@@ -124,3 +126,31 @@ def test_calibration_tells_when_probes_do_not_suffice(monkeypatch):
     monkeypatch.setattr(A, "MAX_PROBES", 1)
     assert A.calibrate(v[:1], true, hashes) is None
     assert A.calibrate(v[:1], true, A.Hashes(16, 40, hashes.largest, directions=0)) == 1
+
+
+def near_copies(rng):
+    return np.float32(rng.normal(0, 1, 24)) * (1 + np.float32(rng.normal(0, 1e-7, (400, 24))))
+
+
+@pytest.mark.parametrize("make", [
+    lambda rng: np.column_stack([np.ones(400), rng.integers(0, 2, (400, 23))]),  # equal products with the query
+    near_copies,
+    lambda rng: rng.normal(0, 1, (400, 24)) * rng.choice([1e-42, 1e-20, 1, 1e25], (400, 1)),
+], ids=["ties", "near copies", "norms"])
+def test_more_rows_than_single_precision_tells_apart(make):
+    rng = np.random.default_rng(7)
+    vectors = np.unique(np.float32(make(rng)), axis=0)
+    ids = rng.permutation(len(vectors)) + 1
+    query = np.float32([1] + [0] * 23) if vectors[0, 0] == vectors[-1, 0] == 1 else vectors[3]
+    own = int(ids[3])
+    entries = pa.RecordBatch.from_pydict({
+        "keys": pa.array([[7]] * len(ids), pa.list_(pa.int64())), "v": pa.array(vectors.tolist(), pa.list_(pa.float32())),
+        "ids": pa.array([[i] for i in ids.tolist()], pa.list_(pa.int64())),
+    })
+    asked = pa.RecordBatch.from_pydict({
+        "id": pa.array([own]), "keys": pa.array([[7]], pa.list_(pa.int64())), "v": pa.array([query.tolist()], pa.list_(pa.float32())),
+    })
+    found = [(r["vec_id"], r["score"]) for b in A._Part([entries], 24).answers(asked, 24, 20) for r in b.to_pylist()]
+    exact = (vectors.astype(float) * query.astype(float)).sum(1).tolist()
+    want = sorted((x for x in zip(ids.tolist(), exact) if x[0] != own), key=lambda s: (-s[1], s[0]))[:20]
+    assert found == want
