@@ -17,7 +17,8 @@
 6. The candidates of all tables and tasks merge per query: nearest first, ties to the smaller id.
 
 A bucket beyond the share of a task is salted over several. Vectors that are null, zero,
-of another length than most, or that hold null or non-finite components take no part. Rows that
+or that hold null or non-finite components take no part. Vectors of different lengths are not
+compared: each length has its own tables, and its queries find entries of that length. Rows that
 repeat an id and vector count once. An empty table gives an empty result.
 """
 
@@ -25,6 +26,7 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -114,8 +116,8 @@ def _matrix(column: pa.Array, dim: int) -> np.ndarray:
     return np.asarray(column.flatten()).reshape(len(column), dim)
 
 
-def entries_of(df: DataFrame, id_col: str, vector_col: str, keep: int) -> tuple[DataFrame, int]:
-    """Distinct usable vectors with their ``keep`` smallest ids, and their dimension.
+def entries_of(df: DataFrame, id_col: str, vector_col: str, keep: int) -> DataFrame:
+    """Distinct usable vectors of all lengths with their ``keep`` smallest ids.
 
     Equal vectors merge in two steps, the first salted by id, so that a vector that fills a
     third of the table is gathered by many tasks and never more than ``keep`` ids at a time after it.
@@ -124,13 +126,9 @@ def entries_of(df: DataFrame, id_col: str, vector_col: str, keep: int) -> tuple[
     rows = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), v.alias("v")).filter("id IS NOT NULL AND v IS NOT NULL")
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(finite & F.exists("v", lambda x: x != 0))
-    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dim = common["d"] if common else 0
-    rows = rows.filter(F.size("v") == dim)
     first = rows.groupBy("v", F.pmod(F.xxhash64("id"), F.lit(4096)).alias("salt")).agg(F.collect_set("id").alias("ids"))
     first = first.select("v", F.slice(F.array_sort("ids"), 1, keep).alias("ids"))
-    merged = first.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"))
-    return merged, dim
+    return first.groupBy("v").agg(F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, keep).alias("ids"))
 
 
 def sampled(entries: DataFrame, dim: int, k: int) -> tuple[np.ndarray, list]:
@@ -290,14 +288,25 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
     """query_id, rank, vec_id, score of the ``k`` nearest that the tables find, for the rows where the
     column expression ``is_query`` holds (it may use ``id``), against all rows."""
     spark = df.sparkSession
-    merged, dim = entries_of(df, id_col, vector_col, k + 1)
-    entries = written(merged, "ann-entries")
+    entries = written(entries_of(df, id_col, vector_col, k + 1), "ann-entries")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    size = entries.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest")).first()
-    if not size["n"]:
+    sizes = entries.groupBy(F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("largest"))
+    found = [
+        _found(entries.filter(F.size("v") == r["dim"]), _queries(df, id_col, vector_col, r["dim"], is_query),
+               r["dim"], r["n"], r["largest"], k)
+        for r in sorted(sizes.collect())
+    ]
+    if not found:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    hashes, probes = fitted(entries, dim, size["n"], size["largest"], k)
-    parts = max(1, -(-size["n"] // SHARE))
+    best = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _found(entries: DataFrame, queries: DataFrame, dim: int, n: int, largest: float, k: int) -> DataFrame:
+    """query_id, vec_id and score of the nearest of each table and task, for vectors of one length."""
+    hashes, probes = fitted(entries, dim, n, largest, k)
+    parts = max(1, -(-n // SHARE))
 
     def keyed(batches):
         for b in batches:
@@ -310,7 +319,7 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
 
     index = entries.mapInArrow(keyed, "t bigint, key bigint, ids array<bigint>, v array<float>")
     # at most tables * entries / limit buckets exceed the limit, which is a few thousand at any size
-    limit = max(SHARE, size["n"] // 1000)
+    limit = max(SHARE, n // 1000)
     heavy = {(r["t"], r["key"]): -(-r["count"] // SHARE)
              for r in index.groupBy("t", "key").count().filter(F.col("count") > limit).collect()}
 
@@ -357,16 +366,12 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
                         names=["part", "id", "keys", "v"],
                     )
 
-    queries = _queries(df, id_col, vector_col, dim, is_query)
     held = index.mapInArrow(dealt, "part bigint, kind int, ids array<bigint>, keys array<bigint>, v array<float>")
     held = held.withColumn("id", F.lit(None).cast("bigint"))
     probing = queries.mapInArrow(asked, "part bigint, id bigint, keys array<bigint>, v array<float>")
     probing = probing.withColumns({"kind": F.lit(1), "ids": F.lit(None).cast("array<bigint>")})
     both = held.unionByName(probing).repartition(hashes.tables * parts, "part").sortWithinPartitions("part", "kind")
-    found = both.mapInArrow(lambda bs: _search(bs, dim, k), "query_id bigint, vec_id bigint, score double")
-    best = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return both.mapInArrow(lambda bs: _search(bs, dim, k), "query_id bigint, vec_id bigint, score double")
 
 
 def _queries(df: DataFrame, id_col: str, vector_col: str, dim: int, is_query) -> DataFrame:

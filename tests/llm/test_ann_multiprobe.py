@@ -154,3 +154,14 @@ def test_more_rows_than_single_precision_tells_apart(make):
     exact = (vectors.astype(float) * query.astype(float)).sum(1).tolist()
     want = sorted((x for x in zip(ids.tolist(), exact) if x[0] != own), key=lambda s: (-s[1], s[0]))[:20]
     assert found == want
+
+
+def test_each_length_is_searched(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(0, 1, 5 if i % 3 else 4)) for i in range(90)]
+    got = answers(A.nearest(table(spark, rows), F.col("id") % 20 == 0))
+    want = {}
+    for dim in (4, 5):
+        want |= brute([r for r in rows if len(r[1]) == dim], {0, 20, 40, 60, 80}, 20)
+    assert sorted(got) == [0, 20, 40, 60, 80] and recall(got, want) >= 0.9
+    assert all(len(rows[q][1]) == len(rows[i][1]) for q in got for i, _ in got[q])
