@@ -3,7 +3,9 @@
 The dictionary is a text file of ``value <name>`` blocks of ``code = 'label'``
 entries, one or more to a line; codes are numbers or quoted text, labels are
 quoted with doubled quotes as escape, lines end in CRLF and the last entry of
-a block may carry the closing ``;``. ``value`` may be in any letter case.
+a block may carry the closing ``;``. ``value`` may be in any letter case, and
+entries may follow it on its line, after options in parentheses if there are any.
+A warning counts the other lines that hold an entry but do not begin with one.
 
 The file is read line by line by Spark, split like any text file. An entry
 belongs to the closest ``value`` line above it, which may sit in an earlier
@@ -17,6 +19,7 @@ matched once: headers and entries are stored, and everything else starts there.
 from __future__ import annotations
 
 import os
+import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,6 +36,7 @@ STATE_BLOCK = "i94addrl"
 INVALID_LABEL_PATTERN = r"(?i)^(INVALID\b|Collapsed\b|No .*Code\b)"
 
 _HEADER = r"(?i)^\s*value\s+(\$?[A-Za-z_][A-Za-z0-9_]*)"
+_OPTIONS = r"(?:\s*\([^)]*\))?"
 # possessive loops over unquoted runs: a label of any length is matched without recursion
 _QUOTED = r"'([^']*+(?:''[^']*+)*+)'"
 _ENTRY = rf"(?:{_QUOTED}|([^\s=';]++))\s*+=\s*+{_QUOTED}"
@@ -62,15 +66,21 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
     """
     bare_line = F.regexp_replace("line", _COMMENT, "")
     header = F.nullif(F.regexp_extract(bare_line, _HEADER, 1), F.lit(""))
-    # a line is an entry line if it begins with an entry; then all its entries count
+    body = F.regexp_replace(bare_line, _HEADER + _OPTIONS, "")
+    # a line is an entry line if it, or what follows its header, begins with an entry; then all its entries count
     found = F.arrays_zip(*[
-        F.regexp_extract_all(bare_line, F.lit(_ENTRY), F.lit(i)).alias(n) for i, n in ((1, "quoted"), (2, "bare"), (3, "label"))
+        F.regexp_extract_all(body, F.lit(_ENTRY), F.lit(i)).alias(n) for i, n in ((1, "quoted"), (2, "bare"), (3, "label"))
     ])
     tagged = lines.select(
-        "file", "split_start", "pos", header.alias("header"),
-        F.when(header.isNull() & bare_line.rlike(r"^\s*" + _ENTRY), found).alias("entries"),
+        "file", "split_start", "pos", header.alias("header"), found.alias("found"), body.rlike(r"^\s*" + _ENTRY).alias("is_entry"),
+    ).select(
+        "file", "split_start", "pos", "header", F.when(F.col("is_entry"), F.col("found")).alias("entries"),
+        (~F.col("is_entry") & (F.size("found") > 0)).alias("passed_over"),
     )
-    tagged = stored(tagged.filter(F.col("header").isNotNull() | F.col("entries").isNotNull()), "label-lines")
+    tagged = stored(tagged.filter("header IS NOT NULL OR entries IS NOT NULL OR passed_over"), "label-lines")
+    passed_over = tagged.filter("passed_over").count()
+    if passed_over:
+        warnings.warn(f"{passed_over} label lines hold entries but do not begin with one: not taken", stacklevel=2)
 
     in_split = Window.partitionBy("file", "split_start").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     tagged = tagged.withColumn("local_block", F.last("header", ignorenulls=True).over(in_split))

@@ -1,5 +1,7 @@
 from contextlib import contextmanager
 
+import pytest
+
 from arrivals_mart.schemas import COUNTRY_LOOKUP, PORT_LOOKUP
 from arrivals_mart.sources.files import read_csv
 from arrivals_mart.sources.labels import (
@@ -138,3 +140,16 @@ def test_write_lookups_produces_pipeline_inputs(spark, tmp_path):
     countries = read_csv(spark, str(tmp_path / "staging" / "country_mapping"), COUNTRY_LOOKUP)
     assert sorted(tuple(r) for r in ports.collect()) == EXPECTED_PORTS
     assert ("9002", "PUMICE ROCK (north, and the lagoon)") in [tuple(r) for r in countries.collect()]
+
+
+def test_entries_on_the_header_line_count_and_passed_over_lines_are_told(spark, tmp_path):
+    path = tmp_path / "dict.txt"
+    path.write_text(
+        "value a 1='one' 2='two'\n 3='three' ;\nvalue $b (min=1 max=9)'X'='why' ;\nvalue c\n 4='four'\n"
+        "see 5='five'\nvalue d of 6='six'\n"
+    )
+    with pytest.warns(UserWarning, match="^2 label lines"):
+        got = label_dictionary(spark, str(path))
+    assert sorted(tuple(r) for r in got.select("block", "code", "label").collect()) == [
+        ("$b", "X", "why"), ("a", "1", "one"), ("a", "2", "two"), ("a", "3", "three"), ("c", "4", "four"),
+    ]
