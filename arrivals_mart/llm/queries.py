@@ -16,6 +16,7 @@ from arrivals_mart.llm import (
     quality_crf,
     secret_ledger,
     simhash_bktree,
+    source_divergence,
     toxicity_ftrl,
     warc_index,
 )
@@ -186,6 +187,38 @@ FROM docs LEFT JOIN kept USING (rid)
 """
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergence(read_table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+OP11_SQL = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+occurring AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+per_doc AS (SELECT rid, lang, source, term, count(*) AS n FROM occurring GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS n FROM per_doc GROUP BY ALL HAVING count(*) >= 30),
+per_group AS (SELECT lang, source, term, sum(n) AS n FROM per_doc SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+dense AS (SELECT g.lang, g.source, term, coalesce(o.n, 0)::HUGEINT AS n, kept.n AS lang_n
+          FROM (SELECT DISTINCT lang, source FROM docs) g JOIN kept USING (lang)
+               LEFT JOIN per_group o USING (lang, source, term)),
+shares AS (SELECT d.lang, d.source, term, n,
+                  1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY d.lang, d.source) + 5 * v) AS p,
+                  1 + (1000000000::HUGEINT * (lang_n + 5)) // (total + 5 * v) AS q
+           FROM dense d JOIN sizes USING (lang)),
+pairs AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+          FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+parts AS (SELECT lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+          FROM groups a JOIN groups b USING (lang) LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+          WHERE a.source <> b.source
+          UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM parts)
+WHERE part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -197,6 +230,8 @@ QUERIES = {
     "op8_neighbours": op8_neighbours,
     "op9_warc": op9_warc,
     "op10_repeats": op10_repeats,
+    "op11_divergence": op11_divergence,
 }
 
-ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL, "op10_repeats": OP10_SQL}
+ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL, "op10_repeats": OP10_SQL,
+              "op11_divergence": OP11_SQL}

@@ -1,0 +1,117 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from arrivals_mart.llm import source_divergence as S
+
+from .data import DOCS, clashing, docs, empty
+
+TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def lowered(text):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+
+
+def brute(rows, min_docs, top):
+    """The result by plain counting; ``rows`` are (lang, source, text)."""
+    n, held = defaultdict(Counter), defaultdict(Counter)
+    for lang, source, text in rows:
+        words = TERM.findall(lowered(text))
+        n[lang or "", source or ""].update(words)
+        held[lang or ""].update(set(words))
+    out = set()
+    for lang in held:
+        kept = [t for t, d in held[lang].items() if d >= min_docs]
+        groups = [g for g in n if g[0] == lang]
+
+        def shares(count):
+            total = sum(count[t] for t in kept)
+            return {t: 1 + 10**9 * (count[t] + 5) // (total + 5 * len(kept)) for t in kept}
+
+        p = {g: shares(n[g]) for g in groups}
+        q = shares(sum((n[g] for g in groups), Counter()))
+        for g in groups:
+            pairs = [(sum(abs(p[g][t] - p[o][t]) for t in kept), o[1]) for o in groups if o != g]
+            terms = [(p[g][t] - q[t], t) for t in kept if n[g][t] > 0 and p[g][t] > q[t]]
+            for part, items, most in (("pair", pairs, len(pairs)), ("term", terms, top)):
+                items.sort(key=lambda x: (-x[0], x[1].encode()))
+                out |= {(*g, part, item, value, i + 1) for i, (value, item) in enumerate(items[:most])}
+    return out
+
+
+def made(seed, n=150, sources=7):
+    rng = random.Random(seed)
+    words = [rng.choice(["a", "Zeta", "longer", "eightlet", "ninelettr", "exactlysixteenab", "seventeenlettersx", "ü", "été",
+                         "漢字かな", "x" * 33, "y" * 70]) + (chr(97 + i % 26) if i % 3 else "") for i in range(60)]
+    return [(rng.choice(["en", "de", None, ""]), rng.choice([f"s{i}" for i in range(sources)] + [None, "é"]),
+             rng.choice([" ", "-", "1", "\n", "\x00"]).join(rng.choices(words, weights=range(1, 61), k=rng.randint(0, 40))) or None)
+            for _ in range(n)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "lang string, source string, text string")
+
+
+@pytest.mark.parametrize("seed,min_docs,top,block", [(1, 3, 5, 1024), (2, 1, 50, 3), (3, 10_000, 5, 2), (4, 8, 2, 1)])
+def test_equals_plain_counting(spark, seed, min_docs, top, block, monkeypatch):
+    rows = made(seed)
+    monkeypatch.setattr(S, "BLOCK_SOURCES", block)
+    pairs = S.source_pairs
+    monkeypatch.setattr(S, "source_pairs", lambda kept, groups: pairs(kept, groups, block))
+    got = S.divergence(frame(spark, rows).repartition(5), min_docs=min_docs, top_terms=top).collect()
+    assert len(got) == len(set(map(tuple, got)))
+    assert {tuple(r) for r in got} == brute(rows, min_docs, top)
+
+
+@pytest.mark.parametrize("piece,held", [(1 << 22, 1 << 20), (200, 50), (7, 1)])
+def test_packed_counts_equal_plain_counting(piece, held):
+    rows = made(5, 60) + [("en", "s1", "tail " * 300 + "end"), ("en", "s1", "q" * 5000), ("en", "s1", "q" * 5000)]
+    want, where = Counter(), Counter()
+    for lang, source, text in rows:
+        words = TERM.findall(lowered(text))
+        want.update((lang or "", source or "", w) for w in words)
+        where.update((lang or "", source or "", w) for w in set(words))
+    batches = [pa.RecordBatch.from_pydict({
+        k: pa.array([(r[i] or "") for r in rows[lo:lo + 17]], pa.string()) for i, k in enumerate(("lang", "source", "text"))
+    }) for lo in range(0, len(rows), 17)]
+    got, docs_ = Counter(), Counter()
+    for b in S.count_batches(iter(batches), piece, held):
+        for r in b.to_pylist():
+            got[r["lang"], r["source"], r["term"]] += r["n"]
+            docs_[r["lang"], r["source"], r["term"]] += r["docs"]
+    assert got == want and docs_ == where
+
+
+def test_radix_order_is_a_stable_sort():
+    rng = np.random.default_rng(0)
+    for _ in range(20):
+        n = int(rng.integers(0, 300))
+        low = rng.integers(0, 5, n).astype(np.uint32)
+        high = rng.integers(0, 1 << 63, n).astype(np.uint64) >> rng.integers(0, 63, n).astype(np.uint64)
+        assert S.radix_order([low, high]).tolist() == np.lexsort([low, high]).tolist()
+
+
+def test_large_counts_stay_exact(spark):
+    kept = spark.createDataFrame([(10**12 + 7, 10**13 + 11, 10**6)], "n bigint, total bigint, v bigint")
+    got = kept.select(S._share("n", "total").alias("p")).first().p
+    assert got == 1 + 10**9 * (10**12 + 12) // (10**13 + 11 + 5 * 10**6)
+
+
+def test_awkward_rows_clashing_columns_and_empty_table(spark):
+    df = clashing(docs(spark)).withColumns({c: F.lit("own") for c in ("term", "docs", "p", "v", "item", "part", "rank")})
+    got = S.divergence(df, min_docs=2)
+    assert {tuple(r) for r in got.collect()} == brute([(r[2], r[3], r[1]) for r in DOCS], 2, 50)
+    assert S.divergence(empty(spark)).count() == 0
+    assert S.divergence(empty(spark)).columns == ["lang", "source", "part", "item", "value", "rank"]
+
+
+def test_a_language_without_kept_terms_has_zero_distances(spark):
+    got = S.divergence(frame(spark, [("en", "a", "one"), ("en", "b", None), ("en", "c", "three")])).collect()
+    assert {(r.source, r.item, r.value) for r in got} == {(a, b, 0) for a in "abc" for b in "abc" if a != b}
+    assert {r.part for r in got} == {"pair"}
