@@ -17,6 +17,7 @@ from arrivals_mart.llm import (
     secret_ledger,
     simhash_bktree,
     source_divergence,
+    target_resample,
     toxicity_ftrl,
     warc_index,
 )
@@ -219,6 +220,12 @@ WHERE part = 'pair' OR rank <= 50
 """
 
 
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = target_resample.resample(docs, read_table(spark, sf_dir, "benchmark").select("text"))
+    return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_bpe": op2_bpe,
@@ -231,6 +238,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_repeats": op10_repeats,
     "op11_divergence": op11_divergence,
+    "op13_resample": op13_resample,
 }
 
 ORACLE_SQL = {"op3_secrets": OP3_SQL, "op4_exact_dedup": OP4_SQL, "op9_warc": OP9_SQL, "op10_repeats": OP10_SQL,
