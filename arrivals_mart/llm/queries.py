@@ -18,6 +18,7 @@ from arrivals_mart.llm import (
     simhash_bktree,
     source_divergence,
     target_resample,
+    token_counts,
     toxicity_ftrl,
     warc_index,
 )
@@ -220,6 +221,12 @@ WHERE part = 'pair' OR rank <= 50
 """
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = token_counts.token_counts(docs, tokenizer_path())
+    return out.select(F.col("row.doc_id").alias("doc_id"), "n_bytes", "n_tokens", "over_limit")
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     out = target_resample.resample(docs, read_table(spark, sf_dir, "benchmark").select("text"))
@@ -238,6 +245,7 @@ QUERIES = {
     "op9_warc": op9_warc,
     "op10_repeats": op10_repeats,
     "op11_divergence": op11_divergence,
+    "op12_token_counts": op12_token_counts,
     "op13_resample": op13_resample,
 }
 
