@@ -44,6 +44,8 @@ PIECE_BYTES = 4 << 20
 HELD_COUNTS = 1 << 20
 #: Sources of a block: a tile of two blocks holds the square of it.
 BLOCK_SOURCES = 1024
+#: Rows of kept terms to a slice. Each slice passes on one sum per pair of sources.
+SLICE_ROWS = 1 << 17
 #: Differences that a tile computes at a time.
 TILE_CELLS = 1 << 21
 
@@ -376,21 +378,22 @@ class _Tile:
                 self.sum[no[r][first]] += np.add.reduceat(away, first, axis=0)
 
     def sums(self) -> Iterator[pa.RecordBatch]:
-        """(lang, source, other, twice): both directions."""
+        """(lang, one, two, twice): each pair of sources once, ``one`` the smaller name."""
         if self.open is None:
             return
         self._count(self.open, np.zeros(self.open.num_rows, np.int64))
         names = [np.array(list(x), object) for x in self.no]
-        i, j = np.nonzero(self.sum)
+        whole = np.triu(self.sum + self.sum.T, 1) if self.diagonal else self.sum
+        i, j = np.nonzero(whole)
         for lo in range(0, len(i), 1 << 16):
             rows, columns = i[lo:lo + (1 << 16)], j[lo:lo + (1 << 16)]
-            a, b, x = names[0][rows], names[1][columns], self.sum[rows, columns]
-            for one, two in ((a, b), (b, a)):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([self.key[0]] * len(x), pa.string()), pa.array(one, pa.string()), pa.array(two, pa.string()),
-                     pa.array(x)],
-                    names=["lang", "source", "other", "twice"],
-                )
+            a, b = names[0][rows], names[1][columns]
+            turned = a > b
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([self.key[0]] * len(a), pa.string()), pa.array(np.where(turned, b, a), pa.string()),
+                 pa.array(np.where(turned, a, b), pa.string()), pa.array(whole[rows, columns])],
+                names=["lang", "one", "two", "twice"],
+            )
 
 
 def source_pairs(kept: DataFrame, groups: DataFrame, block_sources: int = BLOCK_SOURCES) -> DataFrame:
@@ -398,7 +401,7 @@ def source_pairs(kept: DataFrame, groups: DataFrame, block_sources: int = BLOCK_
 
     ``kept`` has lang, source, term and p; ``groups`` the groups' ``z`` (the share of a term without counts).
     """
-    slices = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(1, -(-kept.count() // SLICE_ROWS))
     blocks = F.ceil(F.col("sources") / block_sources).cast("int")
     own = F.pmod(F.xxhash64("source"), F.col("blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
@@ -417,11 +420,13 @@ def source_pairs(kept: DataFrame, groups: DataFrame, block_sources: int = BLOCK_
     terms = dealt(kept).withColumn("slice", F.pmod(F.xxhash64("term"), F.lit(slices)).cast("int")).select(*columns)
     keys = ["lang", "bi", "bj", "slice"]
     tiles = heads.unionByName(terms).repartition(*keys).sortWithinPartitions(*keys, F.col("term").asc_nulls_first())
-    sums = tiles.mapInArrow(_tiles, "lang string, source string, other string, twice bigint").groupBy(
-        "lang", "source", "other").agg(F.sum("twice").alias("twice"))
+    sums = tiles.mapInArrow(_tiles, "lang string, one string, two string, twice bigint").groupBy(
+        "lang", "one", "two").agg(F.sum("twice").alias("twice"))
     a = groups.select("lang", "source", "v", F.col("z").alias("za"))
     b = groups.select("lang", F.col("source").alias("other"), F.col("z").alias("zb"))
-    pairs = a.join(b, "lang").filter("source <> other").join(sums, ["lang", "source", "other"], "left")
+    pairs = a.join(b, "lang").filter("source <> other").withColumns({
+        "one": F.least("source", "other"), "two": F.greatest("source", "other"),
+    }).join(sums, ["lang", "one", "two"], "left")
     value = F.expr("v * abs(za - zb) + coalesce(twice, 0L) div 2")
     return pairs.select("lang", "source", F.col("other").alias("item"), value.alias("value"))
 
