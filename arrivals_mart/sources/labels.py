@@ -1,25 +1,31 @@
 """Label dictionary text -> lookup tables.
 
 The dictionary is a text file of ``value <name>`` blocks of ``code = 'label'``
-entries, one or more to a line; codes are numbers or quoted text, labels are
-quoted with doubled quotes as escape, lines end in CRLF and the last entry of
-a block may carry the closing ``;``. ``value`` may be in any letter case, and
-entries may follow it on its line, after options in parentheses if there are any.
-A warning counts the other lines that hold an entry but do not begin with one.
-
-The file is read line by line by Spark, split like any text file. An entry
-belongs to the closest ``value`` line above it, which may sit in an earlier
-split of the same file, so each line is placed by (file, split start, row
-position) taken from the scan itself. The closest header is found with a
-window per split plus a carry-over from earlier splits computed on one row
-per split, so no single task has to see a whole file. The text is read and
-matched once: headers and entries are stored, and everything else starts there.
+entries, in statements that end in ``;``. Codes are numbers, bare words or quoted text, labels are
+quoted, in single or double quotes with the quote doubled as escape; ``value`` may be in any letter case,
+options in parentheses may follow its name, and comments are ``/* ... */``. Comments, quoted text,
+headers and entries may span lines (the lines of a quoted text are joined by a blank).
+
+The file is split like any text file, so what a line means depends on what is open before it, maybe
+in an earlier split. A lexer of seven states (in text, a comment, single quotes, double quotes, three places
+of a header) is a function of a line: which state follows each state. These functions are composed by
+a prefix scan: over the lines of a block of lines, over the blocks of a split, and over the splits of a file, one
+row each. Every line then knows its state and is cleaned of its comments; lines that go on with an
+open entry or header are joined to it; and the records that result are matched with patterns.
+
+An entry belongs to the closest header above it: a window inside each split finds it, or a carry-over from earlier
+splits computed on one row per split. So no single task has to see a whole file, though a dictionary whose quote
+or comment is never closed puts all that follows into one record.
+
+Nothing is left out silently: one warning counts the entries of a block that are not taken (in a statement that
+does not begin with one, or without a quoted label), and one the files that end inside a comment or quotes.
 """
 
 from __future__ import annotations
 
 import os
 import warnings
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -38,13 +44,20 @@ INVALID_LABEL_PATTERN = r"(?i)^(INVALID\b|Collapsed\b|No .*Code\b)"
 _HEADER = r"(?i)^\s*value\s+(\$?[A-Za-z_][A-Za-z0-9_]*)"
 _OPTIONS = r"(?:\s*\([^)]*\))?"
 # possessive loops over unquoted runs: a label of any length is matched without recursion
-_QUOTED = r"'([^']*+(?:''[^']*+)*+)'"
-_ENTRY = rf"(?:{_QUOTED}|([^\s=';]++))\s*+=\s*+{_QUOTED}"
-_COMMENT = r"/\*.*?\*/"
-
-
-def _unquote(c: Column) -> Column:
-    return F.regexp_replace(c, "''", "'")
+_SINGLE = r"'([^']*+(?:''[^']*+)*+)'"
+_DOUBLE = r'"([^"]*+(?:""[^"]*+)*+)"'
+_ENTRY = rf"(?:{_SINGLE}|{_DOUBLE}|([^\s=;'\"]++))\s*+=\s*+(?:{_SINGLE}|{_DOUBLE})"
+_ENTRY_PARTS = ("single_code", "double_code", "bare_code", "single_label", "double_label")
+
+# States of the lexer: in text, a comment, single quotes, double quotes, the options of a header; after ``value``, after
+# ``value`` and a name.
+STATES = "TCSDPVN"
+# What may stay open at the end of a line, closed or up to the end
+_LEXEMES = r"""(?s)/\*.*?(?:\*/|\z)|'[^']*+(?:'|\z)|"[^"]*+(?:"|\z)|(?<![\w$])(?i:value)(?:\s+\$?\w+\s*\([^)]*+(?:\)|\z)|(?:\s+\$?\w+)?\s*\z)"""
+_PIECES = r"""(?s)/\*.*?(?:\*/|\z)|'[^']*+(?:'|\z)|"[^"]*+(?:"|\z)|[^'"/]++|/"""
+# Lines of a block: the first level of the scan
+LINES_PER_BLOCK = 1024
+_STATEMENT_END = "\u0002"
 
 
 def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -57,59 +70,178 @@ def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def _state_after(text: Column) -> Column:
+    """State at the end of ``text``, which begins in text: whether its last lexeme is closed."""
+    last = F.try_element_at(F.regexp_extract_all(text, F.lit(_LEXEMES), F.lit(0)), F.lit(-1))
+
+    def closed(by: str, least: int) -> Column:
+        return last.endswith(by) & (F.length(last) >= least)
+
+    return (
+        F.when(last.isNull(), "T")
+        .when(last.startswith("/*"), F.when(closed("*/", 4), "T").otherwise("C"))
+        .when(last.startswith("'"), F.when(closed("'", 2), "T").otherwise("S"))
+        .when(last.startswith('"'), F.when(closed('"', 2), "T").otherwise("D"))
+        .when(last.endswith(")"), "T").when(last.contains("("), "P")
+        .otherwise(F.when(last.rlike(r"^\S+\s*$"), "V").otherwise("N"))
+    )
+
+
+def line_map(line: Column) -> Column:
+    """The lexer over one line: for each of ``STATES``, in that order, the state at the line's end."""
+
+    def from_open(closing: str, state: str) -> Column:
+        at = F.instr(line, closing)
+        rest = F.substring(line, at + len(closing), F.length(line))
+        return F.when(at == 0, state).otherwise(_state_after(rest))
+
+    return F.concat(
+        _state_after(line), from_open("*/", "C"), from_open("'", "S"), from_open('"', "D"), from_open(")", "P"),
+        _state_after(F.concat(F.lit("value "), line)), _state_after(F.concat(F.lit("value n "), line)),
+    )
+
+
+def _then(first: Column, second: Column) -> Column:
+    """Composition of two maps, or the state that a map leads a state to: each character is looked up."""
+    return F.call_function("translate", first, F.lit(STATES), second)
+
+
+def scanned(df: DataFrame, by: list[str], at: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+    """Prefix scan of the column ``map`` in groups ``by``, ordered by ``at``.
+
+    Returns ``df`` with ``before`` (the maps of what precedes in the group, composed) and one row per group
+    with its whole ``map``.
+    """
+    width = len(STATES)
+    others = [*at, *[c for c in df.columns if c not in (*by, *at)]]
+    groups = df.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*others))).alias("items"))
+    scan = F.aggregate(
+        "items", F.struct(F.lit(STATES).alias("map"), F.lit("").alias("befores")),
+        lambda a, x: F.struct(_then(a["map"], x["map"]).alias("map"), F.concat(a["befores"], a["map"]).alias("befores")),
+    )
+    groups = stored(groups.withColumn("scan", scan), name)
+    with_before = F.transform("items", lambda x, i: F.struct(
+        x.alias("item"), F.substring(F.col("scan.befores"), i * width + 1, F.lit(width)).alias("before")))
+    rows = groups.select(*by, F.explode(with_before).alias("x")).select(*by, *[f"x.item.{c}" for c in others], "x.before")
+    return rows, groups.select(*by, F.col("scan.map").alias("map"))
+
+
+def lexed_lines(lines: DataFrame) -> DataFrame:
+    """(file, split_start, pos, line) with ``state``: what is open where the line begins."""
+    blocks = lines.withColumns({"block": F.expr(f"pos div {LINES_PER_BLOCK}"), "map": line_map(F.col("line"))})
+    in_block, per_block = scanned(blocks, ["file", "split_start", "block"], ["pos"], "label-lines")
+    in_split, per_split = scanned(per_block, ["file", "split_start"], ["block"], "label-blocks")
+    in_file, per_file = scanned(per_split, ["file"], ["split_start"], "label-splits")
+    open_files = per_file.filter(F.substring("map", 1, 1).isin("C", "S", "D", "P")).count()
+    if open_files:
+        warnings.warn(f"{open_files} label files end inside a comment, quotes or options", stacklevel=3)
+    begins = in_split.withColumnRenamed("before", "in_split").join(
+        in_file.select("file", "split_start", F.col("before").alias("in_file")), ["file", "split_start"]
+    ).select("file", "split_start", "block", _then(_then(F.lit("T"), F.col("in_file")), F.col("in_split")).alias("begin"))
+    return in_block.join(begins, ["file", "split_start", "block"]).select(
+        "file", "split_start", "pos", "line", _then(F.col("begin"), F.col("before")).alias("state"))
+
+
+def _cleaned(line: Column, state: Column) -> Column:
+    """The line without comments, with marks where statements end."""
+    opener = F.when(state == "C", "/*").when(state == "S", "'").when(state == "D", '"').otherwise("")
+    pieces = F.regexp_extract_all(F.concat(opener, line), F.lit(_PIECES), F.lit(0))
+    kept = F.transform(pieces, lambda t: F.when(t.startswith("/*"), " ").when(
+        t.startswith("'") | t.startswith('"'), t).otherwise(F.replace(t, F.lit(";"), F.lit(_STATEMENT_END))))
+    text = F.array_join(kept, "")
+    return F.when(state.isin("S", "D"), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
+
+
+def _carried(rows: DataFrame, value: Column, at: Sequence[str], name: str) -> DataFrame:
+    """(file, split_start, carried): the last non-null ``value``, in order of ``at``, of earlier splits.
+
+    One row per input split: broadcast only if that is a bounded number.
+    """
+    per_split = rows.groupBy("file", "split_start").agg(
+        F.max_by(value, F.when(value.isNotNull(), F.struct(*at))).alias("last"))
+    earlier = Window.partitionBy("file").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_split.select("file", "split_start", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    return sized_broadcast(stored(carry, name))
+
+
+def label_records(lines: DataFrame) -> DataFrame:
+    """(file, split_start, pos, text): lines without comments, joined where one goes on with an entry or header.
+
+    A line goes on if it begins in quotes or options or with ``=``, or after a line that ends with ``=``, with
+    ``value``, or, before ``(``, with the name of a header.
+    """
+    cleaned = lexed_lines(lines).withColumn("text", _cleaned(F.col("line"), F.col("state"))).drop("line")
+    cleaned = cleaned.filter(F.col("text").rlike(r"\S"))
+    is_open = F.col("text").rlike(r"(?i)(=|(^|[^\w$])value)\s*\z")
+    cleaned = stored(cleaned.withColumn("open", is_open), "label-cleaned")
+    order = Window.partitionBy("file", "split_start").orderBy("pos")
+    goes_on = (
+        F.col("state").isin("S", "D", "P", "V") | F.col("text").rlike(r"^\s*=")
+        | ((F.col("state") == "N") & F.col("text").rlike(r"^\s*\("))
+        | F.coalesce(F.lag("open").over(order), F.col("carried"), F.lit(False))
+    )
+    numbered = cleaned.join(_carried(cleaned, F.col("open"), ["pos"], "label-ends"), ["file", "split_start"], "left")
+    numbered = numbered.withColumn("goes_on", goes_on).drop("carried", "open")
+    begun = F.sum((~F.col("goes_on")).cast("bigint")).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    numbered = numbered.withColumn("nth", begun)
+    own = F.when(F.col("nth") > 0, F.struct(F.col("split_start").alias("split"), F.col("nth")))
+    numbered = stored(numbered.withColumn("record", own), "label-numbered")
+    first = F.struct(F.lit(-1).cast("bigint").alias("split"), F.lit(0).cast("bigint").alias("nth"))
+    open_record = _carried(numbered, F.col("record"), ["pos"], "label-open")
+    whole = numbered.join(open_record, ["file", "split_start"], "left").withColumn(
+        "record", F.coalesce("record", "carried", first))
+    parts = F.array_sort(F.collect_list(F.struct("split_start", "pos", "text")))
+    joined = whole.groupBy("file", "record").agg(parts.alias("parts"))
+    return joined.select(
+        "file", F.col("parts")[0]["split_start"].alias("split_start"), F.col("parts")[0]["pos"].alias("pos"),
+        F.array_join(F.transform("parts", lambda p: p["text"]), " ").alias("text"),
+    )
+
+
 def parse_label_lines(lines: DataFrame) -> DataFrame:
     """(file, split_start, pos, line) -> (block, code, label, is_valid, place).
 
     Every entry is kept, valid or not; ``is_valid`` is false for labels that
     mark invalid, collapsed or missing codes. ``place`` orders the entries of
-    the dictionary: (file, split_start, pos, place in the line).
+    the dictionary: (file, split_start, pos, statement, place in the statement).
     """
-    bare_line = F.regexp_replace("line", _COMMENT, "")
-    header = F.nullif(F.regexp_extract(bare_line, _HEADER, 1), F.lit(""))
-    body = F.regexp_replace(bare_line, _HEADER + _OPTIONS, "")
-    # a line is an entry line if it, or what follows its header, begins with an entry; then all its entries count
-    found = F.arrays_zip(*[
-        F.regexp_extract_all(body, F.lit(_ENTRY), F.lit(i)).alias(n) for i, n in ((1, "quoted"), (2, "bare"), (3, "label"))
-    ])
-    tagged = lines.select(
-        "file", "split_start", "pos", header.alias("header"), found.alias("found"), body.rlike(r"^\s*" + _ENTRY).alias("is_entry"),
-    ).select(
-        "file", "split_start", "pos", "header", F.when(F.col("is_entry"), F.col("found")).alias("entries"),
-        (~F.col("is_entry") & (F.size("found") > 0)).alias("passed_over"),
+    statements = label_records(lines).select(
+        "file", "split_start", "pos", F.posexplode(F.split("text", _STATEMENT_END)).alias("part", "text"))
+    body = F.regexp_replace("text", _HEADER + _OPTIONS, "")
+    found = F.arrays_zip(*[F.regexp_extract_all(body, F.lit(_ENTRY), F.lit(i + 1)).alias(n) for i, n in enumerate(_ENTRY_PARTS)])
+    # a statement counts if it, or what follows its header, begins with an entry; then all its entries count
+    is_entry = body.rlike(r"^\s*" + _ENTRY)
+    without = F.regexp_replace(F.regexp_replace(body, _ENTRY, " "), rf"{_SINGLE}|{_DOUBLE}", " ")
+    unlabelled = F.length(without) - F.length(F.replace(without, F.lit("="), F.lit("")))
+    tagged = statements.select(
+        "file", "split_start", "pos", "part",
+        F.nullif(F.regexp_extract("text", _HEADER, 1), F.lit("")).alias("header"),
+        F.when(is_entry, found).alias("entries"),
+        (F.when(is_entry, 0).otherwise(F.size(found)) + unlabelled).cast("bigint").alias("passed_over"),
     )
-    tagged = stored(tagged.filter("header IS NOT NULL OR entries IS NOT NULL OR passed_over"), "label-lines")
-    passed_over = tagged.filter("passed_over").count()
+    tagged = stored(tagged.filter("header IS NOT NULL OR entries IS NOT NULL OR passed_over > 0"), "label-statements")
+    in_split = Window.partitionBy("file", "split_start").orderBy("pos", "part").rowsBetween(Window.unboundedPreceding, 0)
+    carried = _carried(tagged, F.col("header"), ["pos", "part"], "label-carry")
+    tagged = tagged.withColumn("local_block", F.last("header", ignorenulls=True).over(in_split))
+    tagged = tagged.join(carried, ["file", "split_start"], "left").withColumn("block", F.coalesce("local_block", "carried"))
+    passed_over = tagged.filter("block IS NOT NULL").agg(F.sum("passed_over")).first()[0]
     if passed_over:
-        warnings.warn(f"{passed_over} label lines hold entries but do not begin with one: not taken", stacklevel=2)
+        warnings.warn(f"{passed_over} label entries are not taken: they have no quoted label, or their statement "
+                      "does not begin with an entry", stacklevel=2)
+    entries = tagged.filter("entries IS NOT NULL").select(
+        "block", "file", "split_start", "pos", "part", F.posexplode("entries").alias("nth", "entry"))
 
-    in_split = Window.partitionBy("file", "split_start").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    tagged = tagged.withColumn("local_block", F.last("header", ignorenulls=True).over(in_split))
+    def text_of(kind: str) -> Column:
+        single, double = F.col(f"entry.single_{kind}"), F.col(f"entry.double_{kind}")
+        return F.when(single != "", F.replace(single, F.lit("''"), F.lit("'"))).otherwise(F.replace(double, F.lit('""'), F.lit('"')))
 
-    # one row per split: the last header it contains, carried into later splits
-    per_split = tagged.groupBy("file", "split_start").agg(
-        F.max_by("header", F.when(F.col("header").isNotNull(), F.col("pos"))).alias("last_header")
-    )
-    earlier = Window.partitionBy("file").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_split.select(
-        "file", "split_start", F.last("last_header", ignorenulls=True).over(earlier).alias("carried")
-    )
-
-    # one row per input split: broadcast only if that is a bounded number
-    entries = tagged.filter("entries IS NOT NULL").join(
-        sized_broadcast(stored(carry, "label-carry")), ["file", "split_start"], "left"
-    )
-    entries = entries.select(
-        F.coalesce("local_block", "carried").alias("block"), "file", "split_start", "pos",
-        F.posexplode("entries").alias("nth", "entry"),
-    )
-    bare = F.col("entry.bare")
-    label = F.rtrim(_unquote(F.col("entry.label")))
+    label = F.rtrim(text_of("label"))
     return entries.select(
         "block",
-        F.rtrim(F.when(bare != "", bare).otherwise(_unquote(F.col("entry.quoted")))).alias("code"),
+        F.rtrim(F.when(F.col("entry.bare_code") != "", F.col("entry.bare_code")).otherwise(text_of("code"))).alias("code"),
         label.alias("label"),
         (~label.rlike(INVALID_LABEL_PATTERN)).alias("is_valid"),
-        F.struct("file", "split_start", "pos", "nth").alias("place"),
+        F.struct("file", "split_start", "pos", "part", "nth").alias("place"),
     )
 
 
