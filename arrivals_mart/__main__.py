@@ -89,8 +89,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         write_lookups(spark, args.labels, args.staging, valid_only=args.valid_only)
     elif args.command == "incremental":
         ports = read_csv(spark, args.ports, PORT_LOOKUP)
-        n = incremental_fact_load(spark, args.arrivals, ports, args.target, args.checkpoint, args.max_files_per_batch)
+        report = []
+        n = incremental_fact_load(spark, args.arrivals, ports, args.target, args.checkpoint, args.max_files_per_batch, report)
         print(f"{n} micro-batches loaded")
+        nulls = sum(r["null_keys"] for r in report)
+        if nulls:
+            raise ValueError(f"fact_immigration.immigration_id is null in {nulls} loaded rows")
     clear_scratch(spark)
     return 0
 

@@ -26,9 +26,9 @@ def _plain_number(c: Column) -> Column:
 
 
 def _tolerant_integral(c, kind: str) -> Column:
-    # integral types and digits convert exactly; only fractions go through double
+    # integral types and digits convert exactly, and need no pattern; only fractions go through double
     c = as_col(c)
-    return F.when(_plain_number(c), F.coalesce(c.try_cast(kind), tolerant_double(c).try_cast(kind)))
+    return F.coalesce(c.try_cast(kind), F.when(_plain_number(c), tolerant_double(c).try_cast(kind)))
 
 
 def tolerant_double(c) -> Column:

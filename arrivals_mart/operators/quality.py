@@ -1,18 +1,24 @@
 """Data-quality checks.
 
-Every table gets one aggregate pass computing its row count, the number of
-null keys and the number of duplicated keys; the per-table rows are unioned
-into one report, computed by one action. ``assert_checks`` raises with all
-failures at once (non-empty checks first, then null keys, then duplicates).
+Tables that lie there already get one aggregate pass each, computing row count, null keys
+and duplicated keys (``run_checks``). Rows that are being written are counted by the
+write itself (``counted``), so that only uniqueness reads them again (``checked_report``).
+``assert_checks`` raises with all failures at once (non-empty checks first, then null keys, then duplicates).
+
+Uniqueness does not shuffle all keys (``duplicate_keys``): four bytes of a key's hash are packed into one
+array per range of hashes, and only keys whose hash comes twice are shuffled and counted exactly.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from arrivals_mart.operators.lookups import row_count_at_most
+from arrivals_mart.session import stored
+
 REPORT_COLUMNS = ["table_name", "key_column", "row_count", "null_keys", "duplicate_keys", "passed"]
 
 
@@ -67,6 +73,72 @@ def assert_checks(report: DataFrame) -> list[dict]:
     return rows
 
 
-def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Key values that occur more than once, with their multiplicity (D3)."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+def counted(df: DataFrame, key: str | None) -> tuple[DataFrame, Callable[[], dict]]:
+    """``df`` whose rows, and null keys, are counted by the action that writes it; and the counts, once it ran."""
+    observation = Observation()
+    metrics = [F.count(F.lit(1)).alias("row_count")]
+    if key:
+        metrics.append(F.count_if(F.col(key).isNull()).alias("null_keys"))
+    return df.observe(observation, *metrics), lambda: observation.get
+
+
+def checked_report(spark: SparkSession, tables: Mapping[str, tuple[DataFrame, str, dict]], unique: bool = True) -> DataFrame:
+    """``{table: (written table, key, counts of the write)}`` -> the report of :func:`run_checks`.
+
+    Only the key columns are read again, and only if uniqueness is asked for. An empty
+    plan may be optimized away together with its counts: it had no rows.
+    """
+    rows = []
+    for name, (df, key, counts) in tables.items():
+        n, nulls = counts.get("row_count") or 0, counts.get("null_keys") or 0
+        surplus = surplus_rows(df, key, n) if unique and n else 0
+        rows.append((name, key, n, nulls, surplus, n > 0 and nulls == 0 and surplus == 0))
+    return spark.createDataFrame(
+        rows, "table_name string, key_column string, row_count long, null_keys long, duplicate_keys long, passed boolean")
+
+
+def surplus_rows(df: DataFrame, key: str, rows: int | None = None) -> int:
+    """Rows beyond the first of each key that is not null."""
+    repeated = duplicate_keys(df.filter(F.col(key).isNotNull()), [key], rows)
+    return repeated.agg(F.sum(F.col("n") - 1)).first()[0] or 0
+
+
+#: Hashes of a range: an array of so many four-byte numbers is gathered in one task.
+RANGE_HASHES = 1 << 20
+#: Suspected hashes that are broadcast; with more the keys themselves are counted.
+MAX_SUSPECTS = 100_000
+
+
+def _hash_parts(keys: Sequence[str], ranges: int) -> list:
+    """(range, four bytes) of the hash of a key; equal keys have equal ones."""
+    h = F.xxhash64(*[F.col(k) for k in keys])
+    low = (h.bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)).cast("int")
+    return [F.pmod(F.shiftrightunsigned(h, 32), F.lit(ranges)).alias("_range"), low.alias("_low")]
+
+
+def suspected_hashes(df: DataFrame, keys: Sequence[str], rows: int) -> DataFrame:
+    """(_range, _low) of hashes that occur more than once.
+
+    Each task packs its hashes by range before the only exchange, so a row costs four bytes there, whatever its key.
+    """
+    ranges = max(1, -(-rows // RANGE_HASHES))
+    packed = df.select(*_hash_parts(keys, ranges)).groupBy("_range").agg(F.collect_list("_low").alias("lows"))
+    # dealt by range already: no further exchange
+    each = packed.select("_range", F.explode("lows").alias("_low")).groupBy("_range", "_low").agg(F.count(F.lit(1)).alias("_n"))
+    return each.filter("_n > 1").drop("_n")
+
+
+def duplicate_keys(df: DataFrame, keys: Sequence[str], rows: int | None = None) -> DataFrame:
+    """Key values that occur more than once, with their multiplicity ``n`` (D3).
+
+    Nulls are values like others. ``rows`` is the number of rows of ``df`` if it is known already. Where most keys repeat,
+    so that more hashes are suspected than are broadcast, all keys are counted directly.
+    """
+    rows = df.count() if rows is None else rows
+    suspects = stored(suspected_hashes(df, keys, rows).limit(MAX_SUSPECTS + 1), "suspected-keys")
+    counted_rows = df.select(*keys)
+    if row_count_at_most(suspects, MAX_SUSPECTS):
+        ranges = max(1, -(-rows // RANGE_HASHES))
+        named = counted_rows.select("*", *_hash_parts(keys, ranges))
+        counted_rows = named.join(F.broadcast(suspects), ["_range", "_low"], "left_semi").select(*keys)
+    return counted_rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)

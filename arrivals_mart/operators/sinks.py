@@ -1,6 +1,6 @@
 """Sinks (K1, K3).
 
-``overwrite`` replaces a parquet folder. ``truncate_and_load`` replaces the
+``overwrite`` replaces a parquet folder, ``overwrite_partitions`` only the partitions that arrived. ``truncate_and_load`` replaces the
 content of a target (catalog table or folder) with staged parquet, columns
 taken in contract order; any failure raises.
 """
@@ -8,9 +8,10 @@ taken in contract order; any failure raises.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from arrivals_mart.schemas import (
@@ -24,6 +25,9 @@ from arrivals_mart.schemas import (
 )
 from arrivals_mart.session import stored
 
+#: Tasks that write one partition of ``overwrite_partitions`` at most.
+WRITERS_PER_PARTITION = 16
+
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Write ``df`` as parquet at ``path``, replacing what was there."""
@@ -33,9 +37,25 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     writer.parquet(path)
 
 
-def write_contract(df: DataFrame, path: str, schema: T.StructType, name: str, check_nulls: bool = True) -> None:
-    """Enforce the target contract, then overwrite ``path``."""
-    overwrite(enforce(df, schema, name, check_nulls), path)
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace only the partitions that ``df`` has rows for; the files of all others stay untouched.
+
+    Rows are dealt by their partition and a hash, so that a partition is written by some tasks into files of
+    good size, not by every task, and a large partition not by one. A job that fails leaves the partitions as they were.
+    """
+    by = [F.col(c) for c in partition_by]
+    spread = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(WRITERS_PER_PARTITION))
+    df.repartition(*by, spread).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *partition_by).parquet(path)
+
+
+def write_contract(
+    df: DataFrame, path: str, schema: T.StructType, name: str, check_nulls: bool = True,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
+) -> None:
+    """Enforce the target contract, then overwrite ``path``. ``observe`` may attach counts to the rows that are written."""
+    rows = enforce(df, schema, name, check_nulls)
+    overwrite(observe(rows) if observe else rows, path)
 
 
 def _check_schema(actual: T.StructType, schema: T.StructType, label: str) -> None:
@@ -78,6 +98,7 @@ def truncate_and_load(
     source_format: str = "parquet",
     options: dict[str, str] | None = None,
     check_nulls: bool = True,
+    observe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Replace ``target`` with the staged files at ``staged_path``.
 
@@ -92,7 +113,7 @@ def truncate_and_load(
     folder is written beside the old one and swapped in; a table's schema is
     compared with the contract first, and its rows are written to scratch,
     where null keys show, before they are inserted.
-    Returns the loaded target as a DataFrame.
+    ``observe`` may attach counts to the rows that are written. Returns the loaded target as a DataFrame.
     """
     label = name or target
     reader = spark.read.format(source_format).options(**(options or {}))
@@ -100,6 +121,7 @@ def truncate_and_load(
         reader = reader.schema(schema)
     staged = reader.load(staged_path)
     rows = enforce(staged, schema, label, check_nulls)
+    rows = observe(rows) if observe else rows
     if "/" not in target:
         if not spark.catalog.tableExists(target):
             raise ValueError(f"{label}: no table {target!r}; create it with create_targets or pass a folder path")

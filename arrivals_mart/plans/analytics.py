@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from arrivals_mart.functions.dates import month_start
 from arrivals_mart.operators.joins import complete_condition, spread_incomplete_keys, spread_key
+from arrivals_mart.operators.lookups import sized_broadcast
 from arrivals_mart.operators.windows import top_k, trailing_average
 
 
@@ -121,6 +122,18 @@ def _as_of_latest(arrivals: DataFrame, temps: DataFrame) -> DataFrame:
     )
 
 
+def arrivals_in_warm_months(fact: DataFrame, temperatures: DataFrame, at_least: float) -> DataFrame:
+    """Arrivals per month for the months in which some city's average temperature reached ``at_least``.
+
+    On a fact that is partitioned by ``imm_year`` and ``imm_month`` only the folders of those months are read: the months are
+    found at run time, and the broadcast that joins them prunes the scan. There is one row per month of history at most.
+    """
+    warm = temperatures.filter(F.col("avg_temp") >= at_least).select(
+        F.year("temp_report_month").alias("imm_year"), F.month("temp_report_month").alias("imm_month")).distinct()
+    months = fact.join(sized_broadcast(warm), ["imm_year", "imm_month"])
+    return months.groupBy("imm_year", "imm_month").agg(F.count(F.lit(1)).alias("arrivals"))
+
+
 def star_join(fact: DataFrame, person: DataFrame, scatter_null_keys: bool = True) -> DataFrame:
     """Fact rows with their traveller attributes; facts without a traveller row are kept.
 

@@ -20,9 +20,11 @@ from pyspark.sql import types as T
 from arrivals_mart.functions.casts import int_key, tolerant_date, tolerant_double, tolerant_int, tolerant_long
 from arrivals_mart.functions.codes import TRANSPORT_MODES, TRAVEL_PURPOSES, decode, hash_key
 from arrivals_mart.functions.dates import epoch_ms, from_day_number, from_epoch_ms, to_day_number
+from arrivals_mart.operators.keymap import extend_key_map, with_stable_key
 from arrivals_mart.operators.lookups import lookup_join
+from arrivals_mart.operators.publish import publish, read_published, remove_old_versions
 from arrivals_mart.operators.quality import duplicate_keys, run_checks
-from arrivals_mart.operators.sinks import create_targets, overwrite, truncate_and_load
+from arrivals_mart.operators.sinks import create_targets, overwrite, overwrite_partitions, truncate_and_load
 from arrivals_mart.plans import analytics, listening, marts
 from arrivals_mart.plans.derived import SONG_COPIES, Inputs
 from arrivals_mart.plans.oracle import QUALITY_TABLES
@@ -30,7 +32,8 @@ from arrivals_mart.plans.pipeline import StagingLayout, run_concurrently, run_pi
 from arrivals_mart.schemas import DEMOGRAPHICS_USED, FACT_IMMIGRATION, TARGETS, enforce, schema_differences
 from arrivals_mart.session import scratch_path, stored
 from arrivals_mart.sources.files import read_csv, read_parquet, read_table, register
-from arrivals_mart.sources.labels import country_lookup, label_dictionary, port_lookup
+from arrivals_mart.sources.labels import block_codes, country_lookup, label_dictionary, port_lookup
+from arrivals_mart.sources.reconcile import read_deliveries
 from arrivals_mart.streaming.incremental import incremental_fact_load
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,9 +92,10 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
     Customers form numeric-code blocks and suppliers quoted-code port blocks
     with 'CITY, ST' labels (ST = the supplier's region), of LABEL_BLOCK_ENTRIES
     entries each, every block headed by its own ``value`` line in changing
-    letter case; regions form the state-code block. Some lines hold two entries,
-    and some labels are 5,000 characters long. A block is written by one
-    task into one file, many blocks by many tasks.
+    letter case, some over three lines; regions form the state-code block and one of numbers. Some
+    lines hold two entries, some labels are 5,000 characters long, and some entries come with what spans lines: a label on
+    the next line, a label over two lines, a comment over four with an entry in it; others have double
+    quotes or a label that looks like a comment. A block is written by one task into one file, many blocks by many tasks.
     """
     cust = read_table(spark, sf, "customer")
     nation = read_table(spark, sf, "nation")
@@ -109,7 +113,18 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
         .when(F.col("c_mktsegment") == "HOUSEHOLD", F.concat(F.col("c_name"), F.lit("   ")))
         .otherwise(F.col("c_name"))
     )
-    entry = F.concat(F.lit("   "), k.cast("string"), F.lit(" =  "), q, esc(label), q)
+    code = F.concat(F.lit("   "), k.cast("string"), F.lit(" = "))
+    plain = F.concat(code, F.lit(" "), q, esc(label), q)
+    old = F.lit("/* codes before 1990:\r\n value stray\r\n 9 = 'old'\r\n*/")
+    form = k % 50
+    entry = (
+        F.when(form == 11, F.concat(code, q, F.col("c_name"), F.lit(" /* keep */ B'")))
+        .when(form == 13, F.concat(code, F.lit('"'), F.col("c_name"), F.lit(' ""x"" it\'s"')))
+        .when(form == 17, F.concat(code, F.lit("\r\n"), q, esc(label), q))
+        .when(form == 19, F.concat(old, plain))
+        .when(form == 23, F.concat(code, q, F.col("c_name"), F.lit("\r\nTAIL'")))
+        .otherwise(plain)
+    )
     # an entry whose code ends in 1 stands on the line of the one before it
     line = F.when(k % 10 == 1, k - 1).otherwise(k).alias("seq")
     two = F.transform(F.array_sort(F.collect_list(F.struct(k.alias("k"), entry.alias("t")))), lambda e: e["t"])
@@ -139,6 +154,10 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
         F.lit(-1).cast("bigint").alias("chunk"), F.col("r_regionkey").cast("bigint").alias("seq"),
         F.concat(F.lit("\t'"), st, F.lit("'='"), F.col("r_name"), F.lit("'")).alias("text"),
     )
+    number_lines = region.select(
+        F.lit(1 << 40).alias("chunk"), F.col("r_regionkey").cast("bigint").alias("seq"),
+        F.concat(F.lit("\t"), F.col("r_regionkey").cast("string"), F.lit(" = '"), F.col("r_name"), F.lit("'")).alias("text"),
+    )
 
     def heads(lines: DataFrame, text) -> DataFrame:
         return lines.select("chunk").distinct().select("chunk", F.explode(F.array(
@@ -146,9 +165,11 @@ def write_label_text(spark: SparkSession, sf: str, path: str) -> None:
             F.struct(F.lit(-1).cast("bigint").alias("seq"), text.alias("text")),
         )).alias("h")).select("chunk", "h.seq", "h.text")
 
-    lines = cust_lines.unionByName(heads(cust_lines, F.when(F.col("chunk") % 2 == 0, "  value custl").otherwise("  VALUE custl")))
+    lines = cust_lines.unionByName(heads(cust_lines, F.when(
+        F.col("chunk") % 2 == 0, "  value\r\n custl (min=1\r\n  max=40)").otherwise("  VALUE custl")))
     lines = lines.unionByName(port_lines).unionByName(heads(port_lines, F.lit("  Value $portl")))
     lines = lines.unionByName(state_lines).unionByName(heads(state_lines, F.lit("value stcodes")))
+    lines = lines.unionByName(number_lines).unionByName(heads(number_lines, F.lit("value numl")))
     # all lines of a block go to one partition, in order
     (
         lines.repartition("chunk")
@@ -172,6 +193,13 @@ def q_label_port_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return port_lookup(_labels(spark, sf), block="$portl", state_block="stcodes", valid_only=True)
 
 
+def q_decode_dictionary_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """The codes and labels of a small block become literals of the plan."""
+    codes = block_codes(_labels(spark, sf), "numl")
+    li = read_table(spark, sf, "lineitem")
+    return li.select("l_orderkey", "l_linenumber", decode(F.col("l_linenumber").cast("double"), codes).alias("label"))
+
+
 def q_label_country_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return country_lookup(_labels(spark, sf), block="custl", valid_only=True)
 
@@ -207,6 +235,91 @@ def q_load_catalog_table(spark: SparkSession, sf: str) -> DataFrame:
     return loaded
 
 
+# Arrivals before this year make the first delivery.
+LATE_FROM = 1998
+
+
+def _fact_deliveries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    fact = _fact(spark, sf)
+    early = F.coalesce(F.col("imm_year") < LATE_FROM, F.lit(False))
+    return fact.filter(early), fact.filter(~early)
+
+
+MONTHS = ["imm_year", "imm_month"]
+
+
+def q_dynamic_partition_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """All months are written, the late ones wrongly; a second run delivers only those and replaces them."""
+    path = scratch_path(spark, "fact-months")
+    early, late = _fact_deliveries(spark, sf)
+    overwrite_partitions(early.unionByName(late.withColumn("airline", F.lit("wrong"))), path, MONTHS)
+    overwrite_partitions(late, path, MONTHS)
+    return spark.read.schema(FACT_IMMIGRATION).parquet(path).select(*FACT_IMMIGRATION.names)
+
+
+def _failing_load(df: DataFrame, target: str) -> None:
+    """A load that ends between writing and publishing."""
+
+    def fail():
+        raise InterruptedError("lost before publication")
+
+    try:
+        publish(df, target, FACT_IMMIGRATION, "fact_immigration", MONTHS, before_publishing=fail)
+    except InterruptedError:
+        return
+    raise AssertionError("the load was published")
+
+
+def q_publication_after_failure(spark: SparkSession, sf: str) -> DataFrame:
+    """The early months are published; a load of the late ones fails before it publishes: the old rows are read."""
+    target = scratch_path(spark, "fact-published")
+    early, late = _fact_deliveries(spark, sf)
+    publish(early, target, FACT_IMMIGRATION, "fact_immigration", MONTHS, key="immigration_id")
+    _failing_load(late, target)
+    return read_published(spark, target)
+
+
+def q_published_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries that are published one after the other, a failed load between them, and old versions removed."""
+    target = scratch_path(spark, "fact-published")
+    early, late = _fact_deliveries(spark, sf)
+    publish(early, target, FACT_IMMIGRATION, "fact_immigration", MONTHS, key="immigration_id")
+    wrong = late.withColumn("airline", F.lit("wrong"))
+    _failing_load(wrong, target)
+    publish(wrong, target, FACT_IMMIGRATION, "fact_immigration", MONTHS, key="immigration_id", keep_others=True)
+    publish(late, target, FACT_IMMIGRATION, "fact_immigration", MONTHS, key="immigration_id", keep_others=True)
+    remove_old_versions(spark, target, keep=1, min_age_s=0)
+    return read_published(spark, target)
+
+
+def q_stable_keys_two_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Every second row is delivered first; the second delivery has all, and the first ids stay."""
+    path = scratch_path(spark, "demographics-keys")
+    rows = _demo_rows(spark, sf)
+    keys = ["city", "state_code", "race"]
+    extend_key_map(rows.filter("male_population % 2 = 0"), keys, path, "demo_key")
+    return with_stable_key(rows, keys, path, "demo_key").select(*keys, "demo_key", "male_population")
+
+
+def q_reconciled_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrivals in three deliveries: integral keys and no post; as declared with a column more; text and int codes."""
+    root = scratch_path(spark, "deliveries")
+    arrivals = Inputs(spark, sf).arrivals()
+    year = F.col("i94yr")
+    shaped = {
+        "old": arrivals.filter(year < 1994).withColumn("cicid", F.col("cicid").cast("bigint")).drop("visapost"),
+        "middle": arrivals.filter((year >= 1994) & (year < 1997)).withColumn("matflag", F.lit("M")),
+        "new": arrivals.filter(year >= 1997).withColumns(
+            {"i94mon": F.col("i94mon").cast("int").cast("string"), "i94visa": F.col("i94visa").cast("int")}
+        ).withColumnRenamed("i94port", "I94PORT"),
+    }
+    for name, df in shaped.items():
+        df.write.parquet(os.path.join(root, name))
+    rows, _ = read_deliveries(spark, {name: os.path.join(root, name) for name in shaped},
+                              ["cicid", "i94yr", "i94mon", "i94port", "i94visa", "visapost", "matflag"])
+    return rows
+
+
 LINE_CONTRACT = T.StructType(
     [
         T.StructField("l_orderkey", T.LongType(), False),
@@ -496,15 +609,20 @@ def q_pipeline_run(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def content(df: DataFrame, schema: T.StructType, name: str) -> DataFrame:
-    """What a table holds, as one row: least and greatest MD5 of its rows' texts, and how many differ."""
+    """What a table holds, as one row: the sums of both halves of the MD5s of its rows' texts, as exact numbers.
+
+    Any row that is changed, missing or repeated changes the sums.
+    """
     texts = [
         F.coalesce((F.round(F.col(f.name) * 1000).cast("bigint") if isinstance(f.dataType, T.DoubleType) else F.col(f.name))
                    .cast("string"), F.lit("~"))
         for f in schema.fields
     ]
     rows = df.select(F.md5(F.concat_ws("|", *texts)).alias("m"))
-    return rows.agg(F.min("m").alias("least_row"), F.max("m").alias("greatest_row"),
-                    F.count_distinct("m").alias("distinct_rows")).withColumn("table_name", F.lit(name))
+    halves = {"rows_high": F.substring("m", 1, 16), "rows_low": F.substring("m", 17, 16)}
+    return rows.agg(*[
+        F.coalesce(F.sum(F.conv(half, 16, 10).cast("decimal(20,0)")), F.lit(0)).cast("string").alias(n) for n, half in halves.items()
+    ]).withColumn("table_name", F.lit(name))
 
 
 def q_pipeline_null_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -516,17 +634,29 @@ def q_pipeline_null_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_incremental_fact(spark: SparkSession, sf: str) -> DataFrame:
-    """Arrival files land in two deliveries; each run loads only the files new to it."""
+    """Arrival files land in two deliveries, a file that is no parquet beside them; each run loads only the files
+    new to it. Records without a key are loaded and counted."""
     root = scratch_path(spark, "incremental")
     arrivals_dir, target, ckpt = (os.path.join(root, d) for d in ("arrivals", "fact", "checkpoint"))
     inp = Inputs(spark, sf)
-    arrivals = inp.arrivals()
-    early = F.coalesce(F.col("i94yr") < 1998, F.lit(False))
+    arrivals = inp.arrivals().withColumn("cicid", F.when(F.col("cicid") % 97 != 0, F.col("cicid")))
+    early = F.coalesce(F.col("i94yr") < LATE_FROM, F.lit(False))
     arrivals.filter(early).write.parquet(arrivals_dir)
-    incremental_fact_load(spark, arrivals_dir, inp.ports(), target, ckpt, max_files_per_batch=4)
+    inp.ports().select("code").write.text(os.path.join(arrivals_dir, "notes"))
+    report: list[dict] = []
+    incremental_fact_load(spark, arrivals_dir, inp.ports(), target, ckpt, max_files_per_batch=4, report=report)
     arrivals.filter(~early).write.mode("append").parquet(arrivals_dir)
-    incremental_fact_load(spark, arrivals_dir, inp.ports(), target, ckpt, max_files_per_batch=4)
-    return spark.read.parquet(target).drop("load_batch")
+    incremental_fact_load(spark, arrivals_dir, inp.ports(), target, ckpt, max_files_per_batch=4, report=report)
+    loaded = spark.read.parquet(target).drop("load_batch")
+    return loaded.withColumn("null_keys_counted", F.lit(sum(r["null_keys"] for r in report)).cast("bigint"))
+
+
+def q_warm_month_arrivals(spark: SparkSession, sf: str) -> DataFrame:
+    """The fact lies partitioned by month; only the months that the temperatures select are read."""
+    path = scratch_path(spark, "fact-months")
+    overwrite_partitions(_fact(spark, sf), path, MONTHS)
+    fact = spark.read.schema(FACT_IMMIGRATION).parquet(path)
+    return analytics.arrivals_in_warm_months(fact, stored(_temp_rows(spark, sf), "temperatures"), 28.0)
 
 
 # ------------------------------------------------------------------ quality
@@ -539,6 +669,13 @@ def q_quality_duplicates(spark: SparkSession, sf: str) -> DataFrame:
     return duplicate_keys(read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def q_repeated_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Some orders come twice, one kind of them three times: only their keys are shuffled."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    again = o.filter(F.col("o_orderkey") % 97 == 0)
+    return duplicate_keys(o.unionByName(again).unionByName(again.filter(F.col("o_custkey") % 5 == 0)), ["o_orderkey", "o_custkey"])
+
+
 QUERIES: dict[str, Query] = {
     "scan_parquet": q_scan_parquet,
     "scan_csv_header": q_scan_csv_header,
@@ -582,4 +719,12 @@ QUERIES: dict[str, Query] = {
     "incremental_fact": q_incremental_fact,
     "quality_report": q_quality_report,
     "quality_duplicates": q_quality_duplicates,
+    "decode_dictionary_codes": q_decode_dictionary_codes,
+    "dynamic_partition_overwrite": q_dynamic_partition_overwrite,
+    "publication_after_failure": q_publication_after_failure,
+    "published_deliveries": q_published_deliveries,
+    "repeated_keys": q_repeated_keys,
+    "reconciled_deliveries": q_reconciled_deliveries,
+    "stable_keys_two_deliveries": q_stable_keys_two_deliveries,
+    "warm_month_arrivals": q_warm_month_arrivals,
 }

@@ -203,11 +203,14 @@ TRAILING_TEMPS = """
 
 LABEL_ROWS = """
     SELECT 'custl' AS block, CAST(c_custkey AS VARCHAR) AS code,
-           CASE WHEN c_custkey % 500 = 7 THEN rpad(c_name, 5000, 'x')
+           CASE WHEN c_custkey % 50 = 11 THEN c_name || ' /* keep */ B'
+                WHEN c_custkey % 50 = 13 THEN c_name || ' "x" it''s'
+                WHEN c_custkey % 50 = 23 THEN c_name || ' TAIL'
+                WHEN c_custkey % 500 = 7 THEN rpad(c_name, 5000, 'x')
                 WHEN c_mktsegment = 'BUILDING' THEN 'No Country Code (' || CAST(c_custkey AS VARCHAR) || ')'
                 WHEN c_mktsegment = 'MACHINERY' THEN c_name || ' O''NEIL'
                 ELSE c_name END AS label,
-           c_custkey % 500 = 7 OR c_mktsegment <> 'BUILDING' AS is_valid
+           c_custkey % 50 IN (11, 13, 23) OR c_custkey % 500 = 7 OR c_mktsegment <> 'BUILDING' AS is_valid
     FROM customer
     UNION ALL
     SELECT '$portl', 'S' || CAST(s_suppkey AS VARCHAR),
@@ -222,7 +225,9 @@ LABEL_ROWS = """
     FROM (SELECT *, CASE WHEN s_suppkey % 5 = 0 THEN s_name || ' O''HARE' ELSE s_name END AS town
           FROM supplier) JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     UNION ALL
-    SELECT 'stcodes', upper(substr(r_name, 1, 2)), r_name, true FROM region WHERE r_regionkey <> 4"""
+    SELECT 'stcodes', upper(substr(r_name, 1, 2)), r_name, true FROM region WHERE r_regionkey <> 4
+    UNION ALL
+    SELECT 'numl', CAST(r_regionkey AS VARCHAR), r_name, true FROM region"""
 
 LABEL_PORTS = """
     SELECT 'S' || CAST(s_suppkey AS VARCHAR) AS code,
@@ -236,13 +241,16 @@ LABEL_COUNTRIES = f"SELECT code, label AS country FROM ({LABEL_ROWS}) WHERE bloc
 
 
 def content_sql(table: str, columns: list[tuple[str, str]]) -> str:
-    """What a table holds, as one row: least and greatest MD5 of its rows' texts, and how many differ."""
+    """What a table holds, as one row: the sums of both halves of the MD5s of its rows' texts, as exact numbers."""
     texts = [
         f"coalesce(CAST(CAST(round({c} * 1000) AS BIGINT) AS VARCHAR), '~')" if kind == "double"
         else f"coalesce(CAST({c} AS VARCHAR), '~')" for c, kind in columns
     ]
     text = " || '|' || ".join(texts)
-    return f"SELECT min(m) AS least_row, max(m) AS greatest_row, count(DISTINCT m) AS distinct_rows FROM (SELECT md5({text}) AS m FROM {table})"
+    sums = ", ".join(
+        f"CAST(coalesce(sum(CAST(CAST('0x' || substr(m, {at}, 16) AS UBIGINT) AS HUGEINT)), 0) AS VARCHAR) AS {n}"
+        for n, at in (("rows_high", 1), ("rows_low", 17)))
+    return f"SELECT {sums} FROM (SELECT md5({text}) AS m FROM {table})"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -321,7 +329,31 @@ def oracle_sql() -> dict[str, str]:
     FROM songplays""",
     )
     q["fact_build"] = with_ctes(["fact"], "SELECT * FROM fact")
-    q["incremental_fact"] = with_ctes(["fact"], "SELECT * FROM fact")
+    q["incremental_fact"] = with_ctes(["fact"], """SELECT * REPLACE (nullif(immigration_id, without) AS immigration_id),
+           count(without) OVER () AS null_keys_counted
+    FROM (SELECT *, CASE WHEN CAST(immigration_id AS BIGINT) % 97 = 0 THEN immigration_id END AS without FROM fact)""").replace(
+        "SELECT * REPLACE", "SELECT * EXCLUDE (without) REPLACE")
+    q["dynamic_partition_overwrite"] = q["published_deliveries"] = with_ctes(["fact"], "SELECT * FROM fact")
+    q["publication_after_failure"] = with_ctes(["fact"], "SELECT * FROM fact WHERE imm_year < 1998")
+    q["warm_month_arrivals"] = with_ctes(["fact", "monthly_temps"], """SELECT imm_year, imm_month, count(*) AS arrivals FROM fact
+    WHERE (imm_year, imm_month) IN (SELECT (CAST(year(temp_report_month) AS INTEGER), CAST(month(temp_report_month) AS INTEGER))
+                                    FROM monthly_temps WHERE avg_temp >= 28)
+    GROUP BY ALL""")
+    q["stable_keys_two_deliveries"] = with_ctes(["demographics"], """SELECT city, state_code, race,
+           row_number() OVER (ORDER BY male_population % 2, city NULLS FIRST, state_code NULLS FIRST, race NULLS FIRST) AS demo_key,
+           male_population
+    FROM demographics""")
+    q["reconciled_deliveries"] = with_ctes(["arrivals"], """SELECT cicid, i94yr,
+           CASE WHEN i94yr >= 1997 THEN CAST(CAST(i94mon AS INTEGER) AS VARCHAR) ELSE CAST(i94mon AS VARCHAR) END AS i94mon,
+           i94port, i94visa, CASE WHEN i94yr >= 1994 THEN visapost END AS visapost,
+           CASE WHEN i94yr >= 1994 AND i94yr < 1997 THEN 'M' END AS matflag,
+           CASE WHEN i94yr < 1994 THEN 'old' WHEN i94yr < 1997 THEN 'middle' ELSE 'new' END AS delivery
+    FROM arrivals""")
+    q["repeated_keys"] = """
+    SELECT o_orderkey, o_custkey, CAST(CASE WHEN o_custkey % 5 = 0 THEN 3 ELSE 2 END AS BIGINT) AS n
+    FROM orders WHERE o_orderkey % 97 = 0"""
+    q["decode_dictionary_codes"] = """
+    SELECT l_orderkey, l_linenumber, r_name AS label FROM lineitem LEFT JOIN region ON l_linenumber = r_regionkey"""
     q["dim_person_build"] = with_ctes(["person"], "SELECT * FROM person")
     q["star_join"] = with_ctes(
         ["fact", "person"],
@@ -403,7 +435,7 @@ def oracle_sql() -> dict[str, str]:
         return f"""SELECT '{table}' AS table_name, '{k}' AS key_column, count(*) AS row_count,
            CAST(count_if({k} IS NULL) AS BIGINT) AS null_keys, count({k}) - count(DISTINCT {k}) AS duplicate_keys,
            count(*) > 0 AND count_if({k} IS NULL) = 0 AND count({k}) = count(DISTINCT {k}) AS passed,
-           any_value(least_row) AS least_row, any_value(greatest_row) AS greatest_row, any_value(distinct_rows) AS distinct_rows
+           any_value(rows_high) AS rows_high, any_value(rows_low) AS rows_low
     FROM {cte}, ({content})"""
 
     q["pipeline_run"] = with_ctes(list(tables.values()), "\nUNION ALL\n".join(table_report(t, c) for t, c in tables.items()))

@@ -3,8 +3,8 @@
 One Spark application reads the staged raw files, builds the fact and the
 three dimensions, writes each under its contract (parquet overwrite),
 optionally truncate-and-loads them into warehouse targets, and checks what
-was written (row count, null keys, duplicate keys) in one aggregate pass
-per table.
+was written. Row counts and null keys are counted by the last write itself;
+only uniqueness reads the key columns again.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arrivals_mart.operators.quality import assert_checks, run_checks
+from arrivals_mart.operators.quality import assert_checks, checked_report, counted
 from arrivals_mart.operators.sinks import create_targets, truncate_and_load, write_contract
 from arrivals_mart.plans.marts import (
     build_demographics_dim,
@@ -145,16 +145,23 @@ def run_pipeline(
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {warehouse}")
         create_targets(spark, database=warehouse, buckets=buckets)
 
-    def publish(name: str) -> DataFrame:
-        path = os.path.join(production, name)
-        write_contract(BUILDERS[name](inputs), path, TARGETS[name], name, check_nulls=False)
+    def publish(name: str) -> tuple[DataFrame, str, dict]:
+        path, key, counts = os.path.join(production, name), TABLE_KEYS[name], []
+
+        def observe(rows: DataFrame) -> DataFrame:
+            rows, of_write = counted(rows, key)
+            counts.append(of_write)
+            return rows
+
+        write_contract(BUILDERS[name](inputs), path, TARGETS[name], name, False, None if warehouse else observe)
+        written = spark.read.schema(TARGETS[name]).parquet(path)
         if warehouse:
             target = os.path.join(warehouse, name) if "/" in warehouse else f"{warehouse}.{name}"
-            return truncate_and_load(spark, path, target, TARGETS[name], name, check_nulls=False)
-        return spark.read.parquet(path)
+            written = truncate_and_load(spark, path, target, TARGETS[name], name, check_nulls=False, observe=observe)
+        return written, key, counts[0]()
 
     written = run_concurrently({name: (lambda n=name: publish(n)) for name in BUILDERS}, max_parallel)
-    report = run_checks({name: (df, TABLE_KEYS[name]) for name, df in written.items()}, unique)
+    report = checked_report(spark, written, unique)
     if check:
         assert_checks(report)
     return report

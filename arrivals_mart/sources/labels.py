@@ -24,6 +24,7 @@ does not begin with one, or without a quoted label), and one the files that end
 from __future__ import annotations
 
 import os
+import re
 import warnings
 from collections.abc import Sequence
 
@@ -39,6 +40,8 @@ COUNTRY_BLOCK = "i94cntyl"
 PORT_BLOCK = "$i94prtl"
 MODE_BLOCK = "i94model"
 STATE_BLOCK = "i94addrl"
+# Codes that may become literals of a plan
+MAX_LITERAL_CODES = 1000
 INVALID_LABEL_PATTERN = r"(?i)^(INVALID\b|Collapsed\b|No .*Code\b)"
 
 _HEADER = r"(?i)^\s*value\s+(\$?[A-Za-z_][A-Za-z0-9_]*)"
@@ -274,6 +277,19 @@ def block_lookup(labels: DataFrame, block: str, value_name: str = "label", valid
     )
 
 
+def block_codes(labels: DataFrame, block: str, max_codes: int = MAX_LITERAL_CODES, valid_only: bool = False) -> dict:
+    """{code: label} of a small block, for :func:`arrivals_mart.functions.codes.decode`.
+
+    Codes that are numbers become numbers, so that they match numeric columns (6.0 = 6). The block becomes literals of
+    the plan, so one with more than ``max_codes`` codes raises: join its ``block_lookup`` instead.
+    """
+    rows = block_lookup(labels, block, valid_only=valid_only).orderBy("code").limit(max_codes + 1).collect()
+    if len(rows) > max_codes:
+        raise ValueError(f"block {block} has more than {max_codes} codes: join its lookup instead")
+    numeric = all(re.fullmatch(r"[+-]?\d{1,18}", r["code"]) for r in rows)
+    return {int(r["code"]) if numeric else r["code"]: r["label"] for r in rows}
+
+
 def country_lookup(labels: DataFrame, block: str = COUNTRY_BLOCK, valid_only: bool = False) -> DataFrame:
     """Country code lookup: (code, country)."""
     return block_lookup(labels, block, "country", valid_only).select("code", "country")

@@ -6,7 +6,8 @@ track (in its checkpoint) of which files were already processed; each run
 (``availableNow`` trigger) builds the fact rows of the new files only, with
 the same :func:`build_fact` as the batch job, and stops.
 
-Each micro-batch overwrites its own ``load_batch=<id>`` folder, so a batch
+Files that are not parquet are passed over, and null keys are written and counted,
+as in the whole run. Each micro-batch overwrites its own ``load_batch=<id>`` folder, so a batch
 that is retried after a failure replaces its earlier partial output instead
 of appending twice. Reading the target folder yields the fact table plus
 the ``load_batch`` column.
@@ -18,6 +19,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from arrivals_mart.operators.quality import counted
 from arrivals_mart.operators.sinks import overwrite
 from arrivals_mart.plans.marts import build_fact
 from arrivals_mart.schemas import ARRIVALS, FACT_IMMIGRATION, enforce
@@ -31,6 +33,7 @@ def incremental_fact_load(
     target: str,
     checkpoint: str | None = None,
     max_files_per_batch: int | None = None,
+    report: list[dict] | None = None,
 ) -> int:
     """Load the fact rows of arrival files not seen before into ``target``.
 
@@ -38,21 +41,26 @@ def incremental_fact_load(
     already loaded) and belongs to ``target``: losing only the checkpoint
     would load every file again under new batch ids, so both are kept or
     reset together. By default it is a fresh folder below the session's
-    checkpoint folder, which suits a one-off run. Returns the number of
-    micro-batches that ran.
+    checkpoint folder, which suits a one-off run. ``report`` receives the row
+    count and the null keys of each batch, counted by its write. Returns the
+    number of micro-batches that ran.
     """
     ckpt = checkpoint or scratch_path(spark, "incremental-fact-checkpoint")
     # new deliveries may arrive as sub-folders of arrivals_dir
-    reader = spark.readStream.schema(ARRIVALS).option("recursiveFileLookup", "true")
+    reader = spark.readStream.schema(ARRIVALS).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     arrivals = reader.parquet(arrivals_dir)
     batches: list[int] = []
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        fact = enforce(build_fact(batch, ports), FACT_IMMIGRATION, "fact_immigration")
+        fact = enforce(build_fact(batch, ports), FACT_IMMIGRATION, "fact_immigration", check_nulls=False)
+        fact, counts = counted(fact, "immigration_id")
         overwrite(fact, os.path.join(target, f"load_batch={batch_id}"))
         batches.append(batch_id)
+        if report is not None:
+            found = counts()
+            report.append({"batch": batch_id, "row_count": found.get("row_count") or 0, "null_keys": found.get("null_keys") or 0})
 
     query = (
         arrivals.writeStream.foreachBatch(load)

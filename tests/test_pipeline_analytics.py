@@ -253,3 +253,37 @@ def test_config_without_data_section_uses_default_layout(tmp_path):
     assert (staging, production, layout) == ("s3a://bucket/staging", "s3a://bucket/production", StagingLayout())
     with pytest.raises(FileNotFoundError):
         layout_from_config(str(tmp_path / "missing.cfg"))
+
+
+def test_only_the_months_that_the_temperatures_select_are_read(spark, tmp_path):
+    from arrivals_mart.operators.sinks import overwrite_partitions
+    from arrivals_mart.plans.analytics import arrivals_in_warm_months
+
+    fact = spark.createDataFrame(
+        [(str(i), 2016, 1 + i % 12, "here") for i in range(120)], "immigration_id string, imm_year int, imm_month int, arrival_city string")
+    path = str(tmp_path / "fact")
+    overwrite_partitions(fact, path, ["imm_year", "imm_month"])
+    temps = spark.createDataFrame([("2016-02-01", 29.0), ("2016-07-01", 30.0), ("2016-07-01", 31.0), ("2016-08-01", 20.0)], "d string, avg_temp double")
+    temps = temps.select(temps.d.cast("date").alias("temp_report_month"), "avg_temp")
+    temps.write.parquet(str(tmp_path / "temps"))
+    out = arrivals_in_warm_months(spark.read.parquet(path), spark.read.parquet(str(tmp_path / "temps")), 28.0)
+    assert sorted(map(tuple, out.collect())) == [(2016, 2, 10), (2016, 7, 10)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruningexpression" in plan
+
+
+def test_codes_of_a_dictionary_block_decode_a_column(spark, tmp_path):
+    import pytest
+
+    from arrivals_mart.functions.codes import decode
+    from arrivals_mart.sources.labels import MODE_BLOCK, block_codes, label_dictionary
+
+    (tmp_path / "d.txt").write_text(f"value {MODE_BLOCK}\n 1 = 'By air'\n 2 = 'By sea'\n 9 = 'No Mode Code' ;\nvalue $x 'A' = 'a' '1' = 'one'")
+    labels = label_dictionary(spark, str(tmp_path / "d.txt"))
+    codes = block_codes(labels, MODE_BLOCK)
+    assert codes == {1: "By air", 2: "By sea", 9: "No Mode Code"} and block_codes(labels, MODE_BLOCK, valid_only=True) == {1: "By air", 2: "By sea"}
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (None,)], "m double")
+    assert [r[0] for r in df.select(decode("m", codes)).collect()] == ["By air", "By sea", None, None]
+    assert block_codes(labels, "$x") == {"A": "a", "1": "one"} and block_codes(labels, "none") == {}
+    with pytest.raises(ValueError, match="more than 2 codes"):
+        block_codes(labels, MODE_BLOCK, max_codes=2)

@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivals_mart.operators.quality import assert_checks, duplicate_keys, run_checks
+from arrivals_mart.operators import quality
+from arrivals_mart.operators.quality import assert_checks, checked_report, counted, duplicate_keys, run_checks, surplus_rows
 from arrivals_mart.operators.sinks import create_targets, overwrite, truncate_and_load
 from arrivals_mart.schemas import ContractError, enforce, schema_differences
 
@@ -131,3 +132,64 @@ def test_truncate_and_load_into_missing_table_fails(spark, tmp_path):
     overwrite(spark.createDataFrame([(1, "a", 1)], "id long, name string, n int"), path)
     with pytest.raises(ValueError, match="no table 'not_created_yet'"):
         truncate_and_load(spark, path, "not_created_yet", CONTRACT, "t")
+
+
+def test_rows_are_counted_by_the_write(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (1, "c")], "k long, v string").repartition(3)
+    rows, counts = counted(df, "k")
+    overwrite(rows, str(tmp_path / "t"))
+    assert counts() == {"row_count": 3, "null_keys": 1}
+    back = spark.read.parquet(str(tmp_path / "t"))
+    got = checked_report(spark, {"t": (back, "k", counts())})
+    want = run_checks({"t": (back, "k")})
+    assert got.collect() == want.collect() and got.dtypes == want.dtypes
+    rows, counts = counted(df.limit(0), "k")
+    overwrite(rows, str(tmp_path / "none"))
+    empty = spark.read.schema("k long, v string").parquet(str(tmp_path / "none"))
+    assert [tuple(r) for r in checked_report(spark, {"t": (empty, "k", counts())}).collect()] == [("t", "k", 0, 0, 0, False)]
+
+
+@pytest.mark.parametrize("range_hashes,suspects", [(1 << 20, 100_000), (7, 100_000), (50, 3)])
+def test_duplicates_by_packed_hashes_equal_plain_counting(spark, monkeypatch, range_hashes, suspects):
+    monkeypatch.setattr(quality, "RANGE_HASHES", range_hashes)
+    monkeypatch.setattr(quality, "MAX_SUSPECTS", suspects)
+    df = spark.range(0, 900, numPartitions=4).select(
+        F.when(F.col("id") % 9 != 0, F.col("id") % 171).alias("a"), F.when(F.col("id") % 4 != 0, (F.col("id") % 3).cast("string")).alias("b"))
+    want = sorted(map(tuple, df.groupBy("a", "b").count().filter("count > 1").collect()), key=repr)
+    assert len(want) > 50 and sorted(map(tuple, duplicate_keys(df, ["a", "b"]).collect()), key=repr) == want
+    assert surplus_rows(df, "a") == df.agg(F.count("a") - F.count_distinct("a")).first()[0]
+    assert duplicate_keys(df.filter("false"), ["a"]).count() == 0
+
+
+def test_uniqueness_shuffles_hashes_only(spark):
+    df = spark.range(0, 50_000, numPartitions=4).select(F.concat(F.lit("a long key " * 5), F.col("id")).alias("k"))
+    plan = quality.suspected_hashes(df, ["k"], 50_000)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1  # the arrays; counting in a range needs no other
+    assert duplicate_keys(df, ["k"]).count() == 0
+
+
+def test_the_run_counts_while_it_writes(spark, tmp_path, monkeypatch):
+    """Only the key columns are read again, and nothing if uniqueness is not asked for."""
+    from arrivals_mart.plans import pipeline
+
+    from .fixtures import frames
+    from .test_pipeline_analytics import _stage
+
+    _stage(spark, str(tmp_path / "staging"), frames(spark))
+    read = []
+    monkeypatch.setattr(quality, "surplus_rows", lambda df, key, rows=None: read.append(key) or 0)
+    report = pipeline.run_pipeline(spark, str(tmp_path / "staging"), str(tmp_path / "production"), unique=False, check=False)
+    assert read == [] and {r.table_name: r.row_count > 0 for r in report.collect()} == dict.fromkeys(pipeline.TARGETS, True)
+    pipeline.run_pipeline(spark, str(tmp_path / "staging"), str(tmp_path / "production"), check=False)
+    assert sorted(read) == ["demo_id", "immigration_id", "immigration_id", "temp_id"]
+
+
+def test_a_changed_row_changes_the_content_of_a_table(spark):
+    from arrivals_mart.plans.catalog import content
+
+    schema = T.StructType.fromDDL("k long, v string, d double")
+    rows = [(i, f"v{i}", i / 8) for i in range(300)]
+    base = content(spark.createDataFrame(rows, schema), schema, "t").collect()
+    for changed in ([*rows[:150], (150, "x", 150 / 8), *rows[151:]], rows[:-1], [*rows, rows[7]], [*rows[:5], rows[6], rows[6], *rows[7:]]):
+        assert content(spark.createDataFrame(changed, schema), schema, "t").collect() != base
+    assert content(spark.createDataFrame(rows[::-1], schema), schema, "t").collect() == base

@@ -37,3 +37,19 @@ def test_command_line_incremental(spark, tmp_path, capsys):
     assert main(args, spark=spark) == 0  # nothing new on a second run
     assert "0 micro-batches loaded" in capsys.readouterr().out
     assert spark.read.parquet(str(tmp_path / "fact")).count() == 4
+
+
+def test_stray_files_are_passed_over_and_null_keys_counted(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    f = frames(spark)
+    arrivals_dir, target, ckpt = (str(tmp_path / d) for d in ("arrivals", "fact", "ckpt"))
+    arrivals = f["arrivals"].withColumn("cicid", F.when(F.col("cicid") >= 8, F.col("cicid")))
+    arrivals.write.parquet(arrivals_dir + "/delivery=2016-04")
+    (tmp_path / "arrivals" / "notes.txt").write_text("not parquet")
+    (tmp_path / "arrivals" / "delivery=2016-04" / "readme").write_text("neither")
+    report = []
+    assert incremental_fact_load(spark, arrivals_dir, f["ports"], target, ckpt, report=report) == 1
+    loaded = spark.read.parquet(target)
+    nulls = loaded.filter("immigration_id IS NULL").count()
+    assert nulls > 0 and report == [{"batch": 0, "row_count": loaded.count(), "null_keys": nulls}]
