@@ -318,10 +318,9 @@ def _found(entries: DataFrame, queries: DataFrame, dim: int, n: int, largest: fl
                 )
 
     index = entries.mapInArrow(keyed, "t bigint, key bigint, ids array<bigint>, v array<float>")
-    # at most tables * entries / limit buckets exceed the limit, which is a few thousand at any size
-    limit = max(SHARE, n // 1000)
+    # at most tables * n / SHARE buckets can be that large
     heavy = {(r["t"], r["key"]): -(-r["count"] // SHARE)
-             for r in index.groupBy("t", "key").count().filter(F.col("count") > limit).collect()}
+             for r in index.groupBy("t", "key").count().filter(F.col("count") > SHARE).collect()}
 
     def dealt(batches):
         for b in batches:

@@ -19,14 +19,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from arrivals_mart.llm._common import held_out, struct_of
+from arrivals_mart.llm._common import held_out, struct_of, written
 
 #: Bound on labelled documents per label that the model is fitted on.
 SAMPLE_PER_LABEL = 1500
+#: Bound on the bytes of their features, which the driver gathers.
+SAMPLE_BYTES = 96 << 20
 #: Training cuts longer chains of lines here; scoring never cuts.
 TRAINING_CHAIN = 96
 ROUNDS = 200
@@ -183,9 +185,22 @@ def labelled_sample(labels: DataFrame, label_col: str, id_col: str, per_label: i
     return some[0].unionByName(some[1])
 
 
+def bounded_rows(rows: DataFrame, most_bytes: int) -> list:
+    """Rows (id, x, ...) in the order of their ids' hashes, as long as all ``x`` together stay within ``most_bytes``.
+
+    Documents that would take up more than a 64th of it come last. Only lengths pass one task, those of a bounded sample.
+    """
+    rows = written(rows, "training-rows")
+    sizes = rows.groupBy("id").agg(F.sum(F.length("x")).alias("size"))  # at most one per sampled id
+    order = Window.orderBy(F.col("size") > most_bytes // 64, F.xxhash64("id"), "id").rowsBetween(Window.unboundedPreceding, 0)
+    within = sizes.withColumn("upto", F.sum("size").over(order)).filter(F.col("upto") <= most_bytes).select("id")
+    found = rows.join(F.broadcast(within), "id").collect()
+    return sorted(found, key=lambda r: (r["id"], bytes(r["x"])))
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id",
-          text_col: str = "text", per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """Fit on a bounded sample; the tasks send line features, not texts."""
+          text_col: str = "text", per_label: int = SAMPLE_PER_LABEL, most_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on a sample bounded in documents and in bytes of features; the tasks send line features, not texts."""
     sample = labelled_sample(labels, label_col, id_col, per_label)
 
     def run(batches):
@@ -200,9 +215,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     ident, text = F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")
     rows = (
         docs.select(ident, text).join(F.broadcast(sample), F.col("id") == F.col("sample_id")).select("id", "y", "text")
-        .mapInArrow(run, "id bigint, y int, n bigint, x binary").collect()
+        .mapInArrow(run, "id bigint, y int, n bigint, x binary")
     )
-    rows.sort(key=lambda r: (r["id"], bytes(r["x"])))
+    rows = bounded_rows(rows, most_bytes)
     if not rows:
         return Model.zeros()
     features = np.concatenate([np.frombuffer(r["x"], "<f4").reshape(-1, N_FEATURES) for r in rows]).astype(float)

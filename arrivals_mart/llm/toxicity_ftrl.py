@@ -23,12 +23,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from arrivals_mart.llm._common import LOWER
-from arrivals_mart.llm.quality_crf import labelled_sample, pieces
+from arrivals_mart.llm.quality_crf import bounded_rows, labelled_sample, pieces
 
 #: Number of hash buckets, as a power of two; it bounds the weights.
 BITS = 21
 #: Bound on labelled documents per label that the model is fitted on.
 SAMPLE_PER_LABEL = 6000
+#: Bound on the bytes of their buckets, which the driver gathers.
+SAMPLE_BYTES = 96 << 20
 EPOCHS = 8
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 5.0, 0.0
 #: Words that a task's table may hold before it is emptied.
@@ -116,8 +118,8 @@ def _word_hashes(text: bytes | None, words: WordHashes) -> np.ndarray:
 
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id",
-          text_col: str = "text", per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """Fit on a bounded sample; the tasks send distinct buckets, not texts."""
+          text_col: str = "text", per_label: int = SAMPLE_PER_LABEL, most_bytes: int = SAMPLE_BYTES) -> Model:
+    """Fit on a sample bounded in documents and in bytes of buckets; the tasks send distinct buckets, not texts."""
     sample = labelled_sample(labels, label_col, id_col, per_label)
 
     def run(batches):
@@ -134,9 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col:
     ident, text = F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")
     rows = (
         docs.select(ident, text).join(F.broadcast(sample), F.col("id") == F.col("sample_id")).select("id", "y", "text")
-        .mapInArrow(run, "id bigint, y int, x binary").collect()
+        .mapInArrow(run, "id bigint, y int, x binary")
     )
-    rows.sort(key=lambda r: (r["id"], bytes(r["x"])))
+    rows = bounded_rows(rows, most_bytes)
     return fit([np.frombuffer(r["x"], "<u4") for r in rows], np.array([r["y"] for r in rows], float))
 
 

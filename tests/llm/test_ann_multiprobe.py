@@ -165,3 +165,12 @@ def test_each_length_is_searched(spark):
         want |= brute([r for r in rows if len(r[1]) == dim], {0, 20, 40, 60, 80}, 20)
     assert sorted(got) == [0, 20, 40, 60, 80] and recall(got, want) >= 0.9
     assert all(len(rows[q][1]) == len(rows[i][1]) for q in got for i, _ in got[q])
+
+
+def test_extra_columns_with_clashing_names(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(0, 1, 8)) for i in range(200)]
+    plain = table(spark, rows)
+    clashing = plain.withColumns({c: F.lit(f"own {c}") for c in ("id", "v", "ids", "part", "kind", "keys", "score", "rank", "t", "key", "query_id")})
+    is_query = F.col("id") % 20 == 0
+    assert answers(A.nearest(clashing, is_query)) == answers(A.nearest(plain, is_query))

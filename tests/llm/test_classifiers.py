@@ -157,3 +157,62 @@ def test_awkward_rows_and_empty_tables(spark):
         nothing = module.train(docs(spark, rows), spark.createDataFrame([], LABELS))
         assert {r.score for r in score(docs(spark), nothing).collect()} == {0.5}
     assert Q.document_scores([LONG.encode()], Q.Model.zeros()).tolist() == [0.5]
+
+
+def test_document_score_is_the_length_weighted_mean_of_brute_force_marginals():
+    rng = np.random.default_rng(3)
+    model = Q.Model(rng.normal(0, 0.7, 3 * Q.N_FEATURES + 1), rng.normal(0, 0.8, (2, 2)))
+    texts = [b"One line only.", b"", b"first LINE!\n\nthird | 33 ### a a a\nlast", "é è\nWORD word word".encode(), b"\n\n"]
+    for text, got in zip(texts, Q.document_scores(texts, model)):
+        features = [Q.line_features([line])[0][0] for line in text.split(b"\n")]
+        zero = np.zeros(Q.N_FEATURES)
+        score = [
+            np.concatenate([features[i - 1] if i else zero, f, features[i + 1] if i + 1 < len(features) else zero])
+            for i, f in enumerate(features)
+        ]
+        order = np.concatenate([np.arange(Q.N_FEATURES, 2 * Q.N_FEATURES), np.arange(Q.N_FEATURES), np.arange(2 * Q.N_FEATURES, 3 * Q.N_FEATURES)])
+        line_scores = np.array([x[order] @ model.weights[:-1] + model.weights[-1] for x in score])
+        weight = np.array([len(line) + 1 for line in text.split(b"\n")])
+        want = (brute_marginals(line_scores, model.trans) * weight).sum() / weight.sum()
+        assert got == pytest.approx(want, abs=1e-12)
+
+
+def test_ftrl_recurrence_equals_one_coordinate_at_a_time(monkeypatch):
+    monkeypatch.setattr(X, "BITS", 5)
+    monkeypatch.setattr(X, "L1", 0.6)
+    rng = np.random.default_rng(4)
+    documents = [np.unique(rng.integers(0, 32, int(rng.integers(1, 9)))).astype("<u4") for _ in range(40)]
+    labels = rng.integers(0, 2, 40).astype(float)
+    z, n = [0.0] * 33, [0.0] * 33
+
+    def weight(i):
+        scale = (X.BETA + n[i] ** 0.5) / X.ALPHA + X.L2
+        if i == 32:  # the bias has no L1
+            return -z[i] / scale
+        return 0.0 if abs(z[i]) <= X.L1 else -(z[i] - np.sign(z[i]) * X.L1) / scale
+
+    order = np.random.default_rng(7)
+    for _ in range(X.EPOCHS):
+        for k in order.permutation(40):
+            active = [*documents[k].tolist(), 32]
+            w = {i: weight(i) for i in active}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - labels[k]
+            for i in active:
+                sigma = ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / X.ALPHA
+                z[i] += g - sigma * w[i]
+                n[i] += g * g
+    model = X.fit(documents, labels)
+    want = {i: weight(i) for i in range(32) if weight(i) != 0}
+    fitted = [v for v in vars(model).values()]
+    assert dict(zip(fitted[0].tolist(), fitted[1].tolist())) == pytest.approx(want, rel=1e-5)
+    assert 0 < len(want) < 32 and fitted[2] == pytest.approx(weight(32))
+
+
+def test_training_rows_stay_within_their_bytes(spark):
+    rows = [(i, 0, bytes(100)) for i in range(50)] + [(90, 1, bytes(5000))] + [(91, 1, bytes(50))] * 40 + [(None, 1, b"x")]
+    df = spark.createDataFrame(rows, "id bigint, y int, x binary")
+    got = Q.bounded_rows(df, 3000)
+    assert sum(len(r.x) for r in got) <= 3000 and len(got) >= 9
+    assert {r.id for r in got} <= set(range(50)) | {91} and [r.id for r in got] == sorted(r.id for r in got)
+    assert {tuple(r) for r in Q.bounded_rows(df.repartition(5), 3000)} == {tuple(r) for r in got}
+    assert len(Q.bounded_rows(df, 10**6)) == 91 and Q.bounded_rows(df.limit(0), 10) == []
