@@ -22,7 +22,8 @@ and then by document.
 
 Null texts have no words. Documents with a null id are kept whole and count for no other. Rows
 that share an id never remove one another; they are told apart by the CRC of their text. An
-empty table gives an empty result.
+empty table gives an empty result. Texts of any length are read whole. Extra
+columns are not read, whatever their names.
 """
 
 from __future__ import annotations

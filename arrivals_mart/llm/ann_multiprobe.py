@@ -19,7 +19,7 @@
 A bucket beyond the share of a task is salted over several. Vectors that are null, zero,
 or that hold null or non-finite components take no part. Vectors of different lengths are not
 compared: each length has its own tables, and its queries find entries of that length. Rows that
-repeat an id and vector count once. An empty table gives an empty result.
+repeat an id and vector count once. Extra columns are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

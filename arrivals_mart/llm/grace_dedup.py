@@ -10,7 +10,10 @@ table compares complete contents; hashes only choose slots and files.
 Texts are equal when identical after lower-casing A-Z; null counts as empty. Of
 equal texts the row with the largest id stays; a null id is smaller than any other;
 of rows that tie on the id, exactly one stays. An empty table gives an empty result.
-Extra columns are kept in a struct, so their names cannot clash.
+Extra columns are kept in a struct, so their names cannot clash. Texts of any length are compared whole.
+
+Spill files lie below Spark's own local directories, where shuffle files lie too: they are large enough, and
+the task that wrote the files reads and removes them.
 """
 
 from __future__ import annotations
@@ -179,13 +182,19 @@ def grace(records: Iterable[Record], limit: int, keep_keys: bool, keep_rows: boo
         yield from records
 
     del groups
-    with tempfile.TemporaryDirectory(dir=folder) as sub:
+    with tempfile.TemporaryDirectory(dir=folder or _local_directory()) as sub:
         for path in _spill(everything(), level, sub):
             if os.path.getsize(path):
                 yield from grace(_load(path), limit, keep_keys, keep_rows, level + 1, sub, path)
             os.remove(path)
 
 
+def _local_directory() -> str | None:
+    """One of the directories that Spark gives its Python workers for local files; the system's own outside of Spark."""
+    given = [d for d in os.environ.get("SPARK_LOCAL_DIRS", "").split(",") if os.path.isdir(d)]
+    return given[os.getpid() % len(given)] if given else None
+
+
 def _leaders(batches: Iterator[pa.RecordBatch], schema: pa.Schema, only_leaders: bool) -> Iterator[pa.RecordBatch]:
     """Group each batch: every row learns its leader; leaders carry the text and the group's size."""
     key = TaskContext.get().partitionId() << 33

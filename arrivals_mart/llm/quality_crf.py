@@ -9,7 +9,10 @@ document; its quality is the mean marginal of "good", weighted by line length.
 Features are rates of kinds of characters and of words that repeat the word before them. The
 model is a few dozen numbers. Null texts count as empty; an empty text is one line of
 length 0 and gets that line's marginal. Every line weighs its bytes plus one. Without
-labelled rows the model is all zeros and every score 0.5.
+labelled rows the model is all zeros and every score 0.5. Repeated rows score alike. Texts of any length are scored
+whole, a line at a time; training cuts chains of more than ``TRAINING_CHAIN`` lines (the labels of the lines at a cut are then
+learned without each other) and takes documents up to a bound on their bytes. Extra columns stay in a struct or
+are not read, so their names cannot clash. An empty table gives an empty result.
 """
 
 from __future__ import annotations

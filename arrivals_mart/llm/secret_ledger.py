@@ -12,7 +12,8 @@ before the shuffle, and the join back is a join of narrow rows, so a blob that a
 of all paths share is neither scanned nor shuffled more than once per task.
 
 Null texts are the empty blob. Repeated rows each get their blob's findings. An empty
-table scans nothing. Extra columns stay in the struct ``row``.
+table scans nothing. Extra columns stay in the struct ``row``, so their names cannot clash. Texts of any length are
+scanned whole, each as one value. Spans that begin at the same place are listed in the order of the rules.
 """
 
 from __future__ import annotations

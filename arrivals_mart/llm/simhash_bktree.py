@@ -16,7 +16,9 @@ fingerprint, which grows with the corpus, and a table that grows is never broadc
 
 Null and empty texts and texts without words have fingerprint 0 and link to each other.
 Repeated rows share a fingerprint. A null id never becomes a component's id unless all its
-ids are null. An empty table gives an empty result.
+ids are null. Texts of any length are read whole. Equal fingerprints
+are linked at distance 0, so all of them have one component. Extra columns are not read, or pass through
+``drop_near_duplicates`` as they are, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ a bounded number, are what the tasks get.
 
 Scoring looks every word of a text up and sums the weights of the distinct features present.
 Null texts count as empty; they score the bias alone. Without labelled rows of both kinds
-every score is 0.5. Repeated rows score alike.
+every score is 0.5. Repeated rows score alike. Texts of any length are scored whole; training takes documents up to a
+bound on their number and bytes. Extra columns are not read, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations

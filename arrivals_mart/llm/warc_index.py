@@ -17,7 +17,8 @@ by archive, and each record is read by its own range, in the order of the archiv
 Null html is the empty payload; a null url has the empty key; of pages with a null id, one that shares
 its payload with a numbered page revisits that, any other is a response. Rows that tie on the
 largest id are all responses. Repeated rows give one record each. Control characters and
-blanks in urls are percent-encoded. An empty table writes nothing and reads nothing.
+blanks in urls are percent-encoded. Pages of any length are written and read whole.
+Columns but page_id, url and html are not read, whatever their names. An empty table writes nothing and reads nothing.
 """
 
 from __future__ import annotations
