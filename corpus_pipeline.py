@@ -3,6 +3,13 @@
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns
 a DataFrame, which is written as Parquet and reread as the next one's docs. All but
 the last return the columns of ``documents``.
+
+Nulls and repeated rows, stage by stage: null texts are scored as empty ones (quality), equal the empty text (exact
+dedup), have fingerprint 0 (near dedup), have no words, so the mix never takes them (mixing), and would encode to no ids
+(encode). Null ids are smaller than any other id where the largest stays, and stay only if no numbered document
+of their group does where the smallest stays. Null sources mix as a source of their own; null langs pass through.
+Rows that repeat are one after exact dedup; the mix may repeat a document up to three times, as rows that are
+encoded each. Empty tables pass every stage as empty tables.
 """
 
 from __future__ import annotations
