@@ -103,7 +103,7 @@ def test_the_entry_works_without_the_subpackage(tmp_path):
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert len(q) > 40 and 'pipeline' not in q and set(q) == set(e.oracle_sql())"
     subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=120)
-    with_it = "import __spark_entry__ as e; q = e.queries(); assert sum(k.startswith('op') for k in q) == 10 and 'pipeline' in q"
+    with_it = "import __spark_entry__ as e; q = e.queries(); assert sum(k.startswith('op') for k in q) == 13 and 'pipeline' in q"
     subprocess.run([sys.executable, "-c", with_it], cwd=ROOT, check=True, timeout=120)
 
 
