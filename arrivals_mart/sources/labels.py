@@ -31,7 +31,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from arrivals_mart.operators.lookups import sized_broadcast
 from arrivals_mart.session import stored
 
 # Block names of the arrival label file and the label forms
@@ -109,11 +108,11 @@ def _then(first: Column, second: Column) -> Column:
     return F.call_function("translate", first, F.lit(STATES), second)
 
 
-def scanned(df: DataFrame, by: list[str], at: list[str], name: str) -> tuple[DataFrame, DataFrame]:
+def scanned(df: DataFrame, by: list[str], at: list[str], name: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Prefix scan of the column ``map`` in groups ``by``, ordered by ``at``.
 
     Returns ``df`` with ``before`` (the maps of what precedes in the group, composed) and one row per group
-    with its whole ``map``.
+    with its whole ``map``. With a ``name`` the groups are stored, so that both come from one pass over ``df``.
     """
     width = len(STATES)
     others = [*at, *[c for c in df.columns if c not in (*by, *at)]]
@@ -122,7 +121,8 @@ def scanned(df: DataFrame, by: list[str], at: list[str], name: str) -> tuple[Dat
         "items", F.struct(F.lit(STATES).alias("map"), F.lit("").alias("befores")),
         lambda a, x: F.struct(_then(a["map"], x["map"]).alias("map"), F.concat(a["befores"], a["map"]).alias("befores")),
     )
-    groups = stored(groups.withColumn("scan", scan), name)
+    groups = groups.withColumn("scan", scan)
+    groups = stored(groups, name) if name else groups
     with_before = F.transform("items", lambda x, i: F.struct(
         x.alias("item"), F.substring(F.col("scan.befores"), i * width + 1, F.lit(width)).alias("before")))
     rows = groups.select(*by, F.explode(with_before).alias("x")).select(*by, *[f"x.item.{c}" for c in others], "x.before")
@@ -133,8 +133,8 @@ def lexed_lines(lines: DataFrame) -> DataFrame:
     """(file, split_start, pos, line) with ``state``: what is open where the line begins."""
     blocks = lines.withColumns({"block": F.expr(f"pos div {LINES_PER_BLOCK}"), "map": line_map(F.col("line"))})
     in_block, per_block = scanned(blocks, ["file", "split_start", "block"], ["pos"], "label-lines")
-    in_split, per_split = scanned(per_block, ["file", "split_start"], ["block"], "label-blocks")
-    in_file, per_file = scanned(per_split, ["file"], ["split_start"], "label-splits")
+    in_split, per_split = scanned(per_block, ["file", "split_start"], ["block"])
+    in_file, per_file = scanned(per_split, ["file"], ["split_start"])
     open_files = per_file.filter(F.substring("map", 1, 1).isin("C", "S", "D", "P")).count()
     if open_files:
         warnings.warn(f"{open_files} label files end inside a comment, quotes or options", stacklevel=3)
@@ -155,16 +155,15 @@ def _cleaned(line: Column, state: Column) -> Column:
     return F.when(state.isin("S", "D"), F.substring(text, F.lit(2), F.length(text))).otherwise(text)
 
 
-def _carried(rows: DataFrame, value: Column, at: Sequence[str], name: str) -> DataFrame:
+def _carried(rows: DataFrame, value: Column, at: Sequence[str]) -> DataFrame:
     """(file, split_start, carried): the last non-null ``value``, in order of ``at``, of earlier splits.
 
-    One row per input split: broadcast only if that is a bounded number.
+    One row per input split; the join with it is on the keys that the windows deal the rows by anyway.
     """
     per_split = rows.groupBy("file", "split_start").agg(
         F.max_by(value, F.when(value.isNotNull(), F.struct(*at))).alias("last"))
     earlier = Window.partitionBy("file").orderBy("split_start").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_split.select("file", "split_start", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    return sized_broadcast(stored(carry, name))
+    return per_split.select("file", "split_start", F.last("last", ignorenulls=True).over(earlier).alias("carried"))
 
 
 def label_records(lines: DataFrame) -> DataFrame:
@@ -183,14 +182,14 @@ def label_records(lines: DataFrame) -> DataFrame:
         | ((F.col("state") == "N") & F.col("text").rlike(r"^\s*\("))
         | F.coalesce(F.lag("open").over(order), F.col("carried"), F.lit(False))
     )
-    numbered = cleaned.join(_carried(cleaned, F.col("open"), ["pos"], "label-ends"), ["file", "split_start"], "left")
+    numbered = cleaned.join(_carried(cleaned, F.col("open"), ["pos"]), ["file", "split_start"], "left")
     numbered = numbered.withColumn("goes_on", goes_on).drop("carried", "open")
     begun = F.sum((~F.col("goes_on")).cast("bigint")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     numbered = numbered.withColumn("nth", begun)
     own = F.when(F.col("nth") > 0, F.struct(F.col("split_start").alias("split"), F.col("nth")))
     numbered = stored(numbered.withColumn("record", own), "label-numbered")
     first = F.struct(F.lit(-1).cast("bigint").alias("split"), F.lit(0).cast("bigint").alias("nth"))
-    open_record = _carried(numbered, F.col("record"), ["pos"], "label-open")
+    open_record = _carried(numbered, F.col("record"), ["pos"])
     whole = numbered.join(open_record, ["file", "split_start"], "left").withColumn(
         "record", F.coalesce("record", "carried", first))
     parts = F.array_sort(F.collect_list(F.struct("split_start", "pos", "text")))
@@ -224,7 +223,7 @@ def parse_label_lines(lines: DataFrame) -> DataFrame:
     )
     tagged = stored(tagged.filter("header IS NOT NULL OR entries IS NOT NULL OR passed_over > 0"), "label-statements")
     in_split = Window.partitionBy("file", "split_start").orderBy("pos", "part").rowsBetween(Window.unboundedPreceding, 0)
-    carried = _carried(tagged, F.col("header"), ["pos", "part"], "label-carry")
+    carried = _carried(tagged, F.col("header"), ["pos", "part"])
     tagged = tagged.withColumn("local_block", F.last("header", ignorenulls=True).over(in_split))
     tagged = tagged.join(carried, ["file", "split_start"], "left").withColumn("block", F.coalesce("local_block", "carried"))
     passed_over = tagged.filter("block IS NOT NULL").agg(F.sum("passed_over")).first()[0]
