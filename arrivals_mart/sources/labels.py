@@ -72,9 +72,12 @@ def read_label_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _state_after(text: Column) -> Column:
-    """State at the end of ``text``, which begins in text: whether its last lexeme is closed."""
-    last = F.try_element_at(F.regexp_extract_all(text, F.lit(_LEXEMES), F.lit(0)), F.lit(-1))
+def _last_lexeme(text: Column) -> Column:
+    return F.try_element_at(F.regexp_extract_all(text, F.lit(_LEXEMES), F.lit(0)), F.lit(-1))
+
+
+def _state_of(last: Column) -> Column:
+    """State after a text that begins in text, by its last lexeme: whether that is closed."""
 
     def closed(by: str, least: int) -> Column:
         return last.endswith(by) & (F.length(last) >= least)
@@ -92,15 +95,21 @@ def _state_after(text: Column) -> Column:
 def line_map(line: Column) -> Column:
     """The lexer over one line: for each of ``STATES``, in that order, the state at the line's end."""
 
+    def case(text: Column, stays: Column = F.lit(None).cast("string")) -> Column:
+        return F.struct(text.alias("text"), stays.alias("stays"))
+
     def from_open(closing: str, state: str) -> Column:
         at = F.instr(line, closing)
-        rest = F.substring(line, at + len(closing), F.length(line))
-        return F.when(at == 0, state).otherwise(_state_after(rest))
+        return case(F.substring(line, at + len(closing), F.length(line)), F.when(at == 0, state))
 
-    return F.concat(
-        _state_after(line), from_open("*/", "C"), from_open("'", "S"), from_open('"', "D"), from_open(")", "P"),
-        _state_after(F.concat(F.lit("value "), line)), _state_after(F.concat(F.lit("value n "), line)),
+    cases = F.array(
+        case(line), from_open("*/", "C"), from_open("'", "S"), from_open('"', "D"), from_open(")", "P"),
+        case(F.concat(F.lit("value "), line)), case(F.concat(F.lit("value n "), line)),
     )
+    # bound by a lambda, the last lexeme is searched once
+    ends = F.transform(cases, lambda c: F.struct(
+        c["stays"].alias("stays"), F.when(c["stays"].isNull(), _last_lexeme(c["text"])).alias("last")))
+    return F.array_join(F.transform(ends, lambda e: F.coalesce(e["stays"], _state_of(e["last"]))), "")
 
 
 def _then(first: Column, second: Column) -> Column:
