@@ -12,7 +12,8 @@ row per range partition, is all that is ever broadcast.
 
 Reading: a capture is looked up by its key. Binary search in the table of files and in the file's
 directory gives one block; that block is read by its range and searched. What is found is dealt
-by archive, and each record is read by its own range, in the order of the archive, and parsed.
+by archive. Records that lie close together in an archive are read at once, in ranges of a bounded
+size, and parsed one by one.
 
 Null html is the empty payload; a null url has the empty key; of pages with a null id, one that shares
 its payload with a numbered page revisits that, any other is a response. Rows that tie on the
@@ -46,6 +47,8 @@ LEVEL = 3
 CAPTURE_DATE = "2000-01-01T00:00:00Z"
 #: Equal payloads of at least so many bytes become revisits.
 REVISIT_BYTES = 0
+#: Records are read together in ranges of at most so many bytes, over gaps of at most so many; a longer record is read alone.
+RANGE_BYTES, GAP_BYTES = 8 << 20, 64 << 10
 _NO_ID = -(1 << 63)
 _CONTROL = re.compile(r"[\x00-\x20\x7f]")
 _URL = re.compile(r"^(?:([a-z][a-z0-9+.-]*):)?(?://)?(?:[^/?#@]*@)?([^/?#:]*)(?::(\d*))?([^#]*)", re.I)
@@ -256,6 +259,18 @@ class IndexFile:
         self._file.close()
 
 
+def joined_ranges(files: list[str], offsets: list[int], lengths: list[int]) -> Iterator[tuple[int, int]]:
+    """(from, to) of each run of records, sorted by file and offset, that one range covers."""
+    lo = 0
+    for hi in range(1, len(files) + 1):
+        if (
+            hi == len(files) or files[hi] != files[lo] or offsets[hi] + lengths[hi] - offsets[lo] > RANGE_BYTES
+            or offsets[hi] - offsets[hi - 1] - lengths[hi - 1] > GAP_BYTES
+        ):
+            yield lo, hi
+            lo = hi
+
+
 def read_captures(wanted: DataFrame, files: list[tuple[bytes, int, str]], folder: str, id_col: str = "page_id",
                   url_col: str = "url") -> DataFrame:
     """Look up the captures of (id, url) rows and read them: page_id, payload_bytes, payload_digest, record_type, refers_to."""
@@ -296,12 +311,15 @@ def read_captures(wanted: DataFrame, files: list[tuple[bytes, int, str]], folder
         stream, file = None, None
         for b in batches:
             out = []
-            for name, offset, length in zip(b.column("file").to_pylist(), b.column("offset").to_pylist(), b.column("length").to_pylist()):
-                if name != file:
+            names, offsets, lengths = (b.column(c).to_pylist() for c in ("file", "offset", "length"))
+            for lo, hi in joined_ranges(names, offsets, lengths):
+                if names[lo] != file:
                     if stream is not None:
                         stream.close()
-                    stream, file = fs.open_input_file(name), name
-                out.append(parse(zlib.decompress(stream.read_at(length, offset), 31)))
+                    stream, file = fs.open_input_file(names[lo]), names[lo]
+                start = offsets[lo]
+                data = memoryview(stream.read_at(offsets[hi - 1] + lengths[hi - 1] - start, start))
+                out += [parse(zlib.decompress(data[o - start:o - start + n], 31)) for o, n in zip(offsets[lo:hi], lengths[lo:hi])]
             if out:
                 names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]

@@ -64,6 +64,29 @@ def test_archives_are_readable_member_by_member_and_as_a_whole(spark, tmp_path):
     assert whole.count(b"WARC-Type: ") == len(ROWS) and whole.count(b"WARC-Type: revisit") == 4
 
 
+def test_near_records_share_a_range_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(W, "RANGE_BYTES", 100)
+    monkeypatch.setattr(W, "GAP_BYTES", 10)
+    runs = lambda *rows: list(W.joined_ranges(*map(list, zip(*rows))))
+    assert runs(("a", 0, 30), ("a", 30, 30), ("a", 65, 30)) == [(0, 3)]
+    assert runs(("a", 0, 30), ("a", 41, 10), ("b", 51, 10)) == [(0, 1), (1, 2), (2, 3)]
+    assert runs(("a", 0, 60), ("a", 60, 60), ("a", 120, 500), ("a", 620, 5)) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+    assert list(W.joined_ranges([], [], [])) == []
+    rng = random.Random(1)
+    rows = [("ab"[i // 150], 20 * i, rng.randint(1, 20)) for i in range(300)]
+    got = runs(*rows)
+    assert all(rows[hi - 1][1] + rows[hi - 1][2] - rows[lo][1] <= 100 and len({r[0] for r in rows[lo:hi]}) == 1 for lo, hi in got)
+    assert [i for lo, hi in got for i in range(lo, hi)] == list(range(300)) and len(got) < 250
+
+
+def test_small_ranges_give_the_same_pages(spark, tmp_path, monkeypatch):
+    folder = f"file://{tmp_path}"
+    files = W.write_index(W.write_archives(pages(spark, ROWS), folder), folder)
+    whole = sorted((tuple(r) for r in W.read_captures(pages(spark, ROWS), files, folder).collect()), key=repr)
+    monkeypatch.setattr(W, "RANGE_BYTES", 1)
+    assert sorted((tuple(r) for r in W.read_captures(pages(spark, ROWS), files, folder).collect()), key=repr) == whole == brute(ROWS)
+
+
 def test_url_keys_sort_by_host():
     assert W.url_key("http://www.Example.org:80/a?b=1#frag") == "org,example,www)/a?b=1"
     assert W.url_key("https://example.org:8443") == "org,example:8443)/"
