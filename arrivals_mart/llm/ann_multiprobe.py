@@ -10,13 +10,15 @@
    and the probes go as far as a recall of ``TARGET_RECALL`` of the sample needs. If more than
    ``MAX_PROBES`` were needed, all is hashed anew with one direction less, which makes larger
    buckets. Without directions one bucket holds everything: an exact scan, block by block.
-5. Buckets are dealt to tasks; a task holds a bounded share of the entries and streams
-   the queries that probe it. It reranks the entries of the visited buckets by exact inner product
+5. Buckets are dealt to parts by cells, the slots of a table's first few directions: cells that follow one
+   another share a part up to ``SHARE`` entries, and a cell beyond it is spread over several by its buckets. A
+   query is sent, once each, to the parts that hold its probes, so that probes close to one another meet
+   in few parts. A part holds its entries and streams the queries. It reranks the entries of the visited buckets by exact inner product
    of the original vectors in double precision and passes on its nearest ``k`` per query. Left out
    are only entries whose single-precision product is too low for its rounding error to matter.
 6. The candidates of all tables and tasks merge per query: nearest first, ties to the smaller id.
 
-A bucket beyond the share of a task is salted over several. Vectors that are null, zero,
+A bucket beyond an eighth of ``SHARE`` is salted over the parts of its cell. Vectors that are null, zero,
 or that hold null or non-finite components take no part. Vectors of different lengths are not
 compared: each length has its own tables, and its queries find entries of that length. Rows that
 repeat an id and vector count once. Extra columns are not read, whatever their names. An empty table gives an empty result.
@@ -27,6 +29,7 @@ from __future__ import annotations
 import heapq
 from collections.abc import Iterator
 from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +49,12 @@ SAMPLE_QUERIES, MAX_PROBES = 48, 8192
 SHARE = 32_768
 SEED = 8
 _MOVES = 6
+#: Slots of a direction that make cells of their own; those further out belong to the outermost.
+_CELL_SLOTS = 5
+#: Buckets of more than this part of a share are salted.
+_LARGE = 8
+#: Scores that a part holds at a time for the queries it is asked by.
+_SCORES = 1 << 22
 #: Components that are multiplied in double precision at a time.
 _EXACT = 1 << 20
 
@@ -75,11 +84,15 @@ class Hashes:
         with np.errstate(over="ignore"):
             return (slots.astype(np.int64) * self.mix).sum(-1)
 
-    def entry_keys(self, vectors: np.ndarray) -> np.ndarray:
-        """Bucket key of each vector in each table; scaled vectors are completed to norm 1."""
+    def entry_slots(self, vectors: np.ndarray) -> np.ndarray:
+        """Slots of each vector in each table; scaled vectors are completed to norm 1."""
         v = vectors / self.largest
         rest = np.sqrt(np.maximum(0, 1 - (v * v).sum(1)))
-        return self._keys(np.floor(self._project(np.column_stack([v, rest]))))
+        return np.floor(self._project(np.column_stack([v, rest]))).astype(np.int64)
+
+    def entry_keys(self, vectors: np.ndarray) -> np.ndarray:
+        """Bucket key of each vector in each table."""
+        return self._keys(self.entry_slots(vectors))
 
     def query_slots(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Slot and position inside the slot (0 to 1) per query, table and direction."""
@@ -90,6 +103,10 @@ class Hashes:
 
     def probes(self, slots: np.ndarray, inside: np.ndarray) -> Iterator[int]:
         """Bucket keys of one query in one table, most promising first."""
+        return (key for key, _ in self.probed_cells(slots, inside, 0))
+
+    def probed_cells(self, slots: np.ndarray, inside: np.ndarray, directions: int) -> Iterator[tuple[int, int]]:
+        """(bucket key, cell by the first ``directions``) of one query in one table, most promising first."""
         moves = np.concatenate([[0], np.repeat(np.arange(1, _MOVES + 1), 2) * np.tile([1, -1], _MOVES)])
         far = np.where(moves > 0, moves - inside[:, None], np.where(moves < 0, inside[:, None] - moves - 1, 0.0)) ** 2
         order = far.argsort(1, kind="stable")
@@ -97,12 +114,14 @@ class Hashes:
         mix = self.mix.tolist()
         step = [[int(m) * mix[j] for m in moves[order[j]]] for j in range(self.k)]
         base = sum(int(s) * m for s, m in zip(slots, mix))
+        parts = [(cell_of((slots[j] + moves[order[j]])[:, None]) * _CELL_SLOTS ** (directions - 1 - j)).tolist()
+                 for j in range(directions)]
         heap = [(0.0, 0, (0,) * self.k, base)]
         width, last = len(moves) - 1, self.k - 1
         wrap, half = (1 << 64) - 1, 1 << 63
         while heap:
             c, j, at, key = heapq.heappop(heap)
-            yield ((key + half) & wrap) - half
+            yield ((key + half) & wrap) - half, sum(p[a] for p, a in zip(parts, at))
             for i in range(j, last + 1):
                 a = at[i]
                 if a < width:
@@ -186,13 +205,85 @@ def fitted(entries: DataFrame, dim: int, n: int, largest: float, k: int) -> tupl
     return hashes, probes
 
 
-def _part(tables, keys: np.ndarray, salt: np.ndarray, parts: int) -> np.ndarray:
-    """Each bucket's part by its hash; the salts of a bucket go to the parts that follow."""
+def cell_of(slots: np.ndarray) -> np.ndarray:
+    """Number of the cell of each row of slots, the first direction first."""
+    half = _CELL_SLOTS // 2
+    place = _CELL_SLOTS ** np.arange(slots.shape[-1] - 1, -1, -1)
+    return ((np.clip(slots, -half, half) + half) * place).sum(-1)
+
+
+def cell_directions(hashes: Hashes, parts: int) -> int:
+    """Directions that make at least as many cells as parts, at most ``_CELL_SLOTS`` times as many."""
+    j = 0
+    while _CELL_SLOTS ** j < parts and j < hashes.k:
+        j += 1
+    return j
+
+
+class Layout:
+    """Which parts hold a table's cells: ``first`` part and how ``many`` of each cell, 0 of an empty one.
+
+    Cells that follow one another share a part up to ``share`` entries; a larger cell has parts of its own.
+    """
+
+    def __init__(self, tables: int, directions: int, counts: list[tuple[int, int, int]], share: int):
+        self.directions = directions
+        self.first = np.zeros((tables, _CELL_SLOTS ** directions), np.int64)
+        self.many = np.zeros_like(self.first)
+        self.parts, last, filled = 0, None, 0
+        for t, cell, n in sorted(counts):
+            if t != last or filled + n > share:
+                last, filled = t, n
+                self.many[t, cell] = -(-n // share)
+                self.first[t, cell] = self.parts
+                self.parts += int(self.many[t, cell])
+            else:
+                self.first[t, cell], self.many[t, cell] = self.parts - 1, 1
+                filled += n
+
+    def part(self, t, cell: np.ndarray, keys: np.ndarray, salt: np.ndarray) -> np.ndarray:
+        """The part of each bucket, -1 in an empty cell; the salts of a bucket go to the parts of its cell that follow."""
+        with np.errstate(over="ignore"):
+            h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(32)
+            h *= np.uint64(0xD6E8FEB86659FD93)
+        many = self.many[t, cell]
+        at = self.first[t, cell] + ((h >> np.uint64(33)).astype(np.int64) + salt) % np.maximum(many, 1)
+        return np.where(many > 0, at, -1)
+
+
+def salts_of(heavy: dict[tuple[int, int], int], tables: np.ndarray, keys: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Which salt of its bucket each entry takes, by its id."""
+    many = np.array([heavy.get(x, 1) for x in zip(tables.tolist(), keys.tolist())], np.int64)
     with np.errstate(over="ignore"):
-        h = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        h ^= h >> np.uint64(32)
-        h *= np.uint64(0xD6E8FEB86659FD93)
-    return (tables * parts + ((h >> np.uint64(33)).astype(np.int64) + salt) % parts).astype(np.int64)
+        mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(33)).astype(np.int64) % many
+
+
+def routes(hashes: Hashes, layout: Layout, heavy: dict, probes: int, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
+    """(row, part, bucket keys) of every part that holds a probed bucket of a query, each pair once."""
+    slots, inside = hashes.query_slots(vectors)
+    rows, where, lists = [], [], []
+    for i in range(len(vectors)):
+        for t in range(hashes.tables):
+            found = islice(hashes.probed_cells(slots[i, t], inside[i, t], layout.directions), probes)
+            keys, cells = (np.array(x, np.int64) for x in zip(*found))
+            salt = np.zeros(len(keys), np.int64)
+            if heavy:
+                times = np.array([heavy.get((t, key), 1) for key in keys.tolist()])
+                keys, cells = keys.repeat(times), cells.repeat(times)
+                salt = np.arange(len(keys)) - (np.cumsum(times) - times).repeat(times)
+            at = layout.part(t, cells, keys, salt)
+            keys, at = keys[at >= 0], at[at >= 0]
+            order = np.lexsort((keys, at))
+            keys, at = keys[order], at[order]
+            new = np.append(True, (at[1:] != at[:-1]) | (keys[1:] != keys[:-1]))[:len(at)]
+            keys, at = keys[new], at[new]
+            begin = np.flatnonzero(np.append(True, at[1:] != at[:-1])[:len(at)])
+            rows += [i] * len(begin)
+            where += at[begin].tolist()
+            lists += np.split(keys, begin[1:]) if len(begin) else []
+    return np.array(rows, np.int64), np.array(where, np.int64), lists
 
 
 def _search(batches: Iterator[pa.RecordBatch], dim: int, k: int) -> Iterator[pa.RecordBatch]:
@@ -234,36 +325,47 @@ class _Part:
         # over twice what rounding makes of a single-precision product with a vector of norm 1
         norms = np.sqrt(np.einsum("ij,ij->i", self.vectors, self.vectors, dtype=np.float64))
         self.slack = dim * float(np.finfo(np.float32).eps) * norms
-        found, first = np.unique(keys[order], return_index=True)
-        ends = [*first[1:].tolist(), len(keys)]
-        self.range = dict(zip(found.tolist(), zip(first.tolist(), ends)))
+        self.found, self.first, self.count = np.unique(keys[order], return_index=True, return_counts=True)
 
     def answers(self, queries: pa.RecordBatch, dim: int, k: int) -> Iterator[pa.RecordBatch]:
         q = _matrix(queries.column("v"), dim)
+        names = np.asarray(queries.column("id"))
+        keys = np.asarray(queries.column("keys").flatten())
+        ends = np.concatenate([[0], np.cumsum(np.asarray(queries.column("keys").value_lengths()))])
+        bucket = np.minimum(np.searchsorted(self.found, keys), len(self.found) - 1)
+        known = self.found[bucket] == keys
+        size = np.where(known, self.count[bucket], 0)
+        wanted = np.concatenate([[0], np.cumsum(size)])[ends]
+        step = max(1, _SCORES // len(self.vectors))
         out_q, out_id, out_s = [], [], []
-        names = np.asarray(queries.column("id")).tolist()
-        for i, keys in enumerate(queries.column("keys").to_pylist()):
-            ranges = [r for r in map(self.range.get, keys) if r]
-            if not ranges:
-                continue
-            ids, scores = self._nearest(ranges, q[i], names[i], k)
-            out_q += [names[i]] * len(ids)
-            out_id += ids
-            out_s += scores
+        for lo in range(0, len(q), step):
+            hi = min(lo + step, len(q))
+            # one product with all entries costs less than gathering a good part of them for each query
+            dense = (wanted[hi] - wanted[lo]) * 8 > (hi - lo) * len(self.vectors)
+            with np.errstate(over="ignore", invalid="ignore"):
+                products = q[lo:hi] @ self.vectors.T if dense else None
+            for i in range(lo, hi):
+                if wanted[i] == wanted[i + 1]:
+                    continue
+                n, at = size[ends[i]:ends[i + 1]], self.first[bucket[ends[i]:ends[i + 1]]]
+                rows = np.repeat(at - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                ids, scores = self._nearest(rows, q[i], int(names[i]), k, products[i - lo] if dense else None)
+                out_q.append(np.full(len(ids), names[i]))
+                out_id.append(ids)
+                out_s.append(scores)
         if out_q:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out_q, pa.int64()), pa.array(out_id, pa.int64()), pa.array(out_s, pa.float64())],
+                [pa.array(np.concatenate(x), kind) for x, kind in ((out_q, pa.int64()), (out_id, pa.int64()), (out_s, pa.float64()))],
                 names=["query_id", "vec_id", "score"],
             )
 
-    def _nearest(self, ranges: list[tuple[int, int]], vec: np.ndarray, own: int, k: int) -> tuple[list[int], list[float]]:
-        """Ids and exact scores of the ``k`` nearest entries of the ranges, ties to the smaller id."""
-        rows = np.concatenate([np.arange(a, b) for a, b in ranges])
-        others = (self.only[rows] != own) | self.several[rows]
-        rows, wide = rows[others], vec.astype(np.float64)
+    def _nearest(self, rows: np.ndarray, vec: np.ndarray, own: int, k: int,
+                 products: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and exact scores of the ``k`` nearest of the entries ``rows``, ties to the smaller id."""
+        rows, wide = rows[(self.only[rows] != own) | self.several[rows]], vec.astype(np.float64)
         if len(rows) > k:
             with np.errstate(over="ignore", invalid="ignore"):
-                scores = np.concatenate([self.vectors[a:b] @ vec for a, b in ranges])[others].astype(np.float64)
+                scores = (self.vectors[rows] @ vec if products is None else products[rows]).astype(np.float64)
             if np.isfinite(scores).all():
                 slack = self.slack[rows] * np.linalg.norm(wide) + len(vec) * float(np.finfo(np.float32).tiny)
                 # whatever the rounding, k entries reach ``least``
@@ -281,7 +383,7 @@ class _Part:
         scores = np.repeat(exact, n)
         ids, scores = ids[ids != own], scores[ids != own]
         order = np.lexsort((ids, -scores))[:k]
-        return ids[order].tolist(), scores[order].tolist()
+        return ids[order], scores[order]
 
 
 def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "embedding", k: int = 20) -> DataFrame:
@@ -306,33 +408,37 @@ def nearest(df: DataFrame, is_query, id_col: str = "vec_id", vector_col: str = "
 def _found(entries: DataFrame, queries: DataFrame, dim: int, n: int, largest: float, k: int) -> DataFrame:
     """query_id, vec_id and score of the nearest of each table and task, for vectors of one length."""
     hashes, probes = fitted(entries, dim, n, largest, k)
-    parts = max(1, -(-n // SHARE))
+    directions = cell_directions(hashes, -(-n // SHARE))
 
     def keyed(batches):
         for b in batches:
-            keys = hashes.entry_keys(_matrix(b.column("v"), dim).astype(np.float64))
+            slots = hashes.entry_slots(_matrix(b.column("v"), dim).astype(np.float64))
+            keys, cells = hashes._keys(slots), cell_of(slots[:, :, :directions])
             for t in range(hashes.tables):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(b.num_rows, t)), pa.array(keys[:, t]), b.column("ids"), b.column("v")],
-                    names=["t", "key", "ids", "v"],
+                    [pa.array(np.full(b.num_rows, t)), pa.array(keys[:, t]), pa.array(cells[:, t]), b.column("ids"), b.column("v")],
+                    names=["t", "key", "cell", "ids", "v"],
                 )
 
-    index = entries.mapInArrow(keyed, "t bigint, key bigint, ids array<bigint>, v array<float>")
-    # at most tables * n / SHARE buckets can be that large
-    heavy = {(r["t"], r["key"]): -(-r["count"] // SHARE)
-             for r in index.groupBy("t", "key").count().filter(F.col("count") > SHARE).collect()}
+    index = entries.mapInArrow(keyed, "t bigint, key bigint, cell bigint, ids array<bigint>, v array<float>")
+    buckets = written(index.groupBy("t", "key", "cell").count(), "ann-buckets")
+    # buckets of a good part of a share are salted, so that the parts of a cell are even; at most tables * n / large are that large
+    large = max(1, SHARE // _LARGE)
+    heavy = {(r["t"], r["key"]): -(-r["count"] // large) for r in buckets.filter(F.col("count") > large).collect()}
+    # at most tables * _CELL_SLOTS * n / SHARE cells
+    cells = buckets.groupBy("t", "cell").agg(F.sum("count").alias("n")).collect()
+    layout = Layout(hashes.tables, directions, [(r["t"], r["cell"], r["n"]) for r in cells], SHARE)
 
     def dealt(batches):
         for b in batches:
-            t, keys = np.asarray(b.column("t")), np.asarray(b.column("key"))
+            t, keys, cell = (np.asarray(b.column(c)) for c in ("t", "key", "cell"))
             salt = np.zeros(len(keys), np.int64)
             if heavy:
-                salts = np.array([heavy.get(x, 1) for x in zip(t.tolist(), keys.tolist())])
-                salt = np.asarray(b.column("ids").flatten())[np.asarray(b.column("ids").offsets)[:-1]
-                                                             - np.asarray(b.column("ids").offsets)[0]] % salts
+                ids = b.column("ids")
+                salt = salts_of(heavy, t, keys, np.asarray(ids.flatten())[np.asarray(ids.offsets)[:-1] - np.asarray(ids.offsets)[0]])
             one = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1, dtype=np.int32)), pa.array(keys))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(_part(t, keys, salt, parts)), pa.array(np.zeros(len(keys), np.int32)),
+                [pa.array(layout.part(t, cell, keys, salt)), pa.array(np.zeros(len(keys), np.int32)),
                  b.column("ids").cast(pa.list_(pa.int64())), one, b.column("v")],
                 names=["part", "kind", "ids", "keys", "v"],
             )
@@ -341,22 +447,8 @@ def _found(entries: DataFrame, queries: DataFrame, dim: int, n: int, largest: fl
         for b in batches:
             for lo in range(0, b.num_rows, 500):
                 piece = b.slice(lo, 500)
-                slots, inside = hashes.query_slots(_matrix(piece.column("v"), dim).astype(np.float64))
-                rows, where, lists = [], [], []
-                for i in range(piece.num_rows):
-                    for t in range(hashes.tables):
-                        keys = [key for _, key in zip(range(probes), hashes.probes(slots[i, t], inside[i, t]))]
-                        if heavy:
-                            pairs = [(key, s) for key in keys for s in range(heavy.get((t, key), 1))]
-                        else:
-                            pairs = [(key, 0) for key in keys]
-                        ks, ss = (np.array(x, np.int64) for x in zip(*pairs))
-                        at = _part(np.int64(t), ks, ss, parts)
-                        for p in np.unique(at).tolist():
-                            rows.append(i)
-                            where.append(p)
-                            lists.append(np.unique(ks[at == p]))
-                if rows:
+                rows, where, lists = routes(hashes, layout, heavy, probes, _matrix(piece.column("v"), dim).astype(np.float64))
+                if len(rows):
                     ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(where), piece.column("id").take(pa.array(rows)),
@@ -369,7 +461,7 @@ def _found(entries: DataFrame, queries: DataFrame, dim: int, n: int, largest: fl
     held = held.withColumn("id", F.lit(None).cast("bigint"))
     probing = queries.mapInArrow(asked, "part bigint, id bigint, keys array<bigint>, v array<float>")
     probing = probing.withColumns({"kind": F.lit(1), "ids": F.lit(None).cast("array<bigint>")})
-    both = held.unionByName(probing).repartition(hashes.tables * parts, "part").sortWithinPartitions("part", "kind")
+    both = held.unionByName(probing).repartition(max(1, layout.parts), "part").sortWithinPartitions("part", "kind")
     return both.mapInArrow(lambda bs: _search(bs, dim, k), "query_id bigint, vec_id bigint, score double")
 
 

@@ -174,3 +174,71 @@ def test_extra_columns_with_clashing_names(spark):
     clashing = plain.withColumns({c: F.lit(f"own {c}") for c in ("id", "v", "ids", "part", "kind", "keys", "score", "rank", "t", "key", "query_id")})
     is_query = F.col("id") % 20 == 0
     assert answers(A.nearest(clashing, is_query)) == answers(A.nearest(plain, is_query))
+
+
+def laid_out(vectors, share):
+    """(hashes, layout, part of every vector in every table) as the operator deals them, in numpy alone."""
+    n = len(vectors)
+    hashes = A.Hashes(vectors.shape[1], n, float(np.linalg.norm(vectors, axis=1).max()))
+    slots = hashes.entry_slots(vectors)
+    directions = A.cell_directions(hashes, -(-n // share))
+    keys, cells = hashes._keys(slots), A.cell_of(slots[:, :, :directions])
+    counts = [(t, int(c), int(m)) for t in range(hashes.tables) for c, m in zip(*np.unique(cells[:, t], return_counts=True))]
+    layout = A.Layout(hashes.tables, directions, counts, share)
+    large = share // A._LARGE
+    heavy = {(t, int(key)): -(-int(m) // large) for t in range(hashes.tables)
+             for key, m in zip(*np.unique(keys[:, t], return_counts=True)) if m > large}
+    salts = [A.salts_of(heavy, np.full(n, t), keys[:, t], np.arange(n)) for t in range(hashes.tables)]
+    parts = np.column_stack([layout.part(np.int64(t), cells[:, t], keys[:, t], salts[t]) for t in range(hashes.tables)])
+    return hashes, layout, heavy, keys, parts
+
+
+def test_parts_hold_a_bounded_share_and_every_probed_bucket_is_met():
+    rng = np.random.default_rng(9)
+    vectors = rng.normal(0, 1, (20_000, 12))
+    hashes, layout, heavy, keys, parts = laid_out(vectors, 500)
+    assert parts.min() >= 0 and parts.max() < layout.parts <= 3 * hashes.tables * 20_000 // 500
+    assert np.bincount(parts.ravel()).max() <= 3 * 500
+    queries = rng.normal(0, 1, (30, 12))
+    slots, inside = hashes.query_slots(queries)
+    rows, where, lists = A.routes(hashes, layout, heavy, 40, queries)
+    assert len(set(zip(rows.tolist(), where.tolist()))) == len(rows)
+    for i in range(len(queries)):
+        met = {(p, key) for r, p, ks in zip(rows.tolist(), where.tolist(), lists) if r == i for key in ks.tolist()}
+        for t in range(hashes.tables):
+            probed = np.array([k for k, _ in zip(hashes.probes(slots[i, t], inside[i, t]), range(40))])
+            held = np.flatnonzero(np.isin(keys[:, t], probed))
+            assert {(p, k) for p, k in zip(parts[held, t].tolist(), keys[held, t].tolist())} <= met
+
+
+def test_a_probed_cell_is_the_cell_of_its_slots():
+    hashes = A.Hashes(8, 100_000, 1.0)
+    v = np.random.default_rng(10).normal(0, 1, (3, 8))
+    slots, inside = hashes.query_slots(v)
+    for i in range(3):
+        found = [x for x, _ in zip(hashes.probed_cells(slots[i, 0], inside[i, 0], 2), range(200))]
+        assert found[0][1] == A.cell_of(slots[i, 0][None, :2])[0]
+        moved = {int(hashes._keys((slots[i, 0] + m)[None])[0]): int(A.cell_of((slots[i, 0] + m)[None, :2])[0])
+                 for m in np.array(np.meshgrid(*[[-1, 0, 1]] * hashes.k)).reshape(hashes.k, -1).T}
+        assert sum(key in moved for key, _ in found) > 30
+        assert all(moved[key] == cell for key, cell in found if key in moved)
+
+
+def test_copies_of_a_query_grow_slower_than_the_parts():
+    """Clustered vectors: ten times the entries make ten times the parts, and few more copies of a query."""
+    copies, parts = {}, {}
+    for n in (100_000, 1_000_000):
+        rng = np.random.default_rng(11)
+        centres = rng.normal(0, 1, (n // 100, 32)).astype(np.float32)
+        vectors = centres[np.arange(n) % len(centres)] + rng.normal(0, 0.15, (n, 32)).astype(np.float32)
+        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+        hashes, layout, heavy, _, _ = laid_out(vectors, 8192)
+        q = vectors[:24].astype(np.float64)
+        near = np.argsort(-(q.astype(np.float32) @ vectors.T), axis=1)[:, 1:21]
+        true = [{"q": i, "v": vectors[j]} for i in range(24) for j in near[i]]
+        probes = A.calibrate(q, true, hashes)
+        rows, _, _ = A.routes(hashes, layout, heavy, probes, vectors[24:124].astype(np.float64))
+        copies[n], parts[n] = len(rows) / 100, layout.parts
+        assert probes > 1
+    assert parts[1_000_000] > 7 * parts[100_000]
+    assert copies[1_000_000] < 3 * copies[100_000] and copies[1_000_000] < parts[1_000_000] / 4
