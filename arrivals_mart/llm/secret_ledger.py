@@ -19,7 +19,9 @@ scanned whole, each as one value. Spans that begin at the same place are listed
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -102,10 +104,13 @@ class BlobLedger:
     def seen(self) -> DataFrame | None:
         """(blob, spans) of all scans under this rule version, or None before the first."""
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
-        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not fs.exists(folder):
             return None
+        # the scans are named one by one: Spark takes two reads of one folder for the same, whatever was added between them
+        scans = sorted(f.getPath().toString() for f in fs.listStatus(folder))
         schema = T.StructType.fromDDL(f"blob string, spans {SPANS}")
-        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(self.path)
+        return self.spark.read.schema(schema).parquet(*scans) if scans else None
 
     def scan(self, versions: DataFrame, text_col: str = "text") -> DataFrame:
         """Scan what is new in ``versions``; return ``row`` (its other columns), blob and spans of every version."""
@@ -120,6 +125,11 @@ class BlobLedger:
         return addressed.select("row", "blob").join(self.seen(), "blob").select("row", "blob", "spans")
 
 
+    def scan_deliveries(self, deliveries: Iterable[DataFrame], text_col: str = "text") -> DataFrame:
+        """Scan deliveries of versions, one after another; each leaves out the blobs that those before it brought."""
+        return reduce(DataFrame.unionByName, [self.scan(d, text_col) for d in deliveries])
+
+
 def spans_text(spans: Column) -> Column:
     """kind:start:end of each span, joined by commas."""
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")

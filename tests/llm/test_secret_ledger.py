@@ -59,6 +59,17 @@ def test_only_unseen_blobs_are_scanned_and_findings_reach_all_paths(spark, tmp_p
     assert sizes == [1, 2]  # the second scan saw one blob
 
 
+def test_deliveries_scan_each_blob_once_and_give_every_row(spark, tmp_path):
+    rng = random.Random(4)
+    rows = [(i, rng.choice(texts(60)), "en", "a", None) for i in range(200)]
+    ledger = S.BlobLedger(spark, f"file://{tmp_path}")
+    got = result(ledger.scan_deliveries([docs(spark, rows[:120]), docs(spark, rows[120:]), docs(spark, rows[:5])]))
+    assert sorted(r.doc_id for r, _, _ in got) == sorted([*range(200), *range(5)])
+    assert all(text == brute(rows[row.doc_id][1]) for row, _, text in got)
+    blobs = [r.blob for r in ledger.seen().collect()]
+    assert len(blobs) == len(set(blobs)) == len({t for _, t, *_ in rows}) and len(scans(tmp_path)) == 3
+
+
 def test_new_rules_scan_anew(spark, tmp_path):
     rows = docs(spark, [(1, "password=abcdefgh", "en", "a", 1)])
     S.BlobLedger(spark, f"file://{tmp_path}").scan(rows)
