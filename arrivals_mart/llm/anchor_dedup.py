@@ -15,10 +15,10 @@ covers it also starts in a document with a smaller id.
    repeated if the hash of all its words (96 bits and more, of two polynomials) equals that of a
    window in a smaller document, so overlapping windows make up maximal exact repeats.
 
-Equal grams never meet as pairs: per hash, the least id decides. A batch of documents settles what it can by
-itself and sends on one entry per hash, so a passage that fills a third of the
-corpus costs a task an entry per batch. What is sent are packed arrays, dealt by hash
-and then by document.
+Equal grams never meet as pairs: per hash, the least id decides. A task settles what it can by itself and sends on
+an entry or two per hash, whatever it has read, so a passage that fills a third of the corpus costs a few entries a
+task; who receives them settles them in rounds and holds as few. What is sent are packed arrays, dealt by hash and then
+by document.
 
 Null texts have no words. Documents with a null id are kept whole and count for no other. Rows
 that share an id never remove one another; they are told apart by the CRC of their text. An
@@ -30,6 +30,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +47,8 @@ WINDOW, BLOCK = 50, 10
 RUN = (WINDOW - BLOCK + 1) // BLOCK
 #: Entries that one task sorts at a time, and bytes of text that are worked on together.
 ENTRIES, PIECE_BYTES = 1_500_000, 4 << 20
+#: Tasks of a shuffle; beyond that many routes a task works on several, one after another.
+MAX_TASKS = 20_000
 #: Words that a task's table may hold before it is emptied.
 TABLE_ENTRIES = 300_000
 #: Odd bases of the two polynomials.
@@ -133,45 +137,87 @@ def windows_near(h: np.ndarray, pos: np.ndarray, n_words: np.ndarray, hit: np.nd
     return np.flatnonzero(np.cumsum(near[:-1]) > 0)
 
 
-def _pack(**columns: np.ndarray) -> bytes:
-    batch = pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as w:
-        w.write_batch(batch)
-    return sink.getvalue().to_pybytes()
+#: Columns of what is sent, as they stand in a packed row: probes and blocks, windows, findings.
+GRAMS = {"id": "<i8", "crc": "<u4", "pos": "<u4", "hash": "<u4", "done": "?"}
+WINDOWS = {"id": "<i8", "crc": "<u4", "pos": "<u4", "one": "<u4", "two": "<u8"}
+FINDINGS = {"id": "<i8", "crc": "<u4", "pos": "<u4"}
 
 
-def _unpack(blobs: list[bytes]) -> dict[str, np.ndarray]:
-    tables = [pa.ipc.open_stream(b).read_all() for b in blobs]
-    return {c: np.concatenate([t[c].to_numpy() for t in tables]) for c in tables[0].column_names}
+def _pack(e: dict[str, np.ndarray], kinds: dict[str, str]) -> bytes:
+    return zstandard.compress(b"".join(e[c].astype(t).tobytes() for c, t in kinds.items()), 1)
 
 
-def _dealt(route: np.ndarray, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _unpack(blob: bytes, kinds: dict[str, str]) -> dict[str, np.ndarray]:
+    raw, at, e = zstandard.decompress(blob), 0, {}
+    n = len(raw) // sum(np.dtype(t).itemsize for t in kinds.values())
+    for c, t in kinds.items():
+        e[c] = np.frombuffer(raw, t, n, at)
+        at += e[c].nbytes
+    return e
+
+
+def _chosen(e: dict[str, np.ndarray], which: np.ndarray) -> dict[str, np.ndarray]:
+    return {c: v[which] for c, v in e.items()}
+
+
+def _joined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    return {c: np.concatenate([p[c] for p in parts]) for c in parts[0]}
+
+
+def _dealt(route: np.ndarray, e: dict[str, np.ndarray], kinds: dict[str, str]) -> Iterator[pa.RecordBatch]:
     """One packed row per distinct route."""
-    order = np.lexsort((columns["pos"], columns["id"], route))
-    route = route[order]
-    columns = {k: v[order] for k, v in columns.items()}
+    order = np.lexsort((e["pos"], e["id"], route))
+    route, e = route[order], _chosen(e, order)
     cuts = [0, *(np.flatnonzero(route[1:] != route[:-1]) + 1).tolist(), len(route)]
     for lo, hi in zip(cuts, cuts[1:]):
         if lo < hi:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(route[lo])], pa.int64()), pa.array([_pack(**{k: v[lo:hi] for k, v in columns.items()})], pa.binary())],
-                names=["route", "blob"],
-            )
+            yield _row(int(route[lo]), _pack(_chosen(e, slice(lo, hi)), kinds))
 
 
-def _by_route(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]]]:
-    """The blobs of each route, of rows sorted by it."""
-    now, held = None, []
-    for b in batches:
-        for route, blob in zip(b.column("route").to_pylist(), b.column("blob").to_pylist()):
-            if route != now and held:
-                yield now, held
-                held = []
-            now = route
-            held.append(blob)
-    if held:
-        yield now, held
+def _row(route: int, blob: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([route], pa.int64()), pa.array([blob], pa.binary())], names=["route", "blob"])
+
+
+def _by_route(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[bytes]]]:
+    """The blobs of each route, one by one, of rows sorted by it."""
+    rows = (r for b in batches for r in zip(b.column("route").to_pylist(), b.column("blob").to_pylist()))
+    for route, some in groupby(rows, itemgetter(0)):
+        yield route, (blob for _, blob in some)
+
+
+class Entries:
+    """Entries settled in rounds, so that one which many documents share is held a few times, however often it comes.
+
+    ``settle`` tells which entries are found and which must stay, to be asked elsewhere or to tell others. A
+    round is due at ``ENTRIES`` entries, and at twice as many as the last one left.
+    """
+
+    def __init__(self, settle: Callable) -> None:
+        self.settle = settle
+        self.take()
+
+    def add(self, part: dict[str, np.ndarray]) -> bool:
+        """Whether a round is due."""
+        self.parts.append(part if "done" in part else {**part, "done": np.zeros(len(part["id"]), bool)})
+        self.n += len(part["id"])
+        return self.n >= self.limit
+
+    def round(self) -> dict[str, np.ndarray]:
+        """What is found now and was not before; what must stay is left."""
+        e = _joined(self.parts)
+        found, stays = self.settle(e)
+        new = _chosen(e, found & ~e["done"])
+        e["done"] = e["done"] | found
+        self.parts = [_chosen(e, stays)]
+        self.n = len(self.parts[0]["id"])
+        self.limit = max(ENTRIES, 2 * self.n)
+        return new
+
+    def take(self) -> dict[str, np.ndarray]:
+        """What the last round left; nothing is held afterwards."""
+        left = self.parts[0] if getattr(self, "parts", None) else {}
+        self.parts, self.n, self.limit = [], 0, ENTRIES
+        return left
 
 
 def _groups(keys: tuple[np.ndarray, ...], ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -185,13 +231,13 @@ def _groups(keys: tuple[np.ndarray, ...], ids: np.ndarray) -> tuple[np.ndarray,
     return order, np.cumsum(new) - 1, np.flatnonzero(new)
 
 
-def _hits(h: np.ndarray, ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _hits(e: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """(hit, sent): which probes hit, and which must still be asked elsewhere or tell others of their hash.
 
     What tells others is, per hash, the block with the least id and the probe with the largest.
     """
-    order, group, first = _groups((h,), ids)
-    d, is_block = ids[order], block[order]
+    order, group, first = _groups((e["hash"],), e["id"])
+    d, is_block = e["id"][order], e["pos"][order] % BLOCK == 0
     least = np.minimum.reduceat(np.where(is_block, d, _LAST), first) if len(first) else np.zeros(0, np.int64)
     last = np.append(first[1:], len(d)) - 1 if len(first) else first
     hit = (d > least[group]) | (is_block & (d < d[last][group]))
@@ -204,13 +250,13 @@ def _hits(h: np.ndarray, ids: np.ndarray, block: np.ndarray) -> tuple[np.ndarray
     return out_hit, out_sent
 
 
-def _repeats(keys: tuple[np.ndarray, ...], ids: np.ndarray) -> np.ndarray:
-    """Which windows have an equal one under a smaller id."""
-    order, group, first = _groups(keys, ids)
-    out = np.empty(len(ids), bool)
-    d = ids[order]
+def _repeats(e: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(found, rest): which windows have an equal one under a smaller id, and which have none so far."""
+    order, group, first = _groups((e["one"], e["two"]), e["id"])
+    out = np.empty(len(order), bool)
+    d = e["id"][order]
     out[order] = d > d[first][group]
-    return out
+    return out, ~out
 
 
 def _texts(b: pa.RecordBatch) -> Iterator[bytes]:
@@ -260,7 +306,32 @@ def _spans(pos: np.ndarray) -> np.ndarray:
     return np.stack([pos[np.append(0, cut + 1)], pos[np.append(cut, len(pos) - 1)]], 1).ravel()
 
 
-def _gathered(routed: DataFrame, settle: Callable, routes: int, homes: int, spans: bool = False) -> DataFrame:
+def _sent(parts: Iterator[dict[str, np.ndarray]], settle: Callable, key: str, kinds: dict[str, str], routes: int,
+          homes: int) -> Iterator[pa.RecordBatch]:
+    """Entries of one task: findings on their way home, the rest dealt by the upper half of ``key``.
+
+    As long as rounds leave little, everything that the task reads is settled together.
+    """
+
+    def told(found):
+        return _dealt(_home(found["id"], homes), found, FINDINGS)
+
+    def asked(left):
+        return _dealt((left[key] >> np.uint64(32)).astype(np.int64) % routes, left, kinds)
+
+    held = Entries(settle)
+    for part in parts:
+        if held.add(part):
+            yield from told(held.round())
+            if 2 * held.n > ENTRIES:
+                yield from asked(held.take())
+    if held.n:
+        yield from told(held.round())
+        yield from asked(held.take())
+
+
+def _gathered(routed: DataFrame, settle: Callable, kinds: dict[str, str], routes: int, homes: int,
+              spans: bool = False) -> DataFrame:
     """Settle each route's entries, then gather per document: id, crc, pos (packed uint32).
 
     ``pos`` holds positions, or with ``spans`` the first and last of each stretch of them.
@@ -269,20 +340,21 @@ def _gathered(routed: DataFrame, settle: Callable, routes: int, homes: int, span
     def reduce(batches):
         for route, blobs in _by_route(batches):
             if route < 0:
-                for blob in blobs:
-                    yield pa.RecordBatch.from_pydict({"route": pa.array([route], pa.int64()), "blob": pa.array([blob], pa.binary())})
+                yield from (_row(route, blob) for blob in blobs)
                 continue
-            e = _unpack(blobs)
-            found = settle(e)
-            if found.any():
-                ids = e["id"][found]
-                yield from _dealt(_home(ids, homes), id=ids, crc=e["crc"][found], pos=e["pos"][found])
+            held = Entries(settle)
+            for blob in blobs:
+                if held.add(_unpack(blob, kinds)):
+                    found = held.round()
+                    yield from _dealt(_home(found["id"], homes), found, FINDINGS)
+            found = held.round()
+            yield from _dealt(_home(found["id"], homes), found, FINDINGS)
 
     def gather(batches):
         for _, blobs in _by_route(batches):
-            e = _unpack(blobs)
+            e = _joined([_unpack(blob, FINDINGS) for blob in blobs])
             order = np.lexsort((e["pos"], e["crc"], e["id"]))
-            ids, crc, pos = e["id"][order], e["crc"][order], e["pos"][order].astype("<u4")
+            ids, crc, pos = e["id"][order], e["crc"][order].astype(np.int64), e["pos"][order]
             cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]) | (crc[1:] != crc[:-1])) + 1).tolist()]
             ends = [*cuts[1:], len(ids)]
             yield pa.RecordBatch.from_arrays(
@@ -293,7 +365,8 @@ def _gathered(routed: DataFrame, settle: Callable, routes: int, homes: int, span
             )
 
     def dealt(df, n):
-        return df.repartition(n, "route").sortWithinPartitions("route")
+        tasks = min(n, MAX_TASKS)
+        return df.repartitionById(tasks, ((F.col("route") + homes) % tasks).cast("int")).sortWithinPartitions("route")
 
     settled = dealt(routed, routes + homes).mapInArrow(reduce, "route bigint, blob binary")
     return dealt(settled, homes).mapInArrow(gather, "id bigint, crc bigint, pos binary")
@@ -322,28 +395,22 @@ def _packed(docs: DataFrame) -> DataFrame:
 def hit_positions(docs: DataFrame, routes: int, homes: int) -> DataFrame:
     """id, crc and the positions of hit grams of every document that has any. ``docs``: id, crc, text."""
 
-    def run(batches):
+    def grams(batches):
         for p in _pieces(batches, WordHashes(), lambda i: i is not None):
-            where, grams = anchors(p["h"], p["pos"], p["n"][p["doc"]])
-            doc, pos = p["doc"][where], p["pos"][where]
-            ids, crc, block = p["id"][doc], p["crc"][doc], pos % BLOCK == 0
-            hit, sent = _hits(grams, ids, block)
-            yield from _dealt((grams[sent] >> np.uint64(32)).astype(np.int64) % routes, id=ids[sent], crc=crc[sent],
-                              pos=(pos[sent] << 1 | block[sent]).astype(np.uint32), hash=grams[sent].astype(np.uint32))
-            yield from _dealt(_home(ids[hit], homes), id=ids[hit], crc=crc[hit], pos=pos[hit].astype(np.uint32))
+            where, found = anchors(p["h"], p["pos"], p["n"][p["doc"]])
+            doc = p["doc"][where]
+            yield {"id": p["id"][doc], "crc": p["crc"][doc], "pos": p["pos"][where].astype(np.uint32), "hash": found}
 
-    def settle(e):
-        block = (e["pos"] & 1).astype(bool)
-        e["pos"] = e["pos"] >> 1
-        return _hits(e["hash"], e["id"], block)[0]
+    def run(batches):
+        return _sent(grams(batches), _hits, "hash", GRAMS, routes, homes)
 
-    return _gathered(docs.mapInArrow(run, "route bigint, blob binary"), settle, routes, homes)
+    return _gathered(docs.mapInArrow(run, "route bigint, blob binary"), _hits, GRAMS, routes, homes)
 
 
 def repeated_windows(docs: DataFrame, routes: int, homes: int) -> DataFrame:
     """id, crc and spans of starts of repeated windows. ``docs``: id, crc, packed, pos (of hits)."""
 
-    def run(batches):
+    def windows(batches):
         for p in _pieces(batches, WordHashes(), lambda i: True):
             hit = np.zeros(len(p["h"]), bool)
             for start, hits in zip(p["start"], p["extra"]):
@@ -351,17 +418,12 @@ def repeated_windows(docs: DataFrame, routes: int, homes: int) -> DataFrame:
             at = windows_near(p["h"], p["pos"], p["n"][p["doc"]], hit)
             one, two = (rolling(p["h"], WINDOW, b)[at] for b in _BASES)
             doc = p["doc"][at]
-            ids, crc, pos = p["id"][doc], p["crc"][doc], p["pos"][at].astype(np.uint32)
-            done = _repeats((one, two), ids)
-            ask = ~done
-            yield from _dealt((one[ask] >> np.uint64(32)).astype(np.int64) % routes, id=ids[ask], crc=crc[ask], pos=pos[ask],
-                              one=one[ask].astype(np.uint32), two=two[ask])
-            yield from _dealt(_home(ids[done], homes), id=ids[done], crc=crc[done], pos=pos[done])
+            yield {"id": p["id"][doc], "crc": p["crc"][doc], "pos": p["pos"][at].astype(np.uint32), "one": one, "two": two}
 
-    def settle(e):
-        return _repeats((e["one"], e["two"]), e["id"])
+    def run(batches):
+        return _sent(windows(batches), _repeats, "one", WINDOWS, routes, homes)
 
-    return _gathered(docs.mapInArrow(run, "route bigint, blob binary"), settle, routes, homes, spans=True)
+    return _gathered(docs.mapInArrow(run, "route bigint, blob binary"), _repeats, WINDOWS, routes, homes, spans=True)
 
 
 def kept_words(words: list[bytes], spans: np.ndarray) -> list[bytes]:

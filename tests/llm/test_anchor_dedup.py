@@ -66,6 +66,66 @@ def test_many_routes_and_small_pieces(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_several_routes_a_task(spark, monkeypatch):
+    monkeypatch.setattr(A, "ENTRIES", 50)
+    monkeypatch.setattr(A, "PIECE_BYTES", 500)
+    monkeypatch.setattr(A, "MAX_TASKS", 3)
+    rows = repeats(6, 40)
+    got = sorted((tuple(r) for r in A.drop_repeats(docs(spark, rows).repartition(3)).collect()), key=repr)
+    assert got == brute(rows)
+
+
+def _part(ids, keys, pos, windows):
+    n = len(ids)
+    e = {"id": np.array(ids, np.int64), "crc": np.zeros(n, np.int64), "pos": np.array(pos, np.uint32)}
+    keys = np.array(keys, np.uint64)
+    return {**e, "one": keys, "two": keys} if windows else {**e, "hash": keys}
+
+
+@pytest.mark.parametrize("windows", [True, False])
+def test_rounds_find_what_one_round_finds(monkeypatch, windows):
+    monkeypatch.setattr(A, "ENTRIES", 40)
+    settle = A._repeats if windows else A._hits
+    rng = np.random.default_rng(4)
+    for _ in range(50):
+        parts = [_part(*rng.integers(0, [[30], [12], [40]], (3, 15)), windows) for _ in range(20)]
+        whole = A._joined(parts)
+        expected = A._chosen(whole, settle(whole)[0])
+        held, found = A.Entries(settle), []
+        for p in parts:
+            if held.add(p):
+                found.append(held.round())
+        found.append(held.round())
+        got = A._joined(found)
+        key = "one" if windows else "hash"
+        assert sorted(zip(*(got[c].tolist() for c in ("id", "pos", key)))) == sorted(
+            zip(*(expected[c].tolist() for c in ("id", "pos", key))))
+
+
+@pytest.mark.parametrize("windows", [True, False])
+def test_a_hot_passage_is_held_a_few_times(monkeypatch, windows):
+    monkeypatch.setattr(A, "ENTRIES", 1000)
+    held = A.Entries(A._repeats if windows else A._hits)
+    order = np.random.default_rng(5).permutation(200_000)
+    most = 0
+    for at in range(0, len(order), 100):
+        ids = order[at:at + 100]
+        if held.add(_part(ids, np.full(100, 7), ids % 97, windows)):
+            held.round()
+            assert held.n < 500
+        most = max(most, held.n)
+    assert most <= 1000
+
+
+def test_packed_columns_come_back():
+    rng = np.random.default_rng(6)
+    for kinds in (A.GRAMS, A.WINDOWS, A.FINDINGS):
+        for n in (0, 1, 1000):
+            e = {c: rng.integers(0, 2 if t == "?" else 1 << 31, n).astype(t) for c, t in kinds.items()}
+            back = A._unpack(A._pack(e, kinds), kinds)
+            assert all((back[c] == e[c]).all() and back[c].dtype == e[c].dtype for c in kinds)
+
+
 def test_awkward_rows_and_empty_table(spark):
     rows = [tuple(r) for r in docs(spark).collect()]
     got = sorted((tuple(r) for r in A.drop_repeats(clashing(docs(spark))).collect()), key=repr)
