@@ -1,8 +1,8 @@
 """Exact deduplication by Grace hashing.
 
-Rows are first grouped inside each Arrow batch, so a text that fills a third
-of the corpus leaves a batch once. The batch leaders (one row per distinct text
-of a batch) are dealt to tasks by the hash of their text. A task whose bucket does
+Rows are first grouped inside each Arrow batch. A text that comes twice in a batch is remembered beyond it, in a
+table of bounded size, so a text that fills a third of the corpus leaves a task once (or once per filling of that
+table). The leaders (one row per distinct text) are dealt to tasks by the hash of their text. A task whose bucket does
 not fit in memory partitions it into spill files by further bits of the hash, and
 those again, until the distinct texts of a file fit an open-addressing table. The
 table compares complete contents; hashes only choose slots and files.
@@ -37,10 +37,12 @@ from arrivals_mart.llm._common import LOWER, struct_of, written
 
 #: Bytes of distinct texts that one open-addressing table may hold before its bucket is partitioned.
 TABLE_BYTES = 48 << 20
+#: Bytes of texts with copies that a task remembers from batch to batch.
+HOT_BYTES = 16 << 20
 #: Spill files per partitioning pass: four bits of the hash.
 FANOUT_BITS = 4
 _SIGN = 1 << 63
-_HEAD = struct.Struct("<QqqqBII")
+_HEAD = struct.Struct("<QqqqqBII")
 
 
 class OpenAddressingTable:
@@ -72,6 +74,15 @@ class OpenAddressingTable:
             self._grow()
         return e, True
 
+    def find(self, h: int, content: bytes) -> int:
+        """The entry of ``content``, or -1."""
+        i = h & self._mask
+        while (e := self._slots[i]) >= 0:
+            if self.hashes[e] == h and self.contents[e] == content:
+                return e
+            i = (i + 1) & self._mask
+        return -1
+
     def _grow(self) -> None:
         capacity = 2 * (self._mask + 1)
         self._mask = mask = capacity - 1
@@ -84,7 +95,10 @@ class OpenAddressingTable:
 
 
 class Record(NamedTuple):
-    """A batch leader: one distinct text of one batch, under the batch's largest id for it."""
+    """A leader: one distinct text of one batch or task, under the largest id that it has there.
+
+    ``cls`` is the key that the copies refer to, where it is not the leader's own.
+    """
 
     hash: int
     key: int
@@ -92,6 +106,7 @@ class Record(NamedTuple):
     count: int
     text: bytes | None
     rest: bytes
+    cls: int | None = None
 
     @property
     def rank(self) -> tuple[bool, int, int]:
@@ -111,7 +126,8 @@ def _spill(records: Iterable[Record], level: int, folder: str) -> list[str]:
         for r in records:
             f = files[(r.hash >> (FANOUT_BITS * level)) & ((1 << FANOUT_BITS) - 1)]
             kind = (r.id is None) | (r.text is None) << 1
-            f.write(_HEAD.pack(r.hash, r.key, r.id or 0, r.count, kind, len(r.text or b""), len(r.rest)))
+            f.write(_HEAD.pack(r.hash, r.key, r.key if r.cls is None else r.cls, r.id or 0, r.count, kind, len(r.text or b""),
+                               len(r.rest)))
             f.write(r.text or b"")
             f.write(r.rest)
     finally:
@@ -123,9 +139,9 @@ def _spill(records: Iterable[Record], level: int, folder: str) -> list[str]:
 def _load(path: str) -> Iterator[Record]:
     with open(path, "rb") as f:
         while head := f.read(_HEAD.size):
-            h, key, ident, count, kind, n, m = _HEAD.unpack(head)
+            h, key, cls, ident, count, kind, n, m = _HEAD.unpack(head)
             text, rest = f.read(n), f.read(m)
-            yield Record(h, key, None if kind & 1 else ident, count, None if kind & 2 else text, rest)
+            yield Record(h, key, None if kind & 1 else ident, count, None if kind & 2 else text, rest, cls)
 
 
 class _Groups:
@@ -149,7 +165,7 @@ class _Groups:
             if r.rank > self.best[e].rank:
                 self.best[e] = lean
         if keep_keys:
-            self.keys.append((r.key, e))
+            self.keys.append((r.key if r.cls is None else r.cls, e))
 
 
 def grace(records: Iterable[Record], limit: int, keep_keys: bool, keep_rows: bool, level: int = 0,
@@ -195,9 +211,57 @@ def _local_directory() -> str | None:
     return given[os.getpid() % len(given)] if given else None
 
 
+class _Copied:
+    """Texts that came twice in a batch: their copies of later batches are counted here, and their leader leaves last."""
+
+    def __init__(self) -> None:
+        self.table = OpenAddressingTable()
+        self.cls: list[int] = []
+        self.count: list[int] = []
+        self.best: list[tuple] = []
+
+    def add(self, h: int, content: bytes, key: int, ident: int | None, count: int, size: int) -> tuple[int, bool]:
+        """The entry of a batch's leader, or -1 if it has no copies, and whether it is the best copy so far."""
+        e = self.table.find(h, content)
+        if e < 0 and count < 2:
+            return -1, False
+        rank = Record(h, key, ident, count, None, b"").rank
+        if e < 0:
+            e, _ = self.table.place(h, content)
+            self.table.bytes += size
+            self.cls.append(key)
+            self.count.append(0)
+            self.best.append((rank,))
+        self.count[e] += count
+        return e, self.count[e] == count or rank > self.best[e][0]
+
+    def keep(self, e: int, key: int, ident: int | None, text: bytes | None, sha: str, rest: object) -> None:
+        self.best[e] = (Record(0, key, ident, 0, None, b"").rank, key, ident, text, sha, rest)
+
+    def rows(self, schema: pa.Schema) -> pa.RecordBatch:
+        best = list(zip(*self.best)) or [[]] * 6
+        n = len(self.cls)
+        columns = {
+            "row_key": best[1], "leader_key": self.cls, "id": best[2], "text_sha256": best[4],
+            "hash": [_signed(h) for h in self.table.hashes], "count": self.count, "is_leader": [True] * n,
+            "member": [False] * n, "text": best[3], "rest": best[5],
+        }
+        return pa.RecordBatch.from_arrays(
+            [pa.array(columns[f.name], pa.binary()).cast(pa.string()) if f.name == "text" else pa.array(columns[f.name], f.type)
+             for f in schema], schema=schema)
+
+
+def _signed(h: int) -> int:
+    return h - (_SIGN << 1) if h >= _SIGN else h
+
+
 def _leaders(batches: Iterator[pa.RecordBatch], schema: pa.Schema, only_leaders: bool) -> Iterator[pa.RecordBatch]:
-    """Group each batch: every row learns its leader; leaders carry the text and the group's size."""
+    """Every row learns the key of its class; leaders carry the text and the number of copies.
+
+    The leader of a text with copies is a row beside the members, sent when the task ends or its table is full.
+    """
     key = TaskContext.get().partitionId() << 33
+    copied = _Copied()
     for batch in batches:
         n = batch.num_rows
         ids = batch.column("id").to_pylist()
@@ -216,16 +280,23 @@ def _leaders(batches: Iterator[pa.RecordBatch], schema: pa.Schema, only_leaders:
                 if ids[i] is not None and (ids[j] is None or ids[i] > ids[j]):
                     leader[e] = i
         shas = [hashlib.sha256(c).hexdigest() for c in table.contents]
-        hashes = [h - (_SIGN << 1) if h >= _SIGN else h for h in table.hashes]
-        lead = [leader[e] == i for i, e in enumerate(of)]
+        lead, cls = [False] * n, []
+        for e, i in enumerate(leader):
+            at, best = copied.add(table.hashes[e], table.contents[e], key + i, ids[i], size[e], len(texts[i] or b""))
+            lead[i] = at < 0
+            cls.append(key + i if at < 0 else copied.cls[at])
+            if best:
+                rest = batch.column("rest")[i].as_py() if "rest" in schema.names else None
+                copied.keep(at, key + i, ids[i], texts[i], shas[e], rest)
         columns = {
             "row_key": pa.array(range(key, key + n), pa.int64()),
-            "leader_key": pa.array([key + leader[e] for e in of], pa.int64()),
+            "leader_key": pa.array([cls[e] for e in of], pa.int64()),
             "id": batch.column("id"),
             "text_sha256": pa.array([shas[e] for e in of], pa.string()),
-            "hash": pa.array([hashes[e] for e in of], pa.int64()),
+            "hash": pa.array([_signed(table.hashes[e]) for e in of], pa.int64()),
             "count": pa.array([size[e] for e in of], pa.int64()),
             "is_leader": pa.array(lead, pa.bool_()),
+            "member": pa.array([True] * n, pa.bool_()),
             "text": pa.array([t if x else None for t, x in zip(texts, lead)], pa.binary()).cast(pa.string()),
         }
         if "rest" in schema.names:
@@ -233,12 +304,17 @@ def _leaders(batches: Iterator[pa.RecordBatch], schema: pa.Schema, only_leaders:
         out = pa.RecordBatch.from_arrays([columns[c] for c in schema.names], schema=schema)
         yield out.filter(columns["is_leader"]) if only_leaders else out
         key += n
+        if copied.table.bytes > HOT_BYTES:
+            yield copied.rows(schema)
+            copied = _Copied()
+    yield copied.rows(schema)
 
 
 def _staged(df: DataFrame, id_col: str, text_col: str, rows: bool) -> DataFrame:
     ident, text = F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("text")
     rest, rest_type = struct_of(df, text_col)
-    fields = "row_key bigint, leader_key bigint, id bigint, text_sha256 string, hash bigint, count bigint, is_leader boolean, text string"
+    fields = "row_key bigint, leader_key bigint, id bigint, text_sha256 string, hash bigint, count bigint, is_leader boolean, " \
+             "member boolean, text string"
     schema = T.StructType.fromDDL(fields)
     if rows:
         schema = schema.add("rest", rest_type)
@@ -261,11 +337,12 @@ def _staged(df: DataFrame, id_col: str, text_col: str, rows: bool) -> DataFrame:
 def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[Record]:
     for b in batches:
         rest = b.column("rest").to_pylist() if "rest" in b.schema.names else [None] * b.num_rows
-        for h, key, ident, count, text, x in zip(
-            b.column("hash").to_pylist(), b.column("row_key").to_pylist(), b.column("id").to_pylist(),
-            b.column("count").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), rest, strict=True,
+        for h, key, cls, ident, count, text, x in zip(
+            b.column("hash").to_pylist(), b.column("row_key").to_pylist(), b.column("leader_key").to_pylist(),
+            b.column("id").to_pylist(), b.column("count").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), rest,
+            strict=True,
         ):
-            yield Record(h % (_SIGN << 1), key, ident, count, text, b"" if x is None else pickle.dumps(x))
+            yield Record(h % (_SIGN << 1), key, ident, count, text, b"" if x is None else pickle.dumps(x), cls)
 
 
 def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -285,10 +362,10 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 })
 
     classes = (
-        staged.filter("is_leader").select("row_key", "id", "hash", "count", "text").repartition("hash")
+        staged.filter("is_leader").select("row_key", "leader_key", "id", "hash", "count", "text").repartition("hash")
         .mapInArrow(run, "class_key bigint, keep_key bigint, keep_id bigint, group_size bigint")
     )
-    members = staged.select("row_key", "leader_key", "id", "text_sha256")
+    members = staged.filter("member").select("row_key", "leader_key", "id", "text_sha256")
     return members.join(classes, F.col("leader_key") == F.col("class_key")).select(
         "id", "text_sha256", "keep_id", "group_size", (F.col("row_key") == F.col("keep_key")).alias("kept")
     )
@@ -296,7 +373,7 @@ def exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                           table_bytes: int = TABLE_BYTES) -> DataFrame:
-    """The rows that stay, whole, with the columns of ``df``. Texts cross one shuffle, once per batch."""
+    """The rows that stay, whole, with the columns of ``df``. Texts cross one shuffle; those with copies once per task (or filling of its table)."""
     staged = _staged(df, id_col, text_col, rows=True)
     rest_type = staged.schema["rest"].dataType
     schema = T.StructType([T.StructField("rest", rest_type), T.StructField("text", T.StringType())])
@@ -315,7 +392,7 @@ def drop_exact_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str =
                     "text": pa.array([r.text for r in some], pa.binary()).cast(pa.string()),
                 })
 
-    kept = staged.select("row_key", "id", "hash", "count", "text", "rest").repartition("hash").mapInArrow(run, schema)
+    kept = staged.select("row_key", "leader_key", "id", "hash", "count", "text", "rest").repartition("hash").mapInArrow(run, schema)
     return kept.select(*[
         F.col("text").alias(c) if c == text_col else F.col(f"rest.`{c}`").alias(c) for c in df.columns
     ])

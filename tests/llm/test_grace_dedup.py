@@ -78,3 +78,29 @@ def test_a_group_that_fills_the_table_leaves_each_batch_once(spark):
     rows = [(i, "copy", "en", "a", 4) for i in range(5000)] + [(9000 + i, f"text {i}", "en", "a", 4) for i in range(50)]
     got = G.exact_duplicates(docs(spark, rows)).filter("keep_id = 4999").collect()
     assert len(got) == 5000 and {r.group_size for r in got} == {5000} and [r.id for r in got if r.kept] == [4999]
+
+
+@pytest.mark.parametrize("remembered", [G.HOT_BYTES, 3_000, 0])
+def test_copies_leave_a_task_once(spark, monkeypatch, remembered):
+    monkeypatch.setattr(G, "HOT_BYTES", remembered)
+    rows = []
+    for i in range(600):
+        text = ["Hot text " * 50, "hot text " * 50, f"own {i}", None, "Ab", "aB", f"two {i // 2}"][i % 7]
+        rows.append(((i * 37) % 601 if i % 11 else None, text, "en", f"s{i}", 1))
+    rows += rows[:3]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "25")
+    try:
+        df = docs(spark, rows).repartition(2)
+        got = G.exact_duplicates(df, table_bytes=2_000).collect()
+        assert sorted([(r.id, r.text_sha256, r.keep_id, r.group_size) for r in got], key=key) == sorted(brute(rows), key=key)
+        kept = [r for r in got if r.kept]
+        assert len(kept) == len({r.text_sha256 for r in got}) and all(r.id == r.keep_id for r in kept)
+        staged = G._staged(df, "doc_id", "text", rows=False)
+        hot = staged.filter("is_leader").groupBy("text_sha256").count().agg({"count": "max"}).first()[0]
+        assert hot <= 2 if remembered == G.HOT_BYTES else hot > 2
+        survivors = {r.doc_id: r for r in G.drop_exact_duplicates(df, table_bytes=2_000).collect() if r.doc_id is not None}
+        given = {(r[0], r[1], r[3]) for r in rows}
+        assert all((r.doc_id, r.text, r.source) in given for r in survivors.values())
+        assert set(survivors) == {r.id for r in kept if r.id is not None}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
